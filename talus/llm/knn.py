@@ -102,8 +102,8 @@ def top_k(vectors: DataFrame, query_step: int = 50, k: int = 5, scale: int = 256
     block = F.pmod(F.xxhash64("vec_id", F.lit("block")), F.lit(blocks)).cast("int")
 
     def arrays(t: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-        ids = t.column("vec_id").to_numpy()
-        flat = t.column("v").combine_chunks().flatten().to_numpy()
+        ids = t.column(0).to_numpy()
+        flat = t.column(1).combine_chunks().flatten().to_numpy()
         return ids, flat.reshape(len(ids), -1)
 
     def answer(key, q: pa.Table, x: pa.Table):
@@ -113,14 +113,14 @@ def top_k(vectors: DataFrame, query_step: int = 50, k: int = 5, scale: int = 256
         own, qv = arrays(q)
         ids, xv = arrays(x)
         qv, xv = _number(qv, xv)
-        floor = q.column("floor").to_numpy() if "floor" in q.column_names else np.full(len(own), np.iinfo(np.int64).min)
+        floor = q.column("q_floor").to_numpy() if "q_floor" in q.column_names else np.full(len(own), np.iinfo(np.int64).min)
         s, i = search(Tree(xv), ids, qv, own, k, floor)
         hit = (i >= 0) & (s >= floor[:, None])
         return pa.table([np.repeat(own, hit.sum(1)), i[hit], s[hit]], schema=schema)
 
     def run(q: DataFrame, x: DataFrame) -> DataFrame:
-        keys = ["d", "shard", "block"]
-        return q.groupBy(*keys).cogroup(x.groupBy(*keys)).applyInArrow(answer, "query_id long, vec_id long, score long")
+        q = q.select(*(F.col(c).alias(f"q_{c}") for c in q.columns))
+        return q.groupBy("q_d", "q_shard", "q_block").cogroup(x.groupBy("d", "shard", "block")).applyInArrow(answer, "query_id long, vec_id long, score long")
 
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     spread = lambda df, lo, hi: df.withColumn("shard", F.explode(F.sequence(F.lit(lo), F.lit(hi))))
