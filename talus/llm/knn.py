@@ -101,16 +101,16 @@ def top_k(vectors: DataFrame, query_step: int = 50, k: int = 5, scale: int = 256
     shard = F.pmod(F.xxhash64("vec_id", F.lit("shard")), F.lit(shards)).cast("int")
     block = F.pmod(F.xxhash64("vec_id", F.lit("block")), F.lit(blocks)).cast("int")
 
-    def arrays(t: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-        ids = t.column(0).to_numpy()
-        flat = t.column(1).combine_chunks().flatten().to_numpy()
+    def arrays(t: pa.Table, prefix: str = "") -> tuple[np.ndarray, np.ndarray]:
+        ids = t.column(prefix + "vec_id").to_numpy()
+        flat = t.column(prefix + "v").combine_chunks().flatten().to_numpy()
         return ids, flat.reshape(len(ids), -1)
 
     def answer(key, q: pa.Table, x: pa.Table):
         schema = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64())])
         if not q.num_rows or not x.num_rows:
             return schema.empty_table()
-        own, qv = arrays(q)
+        own, qv = arrays(q, "q_")
         ids, xv = arrays(x)
         qv, xv = _number(qv, xv)
         floor = q.column("q_floor").to_numpy() if "q_floor" in q.column_names else np.full(len(own), np.iinfo(np.int64).min)

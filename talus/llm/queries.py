@@ -7,13 +7,17 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, knn, langid, media, packing, pieces, urls
+from . import bpe, knn, langid, media, packing, pieces, repeats, urls
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.repeated(_table(spark, sf_dir, "documents"), digest=True)
+
+
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.token_counts(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -57,7 +61,7 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = [op2_token_counts, op4_telephony_audio, op5_url_filter, op6_merge_dropout, op7_language_id, op9_exact_top_k, op10_packing]
+    own = [op1_substring_dedup, op2_token_counts, op4_telephony_audio, op5_url_filter, op6_merge_dropout, op7_language_id, op9_exact_top_k, op10_packing]
     return {f.__name__: f for f in own}
 
 
