@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, knn, langid, media, packing, pieces, repeats, urls
+from . import bpe, knn, langid, media, neardup, packing, pieces, repeats, urls
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,6 +22,10 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.token_counts(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def op4_telephony_audio(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.encode_texts(_table(spark, sf_dir, "documents"), keep=(), digest=True)
 
@@ -61,7 +65,7 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = [op1_substring_dedup, op2_token_counts, op4_telephony_audio, op5_url_filter, op6_merge_dropout, op7_language_id, op9_exact_top_k, op10_packing]
+    own = [op1_substring_dedup, op2_token_counts, op3_near_dedup, op4_telephony_audio, op5_url_filter, op6_merge_dropout, op7_language_id, op9_exact_top_k, op10_packing]
     return {f.__name__: f for f in own}
 
 
