@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from .words import U, mix
 
@@ -90,21 +90,22 @@ def fit(docs: DataFrame, bound: int = TRAIN_DOCS) -> tuple[list[str], np.ndarray
     return labels, np.hstack([table, prior[:, None]])
 
 
-def predict(docs: DataFrame, model: tuple[list[str], np.ndarray]) -> DataFrame:
-    """Adds held_out, lang_pred and score to doc_id, for every row of docs.
+def label(docs: DataFrame, model: tuple[list[str], np.ndarray]) -> DataFrame:
+    """docs with lang_pred and score, for every row; columns of these names that docs had are replaced.
 
     lang_pred is the label with the highest posterior (the smaller name among equals), `und` with score 0 if the
     text is null or has no letter, or nothing was learnt; score is the posterior. Only the text is an input. Whole
-    texts are scored, in sparse batches: log-probability rows are gathered by bucket and summed by text.
+    texts are scored, in sparse batches: log probabilities are gathered by bucket and summed by text. No shuffle.
     """
     labels, table = model
+    docs = docs.drop("lang_pred", "score")
     shared = docs.sparkSession.sparkContext.broadcast(np.ascontiguousarray(table[:, :-1], np.float32))
-    prior = table[:, -1] if labels else np.zeros(0)
+    prior, at = table[:, -1], docs.columns.index("text")
 
     def run(batches):
         weights = shared.value
         for b in batches:
-            texts = [(t or "").lower() for t in b.column(1).to_pylist()]
+            texts = [(t or "").lower() for t in b.column(at).to_pylist()]
             lang, score = [UNKNOWN] * len(texts), [0.0] * len(texts)
             for lo, hi in _slices(texts) if labels else ():
                 buckets, owner = gram_buckets(texts[lo:hi])
@@ -117,8 +118,12 @@ def predict(docs: DataFrame, model: tuple[list[str], np.ndarray]) -> DataFrame:
                 for i, k in enumerate(p.argmax(1)):
                     if any(map(str.isalpha, texts[lo + i])):
                         lang[lo + i], score[lo + i] = labels[k], float(p[i, k])
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(lang, pa.string()), pa.array(score, pa.float64())], ["doc_id", "lang_pred", "score"])
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(lang, pa.string()), pa.array(score, pa.float64())], [*b.schema.names, "lang_pred", "score"])
+
+    schema = T.StructType([*docs.schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
+    return docs.mapInArrow(run, schema)
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    out = docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, lang_pred string, score double")
-    return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+def predict(docs: DataFrame, model: tuple[list[str], np.ndarray]) -> DataFrame:
+    """doc_id, held_out, lang_pred and score of every row of docs."""
+    return label(docs.select("doc_id", "text"), model).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")

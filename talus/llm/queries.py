@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, knn, langid, media, neardup, packing, pieces, repeats, urls
+from . import bpe, knn, langid, media, neardup, packing, pieces, pii, repeats, urls
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -43,6 +43,10 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(docs, langid.fit(docs))
 
 
+def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(_table(spark, sf_dir, "documents"))
+
+
 def op9_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return knn.top_k(_table(spark, sf_dir, "embeddings"))
 
@@ -65,7 +69,7 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = [op1_substring_dedup, op2_token_counts, op3_near_dedup, op4_telephony_audio, op5_url_filter, op6_merge_dropout, op7_language_id, op9_exact_top_k, op10_packing]
+    own = [op1_substring_dedup, op2_token_counts, op3_near_dedup, op4_telephony_audio, op5_url_filter, op6_merge_dropout, op7_language_id, op8_personal_data, op9_exact_top_k, op10_packing]
     return {f.__name__: f for f in own}
 
 

@@ -21,7 +21,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from .scratch import materialize
 from .words import U, Words, encoded, mix, passes
@@ -215,23 +215,23 @@ def _marks_of(table: pa.Table) -> dict[tuple[int, int], np.ndarray]:
     return {(int(doc[i]), int(text[i])): place[i:j] for i, j in zip(new, np.append(new[1:], len(doc)), strict=True)}
 
 
-def repeated(docs: DataFrame, width: int = 13, digest: bool = False, groups: int | None = None, parted: int = PARTED) -> DataFrame:
+def repeated(docs: DataFrame, width: int = 13, digest: bool = False, groups: int | None = None, parted: int = PARTED, carry: tuple[str, ...] = ()) -> DataFrame:
     """Words that repeat a passage of an earlier document.
 
     A word is removed if a window of `width` words over it starts, word for word, in a document with a smaller doc_id too.
     docs: doc_id (an integer), text. Returns a row for each row of docs: doc_id, n_words, n_removed and, with digest, kept_sha256 of the
     kept words joined by one space; else text (as it was if nothing is removed, else the kept words so joined; null stays null)
-    and removed, an array of [first word, end) spans.
+    and removed, an array of [first word, end) spans. Columns of docs named in `carry` follow.
 
     Null and empty texts have no words; texts of fewer words than `width` lose none. A null doc_id is no document with a smaller
     id and loses nothing. Rows that share an id do not remove each other's words. An empty table gives no rows.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
-    base = docs.select("doc_id", "text")
+    base = docs.select("doc_id", "text", *carry)
     if groups is None:
         groups = max(8, -(-base.count() // GROUP_DOCS))
     buckets = 2 * groups
-    keyed = base.select("doc_id", "text", F.xxhash64("text").alias("th"))
+    keyed = base.select("doc_id", "text", F.xxhash64("text").alias("th"), F.struct(*carry, F.lit(0).alias("_")).alias("carried"))
 
     def suffixes(batches):
         held, size = [], 0
@@ -261,7 +261,7 @@ def repeated(docs: DataFrame, width: int = 13, digest: bool = False, groups: int
         if held:
             yield from flush()
 
-    first = keyed.filter(F.col("doc_id").isNotNull() & F.col("text").isNotNull()).mapInArrow(suffixes, "bucket int, parcel binary")
+    first = keyed.drop("carried").filter(F.col("doc_id").isNotNull() & F.col("text").isNotNull()).mapInArrow(suffixes, "bucket int, parcel binary")
     marks = first.repartition("bucket").mapInArrow(_settle(True, groups), "grp int, parcel binary")
     marks = materialize(marks, "repeats")
 
@@ -270,7 +270,8 @@ def repeated(docs: DataFrame, width: int = 13, digest: bool = False, groups: int
             ids = b.column(0).fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(_group_of(ids, groups).astype(np.int32)), *b.columns], ["grp", *b.schema.names])
 
-    dealt = keyed.mapInArrow(texts_and_groups, f"grp int, doc_id {kind}, text string, th long")
+    others = keyed.schema["carried"].dataType
+    dealt = keyed.mapInArrow(texts_and_groups, T.StructType([T.StructField("grp", T.IntegerType()), *keyed.schema.fields]))
 
     def windows(key, t: pa.Table, m: pa.Table) -> pa.Table:
         out: list[tuple[int, bytes]] = []
@@ -344,10 +345,13 @@ def repeated(docs: DataFrame, width: int = 13, digest: bool = False, groups: int
         if not digest:
             columns.append(pa.array(spans, pa.list_(pa.list_(pa.int64()))))
             names.append("removed")
+        columns.append(t.column("carried").combine_chunks())
+        names.append("carried")
         return pa.table(columns, names=names)
 
-    result = f"doc_id {kind}, n_words long, n_removed long, " + ("kept_sha256 string" if digest else "text string, removed array<array<long>>")
-    return dealt.groupBy("grp").cogroup(both.groupBy("grp")).applyInArrow(take, result)
+    result = f"doc_id {kind}, n_words long, n_removed long, " + ("kept_sha256 string" if digest else "text string, removed array<array<long>>") + f", carried {others.simpleString()}"
+    done = dealt.groupBy("grp").cogroup(both.groupBy("grp")).applyInArrow(take, result)
+    return done.select(*(c for c in done.columns if c != "carried"), *(F.col("carried")[c].alias(c) for c in carry))
 
 
 _TO_SPACE = bytes.maketrans(b"\t\n\x0b\x0c\r", b"     ")
