@@ -231,7 +231,7 @@ def repeated(docs: DataFrame, width: int = 13, digest: bool = False, groups: int
     if groups is None:
         groups = max(8, -(-base.count() // GROUP_DOCS))
     buckets = 2 * groups
-    keyed = base.select("doc_id", "text", F.xxhash64("text").alias("th"), F.struct(*carry, F.lit(0).alias("_")).alias("carried"))
+    keyed = base.select("doc_id", "text", F.xxhash64("text").alias("th"), *(F.col(c).alias(f"carry_{i}") for i, c in enumerate(carry)))
 
     def suffixes(batches):
         held, size = [], 0
@@ -261,7 +261,7 @@ def repeated(docs: DataFrame, width: int = 13, digest: bool = False, groups: int
         if held:
             yield from flush()
 
-    first = keyed.drop("carried").filter(F.col("doc_id").isNotNull() & F.col("text").isNotNull()).mapInArrow(suffixes, "bucket int, parcel binary")
+    first = keyed.select("doc_id", "text", "th").filter(F.col("doc_id").isNotNull() & F.col("text").isNotNull()).mapInArrow(suffixes, "bucket int, parcel binary")
     marks = first.repartition("bucket").mapInArrow(_settle(True, groups), "grp int, parcel binary")
     marks = materialize(marks, "repeats")
 
@@ -270,7 +270,6 @@ def repeated(docs: DataFrame, width: int = 13, digest: bool = False, groups: int
             ids = b.column(0).fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(_group_of(ids, groups).astype(np.int32)), *b.columns], ["grp", *b.schema.names])
 
-    others = keyed.schema["carried"].dataType
     dealt = keyed.mapInArrow(texts_and_groups, T.StructType([T.StructField("grp", T.IntegerType()), *keyed.schema.fields]))
 
     def windows(key, t: pa.Table, m: pa.Table) -> pa.Table:
@@ -345,13 +344,14 @@ def repeated(docs: DataFrame, width: int = 13, digest: bool = False, groups: int
         if not digest:
             columns.append(pa.array(spans, pa.list_(pa.list_(pa.int64()))))
             names.append("removed")
-        columns.append(t.column("carried").combine_chunks())
-        names.append("carried")
+        columns += [t.column(f"carry_{i}") for i in range(len(carry))]
+        names += [f"carry_{i}" for i in range(len(carry))]
         return pa.table(columns, names=names)
 
-    result = f"doc_id {kind}, n_words long, n_removed long, " + ("kept_sha256 string" if digest else "text string, removed array<array<long>>") + f", carried {others.simpleString()}"
+    own = f"doc_id {kind}, n_words long, n_removed long, " + ("kept_sha256 string" if digest else "text string, removed array<array<long>>")
+    result = T.StructType([*T.StructType.fromDDL(own).fields, *(T.StructField(f"carry_{i}", base.schema[c].dataType) for i, c in enumerate(carry))])
     done = dealt.groupBy("grp").cogroup(both.groupBy("grp")).applyInArrow(take, result)
-    return done.select(*(c for c in done.columns if c != "carried"), *(F.col("carried")[c].alias(c) for c in carry))
+    return done.select(*(c for c in done.columns if not c.startswith("carry_")), *(F.col(f"carry_{i}").alias(c) for i, c in enumerate(carry)))
 
 
 _TO_SPACE = bytes.maketrans(b"\t\n\x0b\x0c\r", b"     ")
