@@ -41,13 +41,13 @@ class Tree:
 
 
 def search(tree: Tree, ids: np.ndarray, queries: np.ndarray, own: np.ndarray, k: int, floor: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Scores and ids (query, k) of each query's best rows, higher score first, then smaller id; -1 ids fill up.
+    """Scores and ids (query, k) of each query's best rows, higher score first, then smaller id; the least integer as a score fills up.
 
     floor: a score that k other rows are known to reach, so that rows below it are not needed.
     """
     ids = ids[tree.order]
     top_s = np.full((len(queries), k), np.iinfo(np.int64).min)
-    top_i = np.full((len(queries), k), -1, np.int64)
+    top_i = np.zeros((len(queries), k), np.int64)
     bound = np.maximum(queries, 0) @ tree.high.T + np.minimum(queries, 0) @ tree.low.T
     visit = np.argsort(-bound, axis=1, kind="stable")
     kth = floor.copy()
@@ -64,10 +64,9 @@ def search(tree: Tree, ids: np.ndarray, queries: np.ndarray, own: np.ndarray, k:
             here = np.broadcast_to(ids[lo:hi], s.shape)
             s = np.where(here == own[q, None], np.iinfo(np.int64).min, s)
             all_s, all_i = np.hstack([top_s[q], s]), np.hstack([top_i[q], here])
-            all_i = np.where(all_s == np.iinfo(np.int64).min, -1, all_i)
             best = np.lexsort((all_i, ~all_s), axis=1)[:, :k]
             top_s[q], top_i[q] = np.take_along_axis(all_s, best, 1), np.take_along_axis(all_i, best, 1)
-            full = top_i[q, k - 1] >= 0
+            full = top_s[q, k - 1] > np.iinfo(np.int64).min
             kth[q[full]] = np.maximum(kth[q[full]], top_s[q[full], k - 1])
     return top_s, top_i
 
@@ -115,7 +114,7 @@ def top_k(vectors: DataFrame, query_step: int = 50, k: int = 5, scale: int = 256
         qv, xv = _number(qv, xv)
         floor = q.column("q_floor").to_numpy() if "q_floor" in q.column_names else np.full(len(own), np.iinfo(np.int64).min)
         s, i = search(Tree(xv), ids, qv, own, k, floor)
-        hit = (i >= 0) & (s >= floor[:, None])
+        hit = (s > np.iinfo(np.int64).min) & (s >= floor[:, None])
         return pa.table([np.repeat(own, hit.sum(1)), i[hit], s[hit]], schema=schema)
 
     def run(q: DataFrame, x: DataFrame) -> DataFrame:

@@ -83,7 +83,7 @@ def sketch(m: np.ndarray) -> np.ndarray:
     """SKETCH 4-bit minima in 64-bit words (document, SKETCH / 16)."""
     nibble = (mix(m.astype(U)) >> U(40)) & U(15)
     shift = np.arange(16, dtype=U) * U(4)
-    return (nibble.reshape(len(m), -1, 16) << shift).sum(2, dtype=U)
+    return (nibble.reshape(len(m), SKETCH // 16, 16) << shift).sum(2, dtype=U)
 
 
 def distance(a: np.ndarray, b: np.ndarray) -> np.ndarray:

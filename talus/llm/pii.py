@@ -96,14 +96,14 @@ def _checked(kind: str, found: Column) -> Column:
 def _located(docs: DataFrame) -> DataFrame:
     """docs with base (sorted structs start, kind number, end) and candidates (structs with votes and features)."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    df = docs.select("*", text.alias("_text"))
-    t = F.col("_text")
+    df = docs.select("*", text.alias("__text"))
+    t = F.col("__text")
     found = {k: _pieces(t, BASE[k], NEEDS[k])[1] for k in BASE}
-    df = df.select("*", *(found[k].alias(f"_m_{k}") for k in BASE), F.when(t.rlike("[0-9]"), F.regexp_extract_all(t, F.lit(CANDIDATE), F.lit(0))).alias("_m_more"))
-    spans = [_checked(k, _placed(t, F.col(f"_m_{k}"), BASE[k])) for k in BASE]
-    df = df.select("*", F.array_sort(F.concat(*spans)).alias("_base"), _placed(t, F.col("_m_more"), CANDIDATE).alias("_more"))
-    apart = F.filter("_more", lambda c: ~F.exists("_base", lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"])))
-    return df.withColumn("_more", F.transform(apart, _described)).drop("_text", *(f"_m_{k}" for k in [*BASE, "more"]))
+    df = df.select("*", *(found[k].alias(f"__m_{k}") for k in BASE), F.when(t.rlike("[0-9]"), F.regexp_extract_all(t, F.lit(CANDIDATE), F.lit(0))).alias("__m_more"))
+    spans = [_checked(k, _placed(t, F.col(f"__m_{k}"), BASE[k])) for k in BASE]
+    df = df.select("*", F.array_sort(F.concat(*spans)).alias("__base"), _placed(t, F.col("__m_more"), CANDIDATE).alias("__more"))
+    apart = F.filter("__more", lambda c: ~F.exists("__base", lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"])))
+    return df.withColumn("__more", F.transform(apart, _described)).drop("__text", *(f"__m_{k}" for k in [*BASE, "more"]))
 
 
 def _described(c: Column) -> Column:
@@ -163,7 +163,7 @@ def estimate(patterns: dict[str, int], rounds: int = 50) -> tuple[dict[str, floa
 def train(docs: DataFrame) -> Model:
     """Fit on the candidates of all docs. What reaches the driver are counts of (votes, features), whose number is bounded by their
     domains, whatever the input; no row has text."""
-    counted = _located(docs.select("text")).select(F.explode("_more").alias("c")).groupBy("c.votes", "c.features").agg(F.count("*").alias("n")).collect()
+    counted = _located(docs.select("text")).select(F.explode("__more").alias("c")).groupBy("c.votes", "c.features").agg(F.count("*").alias("n")).collect()
     patterns: dict[str, int] = {}
     for r in counted:
         patterns[r["votes"]] = patterns.get(r["votes"], 0) + r["n"]
@@ -180,17 +180,24 @@ def train(docs: DataFrame) -> Model:
     return Model(math.log((yes + 1) / (no + 1)), weights, table)
 
 
+def _spanned(docs: DataFrame, model: Model | None) -> DataFrame:
+    """docs with __base and __spans."""
+    model = model or train(docs)
+    df = _located(docs)
+    score = lambda c: F.lit(model.prior) + sum((_weight(model, name, c["features"][i]) for i, name in enumerate(FEATURES)), F.lit(0.0))
+    more = F.transform(F.filter("__more", lambda c: score(c) > 0), lambda c: F.struct(c["start"].alias("start"), c["kind"].alias("kind"), c["end"].alias("end")))
+    return df.select("*", F.array_sort(F.concat("__base", more)).alias("__spans")).drop("__more")
+
+
 def find(docs: DataFrame, model: Model | None = None) -> DataFrame:
-    """docs with two columns more: base and spans, arrays of struct<start, kind, end> by start, then kind (a place in KINDS).
+    """docs with two columns more (in place of their own of these names): base and spans, arrays of struct<start, kind, end> by start, then
+    kind (a place in KINDS).
 
     spans holds base and the candidates that the classifier takes; a candidate that overlaps a base span is none. Places are code
     points, end exclusive. Null and empty texts have no spans. Without a model one is trained on docs. No shuffle of texts; no Python.
     """
-    model = model or train(docs)
-    df = _located(docs)
-    score = lambda c: F.lit(model.prior) + sum((_weight(model, name, c["features"][i]) for i, name in enumerate(FEATURES)), F.lit(0.0))
-    more = F.transform(F.filter("_more", lambda c: score(c) > 0), lambda c: F.struct(c["start"].alias("start"), c["kind"].alias("kind"), c["end"].alias("end")))
-    return df.select(*docs.columns, F.col("_base").alias("base"), F.array_sort(F.concat("_base", more)).alias("spans"))
+    df = _spanned(docs.drop("base", "spans"), model)
+    return df.withColumnsRenamed({"__base": "base", "__spans": "spans"})
 
 
 def _weight(model: Model, name: str, value: Column) -> Column:
@@ -218,7 +225,7 @@ def digest(docs: DataFrame, model: Model | None = None) -> DataFrame:
 def redact(docs: DataFrame, model: Model | None = None) -> DataFrame:
     """docs with every span of text replaced by its kind in brackets, such as [EMAIL]; overlapping spans become one, named after the
     first. A null text stays null; texts without spans stay as they are."""
-    df = find(docs, model)
+    df = _spanned(docs, model)
     names = F.array(*(F.lit(f"[{k.upper()}]") for k in KINDS))
     text = F.col("text").cast("string")
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
@@ -228,5 +235,5 @@ def redact(docs: DataFrame, model: Model | None = None) -> DataFrame:
         gap = F.substring(text, acc["at"] + 1, s["start"] - acc["at"])
         return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.when(new, F.concat(acc["out"], gap, names[s["kind"]])).otherwise(acc["out"]).alias("out"))
 
-    done = F.aggregate("spans", start, step, lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
-    return df.withColumn("text", F.when(F.size("spans") > 0, done).otherwise(text)).select(*docs.columns)
+    done = F.aggregate("__spans", start, step, lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
+    return df.withColumn("text", F.when(F.size("__spans") > 0, done).otherwise(text)).select(*docs.columns)
