@@ -14,8 +14,8 @@ from pyspark.sql import DataFrame, Window, functions as F
 from .scratch import materialize
 
 LEAF = 256
-#: Rows of a shard, and queries of a block, on average.
-SHARD_ROWS, BLOCK_QUERIES = 8192, 1024
+#: Rows of a shard, and queries of a block, on average; a table has LEAST_SHARDS shards at least. A vector is sent once for each block of queries.
+SHARD_ROWS, BLOCK_QUERIES, LEAST_SHARDS = 65_536, 8192, 12
 
 
 class Tree:
@@ -96,7 +96,7 @@ def top_k(vectors: DataFrame, query_step: int = 50, k: int = 5, scale: int = 256
     rows = materialize(rows.withColumn("d", F.size("v")), "vectors")
     n = rows.count()
     queries = rows.filter(F.col("vec_id") % query_step == 0).groupBy("vec_id", "d").agg(F.min("v").alias("v"))
-    shards, blocks = max(8, -(-n // SHARD_ROWS)), max(1, -(-queries.count() // BLOCK_QUERIES))
+    shards, blocks = max(LEAST_SHARDS, -(-n // SHARD_ROWS)), max(1, -(-queries.count() // BLOCK_QUERIES))
     shard = F.pmod(F.xxhash64("vec_id", F.lit("shard")), F.lit(shards)).cast("int")
     block = F.pmod(F.xxhash64("vec_id", F.lit("block")), F.lit(blocks)).cast("int")
 

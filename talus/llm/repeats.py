@@ -32,6 +32,8 @@ PREFIX = 6
 FLUSH_BLOCKS = 1 << 20
 #: Different blocks of one anchor in a task from which on the anchor is opened without dealing them.
 PARTED = 32
+#: Buckets of anchors at most: they need to outnumber partitions only, and fewer make fuller parcels.
+MOST_BUCKETS = 1 << 16
 #: Documents of a group that is joined with its marks, on average.
 GROUP_DOCS = 1024
 
@@ -230,7 +232,7 @@ def repeated(docs: DataFrame, width: int = 13, digest: bool = False, groups: int
     base = docs.select("doc_id", "text", *carry)
     if groups is None:
         groups = max(8, -(-base.count() // GROUP_DOCS))
-    buckets = 2 * groups
+    buckets = min(2 * groups, MOST_BUCKETS)
     keyed = base.select("doc_id", "text", F.xxhash64("text").alias("th"), *(F.col(c).alias(f"carry_{i}") for i, c in enumerate(carry)))
 
     def suffixes(batches):
@@ -292,8 +294,8 @@ def repeated(docs: DataFrame, width: int = 13, digest: bool = False, groups: int
             held.append((node, node, np.array([r[0] for r in rows[lo:hi]], np.int64)[w.doc[at]], np.array([r[2] for r in rows[lo:hi]], np.int64)[w.doc[at]], (at - w.first[w.doc[at]]).astype(np.uint32)))
         if held:
             node, anchor, doc, text, place = (np.concatenate(x) for x in zip(*held, strict=True))
-            out, found = _resolve(node, anchor, doc, text, place, False, max(8, groups // 2))
-            out += _send_marks(found, max(8, groups // 2))
+            out, found = _resolve(node, anchor, doc, text, place, False, min(max(8, groups // 2), MOST_BUCKETS))
+            out += _send_marks(found, min(max(8, groups // 2), MOST_BUCKETS))
         return pa.Table.from_batches([_batch(out, "bucket")])
 
     opened = dealt.groupBy("grp").cogroup(marks.groupBy("grp")).applyInArrow(windows, "bucket int, parcel binary")
