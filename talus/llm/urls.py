@@ -98,15 +98,20 @@ class Segmenter:
 def fit(labelled: DataFrame, costs, rules: Sequence[Rule]) -> dict[str, tuple[float, float]]:
     """Log probabilities (allow, block) of tokens, smoothed; under "" the priors and under "?" those of unseen tokens.
 
-    labelled: host, path, verdict of pages that a rule decides, a bounded sample. Counts are summed in Spark; the TOKENS most frequent are kept.
+    labelled: host, path, verdict of pages that a rule decides, a bounded sample; a host with one of BLOCK_WORDS is learnt as block, whatever
+    its rule allows. Counts are summed in Spark; the TOKENS most frequent are kept.
     """
 
+    seeds = {"h:" + w for w in BLOCK_WORDS}
+
     def run(batches):
         segmenter = Segmenter(costs.value)
         for b in batches:
             token, verdict = [], []
             for host, path, v in zip(*(b.column(k).to_pylist() for k in range(3)), strict=True):
-                for t in ["", *segmenter.tokens(host, path)]:
+                tokens = segmenter.tokens(host, path)
+                v = "block" if seeds.intersection(tokens) else v
+                for t in ["", *tokens]:
                     token.append(t)
                     verdict.append(v)
             yield pa.RecordBatch.from_arrays([pa.array(token, pa.string()), pa.array(verdict, pa.string())], ["token", "verdict"])
