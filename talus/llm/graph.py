@@ -15,7 +15,8 @@ def components(edges: DataFrame) -> DataFrame:
     minima, so that a node with very many neighbours is reduced before it is dealt. Null nodes are left out.
     """
     edges = edges.filter("a IS NOT NULL AND b IS NOT NULL AND a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    both = materialize(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "links")
+    ways = F.inline(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b"))))
+    both = materialize(edges.select(ways).distinct(), "links")
     roots = materialize(both.groupBy(F.col("a").alias("node")).agg(F.least("node", F.min("b")).alias("root")), "roots")
     while True:
         near = both.join(roots.select(F.col("node").alias("b"), "root"), "b").groupBy(F.col("a").alias("node")).agg(F.min("root").alias("near"))
