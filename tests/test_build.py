@@ -1,0 +1,49 @@
+import pytest
+
+from talus.plans.build import build
+
+ID = "120100000000000"
+MANIFEST = "position long, id string, company string, title string, role string, status string, sha256 string, error string, pdf_kind string"
+
+
+def page(*lines, total=None):
+    return "\n".join(["Unclaimed cash dividend for the year 2018-19", *lines, *([f"Grand Total {total}"] if total else [])])
+
+
+@pytest.fixture(scope="module")
+def built(spark):
+    manifest = [
+        (1, "a", "C1", "Cash list", "list", "ok", "s1", None, "text"), (2, "b", "C1", "Cash list", "list", "ok", "s1", None, "text"), (3, "c", "C2", "Stock dividend list", "list", "ok", "s3", None, "text"),
+        (4, "d", "C1", "Settled cash", "settled_claims", "ok", "s4", None, "text"), (5, "e", "C1", "x", "list", "failed", None, "HTTP 404", None), (6, "f", "C1", "x", "reference_only", "ok", "s6", None, "text"),
+        (7, "g", "C1", "x", "summary", "ok", "s7", None, "text"), (8, "h", "C1", "x", "list", "ok", "s8", None, "scanned"),
+    ]
+    a = page(f"1 {ID}1 ALPHA KHAN TESTER 100.00 10.00 90.00", f"2 {ID}2 BETA KHAN TESTER 200.00 20.00 180.00", "3 F-77 TESTER KHAN BETA 50.00 5.00 45.00", "4 F-78 GAMMA BANK 60.00 6.00 54.00", total="369.00")
+    c = page(f"1 {ID}1 ALPHA KHAN TESTER 7 250", f"2 {ID}3 DELTA MIAH 9 300", "Total 550").replace("cash", "stock")
+    d = page(f"1 {ID}1 ALPHA KHAN TESTER 90.00 and words to make it long", total="90.00")
+    pages = [("a", 1, a), ("b", 1, a), ("c", 1, c), ("d", 1, d), ("g", 1, a), ("f", 1, a)]
+    return build(spark.createDataFrame(manifest, MANIFEST), spark.createDataFrame(pages, "doc_id string, page int, text string"))
+
+
+def test_documents(built):
+    got = {r.id: r for r in built["documents"].collect()}
+    assert {k: r.status for k, r in got.items()} == {"a": "parsed", "b": "skipped", "c": "parsed", "d": "parsed", "e": "failed", "f": "skipped", "g": "skipped", "h": "failed"}
+    assert got["b"].reason == "duplicate of a (same sha256)" and got["h"].reason == "not extracted; scanned, needs OCR" and got["e"].reason == "HTTP 404"
+    assert (got["a"].extracted_total, got["a"].total_check, got["a"].extraction_method) == (369.0, "match", "text_regex")
+
+
+def test_items_and_holders(built):
+    items = {(r.doc_id, r.row_on_page): r for r in built["items"].collect()}
+    assert len(items) == 6
+    assert items["a", 1].holder_id == items["c", 1].holder_id == "H000001" and items["a", 1].match_method == "bo_exact"
+    assert items["a", 3].match_method == "unmatched" and items["a", 4].tags == ["institution"]
+    assert [items["a", k].settled_flag for k in (1, 2, 3, 4)] == [1, 0, 0, 0]
+    holders = {r.holder_id: r for r in built["holders"].collect()}
+    assert holders["H000001"].companies_count == 2 and holders["H000001"].total_cash == 90.0
+    assert sorted((r.holder_id_a, r.holder_id_b) for r in built["review_queue"].collect()) == [("H000002", "H000003")]
+    assert [r.amount for r in built["settled_claims"].collect()] == [90.0]
+    assert built["holder_items"].count() == 6 and built["top_holders"].count() == 0
+
+
+def test_ambiguous_shares_follow_the_total(built):
+    shares = sorted((r.name, r.shares) for r in built["items"].filter("doc_id = 'c'").collect())
+    assert shares == [("ALPHA KHAN TESTER", 250.0), ("DELTA MIAH", 300.0)]
