@@ -2,27 +2,11 @@
 
 from __future__ import annotations
 
-import uuid
+from pyspark.sql import DataFrame
 
-from pyspark.sql import DataFrame, SparkSession
-
-
-def shared_folder(spark: SparkSession) -> str:
-    """The session's spark.checkpoint.dir; where it is unset (tests, one machine) a folder in the warehouse."""
-    own = spark.conf.get("spark.checkpoint.dir", None)
-    return own or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
-
-
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write df as a Parquet table in the shared folder and read it back.
-
-    The table outlives lost executors; later jobs start from it, not from df's lineage.
-    """
-    spark = df.sparkSession
-    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+from ..sources.stored import shared_folder, stored as materialize
 
+__all__ = ["materialize", "shared_folder", "small_side"]
 
 #: A side of a join is broadcast only when a count has shown that it holds at most this many rows.
 BROADCAST_ROWS = 500_000
