@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.scalars import no_spaces
 from ..schemas import REVIEW_CAP, REVIEW_HOLDERS, REVIEW_TOKENS
+from ..sources.stored import stored
 
 
 def mark_duplicate_files(files: DataFrame, key: str = "sha256", order: str = "position", id_: str = "id") -> DataFrame:
@@ -39,7 +40,8 @@ def number_holders(rows: DataFrame, key: str = "holder_key", row: str = "row_idx
     holds all keys.
     """
     keys = rows.groupBy(key).agg(F.min(row).alias("first_row"), F.count("*").alias("items"))
-    ranged = keys.repartitionByRange("first_row").withColumn("_part", F.spark_partition_id())
+    # stored, since ranges come from a sample: both uses below must see the same ones
+    ranged = stored(keys.repartitionByRange("first_row").withColumn("_part", F.spark_partition_id()), "holder-keys")
     within = ranged.withColumn("_n", F.row_number().over(Window.partitionBy("_part").orderBy("first_row")))
     sizes = ranged.groupBy("_part").agg(F.count("*").alias("_size"))
     before = F.coalesce(F.sum("_size").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
