@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-#: Entries that a worker's cache holds before it is emptied.
+#: Entries of a generation of a worker's cache.
 CACHE_ENTRIES = 500_000
 _UNSPLITTABLE = re.compile(r"\s (?:\s|\Z)")
 
@@ -87,12 +87,18 @@ def merged_count(symbols: str, merges: dict[tuple[str, str], int]) -> int:
 
 
 class _Cache(dict):
-    def __init__(self, of):
-        self.of = of
+    """Values of a function by key. When a generation is full it becomes the old one, and only what is asked for again is taken over, so
+    frequent keys stay and at most two generations are held."""
+
+    def __init__(self, of, entries: int = CACHE_ENTRIES):
+        self.of, self.entries, self.old = of, entries, {}
 
     def __missing__(self, key):
-        value = self.of(key)
-        if len(self) >= CACHE_ENTRIES:
+        value = self.old.get(key)
+        if value is None:
+            value = self.of(key)
+        if len(self) >= self.entries:
+            self.old = dict(self)
             self.clear()
         self[key] = value
         return value
@@ -143,7 +149,7 @@ class Encoder:
         ordinary = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
         dtype = self.dtype
         self._whole = lambda text: np.array(ordinary(text), dtype).tobytes()
-        self._after_space = _Cache(lambda chunk: np.array(ordinary(" " + chunk), dtype).tobytes())
+        self._after_space = _Cache(lambda chunk: np.array(ordinary(" " + chunk), dtype).tobytes(), CACHE_ENTRIES // 2)
 
     def _plain(self, text: str) -> bytes:
         if _UNSPLITTABLE.search(text):
