@@ -10,6 +10,8 @@ from typing import NamedTuple
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from .scratch import materialize
+
 
 class Rule(NamedTuple):
     verdict: str
@@ -44,11 +46,25 @@ def matched(host: Column, path: Column, rules: Sequence[Rule]) -> tuple[Column,
     return rule, verdict
 
 
+def frequent(counts: DataFrame, most: int) -> DataFrame:
+    """The rows of counts with the highest n, `most` at most: all from a level of n (eight to each doubling) on. The levels' sizes, some
+    hundred rows, decide; rows are filtered where they are, none are sorted or sent round."""
+    counts = materialize(counts, "counts")
+    level = F.floor(F.log2(F.col("n").cast("double")) * 8)
+    left, least = most, None
+    for r in sorted(counts.groupBy(level.alias("level")).agg(F.count("*").alias("rows")).collect(), reverse=True):
+        left -= r["rows"]
+        if left < 0:
+            break
+        least = r["level"]
+    return counts.filter(level >= least if least is not None else F.lit(False))
+
+
 def word_costs(pages: DataFrame) -> dict[str, float]:
     """Costs (negative log probabilities) of the words of all pages' visible ASCII text; the VOCABULARY most frequent."""
     words = F.regexp_extract_all(F.lower(F.regexp_replace("html", r"(?s)<(script|style)\b.*?</\1>|<[^>]*>|&\w+;", " ")), F.lit(r"(?<![\p{L}\p{N}])([a-z]{2,24})(?![\p{L}\p{N}])"), 1)
     counts = pages.filter(F.col("html").isNotNull()).select(F.explode(words).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
-    top = counts.orderBy(F.desc("n"), "word").limit(VOCABULARY).collect()
+    top = frequent(counts, VOCABULARY).collect()
     total = sum(r["n"] for r in top) or 1
     return {r["word"]: -math.log(r["n"] / total) for r in top}
 
@@ -118,7 +134,7 @@ def fit(labelled: DataFrame, costs, rules: Sequence[Rule]) -> dict[str, tuple[fl
 
     rows = labelled.select("host", "path", "verdict").mapInArrow(run, "token string, verdict string")
     sums = rows.groupBy("token").agg(F.count_if(F.col("verdict") == "allow").alias("allow"), F.count_if(F.col("verdict") == "block").alias("block"))
-    top = sums.orderBy(F.desc(F.col("allow") + F.col("block")), "token").limit(TOKENS).collect()
+    top = frequent(sums.withColumn("n", F.col("allow") + F.col("block")), TOKENS).collect()
     counts = {r["token"]: [float(r["allow"]), float(r["block"])] for r in top}
     documents = [x + 1.0 for x in counts.pop("", [0.0, 0.0])]
     weight = max(1.0, 0.01 * sum(documents))

@@ -60,3 +60,9 @@ def test_segmentation():
 
 def test_empty(spark):
     assert urls.filter_urls(spark.createDataFrame([], "page_id long, url string, html string")).collect() == []
+
+
+def test_frequent_rows(spark):
+    df = spark.createDataFrame([(f"w{n}-{k}", n) for n in (1, 2, 5, 9, 100) for k in range(n if n < 10 else 1)], "word string, n long")
+    got = lambda most: sorted({r.n for r in urls.frequent(df, most).collect()})
+    assert got(0) == [] and got(1) == [100] and got(9) == [100] and got(10) == [9, 100] and got(1000) == [1, 2, 5, 9, 100]
