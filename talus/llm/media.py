@@ -14,6 +14,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from .words import passes
+
 #: Fixed values of the WAVE container.
 TAGS = {"alaw": 6, "mulaw": 7, "ima": 0x11}
 #: Bytes of an ADPCM block: a 4-byte header, then two samples a byte.
@@ -107,14 +109,16 @@ def decode(codec: str, coded: bytes) -> np.ndarray:
     return (MULAW if codec == "mulaw" else ALAW)[b]
 
 
-def upsample(pcm: np.ndarray) -> np.ndarray:
-    """Twice the rate by linear interpolation: each sample, then the mean with the next (the last is repeated)."""
+def upsample(pcm: np.ndarray, ends: np.ndarray | None = None) -> np.ndarray:
+    """Twice the rate by linear interpolation: each sample, then the mean with the next. The last sample of a signal is repeated;
+    ends: where signals end if pcm holds several."""
     out = np.empty(2 * len(pcm), np.int16)
     out[0::2] = pcm
     if len(pcm):
         wide = pcm.astype(np.int32)
         out[1:-1:2] = (wide[:-1] + wide[1:]) >> 1
-        out[-1] = pcm[-1]
+        last = np.array([len(pcm)]) - 1 if ends is None else ends - 1
+        out[2 * last + 1] = pcm[last]
     return out
 
 
@@ -123,13 +127,19 @@ def payload(text: bytes) -> bytes:
     return text + b"\0" * (-len(text) % 64 if text else 64)
 
 
-def features(pcm: np.ndarray) -> dict[str, int]:
-    """Integers only, so that equal samples give equal features anywhere."""
-    wide = pcm.astype(np.int64)
-    return {"n": len(pcm), "peak": int(np.abs(wide).max(initial=0)), "energy": int(wide @ wide // max(1, len(pcm))), "crossings": int(np.count_nonzero((pcm[1:] < 0) != (pcm[:-1] < 0)))}
+def features(pcm: np.ndarray, ends: np.ndarray) -> dict[str, np.ndarray]:
+    """Length, peak, mean energy and zero crossings of the signals of pcm that end at `ends` (none is empty). Integers only, so that
+    equal samples give equal features anywhere."""
+    wide, starts = pcm.astype(np.int64), np.concatenate(([0], ends[:-1]))
+    n = ends - starts
+    turns = np.zeros(len(pcm), np.int64)
+    turns[:-1] = (pcm[1:] < 0) != (pcm[:-1] < 0)
+    turns[ends - 1] = 0
+    return {"n": n, "peak": np.maximum.reduceat(np.abs(wide), starts), "energy": np.add.reduceat(wide * wide, starts) // n, "crossings": np.add.reduceat(turns, starts)}
 
 
-MEDIA = "n_bytes long, media binary, codec string, rate int, pcm_rate int, pcm binary"
+#: Bytes of text that are coded in one pass, unless a single text is longer.
+PASS_BYTES = 1 << 20
 
 
 def encode_texts(docs: DataFrame, codec: str = "mulaw", keep: tuple[str, ...] = ("media", "pcm"), digest: bool = False) -> DataFrame:
@@ -138,32 +148,39 @@ def encode_texts(docs: DataFrame, codec: str = "mulaw", keep: tuple[str, ...] =
     Returns doc_id, n_bytes and, as asked for in `keep`, media (the file) and pcm (16-bit little-endian samples at
     twice the rate); with digest, the digest columns: payload_bytes, payload_sha256 and tail_crc32 of the bytes read back,
     media_bytes, media_sha256, feature. A null or empty text is 64 zero bytes. Repeated rows and null ids are kept.
-    One pass without a shuffle; equal texts of a batch are coded once.
+    One pass without a shuffle; the blocks of many texts are decoded together.
     """
     names = ["n_bytes", *keep, *(("payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature") if digest else ())]
     kinds = {"media": "binary", "pcm": "binary", "payload_sha256": "string", "media_sha256": "string", "feature": "string"}
 
-    def one(text: bytes) -> dict:
-        media = wave(payload(text), codec)
-        used, _, stored = read_wave(media)
-        narrow = decode(used, stored)
-        pcm = upsample(narrow)
-        row = {"n_bytes": len(text), "media": media, "pcm": pcm.astype("<i2").tobytes()}
+    def rows(texts: list[bytes]) -> list[dict]:
+        media = [wave(payload(t), codec) for t in texts]
+        read = [read_wave(m) for m in media]
+        stored = [coded for _, _, coded in read]
+        whole, ends = b"".join(stored), np.cumsum([len(x) for x in stored])
+        narrow = decode(codec, whole)
+        ratio = len(narrow) / max(1, len(whole))
+        at = (ends * ratio).round().astype(np.int64)
+        pcm = upsample(narrow, at)
+        out = [{"n_bytes": len(t), "media": m} for t, m in zip(texts, media, strict=True)]
+        raw = pcm.astype("<i2").tobytes()
+        edges = np.concatenate(([0], 4 * at)).tolist()
+        for i, r in enumerate(out):
+            r["pcm"] = raw[edges[i] : edges[i + 1]]
         if digest:
-            f = features(pcm) | {f"ima_{k}": v for k, v in features(decode("ima", stored)).items()}
-            row |= {"payload_bytes": len(stored), "payload_sha256": hashlib.sha256(stored).hexdigest(), "tail_crc32": zlib.crc32(stored[-64:]), "media_bytes": len(media), "media_sha256": hashlib.sha256(media).hexdigest()}
-            row["feature"] = ";".join(f"{k}={v}" for k, v in f.items()) + f";pcm_crc32={zlib.crc32(row['pcm'])}"
-        return {k: row[k] for k in names}
+            found = features(pcm, 2 * at) | {f"ima_{k}": v for k, v in features(decode("ima", whole), ends // BLOCK * ((BLOCK - 4) * 2 + 1)).items()}
+            for i, (r, own) in enumerate(zip(out, stored, strict=True)):
+                r |= {"payload_bytes": len(own), "payload_sha256": hashlib.sha256(own).hexdigest(), "tail_crc32": zlib.crc32(own[-64:]), "media_bytes": len(media[i]), "media_sha256": hashlib.sha256(media[i]).hexdigest()}
+                r["feature"] = ";".join(f"{k}={v[i]}" for k, v in found.items()) + f";pcm_crc32={zlib.crc32(r['pcm'])}"
+        return out
 
     def run(batches):
         for b in batches:
             texts = [t.encode() if t else b"" for t in b.column(1).to_pylist()]
-            made: dict[bytes, dict] = {}
-            for lo in range(0, len(texts), 1000):
-                made.clear()
-                rows = [made[t] if t in made else made.setdefault(t, one(t)) for t in texts[lo : lo + 1000]]
-                arrays = [pa.array([r[k] for r in rows], {"binary": pa.binary(), "string": pa.string()}.get(kinds.get(k), pa.int64())) for k in names]
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(lo, 1000), *arrays], ["doc_id", *names])
+            for lo, hi in passes(texts, PASS_BYTES):
+                made = rows(texts[lo:hi])
+                arrays = [pa.array([r[k] for r in made], {"binary": pa.binary(), "string": pa.string()}.get(kinds.get(k), pa.int64())) for k in names]
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(lo, hi - lo), *arrays], ["doc_id", *names])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, " + ", ".join(f"{k} {kinds.get(k, 'long')}" for k in names))

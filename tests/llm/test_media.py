@@ -45,6 +45,17 @@ def test_container_round_trip(codec):
 def test_resampling():
     assert media.upsample(np.array([0, 10, -10], np.int16)).tolist() == [0, 5, 10, 0, -10, -10]
     assert media.upsample(np.zeros(0, np.int16)).tolist() == []
+    assert media.upsample(np.array([0, 10, -10, 8], np.int16), np.array([2, 4])).tolist() == [0, 5, 10, 10, -10, -1, 8, 8]
+
+
+def test_features_of_joined_signals():
+    rng = np.random.default_rng(4)
+    parts = [rng.integers(-32768, 32767, n).astype(np.int16) for n in (1, 5, 300, 2)]
+    got = media.features(np.concatenate(parts), np.cumsum([len(x) for x in parts]))
+    for i, x in enumerate(parts):
+        wide = x.astype(int).tolist()
+        want = (len(x), max(map(abs, wide)), sum(v * v for v in wide) // len(x), sum((a < 0) != (b < 0) for a, b in zip(wide, wide[1:])))
+        assert tuple(int(v[i]) for v in got.values()) == want
 
 
 def test_query(spark, data):
