@@ -190,10 +190,11 @@ def near_duplicates(docs: DataFrame, size: int = 3, percent: int = 85) -> DataFr
     signed = materialize(base.mapInArrow(sign, f"doc_id {kind}, n_shingles long, fp binary, sketch binary, keys array<long>"), "signatures")
     # One document for each set: the smallest id.
     known = signed.filter("fp IS NOT NULL AND doc_id IS NOT NULL")
-    sets = known.groupBy("fp").agg(F.min("doc_id").cast("long").alias("rep"))
-    reps = materialize(known.select("doc_id", "fp").join(sets, "fp").select(F.col("doc_id").cast("long").alias("doc_id"), "fp", "rep"), "sets")
-    firsts = known.join(reps.filter("doc_id = rep").select("doc_id", "fp").distinct().withColumnRenamed("fp", "own"), "doc_id").filter("fp = own")
-    firsts = firsts.select(F.col("doc_id").cast("long").alias("doc_id"), "sketch", "keys").dropDuplicates(["doc_id", "sketch"])
+    first = F.min_by(F.struct("doc_id", "sketch", "keys"), "doc_id").alias("f")
+    firsts = known.groupBy("fp").agg(first).select("fp", F.col("f.doc_id").cast("long").alias("rep"), "f.sketch", "f.keys")
+    # Written first: a join with a finished table may split a set that very many documents have.
+    firsts = materialize(firsts, "firsts")
+    reps = materialize(known.select("doc_id", "fp").join(firsts.select("fp", "rep"), "fp").select(F.col("doc_id").cast("long").alias("doc_id"), "fp", "rep"), "sets")
 
     def meet(batches):
         key, ids, sk = [], [], []
@@ -218,7 +219,7 @@ def near_duplicates(docs: DataFrame, size: int = 3, percent: int = 85) -> DataFr
         pairs = pairs[pairs[:, 0] != pairs[:, 1]]
         yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
 
-    keyed = firsts.select(F.explode("keys").alias("key"), "doc_id", "sketch")
+    keyed = firsts.select(F.explode("keys").alias("key"), F.col("rep").alias("doc_id"), "sketch")
     candidates = keyed.repartition("key").mapInArrow(meet, "a long, b long")
     clusters = components(candidates)
     members = clusters.join(clusters.groupBy("root").agg(F.count("*").alias("n")), "root").withColumnRenamed("node", "member")
