@@ -118,10 +118,12 @@ class Counter:
 
     def _pieces(self, text: str) -> int:
         piece = self._piece
-        if text[1:].isalpha() and text.isascii():
-            return piece[text]
-        if text[-1:] in ".,|" and text[1:-1].isalpha() and text.isascii():
-            return piece[text[:-1]] + 1
+        # One word behind a space or from its first letter on; anything else at the front (an apostrophe) may split off with letters.
+        if (text[0] == " " or text[0].isalpha()) and text.isascii():
+            if text[1:].isalpha():
+                return piece[text]
+            if text[-1] in ".,|" and text[1:-1].isalpha():
+                return piece[text[:-1]] + 1
         return sum(piece[p.translate(self._table)] for p, _ in self._split(text))
 
     def _plain(self, text: str) -> int:

@@ -55,6 +55,13 @@ def test_every_space_and_letter_boundary(counter, encoder):
         assert np.frombuffer(encoder.encode(text), encoder.dtype).tolist() == want, hex(ord(c))
 
 
+def test_contractions_at_the_front(counter):
+    """A first chunk has no space before it: an apostrophe there may begin a contraction."""
+    words = ["strong", "third", "s", "t", "relay", "vein", "llama", "mad", "dog", "other", "strong.", "third,", "dog|"]
+    for text in [front + "'" + w for front in ("", "<|endoftext|>", "x <|endoftext|>") for w in words]:
+        assert counter.count(text) == len(library_ids(text)), text
+
+
 def test_count_query(spark, data):
     from talus.llm.queries import queries
 
