@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 import re
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from typing import NamedTuple
 
 import pyarrow as pa
@@ -22,11 +22,11 @@ class Rule(NamedTuple):
 RULES = (Rule("allow", "org", "/"), Rule("block", "example.org", "/es/"), Rule("block", "example.org", "/en/1"), Rule("allow", "com", "/fr/"), Rule("block", "com", "/de/"))
 #: Words of hosts that sell or trap, as one block document beside the pages that rules label.
 BLOCK_WORDS = ("spam", "farm", "cheap", "pills", "casino", "poker", "bet", "porn", "xxx", "adult", "sex", "viagra", "loan", "payday", "replica", "warez", "torrent", "crack", "phish", "malware", "click", "bait", "free", "winner", "prize")
-#: Words of the unigram model: the most frequent of all pages, so that what is broadcast is bounded.
-VOCABULARY = 50_000
 LONGEST = 24
-#: Pages that the classifier is fitted on at most, chosen by the hash of their ids; distinct tokens that it keeps.
-TRAIN_PAGES, TOKENS = 50_000, 50_000
+#: Pages that the classifier is fitted on at most, chosen by the hash of their ids.
+TRAIN_PAGES = 50_000
+#: Pages of a block at most: each block is sent the costs and counts of its own words and tokens.
+BLOCK = 8192
 
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
@@ -48,7 +48,7 @@ def matched(host: Column, path: Column, rules: Sequence[Rule]) -> tuple[Column,
 
 def frequent(counts: DataFrame, most: int) -> DataFrame:
     """The rows of counts with the highest n, `most` at most: all from a level of n (eight to each doubling) on. The levels' sizes, some
-    hundred rows, decide; rows are filtered where they are, none are sorted or sent round."""
+    hundred rows, decide; rows are filtered where they are, none are sorted or sent round. The URL filter itself uses whole counts."""
     counts = materialize(counts, "counts")
     level = F.floor(F.log2(F.col("n").cast("double")) * 8)
     left, least = most, None
@@ -60,13 +60,10 @@ def frequent(counts: DataFrame, most: int) -> DataFrame:
     return counts.filter(level >= least if least is not None else F.lit(False))
 
 
-def word_costs(pages: DataFrame) -> dict[str, float]:
-    """Costs (negative log probabilities) of the words of all pages' visible ASCII text; the VOCABULARY most frequent."""
+def word_counts(pages: DataFrame) -> DataFrame:
+    """word, n: all words of all pages' visible ASCII text."""
     words = F.regexp_extract_all(F.lower(F.regexp_replace("html", r"(?s)<(script|style)\b.*?</\1>|<[^>]*>|&\w+;", " ")), F.lit(r"(?<![\p{L}\p{N}])([a-z]{2,24})(?![\p{L}\p{N}])"), 1)
-    counts = pages.filter(F.col("html").isNotNull()).select(F.explode(words).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
-    top = frequent(counts, VOCABULARY).collect()
-    total = sum(r["n"] for r in top) or 1
-    return {r["word"]: -math.log(r["n"] / total) for r in top}
+    return pages.filter(F.col("html").isNotNull()).select(F.explode(words).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
 
 
 def segment(name: str, costs: dict[str, float]) -> list[str]:
@@ -87,62 +84,100 @@ def segment(name: str, costs: dict[str, float]) -> list[str]:
 _PART = re.compile(r"[a-z]+|[0-9]+|[^\W\d_]+")
 
 
+def names(host: str, path: str) -> Iterator[tuple[str, str]]:
+    """(kind, name or digits) of the host's labels but the last (h:) and of the path (p:). Names over 256 characters come in pieces of
+    that length."""
+    for kind, text in (("h:", ".".join(host.split(".")[:-1])), ("p:", path.lower())):
+        for part in _PART.findall(text):
+            if part[0].isdigit():
+                yield kind, part
+            else:
+                for lo in range(0, len(part), 256):
+                    yield kind, part[lo : lo + 256]
+
+
+def candidates(name: str) -> set[str]:
+    """What may be a word of the unigram model within a name."""
+    n = len(name)
+    return {w for i in range(n - 1) for j in range(i + 2, min(n, i + LONGEST) + 1) if (w := name[i:j]).isascii()}
+
+
 class Segmenter:
     def __init__(self, costs: dict[str, float]):
         self.costs, self.seen = costs, {}
 
     def tokens(self, host: str, path: str) -> list[str]:
-        """h:word for the words of the host's labels but the last (t:label), p:word for the path's; digits are one token by length.
-        Names over 256 characters are split in pieces of that length first."""
-        labels = host.split(".")
-        out = ["t:" + labels[-1]] if labels[-1] else []
-        for kind, text in (("h:", ".".join(labels[:-1])), ("p:", path.lower())):
-            for part in _PART.findall(text):
-                if part[0].isdigit():
-                    out.append(f"{kind}#{min(len(part), 9)}")
-                    continue
-                for lo in range(0, len(part), 256):
-                    name = part[lo : lo + 256]
-                    if name not in self.seen:
-                        if len(self.seen) > 200_000:
-                            self.seen.clear()
-                        self.seen[name] = segment(name, self.costs)
-                    out += [kind + w for w in self.seen[name]]
+        """h:word for the words of the host's labels but the last (t:label), p:word for the path's; digits are one token by length."""
+        label = host.split(".")[-1]
+        out = ["t:" + label] if label else []
+        for kind, name in names(host, path):
+            if name[0].isdigit():
+                out.append(f"{kind}#{min(len(name), 9)}")
+                continue
+            if name not in self.seen:
+                if len(self.seen) > 200_000:
+                    self.seen.clear()
+                self.seen[name] = segment(name, self.costs)
+            out += [kind + w for w in self.seen[name]]
         return out
 
 
-def fit(labelled: DataFrame, costs, rules: Sequence[Rule]) -> dict[str, tuple[float, float]]:
-    """Log probabilities (allow, block) of tokens, smoothed; under "" the priors and under "?" those of unseen tokens.
+def tokenized(parsed: DataFrame, counts: DataFrame) -> DataFrame:
+    """parsed (host, path, block and others) with tokens. The words that occur anywhere in a block's names are joined with the counts, so every
+    word has its cost and no task holds the model."""
+    total = counts.agg(F.sum("n")).first()[0] or 1
+
+    def cut(batches):
+        for b in batches:
+            found: dict[int, set[str]] = {}
+            for block, host, path in zip(*(b.column(k).to_pylist() for k in range(3)), strict=True):
+                found.setdefault(block, set()).update(name for _, name in names(host, path) if not name[0].isdigit())
+            for block, own in found.items():
+                words = set().union(*map(candidates, own))
+                yield pa.RecordBatch.from_arrays([pa.array([block] * len(words), pa.int64()), pa.array(list(words), pa.string())], ["block", "word"])
+
+    def split(left: pa.Table, right: pa.Table) -> pa.Table:
+        segmenter = Segmenter({w: -math.log(n / total) for w, n in zip(right.column("word").to_pylist(), right.column("n").to_pylist(), strict=True)})
+        tokens = [segmenter.tokens(h, p) for h, p in zip(left.column("host").to_pylist(), left.column("path").to_pylist(), strict=True)]
+        return left.append_column("tokens", pa.array(tokens, pa.list_(pa.string())))
 
-    labelled: host, path, verdict of pages that a rule decides, a bounded sample; a host with one of BLOCK_WORDS is learnt as block, whatever
-    its rule allows. Counts are summed in Spark; the TOKENS most frequent are kept.
+    words = parsed.select("block", "host", "path").mapInArrow(cut, "block long, word string").distinct()
+    known = words.join(counts, "word").select(F.col("block").alias("of"), "word", "n")
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in parsed.schema) + ", tokens array<string>"
+    return parsed.groupBy("block").cogroup(known.groupBy("of")).applyInArrow(split, schema)
+
+
+class Model:
+    """Log probabilities (allow, block), smoothed, from the counts of tokens.
+
+    sums: token, allow, block; under "" the documents. BLOCK_WORDS count as one block document more of their own weight.
     """
 
-    seeds = {"h:" + w for w in BLOCK_WORDS}
+    def __init__(self, sums: DataFrame):
+        own = {"h:" + w for w in BLOCK_WORDS}
+        few = {r["token"]: (r["allow"], r["block"]) for r in sums.filter(F.col("token").isin("", *own)).collect()}
+        allow, block, rows = sums.filter("token <> ''").agg(F.coalesce(F.sum("allow"), F.lit(0)), F.coalesce(F.sum("block"), F.lit(0)), F.count("*")).first()
+        documents = [x + 1.0 for x in few.pop("", (0, 0))]
+        self.weight = max(1.0, 0.01 * sum(documents))
+        self.own, size = own, rows + len(own - few.keys())
+        self.totals = (allow + size + 1, block + self.weight * len(own) + size + 1)
+        self.prior = tuple(math.log(x / sum(documents)) for x in documents)
+
+    def odds(self, token: str, counts: dict[str, tuple[int, int]]) -> float:
+        """Log odds of block for a token; tokens that are not in counts are unseen."""
+        allow, block = counts.get(token, (0, 0))
+        block += self.weight if token in self.own else 0
+        return math.log((block + 1) / self.totals[1]) - math.log((allow + 1) / self.totals[0])
 
-    def run(batches):
-        segmenter = Segmenter(costs.value)
-        for b in batches:
-            token, verdict = [], []
-            for host, path, v in zip(*(b.column(k).to_pylist() for k in range(3)), strict=True):
-                tokens = segmenter.tokens(host, path)
-                v = "block" if seeds.intersection(tokens) else v
-                for t in ["", *tokens]:
-                    token.append(t)
-                    verdict.append(v)
-            yield pa.RecordBatch.from_arrays([pa.array(token, pa.string()), pa.array(verdict, pa.string())], ["token", "verdict"])
-
-    rows = labelled.select("host", "path", "verdict").mapInArrow(run, "token string, verdict string")
-    sums = rows.groupBy("token").agg(F.count_if(F.col("verdict") == "allow").alias("allow"), F.count_if(F.col("verdict") == "block").alias("block"))
-    top = frequent(sums.withColumn("n", F.col("allow") + F.col("block")), TOKENS).collect()
-    counts = {r["token"]: [float(r["allow"]), float(r["block"])] for r in top}
-    documents = [x + 1.0 for x in counts.pop("", [0.0, 0.0])]
-    weight = max(1.0, 0.01 * sum(documents))
-    for w in BLOCK_WORDS:
-        counts.setdefault("h:" + w, [0.0, 0.0])[1] += weight
-    totals = [sum(c[k] for c in counts.values()) + len(counts) + 1 for k in (0, 1)]
-    model = {t: tuple(math.log((c[k] + 1) / totals[k]) for k in (0, 1)) for t, c in counts.items()}
-    return model | {"?": tuple(math.log(1 / x) for x in totals), "": tuple(math.log(x / sum(documents)) for x in documents)}
+
+def fit(labelled: DataFrame) -> DataFrame:
+    """Counts (token, allow, block) of all tokens of the pages that a rule decides, under "" those of the pages.
+
+    labelled: tokens, ruled; a host with one of BLOCK_WORDS is learnt as block, whatever its rule allows.
+    """
+    verdict = F.when(F.arrays_overlap("tokens", F.array(*(F.lit("h:" + w) for w in BLOCK_WORDS))), "block").otherwise(F.col("ruled"))
+    rows = labelled.select(verdict.alias("verdict"), F.explode(F.concat(F.array(F.lit("")), "tokens")).alias("token"))
+    return rows.groupBy("token").agg(F.count_if(F.col("verdict") == "allow").alias("allow"), F.count_if(F.col("verdict") == "block").alias("block"))
 
 
 def filter_urls(pages: DataFrame, rules: Sequence[Rule] = RULES) -> DataFrame:
@@ -152,31 +187,37 @@ def filter_urls(pages: DataFrame, rules: Sequence[Rule] = RULES) -> DataFrame:
     with block only where it is the likelier. A page without host and path is allowed. The classifier is fitted on pages that
     rules decide (at most TRAIN_PAGES of them, by hash) and BLOCK_WORDS; the unigram model counts the words of all pages.
     Returns page_id, host, path, rule, verdict, score (log odds of block; null where a rule decides). Null urls, repeated rows
-    and null ids are kept. No shuffle beyond the two counts; what is broadcast is bounded by VOCABULARY and TOKENS.
+    and null ids are kept. Hosts and paths are shuffled by blocks of pages and meet the whole counts of their words and tokens there;
+    nothing is broadcast by this module and no count is left out.
     """
-    spark = pages.sparkSession
-    costs = spark.sparkContext.broadcast(word_costs(pages))
     host, path = host_and_path(F.col("url"))
-    parsed = pages.select("page_id", host.alias("host"), path.alias("path"))
     rule, verdict = matched(F.col("host"), F.col("path"), rules)
-    parsed = parsed.select("*", rule.alias("rule"), verdict.alias("ruled"))
-    decided = parsed.filter(F.col("ruled").isNotNull())
-    rate = min(1.0, TRAIN_PAGES / max(1, decided.count()))
-    sample = decided.filter(F.pmod(F.xxhash64(F.coalesce(F.col("page_id").cast("string"), F.lit("")), F.lit("urls")), F.lit(1 << 30)) < int(rate * (1 << 30)))
-    model = spark.sparkContext.broadcast(fit(sample.withColumn("verdict", F.col("ruled")), costs, rules))
-
-    def run(batches):
-        segmenter, m = Segmenter(costs.value), model.value
-        for b in batches:
-            score = []
-            for h, p, ruled in zip(*(b.column(k).to_pylist() for k in (1, 2, 4)), strict=True):
-                if ruled is not None or not (h or p):
-                    score.append(None)
-                    continue
-                terms = [m[""], *(m.get(t, m["?"]) for t in segmenter.tokens(h, p))]
-                score.append(sum(t[1] - t[0] for t in terms))
-            yield pa.RecordBatch.from_arrays([*(b.column(k) for k in range(5)), pa.array(score, pa.float64())], [*names, "score"])
-
-    names = parsed.columns
-    scored = parsed.mapInArrow(run, ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in parsed.schema) + ", score double")
+    parsed = pages.select("page_id", host.alias("host"), path.alias("path")).select("*", rule.alias("rule"), verdict.alias("ruled"))
+    # Written, so that a row keeps its block.
+    parsed = materialize(parsed.withColumn("block", F.floor(F.monotonically_increasing_id() / BLOCK)), "urls")
+    rate = min(1.0, TRAIN_PAGES / max(1, parsed.filter(F.col("ruled").isNotNull()).count()))
+    sampled = F.pmod(F.xxhash64(F.coalesce(F.col("page_id").cast("string"), F.lit("")), F.lit("urls")), F.lit(1 << 30)) < int(rate * (1 << 30))
+    open_ = F.col("ruled").isNull() & ((F.col("host") != "") | (F.col("path") != ""))
+    counts = materialize(word_counts(pages), "words")
+    tokens = materialize(tokenized(parsed.filter(open_ | F.col("ruled").isNotNull() & sampled), counts), "tokens")
+    sums = materialize(fit(tokens.filter(F.col("ruled").isNotNull())), "sums")
+    model = Model(sums)
+    unruled = tokens.filter(F.col("ruled").isNull())
+
+    def score(left: pa.Table, right: pa.Table) -> pa.Table:
+        known = dict(zip(right.column("token").to_pylist(), zip(right.column("allow").to_pylist(), right.column("block").to_pylist(), strict=True), strict=True))
+        odds: dict[str, float] = {}
+        out = []
+        for own in left.column("tokens").to_pylist():
+            for t in own:
+                if t not in odds:
+                    odds[t] = model.odds(t, known)
+            out.append(sum(map(odds.__getitem__, own), model.prior[1] - model.prior[0]))
+        return left.select(columns).append_column("score", pa.array(out, pa.float64()))
+
+    columns = ["page_id", "host", "path", "rule", "ruled"]
+    used = unruled.select(F.col("block").alias("of"), F.explode("tokens").alias("token")).distinct().join(sums, "token")
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in parsed.select(columns).schema) + ", score double"
+    scored = unruled.groupBy("block").cogroup(used.groupBy("of")).applyInArrow(score, schema)
+    scored = scored.unionByName(parsed.filter(~open_).select(*columns, F.lit(None).cast("double").alias("score")))
     return scored.select("page_id", "host", "path", "rule", F.coalesce("ruled", F.when(F.col("score") > 0, "block").otherwise("allow")).alias("verdict"), "score")

@@ -1,3 +1,6 @@
+import math
+from collections import defaultdict
+
 from talus.llm import urls
 
 RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"), ("allow", "com", "/fr/"), ("block", "com", "/de/")]
@@ -66,3 +69,30 @@ def test_frequent_rows(spark):
     df = spark.createDataFrame([(f"w{n}-{k}", n) for n in (1, 2, 5, 9, 100) for k in range(n if n < 10 else 1)], "word string, n long")
     got = lambda most: sorted({r.n for r in urls.frequent(df, most).collect()})
     assert got(0) == [] and got(1) == [100] and got(9) == [100] and got(10) == [9, 100] and got(1000) == [1, 2, 5, 9, 100]
+
+
+def test_every_word_and_token_counts(spark, monkeypatch):
+    """Words and tokens far behind the most frequent keep their true counts, in blocks of any size."""
+    monkeypatch.setattr(urls, "VOCABULARY", 3, raising=False)
+    monkeypatch.setattr(urls, "TOKENS", 3, raising=False)
+    monkeypatch.setattr(urls, "BLOCK", 2, raising=False)
+    html = "<p>" + "the and of for with " * 50 + "quaint marmot</p>"
+    rows = [(k, f"http://quaintmarmot.org/{w}", html) for k, w in enumerate(["the", "and", "of"] * 4)] + [(k, f"http://x.com/de/{w}", html) for k, w in enumerate(["for", "with"] * 4, 50)]
+    rows += [(90, "http://quaintmarmot.net/the", html), (91, "http://zzz.net/the", html)]
+    got = {r.page_id: r for r in urls.filter_urls(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    counts = {w: 50 * len(rows) for w in ("the", "and", "of", "for", "with")} | {"quaint": len(rows), "marmot": len(rows)}
+    costs = {w: -math.log(n / sum(counts.values())) for w, n in counts.items()}
+    segmenter, sums, documents = urls.Segmenter(costs), defaultdict(lambda: [0.0, 0.0]), [1.0, 1.0]
+    assert segmenter.tokens("quaintmarmot.net", "/the") == ["t:net", "h:quaint", "h:marmot", "p:the"]
+    for _, u, _ in rows[:-2]:
+        host, path = parse(u)
+        k = rule(host, path)[1] == "block"
+        documents[k] += 1
+        for t in segmenter.tokens(host, path):
+            sums[t][k] += 1
+    for w in urls.BLOCK_WORDS:
+        sums["h:" + w][1] += max(1.0, 0.01 * sum(documents))
+    totals = [sum(c[k] for c in sums.values()) + len(sums) + 1 for k in (0, 1)]
+    for i in (90, 91):
+        odds = [math.log((sums.get(t, [0, 0])[1] + 1) / totals[1]) - math.log((sums.get(t, [0, 0])[0] + 1) / totals[0]) for t in segmenter.tokens(got[i].host, got[i].path)]
+        assert math.isclose(got[i].score, math.log(documents[1] / documents[0]) + sum(odds), rel_tol=1e-9)
