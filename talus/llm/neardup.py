@@ -3,12 +3,14 @@
 A document's signature is SYMBOLS minima of b = 8 bits. Signatures within ERRORS differing symbols are found by pigeonhole:
 they are cut into CHUNKS chunks, and two signatures at a distance of at most ERRORS < 2 * CHUNKS have a chunk with at most one error;
 all one-error patterns of a chunk are enumerated by leaving out one of its symbols in turn, so that such a pair shares a key.
-Documents that meet under a key and whose finer sketches (more minima of 4 bits) are near enough are candidates. Candidates are
-gathered to clusters, and in a cluster every pair that is not yet linked is tried on the full sets.
+Documents that meet under a key are candidates if their signatures are within ERRORS, or their finer sketches (more minima of 4 bits)
+near enough, which keeps true links beyond ERRORS too. Candidates are gathered to clusters, and in a cluster every pair that is not yet linked is tried on the full sets.
 """
 
 from __future__ import annotations
 
+from math import comb
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
@@ -18,7 +20,7 @@ from .scratch import materialize, small_side
 from .words import U, Words, encoded, mix, passes
 
 SYMBOLS, CHUNKS = 32, 8
-#: The signature-distance threshold: all pairs within it are found. At a similarity of 0.85 a pair is beyond it with a probability of 3e-6.
+#: The signature-distance threshold: all pairs within it are found, and of those beyond it the ones that share a key and have near sketches.
 ERRORS = 2 * CHUNKS - 1
 #: 4-bit minima of the finer sketch, packed in 64-bit words.
 SKETCH = 64
@@ -28,7 +30,7 @@ BLOCK = 512
 GROUPS_OF = 64
 
 _PER = SYMBOLS // CHUNKS
-_NIBBLE = U(0x1111111111111111)
+_NIBBLE, _BYTE = U(0x1111111111111111), U(0x0101010101010101)
 
 
 def shingles(w: Words, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -65,9 +67,14 @@ def minima(h: np.ndarray, edges: np.ndarray) -> np.ndarray:
     return out
 
 
+def symbols(m: np.ndarray) -> np.ndarray:
+    """The signature's 8-bit symbols (document, SYMBOLS), in 64-bit integers."""
+    return mix(m[:, :SYMBOLS].astype(U)) & U(255)
+
+
 def signature_keys(m: np.ndarray) -> np.ndarray:
     """Keys (document, CHUNKS * symbols of a chunk): chunk, symbol left out, and the chunk's other 8-bit symbols."""
-    symbol = (mix(m[:, :SYMBOLS].astype(U)) & U(255)).reshape(len(m), CHUNKS, _PER)
+    symbol = symbols(m).reshape(len(m), CHUNKS, _PER)
     keys = []
     for c in range(CHUNKS):
         for out in range(_PER):
@@ -94,24 +101,47 @@ def distance(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.bitwise_count(x & _NIBBLE).sum(-1)
 
 
+def marks(m: np.ndarray) -> np.ndarray:
+    """Sketch and signature of every document in 64-bit words (document, SKETCH / 16 + SYMBOLS / 8)."""
+    return np.concatenate([sketch(m).astype("<u8"), symbols(m).astype(np.uint8).view("<u8")], 1)
+
+
+def near(a: np.ndarray, b: np.ndarray, bound: int) -> np.ndarray:
+    """Whether marks have signatures within ERRORS or sketches within the bound, broadcast over all but the last axis."""
+    cut = SKETCH // 16
+    x = a[..., cut:] ^ b[..., cut:]
+    for k in (4, 2, 1):
+        x |= x >> U(k)
+    return (np.bitwise_count(x & _BYTE).sum(-1) <= ERRORS) | (distance(a[..., :cut], b[..., :cut]) <= bound)
+
+
+def keys_miss(similarity: float) -> float:
+    """The probability that a pair of this similarity shares no key: every chunk has two errors or more."""
+    p = (1 - similarity) * 255 / 256
+    return (1 - (1 - p) ** _PER - _PER * p * (1 - p) ** (_PER - 1)) ** CHUNKS
+
+
 def sketch_bound(similarity: float) -> int:
-    """Differing nibbles that a pair of at least this similarity exceeds with a probability under 1e-6: mean and 5 deviations."""
-    p = (1 - similarity) * 15 / 16
-    return int(SKETCH * p + 5 * (SKETCH * p * (1 - p)) ** 0.5)
+    """Differing nibbles that a pair of this similarity exceeds with at most a tenth of the probability that it shares no key:
+    the exact binomial tail."""
+    p, bound, tail = (1 - similarity) * 15 / 16, SKETCH, 0.0
+    while bound and (tail := tail + comb(SKETCH, bound) * p**bound * (1 - p) ** (SKETCH - bound)) <= keys_miss(similarity) / 10:
+        bound -= 1
+    return bound
 
 
-def forest(sk: np.ndarray, bound: int) -> list[tuple[int, int]]:
-    """Edges (pivot, other) of a spanning forest of the rows whose sketches are within the bound, by search from pivots."""
-    rest = np.arange(len(sk))
+def forest(mk: np.ndarray, bound: int) -> list[tuple[int, int]]:
+    """Edges (pivot, other) of a spanning forest of the rows whose marks are near, by search from pivots."""
+    rest = np.arange(len(mk))
     edges = []
     while len(rest):
         todo, rest = [rest[0]], rest[1:]
         while todo and len(rest):
             p = todo.pop()
-            near = distance(sk[p], sk[rest]) <= bound
-            edges += [(p, q) for q in rest[near]]
-            todo += rest[near].tolist()
-            rest = rest[~near]
+            close = near(mk[p], mk[rest], bound)
+            edges += [(p, q) for q in rest[close]]
+            todo += rest[close].tolist()
+            rest = rest[~close]
     return edges
 
 
@@ -158,7 +188,7 @@ def near_duplicates(docs: DataFrame, size: int = 3, percent: int = 85) -> DataFr
     (doc_id = component_id). Texts that are null, empty or without words have no shingles and are linked with nothing; a null doc_id is not
     linked either and is kept. Rows that share an id are one node of the links.
 
-    Equal sets are brought together first by a fingerprint; one document stands for each. Keys and sketches are shuffled, not
+    Equal sets are brought together first by a fingerprint; one document stands for each. Keys, sketches and signatures are shuffled, not
     texts; only texts of clusters with more than one set are. Clusters over BLOCK documents are split into pairs of blocks, each a task.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
@@ -167,7 +197,7 @@ def near_duplicates(docs: DataFrame, size: int = 3, percent: int = 85) -> DataFr
     def sign(batches):
         for b in batches:
             texts = encoded(b.column(1).to_pylist())
-            n, fp, sk, keys = [], [], [], []
+            n, fp, mk, keys = [], [], [], []
             for lo, hi in passes(texts):
                 h, edges = shingles(Words(texts[lo:hi], lower=True), size)
                 count = np.diff(edges)
@@ -176,50 +206,50 @@ def near_duplicates(docs: DataFrame, size: int = 3, percent: int = 85) -> DataFr
                 order = mix(h)
                 starts = edges[:-1][some]
                 pair = np.stack([np.add.reduceat(h, starts), np.add.reduceat(order, starts)], 1).astype("<u8") if len(h) else np.zeros((0, 2), "<u8")
-                s, k = sketch(m).astype("<u8"), signature_keys(m).astype(np.int64)
+                s, k = marks(m), signature_keys(m).astype(np.int64)
                 at = np.cumsum(some) - 1
                 n += count.tolist()
                 for i in range(hi - lo):
                     j = at[i]
                     fp.append(pair[j].tobytes() + int(count[i]).to_bytes(4, "little") if some[i] else None)
-                    sk.append(s[j].tobytes() if some[i] else None)
+                    mk.append(s[j].tobytes() if some[i] else None)
                     keys.append(k[j] if some[i] else None)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(fp, pa.binary()), pa.array(sk, pa.binary()), pa.array(keys, pa.list_(pa.int64()))], ["doc_id", "n_shingles", "fp", "sketch", "keys"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(fp, pa.binary()), pa.array(mk, pa.binary()), pa.array(keys, pa.list_(pa.int64()))], ["doc_id", "n_shingles", "fp", "marks", "keys"])
 
     base = docs.select("doc_id", "text")
-    signed = materialize(base.mapInArrow(sign, f"doc_id {kind}, n_shingles long, fp binary, sketch binary, keys array<long>"), "signatures")
+    signed = materialize(base.mapInArrow(sign, f"doc_id {kind}, n_shingles long, fp binary, marks binary, keys array<long>"), "signatures")
     # One document for each set: the smallest id.
     known = signed.filter("fp IS NOT NULL AND doc_id IS NOT NULL")
-    first = F.min_by(F.struct("doc_id", "sketch", "keys"), "doc_id").alias("f")
-    firsts = known.groupBy("fp").agg(first).select("fp", F.col("f.doc_id").cast("long").alias("rep"), "f.sketch", "f.keys")
+    first = F.min_by(F.struct("doc_id", "marks", "keys"), "doc_id").alias("f")
+    firsts = known.groupBy("fp").agg(first).select("fp", F.col("f.doc_id").cast("long").alias("rep"), "f.marks", "f.keys")
     # Written first: a join with a finished table may split a set that very many documents have.
     firsts = materialize(firsts, "firsts")
     reps = materialize(known.select("doc_id", "fp").join(firsts.select("fp", "rep"), "fp").select(F.col("doc_id").cast("long").alias("doc_id"), "fp", "rep"), "sets")
 
     def meet(batches):
-        key, ids, sk = [], [], []
+        key, ids, mk = [], [], []
         for b in batches:
             key.append(b.column(0).to_numpy())
             ids.append(b.column(1).to_numpy())
-            sk.append(np.frombuffer(b"".join(b.column(2).to_pylist()), "<u8").reshape(len(b), -1))
+            mk.append(np.frombuffer(b"".join(b.column(2).to_pylist()), "<u8").reshape(len(b), -1))
         if not key:
             return
-        key, ids, sk = np.concatenate(key), np.concatenate(ids), np.concatenate(sk)
+        key, ids, mk = np.concatenate(key), np.concatenate(ids), np.concatenate(mk)
         order = np.lexsort((ids, key))
-        key, ids, sk = key[order], ids[order], sk[order]
+        key, ids, mk = key[order], ids[order], mk[order]
         new = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
         count = np.diff(np.append(new, len(key)))
         two = new[count == 2]
-        near = distance(sk[two], sk[two + 1]) <= bound if len(two) else np.zeros(0, bool)
-        found = [np.stack([ids[two[near]], ids[two[near] + 1]], 1)]
+        close = near(mk[two], mk[two + 1], bound)
+        found = [np.stack([ids[two[close]], ids[two[close] + 1]], 1)]
         for at, c in zip(new[count > 2].tolist(), count[count > 2].tolist(), strict=True):
-            pairs = np.array(forest(sk[at : at + c], bound), np.int64).reshape(-1, 2)
+            pairs = np.array(forest(mk[at : at + c], bound), np.int64).reshape(-1, 2)
             found.append(ids[at + pairs])
         pairs = np.unique(np.sort(np.concatenate(found), 1), axis=0)
         pairs = pairs[pairs[:, 0] != pairs[:, 1]]
         yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
 
-    keyed = firsts.select(F.explode("keys").alias("key"), F.col("rep").alias("doc_id"), "sketch")
+    keyed = firsts.select(F.explode("keys").alias("key"), F.col("rep").alias("doc_id"), "marks")
     candidates = keyed.repartition("key").mapInArrow(meet, "a long, b long")
     clusters = components(candidates)
     members = clusters.join(clusters.groupBy("root").agg(F.count("*").alias("n")), "root").withColumnRenamed("node", "member")

@@ -1,3 +1,4 @@
+import math
 import random
 import re
 from collections import Counter, defaultdict
@@ -92,6 +93,39 @@ def test_sketch_distance():
     assert neardup.distance(s[0], s[1]) == sum(x != y for x, y in zip(*nib))
 
 
+def apart(seed):
+    """Two texts of 185 words with 170 in common (a similarity of 0.85 by words): the others are those whose minima decide most of the
+    sketch beyond the signature."""
+    words = [f"v{seed}x{k}" for k in range(200)]
+    h, edges = neardup.shingles(neardup.Words([w.encode() for w in words], lower=True), 1)
+    least = neardup.minima(h, edges).argmin(0)
+    own = np.bincount(least[neardup.SYMBOLS :], minlength=200).argsort()[-30:].tolist()
+    common = [w for k, w in enumerate(words) if k not in own]
+    return [" ".join(common + [words[k] for k in part]) for part in (own[::2], own[1::2])]
+
+
+def test_pairs_within_the_threshold_are_confirmed_however_far_their_sketches(spark):
+    texts = []
+    for seed in range(20):
+        pair = apart(seed)
+        m = neardup.minima(*neardup.shingles(neardup.Words([t.encode() for t in pair], lower=True), 1))
+        a, b = neardup.mix(m.astype(np.uint64)) & np.uint64(255)
+        sketch = neardup.sketch(m)
+        if (a != b)[: neardup.SYMBOLS].sum() <= neardup.ERRORS and neardup.distance(sketch[0], sketch[1]) > 28:
+            texts += pair
+    assert len(texts) >= 20
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {r.doc_id: r.component_id for r in neardup.near_duplicates(df, 1, 85).collect()} == {k: k - k % 2 for k in range(len(texts))}
+
+
+@pytest.mark.parametrize("similarity", [0.80, 0.85])
+def test_sketches_lose_less_than_keys(similarity):
+    p, n, bound = (1 - similarity) * 15 / 16, neardup.SKETCH, neardup.sketch_bound(similarity)
+    tail = sum(math.comb(n, k) * p**k * (1 - p) ** (n - k) for k in range(bound + 1, n + 1))
+    chunk = (1 - (1 - similarity) * 255 / 256) ** 4 + 4 * (1 - similarity) * 255 / 256 * (1 - (1 - similarity) * 255 / 256) ** 3
+    assert tail <= (1 - chunk) ** 8 / 10
+
+
 def test_components(spark):
     rng = random.Random(1)
     chain = [(k, k + 1) for k in range(40)]
