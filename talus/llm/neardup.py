@@ -1,6 +1,6 @@
 """Near duplicates: MinHash signatures, a multi-index Hamming join, and links confirmed on full shingle sets.
 
-A document's signature is SYMBOLS minima of b = 8 bits. Signatures within ERRORS differing symbols are found by pigeonhole:
+A document's signature is SYMBOLS minima of b = 16 bits. Signatures within ERRORS differing symbols are found by pigeonhole:
 they are cut into CHUNKS chunks, and two signatures at a distance of at most ERRORS < 2 * CHUNKS have a chunk with at most one error;
 all one-error patterns of a chunk are enumerated by leaving out one of its symbols in turn, so that such a pair shares a key.
 Documents that meet under a key are candidates if their signatures are within ERRORS, or their finer sketches (more minima of 4 bits)
@@ -9,6 +9,7 @@ near enough, which keeps true links beyond ERRORS too. Candidates are gathered t
 
 from __future__ import annotations
 
+import hashlib
 from math import comb
 
 import numpy as np
@@ -17,7 +18,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from .graph import components
 from .scratch import materialize, small_side
-from .words import U, Words, encoded, mix, passes
+from .words import U, Words, encoded, joined, mix, passes
 
 SYMBOLS, CHUNKS = 32, 8
 #: The signature-distance threshold: all pairs within it are found, and of those beyond it the ones that share a key and have near sketches.
@@ -38,11 +39,14 @@ def shingles(w: Words, size: int) -> tuple[np.ndarray, np.ndarray]:
     text as one if it has fewer, none without words."""
     n = np.diff(w.first)
     full = w.starts(size)
+    grams = w.grams(size)[full]
+    # A short text's one shingle is told from others by its number of words.
     short = np.flatnonzero((n > 0) & (n < size))
-    start = np.concatenate([full, w.first[short]])
-    end = np.concatenate([full + size, w.first[short + 1]])
-    doc = w.doc[start]
-    h = w.runs(start, end)
+    own = mix(n[short].astype(U))
+    for k in range(size - 1):
+        there = np.flatnonzero(n[short] > k)
+        own[there] = joined(own[there], w.hash[w.first[short[there]] + k])
+    h, doc = np.concatenate([grams, own]), np.concatenate([w.doc[full], short])
     order = np.lexsort((h, doc))
     h, doc = h[order], doc[order]
     new = np.concatenate(([True], (h[1:] != h[:-1]) | (doc[1:] != doc[:-1]))) if len(h) else np.zeros(0, bool)
@@ -68,12 +72,13 @@ def minima(h: np.ndarray, edges: np.ndarray) -> np.ndarray:
 
 
 def symbols(m: np.ndarray) -> np.ndarray:
-    """The signature's 8-bit symbols (document, SYMBOLS), in 64-bit integers."""
-    return mix(m[:, :SYMBOLS].astype(U)) & U(255)
+    """The signature's 16-bit symbols (document, SYMBOLS), in 64-bit integers."""
+    return mix(m[:, :SYMBOLS].astype(U)) & U(0xFFFF)
 
 
 def signature_keys(m: np.ndarray) -> np.ndarray:
-    """Keys (document, CHUNKS * symbols of a chunk): chunk, symbol left out, and the chunk's other 8-bit symbols."""
+    """Keys (document, CHUNKS * symbols of a chunk): chunk, symbol left out, and the chunk's other symbols, 48 bits, so that documents
+    seldom share a key by chance however many there are."""
     symbol = symbols(m).reshape(len(m), CHUNKS, _PER)
     keys = []
     for c in range(CHUNKS):
@@ -81,7 +86,7 @@ def signature_keys(m: np.ndarray) -> np.ndarray:
             key = np.full(len(m), c * _PER + out + 1, U)
             for s in range(_PER):
                 if s != out:
-                    key = key << U(8) | symbol[:, c, s]
+                    key = key << U(16) | symbol[:, c, s]
             keys.append(key)
     return np.stack(keys, 1)
 
@@ -102,8 +107,9 @@ def distance(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def marks(m: np.ndarray) -> np.ndarray:
-    """Sketch and signature of every document in 64-bit words (document, SKETCH / 16 + SYMBOLS / 8)."""
-    return np.concatenate([sketch(m).astype("<u8"), symbols(m).astype(np.uint8).view("<u8")], 1)
+    """Sketch and signature of every document in 64-bit words (document, SKETCH / 16 + SYMBOLS / 8). The low halves of the symbols do: by
+    them signatures are never farther apart than by the whole."""
+    return np.concatenate([sketch(m).astype("<u8"), (symbols(m) & U(255)).astype(np.uint8).view("<u8")], 1)
 
 
 def near(a: np.ndarray, b: np.ndarray, bound: int) -> np.ndarray:
@@ -117,7 +123,7 @@ def near(a: np.ndarray, b: np.ndarray, bound: int) -> np.ndarray:
 
 def keys_miss(similarity: float) -> float:
     """The probability that a pair of this similarity shares no key: every chunk has two errors or more."""
-    p = (1 - similarity) * 255 / 256
+    p = (1 - similarity) * (1 - 2**-16)
     return (1 - (1 - p) ** _PER - _PER * p * (1 - p) ** (_PER - 1)) ** CHUNKS
 
 
@@ -203,15 +209,12 @@ def near_duplicates(docs: DataFrame, size: int = 3, percent: int = 85) -> DataFr
                 count = np.diff(edges)
                 some = count > 0
                 m = minima(h, edges) if len(h) else np.zeros((0, SKETCH), np.uint32)
-                order = mix(h)
-                starts = edges[:-1][some]
-                pair = np.stack([np.add.reduceat(h, starts), np.add.reduceat(order, starts)], 1).astype("<u8") if len(h) else np.zeros((0, 2), "<u8")
                 s, k = marks(m), signature_keys(m).astype(np.int64)
                 at = np.cumsum(some) - 1
                 n += count.tolist()
                 for i in range(hi - lo):
                     j = at[i]
-                    fp.append(pair[j].tobytes() + int(count[i]).to_bytes(4, "little") if some[i] else None)
+                    fp.append(hashlib.blake2b(h[edges[i] : edges[i + 1]].tobytes(), digest_size=20).digest() if some[i] else None)
                     mk.append(s[j].tobytes() if some[i] else None)
                     keys.append(k[j] if some[i] else None)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(fp, pa.binary()), pa.array(mk, pa.binary()), pa.array(keys, pa.list_(pa.int64()))], ["doc_id", "n_shingles", "fp", "marks", "keys"])

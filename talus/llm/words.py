@@ -1,9 +1,8 @@
-"""Words of whole texts as numpy arrays: boundaries, 64-bit hashes, and hashes of word runs.
+"""Words of whole texts as numpy arrays: boundaries, 64-bit hashes of words, and hashes of word runs.
 
-A word is a longest run of bytes other than space and 0x09-0x0D. Hashes are polynomials over
-Z/2^64 with an odd base, so that the hash of any run is a difference of prefix sums times an
-inverse power; a final mix spreads the bits. Two different runs of a corpus share a hash with
-a probability of about 2^-64 a pair.
+A word is a longest run of bytes other than space and 0x09-0x0D. Hashes are chained: each step mixes all bits before the next
+eight bytes, or the next run, come in, so that no arrangement of repeated parts cancels out as in a sum of powers. Two different
+words or runs share a hash by chance only, with a probability of about 2^-64 a pair; where that is not enough, words are compared.
 """
 
 from __future__ import annotations
@@ -11,42 +10,35 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import xxhash
 
 U = np.uint64
-_BASE, _WBASE = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93
-#: Bytes of text in one pass: bounds the arrays of a pass to some 200 MB, unless a single text is longer.
+#: Bytes of text in one pass: bounds the arrays of a pass to some 60 MB, unless a single text is longer.
 PASS_BYTES = 4 << 20
+#: Bytes of a word up to which numpy hashes it with others; longer ones are hashed one by one.
+LONG = 256
 
 _SEPARATOR = np.zeros(256, bool)
 _SEPARATOR[[0x20, 9, 10, 11, 12, 13]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
+#: Keeps the first 0 to 8 bytes of a little-endian integer.
+_FIRST = np.array([(1 << 8 * k) - 1 for k in range(9)], U)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit values that spreads every input bit."""
     x = x ^ (x >> U(30))
-    x = x * U(0xBF58476D1CE4E5B9)
-    x = x ^ (x >> U(27))
-    x = x * U(0x94D049BB133111EB)
-    return x ^ (x >> U(31))
+    x *= U(0xBF58476D1CE4E5B9)
+    x ^= x >> U(27)
+    x *= U(0x94D049BB133111EB)
+    x ^= x >> U(31)
+    return x
 
 
-_BYTE = mix(np.arange(1, 257, dtype=U) * U(0x2545F4914F6CDD1D))
-_powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-
-
-def powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """base^0..base^n and their inverses mod 2^64; the table of a worker only grows to its longest pass."""
-    if base not in _powers or len(_powers[base][0]) <= n:
-        size = max(n + 1, 1 << 16)
-        both = []
-        for b in (base, pow(base, -1, 1 << 64)):
-            t = np.full(size, b, U)
-            t[0] = 1
-            both.append(np.cumprod(t, dtype=U))
-        _powers[base] = tuple(both)
-    return _powers[base]
+def joined(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The hash of a run from those of its two parts."""
+    return mix(a * U(0x9E3779B97F4A7C15) + b)
 
 
 class Words:
@@ -54,8 +46,8 @@ class Words:
     first: index of each text's first word, with one entry more at the end; hash: of each word."""
 
     def __init__(self, texts: list[bytes], lower: bool = False):
-        joined = b" ".join([b"", *texts, b""])
-        b = np.frombuffer(joined, np.uint8)
+        whole = b" ".join([b"", *texts, b" " * 8])
+        b = np.frombuffer(whole, np.uint8)
         if lower:
             b = _LOWER[b]
         self.bytes = b
@@ -66,20 +58,36 @@ class Words:
         begins = np.cumsum(np.concatenate(([1], lengths + 1)))
         self.first = np.searchsorted(self.start, begins)
         self.doc = np.repeat(np.arange(len(texts)), np.diff(self.first))
-        p, inverse = powers(_BASE, len(b) + 1)
-        c = np.zeros(len(b) + 1, U)
-        np.cumsum(_BYTE[b] * p[: len(b)], dtype=U, out=c[1:])
-        self.hash = mix((c[self.end] - c[self.start]) * inverse[self.start] + (self.end - self.start).astype(U))
-        self._sums = None
-
-    def runs(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        """Hashes of the word runs [start, end), which must lie within one text each."""
-        n = len(self.hash)
-        p, inverse = powers(_WBASE, n + 1)
-        if self._sums is None:
-            self._sums = np.zeros(n + 1, U)
-            np.cumsum(self.hash * p[:n], dtype=U, out=self._sums[1:])
-        return mix((self._sums[end] - self._sums[start]) * inverse[start] + (end - start).astype(U))
+        self.hash = self._hashes()
+
+    def _hashes(self) -> np.ndarray:
+        size = self.end - self.start
+        wide = np.ndarray(len(self.bytes) - 7, "<u8", self.bytes, 0, (1,))
+        h = mix(size.astype(U) + U(0xD6E8FEB86659FD93))
+        h = mix(h ^ (wide[self.start] & _FIRST[np.minimum(size, 8)]))
+        rest, at = np.flatnonzero(size > 8), 8
+        while len(rest) and at < LONG:
+            h[rest] = mix(h[rest] ^ (wide[self.start[rest] + at] & _FIRST[np.minimum(size[rest] - at, 8)]))
+            at += 8
+            rest = rest[size[rest] > at]
+        for i in rest.tolist():
+            h[i] = U(xxhash.xxh3_64_intdigest(self.bytes[self.start[i] : self.end[i]]))
+        return h
+
+    def grams(self, size: int) -> np.ndarray:
+        """Hashes of all runs of `size` words, by their first words; those that cross from one text to the next are no runs of `starts`."""
+        n = len(self.hash) - size + 1
+        if n <= 0:
+            return np.zeros(0, U)
+        power, out, at = {1: self.hash}, None, 0
+        while (k := 1 << len(power) - 1) * 2 <= size:
+            power[2 * k] = joined(power[k][:-k], power[k][k:])
+        for k in sorted(power, reverse=True):
+            if size & k:
+                part = power[k][at : at + n]
+                out = part if out is None else joined(out, part)
+                at += k
+        return out
 
     def starts(self, width: int) -> np.ndarray:
         """Indices of words at which a run of width words of the same text starts."""

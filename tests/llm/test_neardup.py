@@ -122,10 +122,20 @@ def test_pairs_within_the_threshold_are_confirmed_however_far_their_sketches(spa
 def test_sketches_lose_less_than_keys(similarity):
     p, n, bound = (1 - similarity) * 15 / 16, neardup.SKETCH, neardup.sketch_bound(similarity)
     tail = sum(math.comb(n, k) * p**k * (1 - p) ** (n - k) for k in range(bound + 1, n + 1))
-    chunk = (1 - (1 - similarity) * 255 / 256) ** 4 + 4 * (1 - similarity) * 255 / 256 * (1 - (1 - similarity) * 255 / 256) ** 3
+    q = (1 - similarity) * (1 - 2**-16)
+    chunk = (1 - q) ** 4 + 4 * q * (1 - q) ** 3
     assert tail <= (1 - chunk) ** 8 / 10
 
 
+def test_words_that_sums_of_powers_confuse_are_not_linked(spark):
+    x, y = "a", "b"
+    for _ in range(10):
+        x, y = x + y, y + x
+    rows = [(1, x), (2, y), (3, f"{x} {y}"), (4, f"{y} {x}"), (5, x)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.doc_id: r.component_id for r in neardup.near_duplicates(df).collect()} == {1: 1, 2: 2, 3: 3, 4: 4, 5: 1}
+
+
 def test_components(spark):
     rng = random.Random(1)
     chain = [(k, k + 1) for k in range(40)]

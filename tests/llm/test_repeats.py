@@ -5,7 +5,8 @@ import re
 import numpy as np
 import pytest
 
-from talus.llm.repeats import repeated
+from talus.llm import repeats
+from talus.llm.repeats import rank, repeated
 from talus.llm.words import Words
 
 WIDTH = 13
@@ -54,12 +55,57 @@ def corpus(seed=5):
     return rows
 
 
-@pytest.mark.parametrize("parted", [32, 1])
-def test_like_brute_force(spark, parted):
+@pytest.mark.parametrize(("heavy", "in_task"), [(4096, 256), (4096, 1), (2, 256), (0, 0)])
+@pytest.mark.parametrize("width", [13, 6])
+def test_like_brute_force(spark, heavy, in_task, width):
     rows = corpus()
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    got = sorted(map(tuple, repeated(df, digest=True, parted=parted, groups=5).collect()), key=repr)
-    assert got == sorted(brute(rows), key=repr)
+    got = sorted(map(tuple, repeated(df, width, digest=True, groups=5, heavy=heavy, heavy_in_task=in_task).collect()), key=repr)
+    assert got == sorted(brute(rows, width), key=repr)
+
+
+def test_small_chunks_carry_heavy_prefixes(spark, monkeypatch):
+    """A prefix with more rows than a chunk: whole windows are settled chunk by chunk, shorter prefixes are held together."""
+    monkeypatch.setattr(repeats, "CHUNK_ROWS", 4)
+    rows = corpus(6)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for heavy in (0, 4096):
+        got = sorted(map(tuple, repeated(df, digest=True, groups=40, heavy=heavy).collect()), key=repr)
+        assert got == sorted(brute(rows), key=repr)
+
+
+def mirrored(n, a, b):
+    """Two different sequences of 2^n symbols whose polynomial hashes modulo a power of two agree."""
+    x, y = [a], [b]
+    for _ in range(n):
+        x, y = x + y, y + x
+    return x, y
+
+
+def test_words_and_runs_that_sums_of_powers_confuse(spark):
+    x, y = mirrored(10, "a", "b")
+    pad = " ".join(f"w{k}" for k in range(12))
+    p, q = mirrored(11, "p", "q")
+    rows = [(1, f"{pad} {''.join(x)}"), (2, f"{pad} {''.join(y)}"), (3, " ".join(p[1:])), (4, " ".join(q[1:]))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(map(tuple, repeated(df, digest=True).collect())) == sorted(brute(rows))
+    one, two = (Words([" ".join(t).encode()]) for t in (p, q))
+    assert one.grams(2048)[0] != two.grams(2048)[0]
+
+
+def test_rank_is_the_order_of_runs():
+    rng = np.random.default_rng(1)
+    tokens = rng.integers(0, 3, 500)
+    for width in (1, 2, 3, 6, 13):
+        runs = [tuple(tokens[i : i + width]) for i in range(len(tokens) - width + 1)]
+        order = {r: k for k, r in enumerate(sorted(set(runs)))}
+        got = rank(tokens, width)
+        assert [order[r] for r in runs] == (got if width > 1 else np.unique(tokens, return_inverse=True)[1]).tolist()
+
+
+def test_other_ids_are_refused(spark):
+    with pytest.raises(TypeError):
+        repeated(spark.createDataFrame([("a", "b")], "doc_id string, text string"))
 
 
 def test_texts_spans_and_carried_columns(spark):
@@ -81,8 +127,10 @@ def test_words_and_runs():
     w = Words([b"a bb  a", b"", b"bb a\tbb"])
     assert w.first.tolist() == [0, 3, 3, 6] and w.doc.tolist() == [0, 0, 0, 2, 2, 2]
     assert w.hash[0] == w.hash[2] == w.hash[4] and w.hash[0] != w.hash[1]
-    ab = w.runs(np.array([1, 3]), np.array([3, 5]))
-    assert ab[0] == ab[1] and w.runs(np.array([0]), np.array([2]))[0] != ab[0]
+    pairs = w.grams(2)
+    assert pairs[1] == pairs[3] and pairs[0] != pairs[1] and len(pairs) == 5
+    long = Words([b"x" * n for n in (7, 8, 9, 255, 256, 257, 300, 300)] + [b"x" * 299 + b"y"])
+    assert len(set(long.hash.tolist())) == 8
 
 
 def test_query(spark, data):
