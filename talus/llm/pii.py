@@ -8,6 +8,7 @@ pattern's probability; a naive Bayes span classifier is trained on the candidate
 from __future__ import annotations
 
 import math
+from functools import reduce
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -44,20 +45,47 @@ def _pieces(text: Column, pattern: str, needs: str) -> tuple[Column, Column]:
     return some, F.when(some, F.regexp_extract_all(text, F.lit(pattern), F.lit(0)))
 
 
-def _placed(text: Column, matches: Column, pattern: str) -> Column:
-    """array<struct<before, match, start, end>> in code points: what lies between matches gives their places."""
-    gaps = F.split(text, pattern, -1)
-    pairs = F.filter(F.zip_with(gaps, matches, lambda g, m: F.struct(g.alias("gap"), m.alias("match"))), lambda x: x["match"].isNotNull())
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<before:string,match:string,start:int,end:int>>").alias("out"))
+#: Items that a fold gathers in one array, and code points of a text's pieces: both keep work in proportion to a text's length.
+BLOCK, PIECE = 256, 4096
+
+
+def _running(df: DataFrame, items: str, value, both, name: str) -> DataFrame:
+    """df with an array of ints more: for each of the items (an array column), `both` (sum or largest) of the values before it, 0 for the first.
+
+    Folds over blocks of BLOCK items, then over the blocks, so that no array grows with every item of a long text."""
 
     def step(acc, x):
-        begin = acc["at"] + F.length(x["gap"])
-        end = begin + F.length(x["match"])
-        one = F.struct(F.right(x["gap"], F.lit(24)).alias("before"), x["match"].alias("match"), begin.alias("start"), end.alias("end"))
-        return F.struct(end.alias("at"), F.concat(acc["out"], F.array(one)).alias("out"))
+        return F.struct(both(acc["at"], x).alias("at"), F.concat(acc["out"], F.array(acc["at"])).alias("out"))
+
+    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out"))
+    last = F.ceil(F.size(items) / BLOCK).cast("int") - 1
+    numbers = F.when(F.size(items) > 0, F.sequence(F.lit(0), last)).otherwise(F.array().cast("array<int>"))
+    part = F.transform(numbers, lambda k: F.aggregate(F.transform(F.slice(items, k * BLOCK + 1, F.lit(BLOCK)), value), start, step))
+    df = df.withColumn("__parts", part)
+    heads = F.aggregate(F.transform("__parts", lambda p: p["at"]), start, step, lambda acc: acc["out"])
+    return df.withColumn(name, F.flatten(F.zip_with("__parts", heads, lambda p, h: F.transform(p["out"], lambda v: both(h, v))))).drop("__parts")
+
+
+def _placed(df: DataFrame, patterns: list[tuple[str, str]]) -> DataFrame:
+    """df with __placed, array<struct<kind, before, match, start, end>> in code points of what each of the patterns matches in __text; they come
+    as (column of matches, pattern), kind is the pattern's place. What lies between matches gives their places: the pieces of every kind
+    make up the whole text, so those of the kind begin where the lengths before them come to kind times the text's."""
+    n = F.length("__text")
+    kind = "array<struct<kind:int,before:string,gap:int,match:string>>"
+
+    def items(k: int, matches: str, pattern: str) -> Column:
+        one = lambda g, m: F.struct(F.lit(k).alias("kind"), F.right(g, F.lit(24)).alias("before"), F.length(g).alias("gap"), m.alias("match"))
+        return F.when(F.size(matches) > 0, F.zip_with(F.split("__text", pattern, -1), matches, one)).otherwise(F.array(one(F.col("__text"), F.lit(None).cast("string"))))
 
-    found = F.aggregate(pairs, start, step, lambda acc: acc["out"])
-    return F.when(F.size(matches) > 0, found).otherwise(F.array().cast("array<struct<before:string,match:string,start:int,end:int>>"))
+    df = df.withColumn("__items", F.when(reduce(lambda a, b: a | b, (F.size(m) > 0 for m, _ in patterns)), F.concat(*(items(k, m, p) for k, (m, p) in enumerate(patterns)))).otherwise(F.array().cast(kind)))
+    df = _running(df, "__items", lambda x: x["gap"] + F.coalesce(F.length(x["match"]), F.lit(0)), lambda a, b: a + b, "__before")
+
+    def place(x, before):
+        start = before + x["gap"] - x["kind"] * n
+        return F.struct(x["kind"].alias("kind"), x["before"].alias("before"), x["match"].alias("match"), start.alias("start"), (start + F.length(x["match"])).alias("end"))
+
+    placed = F.filter(F.zip_with("__items", "__before", place), lambda x: x["match"].isNotNull())
+    return df.withColumn("__placed", placed).drop("__items", "__before")
 
 
 def _digits(m: Column) -> Column:
@@ -87,10 +115,20 @@ def _valid(kind: str, m: Column) -> Column:
     return F.length(d).between(9, 15)
 
 
-def _checked(kind: str, found: Column) -> Column:
-    """array<struct<start, kind, end>> of what passes the kind's check."""
-    valid = F.filter(found, lambda s: _valid(kind, s["match"]))
-    return F.transform(valid, lambda s: F.struct(s["start"].alias("start"), F.lit(KINDS.index(kind)).alias("kind"), s["end"].alias("end")))
+def _reached(c: Column, spans: str, reach: str) -> Column:
+    """Whether c overlaps one of the spans, sorted by start; reach: the largest end before each. The last span that starts before c's end
+    is found by halving."""
+    at = lambda k: F.get(spans, k)
+
+    def halve(acc, _):
+        middle = F.floor((acc["low"] + acc["high"]) / 2).cast("int")
+        below = at(middle)["start"] < c["end"]
+        open_ = acc["low"] < acc["high"]
+        return F.struct(F.when(open_ & below, middle + 1).otherwise(acc["low"]).alias("low"), F.when(open_ & ~below, middle).otherwise(acc["high"]).alias("high"))
+
+    steps = F.sequence(F.lit(0), F.ceil(F.log2((F.size(spans) + 1).cast("double"))).cast("int"))
+    found = F.aggregate(steps, F.struct(F.lit(0).alias("low"), F.size(spans).alias("high")), halve, lambda acc: acc["low"] - 1)
+    return F.coalesce(F.greatest(at(found)["end"], F.get(reach, found)) > c["start"], F.lit(False))
 
 
 def _located(docs: DataFrame) -> DataFrame:
@@ -100,10 +138,20 @@ def _located(docs: DataFrame) -> DataFrame:
     t = F.col("__text")
     found = {k: _pieces(t, BASE[k], NEEDS[k])[1] for k in BASE}
     df = df.select("*", *(found[k].alias(f"__m_{k}") for k in BASE), F.when(t.rlike("[0-9]"), F.regexp_extract_all(t, F.lit(CANDIDATE), F.lit(0))).alias("__m_more"))
-    spans = [_checked(k, _placed(t, F.col(f"__m_{k}"), BASE[k])) for k in BASE]
-    df = df.select("*", F.array_sort(F.concat(*spans)).alias("__base"), _placed(t, F.col("__m_more"), CANDIDATE).alias("__more"))
-    apart = F.filter("__more", lambda c: ~F.exists("__base", lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"])))
-    return df.withColumn("__more", F.transform(apart, _described)).drop("__text", *(f"__m_{k}" for k in [*BASE, "more"]))
+    df = _placed(df, [*((f"__m_{k}", BASE[k]) for k in BASE), ("__m_more", CANDIDATE)])
+
+    def good(s):
+        valid = F.lit(False)
+        for k, name in reversed(list(enumerate(BASE))):
+            valid = F.when(s["kind"] == k, _valid(name, s["match"])).otherwise(valid)
+        return valid
+
+    base = F.transform(F.filter("__placed", good), lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end")))
+    df = df.select("*", F.array_sort(base).alias("__base"), F.filter("__placed", lambda s: s["kind"] == len(BASE)).alias("__more"))
+    df = df.drop("__text", "__placed", *(f"__m_{k}" for k in [*BASE, "more"]))
+    df = _running(df, "__base", lambda s: s["end"], F.greatest, "__reach")
+    apart = F.when(F.size("__base") > 0, F.filter("__more", lambda c: ~_reached(c, "__base", "__reach"))).otherwise(F.col("__more"))
+    return df.withColumn("__more", F.transform(apart, _described)).drop("__reach")
 
 
 def _described(c: Column) -> Column:
@@ -163,7 +211,9 @@ def estimate(patterns: dict[str, int], rounds: int = 50) -> tuple[dict[str, floa
 def train(docs: DataFrame) -> Model:
     """Fit on the candidates of all docs. What reaches the driver are counts of (votes, features), whose number is bounded by their
     domains, whatever the input; no row has text."""
-    counted = _located(docs.select("text")).select(F.explode("__more").alias("c")).groupBy("c.votes", "c.features").agg(F.count("*").alias("n")).collect()
+    # The outer kind: else Spark filters by the size of the candidates first and works them out twice.
+    counted = _located(docs.select("text")).select(F.explode_outer("__more").alias("c")).groupBy("c.votes", "c.features").agg(F.count("*").alias("n")).collect()
+    counted = [r for r in counted if r["votes"] is not None]
     patterns: dict[str, int] = {}
     for r in counted:
         patterns[r["votes"]] = patterns.get(r["votes"], 0) + r["n"]
@@ -225,15 +275,24 @@ def digest(docs: DataFrame, model: Model | None = None) -> DataFrame:
 def redact(docs: DataFrame, model: Model | None = None) -> DataFrame:
     """docs with every span of text replaced by its kind in brackets, such as [EMAIL]; overlapping spans become one, named after the
     first. A null text stays null; texts without spans stay as they are."""
-    df = _spanned(docs, model)
+    df = _spanned(docs, model).withColumn("__text", F.coalesce(F.col("text").cast("string"), F.lit("")))
+    # Pieces of the text, so that taking a part does not walk the text from its beginning.
+    last = F.floor(F.length("__text") / PIECE).cast("int")
+    df = df.withColumn("__pieces", F.transform(F.when(F.size("__spans") > 0, F.sequence(F.lit(0), last)), lambda k: F.substring("__text", k * PIECE + 1, F.lit(PIECE))))
+    df = df.withColumn("__length", F.length("__text"))
+    df = _running(df, "__spans", lambda s: s["end"], F.greatest, "__done")
     names = F.array(*(F.lit(f"[{k.upper()}]") for k in KINDS))
-    text = F.col("text").cast("string")
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-
-    def step(acc, s):
-        new = s["start"] >= acc["at"]
-        gap = F.substring(text, acc["at"] + 1, s["start"] - acc["at"])
-        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.when(new, F.concat(acc["out"], gap, names[s["kind"]])).otherwise(acc["out"]).alias("out"))
 
-    done = F.aggregate("__spans", start, step, lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
-    return df.withColumn("text", F.when(F.size("__spans") > 0, done).otherwise(text)).select(*docs.columns)
+    def part(start, end):
+        a, b = (F.floor(x / PIECE).cast("int") for x in (start, end))
+        piece = lambda k: F.get("__pieces", k)
+        one = F.substring(piece(a), start % PIECE + 1, end - start)
+        more = F.concat(F.substring(piece(a), start % PIECE + 1, F.lit(PIECE)), F.array_join(F.slice("__pieces", a + 2, b - a - 1), ""), F.substring(piece(b), F.lit(1), end % PIECE))
+        return F.when(a == b, one).otherwise(more)
+
+    # Each span that begins beyond all before it, and an empty one at the end, brings the text before it.
+    cut = F.zip_with("__spans", "__done", lambda s, done: F.when(s["start"] >= done, F.concat(part(done, s["start"]), names[s["kind"]])).otherwise(""))
+    end = F.array_max(F.transform("__spans", lambda s: s["end"]))
+    df = df.withColumn("__cut", F.array_join(cut, "")).withColumn("__rest", F.when(F.size("__spans") > 0, part(end, F.col("__length"))))
+    text = F.when(F.size("__spans") > 0, F.concat("__cut", "__rest")).otherwise(F.col("text").cast("string"))
+    return df.withColumn("text", text).select(*docs.columns)
