@@ -8,7 +8,6 @@ pattern's probability; a naive Bayes span classifier is trained on the candidate
 from __future__ import annotations
 
 import math
-from functools import reduce
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -69,19 +68,19 @@ def _running(df: DataFrame, items: str, value, both, name: str) -> DataFrame:
 def _placed(df: DataFrame, patterns: list[tuple[str, str]]) -> DataFrame:
     """df with __placed, array<struct<kind, before, match, start, end>> in code points of what each of the patterns matches in __text; they come
     as (column of matches, pattern), kind is the pattern's place. What lies between matches gives their places: the pieces of every kind
-    make up the whole text, so those of the kind begin where the lengths before them come to kind times the text's."""
-    n = F.length("__text")
+    make up the whole text, whose length is taken off before the next kind's."""
     kind = "array<struct<kind:int,before:string,gap:int,match:string>>"
 
     def items(k: int, matches: str, pattern: str) -> Column:
         one = lambda g, m: F.struct(F.lit(k).alias("kind"), F.right(g, F.lit(24)).alias("before"), F.length(g).alias("gap"), m.alias("match"))
-        return F.when(F.size(matches) > 0, F.zip_with(F.split("__text", pattern, -1), matches, one)).otherwise(F.array(one(F.col("__text"), F.lit(None).cast("string"))))
+        back = F.struct(F.lit(k).alias("kind"), F.lit("").alias("before"), (-F.length("__text")).alias("gap"), F.lit(None).cast("string").alias("match"))
+        return F.when(F.size(matches) > 0, F.concat(F.zip_with(F.split("__text", pattern, -1), matches, one), F.array(back))).otherwise(F.array().cast(kind))
 
-    df = df.withColumn("__items", F.when(reduce(lambda a, b: a | b, (F.size(m) > 0 for m, _ in patterns)), F.concat(*(items(k, m, p) for k, (m, p) in enumerate(patterns)))).otherwise(F.array().cast(kind)))
+    df = df.withColumn("__items", F.concat(*(items(k, m, p) for k, (m, p) in enumerate(patterns))))
     df = _running(df, "__items", lambda x: x["gap"] + F.coalesce(F.length(x["match"]), F.lit(0)), lambda a, b: a + b, "__before")
 
     def place(x, before):
-        start = before + x["gap"] - x["kind"] * n
+        start = before + x["gap"]
         return F.struct(x["kind"].alias("kind"), x["before"].alias("before"), x["match"].alias("match"), start.alias("start"), (start + F.length(x["match"])).alias("end"))
 
     placed = F.filter(F.zip_with("__items", "__before", place), lambda x: x["match"].isNotNull())
@@ -115,8 +114,8 @@ def _valid(kind: str, m: Column) -> Column:
     return F.length(d).between(9, 15)
 
 
-def _reached(c: Column, spans: str, reach: str) -> Column:
-    """Whether c overlaps one of the spans, sorted by start; reach: the largest end before each. The last span that starts before c's end
+def _reached(c: Column, spans: str) -> Column:
+    """Whether c overlaps one of the spans, which are sorted by start; each has the largest end up to it. The last that starts before c's end
     is found by halving."""
     at = lambda k: F.get(spans, k)
 
@@ -128,7 +127,7 @@ def _reached(c: Column, spans: str, reach: str) -> Column:
 
     steps = F.sequence(F.lit(0), F.ceil(F.log2((F.size(spans) + 1).cast("double"))).cast("int"))
     found = F.aggregate(steps, F.struct(F.lit(0).alias("low"), F.size(spans).alias("high")), halve, lambda acc: acc["low"] - 1)
-    return F.coalesce(F.greatest(at(found)["end"], F.get(reach, found)) > c["start"], F.lit(False))
+    return F.coalesce(at(found)["end"] > c["start"], F.lit(False))
 
 
 def _located(docs: DataFrame) -> DataFrame:
@@ -150,8 +149,9 @@ def _located(docs: DataFrame) -> DataFrame:
     df = df.select("*", F.array_sort(base).alias("__base"), F.filter("__placed", lambda s: s["kind"] == len(BASE)).alias("__more"))
     df = df.drop("__text", "__placed", *(f"__m_{k}" for k in [*BASE, "more"]))
     df = _running(df, "__base", lambda s: s["end"], F.greatest, "__reach")
-    apart = F.when(F.size("__base") > 0, F.filter("__more", lambda c: ~_reached(c, "__base", "__reach"))).otherwise(F.col("__more"))
-    return df.withColumn("__more", F.transform(apart, _described)).drop("__reach")
+    df = df.withColumn("__ends", F.zip_with("__base", "__reach", lambda s, r: F.struct(s["start"].alias("start"), F.greatest(s["end"], r).alias("end"))))
+    apart = F.when(F.size("__ends") > 0, F.filter("__more", lambda c: ~_reached(c, "__ends"))).otherwise(F.col("__more"))
+    return df.withColumn("__more", F.transform(apart, _described)).drop("__reach", "__ends")
 
 
 def _described(c: Column) -> Column:
