@@ -6,7 +6,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from .words import U, mix
+from .words import U, mix, slices
 
 #: Buckets of the hashed n-grams.
 BUCKETS = 1 << 16
@@ -15,7 +15,7 @@ ORDERS = (1, 2, 3)
 #: Documents of one language that the fit takes at most, chosen by the hash of their ids.
 TRAIN_DOCS = 4000
 #: Characters in one numpy pass.
-PASS_CHARS = 1 << 20
+PASS_CHARS = 1 << 19
 UNKNOWN = "und"
 
 
@@ -70,7 +70,7 @@ def fit(docs: DataFrame, bound: int = TRAIN_DOCS) -> tuple[list[str], np.ndarray
 
     def count(batches):
         total: dict[str, np.ndarray] = {}
-        for b in batches:
+        for b in slices(batches):
             texts, langs = [t.lower() for t in b.column(0).to_pylist()], b.column(1).to_pylist()
             for lo, hi in _slices(texts):
                 buckets, owner = gram_buckets(texts[lo:hi])
@@ -104,7 +104,7 @@ def label(docs: DataFrame, model: tuple[list[str], np.ndarray]) -> DataFrame:
 
     def run(batches):
         weights = shared.value
-        for b in batches:
+        for b in slices(batches):
             texts = [(t or "").lower() for t in b.column(at).to_pylist()]
             lang, score = [UNKNOWN] * len(texts), [0.0] * len(texts)
             for lo, hi in _slices(texts) if labels else ():

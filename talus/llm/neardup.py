@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from .graph import components
 from .scratch import materialize, small_side
-from .words import U, Words, encoded, joined, mix, passes
+from .words import U, Words, encoded, joined, mix, passes, slices
 
 SYMBOLS, CHUNKS = 32, 8
 #: The signature-distance threshold: all pairs within it are found, and of those beyond it the ones that share a key and have near sketches.
@@ -201,7 +201,7 @@ def near_duplicates(docs: DataFrame, size: int = 3, percent: int = 85) -> DataFr
     bound = sketch_bound(percent / 100)
 
     def sign(batches):
-        for b in batches:
+        for b in slices(batches):
             texts = encoded(b.column(1).to_pylist())
             n, fp, mk, keys = [], [], [], []
             for lo, hi in passes(texts):

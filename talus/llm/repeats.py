@@ -27,7 +27,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from .scratch import materialize
-from .words import U, Words, mix, passes
+from .words import U, Words, mix, passes, slices
 
 #: Words of an anchor, the shorter prefix.
 PREFIX = 6
@@ -118,12 +118,6 @@ def _batches(rows: list[tuple[int, bytes]], name: str) -> Iterator[pa.RecordBatc
         yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in part], pa.int32()), pa.array([r[1] for r in part], pa.binary())], [name, "parcel"])
 
 
-def _slices(batches, rows: int = 512):
-    for b in batches:
-        for lo in range(0, b.num_rows, rows):
-            yield b.slice(lo, rows)
-
-
 def _texts(column) -> list[bytes]:
     """UTF-8 bytes of a column of strings; null becomes empty."""
     return pc.fill_null(pc.cast(column, pa.binary()), b"").to_pylist()
@@ -270,7 +264,7 @@ def repeated(docs: DataFrame, width: int = 13, digest: bool = False, groups: int
             rows += _deal(bucket, doc, ref, which, (place,), anchor)
             yield from _batches(rows, "bucket")
 
-        for b in _slices(batches):
+        for b in slices(batches):
             texts = _texts(b.column(1))
             docs_.append(b.column(0).to_numpy(zero_copy_only=False).astype(np.int64))
             refs.append(b.column(2).to_numpy(zero_copy_only=False))

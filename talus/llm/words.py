@@ -109,3 +109,10 @@ def passes(texts: list[bytes], most: int = PASS_BYTES) -> Iterator[tuple[int, in
             at, size = i + 1, 0
     if at < len(texts):
         yield at, len(texts)
+
+
+def slices(batches, rows: int = 512):
+    """Arrow batches as smaller ones, so that the texts of few rows are Python objects at a time."""
+    for b in batches:
+        for lo in range(0, b.num_rows, rows):
+            yield b.slice(lo, rows)
