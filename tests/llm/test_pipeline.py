@@ -43,3 +43,15 @@ def test_nulls_and_empty_tables(spark, data, stage):
     kept = stage[1](spark, spark.createDataFrame(rows, schema), data)
     assert {r.doc_id for r in kept.collect()} >= {1, None}
     assert stage[1](spark, spark.createDataFrame([], schema), data).collect() == []
+
+
+@pytest.mark.parametrize("stage", [s for s in corpus_pipeline.STAGES if s[0] != "packing"], ids=lambda s: s[0])
+def test_columns_with_the_names_of_a_stage_stay(spark, data, stage):
+    others = ["n_removed", "n_words", "removed", "score", "lang_pred", "kept", "component_id", "n_shingles", "base", "spans", "grp", "ref", "th"]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"{c} string" for c in others)
+    text = "the house of the people and the other things that they had seen there"
+    rows = [(k, f"{text} {k}", "en", "s", 0, *(f"{c}-{k}" for c in others)) for k in range(3)]
+    docs = spark.createDataFrame(rows, schema)
+    kept = stage[1](spark, docs, data)
+    assert kept.columns == docs.columns
+    assert all(r[c] == f"{c}-{r.doc_id}" for r in kept.collect() for c in others)
