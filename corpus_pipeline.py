@@ -13,11 +13,18 @@ from talus.llm import langid, neardup, packing, pii, repeats
 from talus.llm.scratch import materialize
 
 
+def _apart(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """docs with the columns that no stage needs renamed, so that a stage's own columns can't clash with them, and the way back."""
+    names = {c: f"_other_{i}" for i, c in enumerate(docs.columns) if c not in ("doc_id", "text", "lang")}
+    return docs.withColumnsRenamed(names), {v: k for k, v in names.items()}
+
+
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a language go: null texts, texts without letters, and those whose posterior is under a half.
     The model is fitted on the labelled rows of docs."""
-    labelled = langid.label(docs, langid.fit(docs))
-    return labelled.filter((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= 0.5)).select(*docs.columns)
+    own, back = _apart(docs)
+    labelled = langid.label(own, langid.fit(docs))
+    return labelled.filter((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= 0.5)).select(*own.columns).withColumnsRenamed(back)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -28,15 +35,20 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Words of 13-word windows that a document with a smaller doc_id has are cut; documents left without a word go."""
-    others = tuple(c for c in docs.columns if c not in ("doc_id", "text"))
-    cut = repeats.repeated(docs, carry=others)
+    own, back = _apart(docs)
+    cut = repeats.repeated(own, carry=tuple(c for c in own.columns if c not in ("doc_id", "text")))
     cut = cut.filter((F.col("n_removed") == 0) | (F.col("n_removed") < F.col("n_words")))
-    return cut.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+    return _counted(cut.select(*own.columns).withColumnsRenamed(back))
 
 
 def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Spans of personal data are replaced by their kind in brackets. The span classifier is trained on docs."""
-    return pii.redact(docs).withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+    own, back = _apart(docs)
+    return _counted(pii.redact(own).withColumnsRenamed(back))
+
+
+def _counted(docs: DataFrame) -> DataFrame:
+    return docs.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -43,24 +43,24 @@ def join_wrapped(lines: DataFrame) -> DataFrame:
     take the place of what stands after the number (an amount there is lost); if the half holds no amount, a line with
     amounts is appended. A consumed line begins neither kind of half, so looking one line ahead is enough. line_no is numbered anew.
     """
-    order = Window.partitionBy("doc_id").orderBy("page", "line_no")
+    page = Window.partitionBy("doc_id", "page")
     blank = F.trim("line") == ""
     df = lines.withColumn("_w", tokens(F.col("line")))
-    # for each line, the next line of its page that isn't blank
-    ahead = order.rowsBetween(1, Window.unboundedFollowing)
-    df = df.withColumn("_next", F.first(F.when(~blank, F.struct("page", "line_no", "line", "_w")), ignorenulls=True).over(ahead))
+    # For each line, the next line of its page that isn't blank: the last one so far, from the page's end. Frames that end at a row grow with
+    # it, while frames up to the page's end would be read anew for each row.
+    ahead = page.orderBy(F.desc("line_no")).rowsBetween(Window.unboundedPreceding, -1)
+    df = df.withColumn("_next", F.last(F.when(~blank, F.struct("line", "_w")), ignorenulls=True).over(ahead))
     w, nw = F.col("_w"), F.col("_next._w")
     w0, w1, w2 = (F.coalesce(F.get(w, F.lit(k)), F.lit("")) for k in range(3))
     n0, n1 = (F.coalesce(F.get(nw, F.lit(k)), F.lit("")) for k in range(2))
     begins = w0.rlike(INTEGER) & w1.rlike("^(19|20)[0-9]{2}$")
-    here = F.coalesce(F.col("_next.page") == F.col("page"), F.lit(False))
+    here = F.col("_next").isNotNull()
     rest = F.when(F.size(w) > 3, F.slice(w, F.lit(4), F.greatest(F.size(w) - 3, F.lit(1)))).otherwise(F.array().cast("array<string>"))
     named = begins & w2.rlike("^[0-9]{4,}$") & (_count(rest, MONEY) <= 1) & n0.rlike("^[A-Za-z]") & (_count(nw, MONEY) > 0) & (_count(nw, BO) == 0)
     wrapped = begins & (F.size(w) >= 4) & w2.rlike("^[0-9]{5,9}$") & (_count(w, MONEY) == 0) & ~(n0.rlike(INTEGER) & n1.rlike("^(19|20)[0-9]{2}$")) & (_count(nw, MONEY) > 0)
     df = df.withColumn("_how", F.when(here & F.coalesce(named, F.lit(False)), 1).when(here & F.coalesce(wrapped, F.lit(False)), 2).otherwise(0))
-    before = order.rowsBetween(Window.unboundedPreceding, -1)
-    taken = F.last(F.when(~blank, F.struct("page", (F.col("_how") > 0).alias("merged"))), ignorenulls=True).over(before)
-    df = df.withColumn("_taken", F.coalesce((taken["page"] == F.col("page")) & taken["merged"], F.lit(False)))
+    before = page.orderBy("line_no").rowsBetween(Window.unboundedPreceding, -1)
+    df = df.withColumn("_taken", F.coalesce(F.last(F.when(~blank, F.col("_how") > 0), ignorenulls=True).over(before), F.lit(False)))
     text = F.when(F.col("_how") == 1, F.concat(F.array_join(F.slice("_w", 1, 3), " "), F.lit(" "), F.trim("_next.line"))).when(F.col("_how") == 2, F.concat(F.rtrim("line"), F.lit(" "), F.trim("_next.line"))).otherwise(F.col("line"))
     kept = df.filter(~F.col("_taken")).withColumn("line", text).drop("_w", "_next", "_how", "_taken")
     return kept.withColumn("line_no", F.row_number().over(Window.partitionBy("doc_id", "page").orderBy("line_no")))

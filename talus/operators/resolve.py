@@ -10,8 +10,9 @@ from ..sources.stored import stored
 
 
 def mark_duplicate_files(files: DataFrame, key: str = "sha256", order: str = "position", id_: str = "id") -> DataFrame:
-    """files with duplicate_of: the first file of the same content, null for the first itself and where the key is null."""
-    first = F.min_by(id_, order).over(Window.partitionBy(key))
+    """files with duplicate_of: the first file of the same content, null for the first itself and where the key is null. Rows without a key
+    are spread by their ids, since many may lack one."""
+    first = F.min_by(id_, order).over(Window.partitionBy(key, F.when(F.col(key).isNull(), F.col(id_))))
     return files.withColumn("duplicate_of", F.when(F.col(key).isNotNull() & (F.col(id_) != first), first))
 
 

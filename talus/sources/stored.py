@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The session's spark.checkpoint.dir; where it is unset (tests, one machine) a folder in the warehouse."""
+    """The session's spark.checkpoint.dir; on one machine (tests), where it may be unset, a folder in the warehouse."""
     own = spark.conf.get("spark.checkpoint.dir", None)
+    if not own and not spark.conf.get("spark.master", "local").startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
     return own or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
 
 

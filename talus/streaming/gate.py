@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from bisect import bisect_left, bisect_right
+from collections import deque
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -10,6 +12,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..schemas import EVENT_TTL_SECONDS, GATE_DAY, GATE_FAIL, GATE_GLOBAL, GATE_MINUTE, GATE_MISS
+from ..sources.stored import stored
 
 
 def sliding_counts(events: DataFrame, key: str, ts: str, counts: dict[str, tuple[F.Column, int]]) -> DataFrame:
@@ -38,88 +41,154 @@ class Limits:
     overall: tuple[int, int] = GATE_GLOBAL
 
 
-class Visitor:
-    """One visitor's log: times in seconds of accepted calls, wrong codes and misses."""
+class Gate:
+    """The rules in order of time, for any number of visitors. Logs hold times in seconds of accepted calls (hits), wrong codes (fails) and
+    lookups that find nothing (misses), ascending; what is older than the time to live is dropped, so that the cap over all visitors,
+    where it applies, bounds the logs."""
 
-    def __init__(self, limits: Limits, hits=(), fails=(), misses=()):
-        self.limits, self.hits, self.fails, self.misses = limits, list(hits), list(fails), list(misses)
+    def __init__(self, limits: Limits, overall: bool = False):
+        self.limits, self.overall = limits, overall
+        self.logs: dict[str, tuple[list[float], list[float], list[float]]] = {}
+        self.all: deque[float] = deque()
+        self._swept = 0.0
 
-    @staticmethod
-    def _within(log: list[float], now: float, seconds: int) -> int:
-        return sum(now - seconds < t <= now for t in log)
-
-    def call(self, now: float, code_ok: bool, missed: bool) -> str:
-        """The gate's answer. Rejected calls leave no hit; a wrong code leaves a hit and a fail; a lookup that finds nothing a miss."""
-        for log in (self.hits, self.fails, self.misses):
-            log[:] = [t for t in log if t >= now - EVENT_TTL_SECONDS]
-        rules = ((self.fails, self.limits.fail, "locked"), (self.misses, self.limits.miss, "locked"), (self.hits, self.limits.minute, "rate_limited"), (self.hits, self.limits.day, "daily_cap"))
-        for log, (most, seconds), answer in rules:
-            if self._within(log, now, seconds) >= most:
-                return answer
-        self.hits.append(now)
-        if not code_ok:
-            self.fails.append(now)
-            return "code_required"
-        if missed:
-            self.misses.append(now)
-        return "ok"
+    def log(self, ip: str) -> tuple[list[float], list[float], list[float]]:
+        return self.logs.setdefault(ip, ([], [], []))
 
+    def _sweep(self, now: float) -> None:
+        """Forgets visitors without calls within the time to live, once in that time."""
+        if now - self._swept > EVENT_TTL_SECONDS:
+            self.logs = {ip: logs for ip, logs in self.logs.items() if any(log and log[-1] >= now - EVENT_TTL_SECONDS for log in logs)}
+            self._swept = now
 
+    def record(self, ip: str, now: float, answer: str, missed: bool) -> None:
+        """What a call with this answer leaves: a rejected call nothing, a wrong code a hit and a fail, a lookup that finds nothing a hit and a miss."""
+        if answer not in ACCEPTED:
+            return
+        hits, fails, misses = self.log(ip)
+        hits.append(now)
+        if self.overall:
+            self.all.append(now)
+        if answer == "code_required":
+            fails.append(now)
+        elif missed:
+            misses.append(now)
+
+    def call(self, ip: str, now: float, code_ok: bool, missed: bool) -> str:
+        self._sweep(now)
+        hits, fails, misses = logs = self.log(ip)
+        for log in logs:
+            if log and log[0] < now - EVENT_TTL_SECONDS:
+                del log[: bisect_left(log, now - EVENT_TTL_SECONDS)]
+        answer = "ok" if code_ok else "code_required"
+        for log, (most, seconds), said in ((fails, self.limits.fail, "locked"), (misses, self.limits.miss, "locked"), (hits, self.limits.minute, "rate_limited"), (hits, self.limits.day, "daily_cap")):
+            if len(log) - bisect_right(log, now - seconds) >= most:
+                return said
+        if self.overall:
+            most, seconds = self.limits.overall
+            while self.all and self.all[0] <= now - seconds:
+                self.all.popleft()
+            if len(self.all) >= most:
+                return "daily_cap"
+        self.record(ip, now, answer, missed)
+        return answer
+
+
+ACCEPTED = ("ok", "code_required")
 ANSWER = "request_id long, ip string, ts timestamp, answer string"
-_STATE = "hits array<double>, fails array<double>, misses array<double>"
+_STATE = "ips array<string>, kinds array<int>, times array<double>"
 
 
-def _answers(visitor: Visitor, pdf: pd.DataFrame, ip: str) -> pd.DataFrame:
-    pdf = pdf.sort_values(["ts", "request_id"], kind="stable")
-    said = [visitor.call(t.timestamp(), bool(ok), bool(missed)) for t, ok, missed in zip(pdf["ts"], pdf["code_ok"], pdf["missed"], strict=True)]
-    return pd.DataFrame({"request_id": pdf["request_id"], "ip": ip, "ts": pdf["ts"], "answer": said})
+def _answers(gate: Gate, pdf: pd.DataFrame) -> pd.DataFrame:
+    """Answers to calls that come in order; those with an answer already (a column `known`) only leave their marks."""
+    known = pdf["known"] if "known" in pdf else [None] * len(pdf)
+    said = []
+    for ip, t, ok, missed, before in zip(pdf["ip"], pdf["ts"], pdf["code_ok"], pdf["missed"], known, strict=True):
+        if before is None:
+            said.append(gate.call(ip, t.timestamp(), bool(ok), bool(missed)))
+        else:
+            gate.record(ip, t.timestamp(), before, bool(missed))
+            said.append(None)
+    out = pd.DataFrame({"request_id": pdf["request_id"], "ip": pdf["ip"], "ts": pdf["ts"], "answer": said})
+    return out[out["answer"].notna()]
 
 
 def gate_batch(requests: DataFrame, limits: Limits = Limits()) -> DataFrame:
-    """Answers to requests (request_id, ip, ts, code_ok, missed) of a whole log, each visitor's in order of time.
+    """Answers to requests (request_id, ip, ts, code_ok, missed) of a whole log by the rules of single visitors; the cap over all is left out.
 
-    The rules are sequential within a visitor: a rejected call does not count, so no window function can say them. The cap over all
-    visitors is the second step's: accepted calls before it are counted over time.
+    The rules are sequential within a visitor: a rejected call does not count, so no window function can say them. Each task walks
+    its visitors' calls in order, as they come from the sort, and holds one visitor's recent log at a time.
     """
 
-    def run(key, pdf):
-        return _answers(Visitor(limits), pdf, key[0])
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        gate, last = Gate(limits), None
+        for pdf in batches:
+            for ip, own in pdf.groupby("ip", sort=False, dropna=False):
+                if ip != last:
+                    gate, last = Gate(limits), ip
+                yield _answers(gate, own)
 
-    return requests.groupBy("ip").applyInPandas(run, ANSWER)
+    ordered = requests.select("request_id", F.coalesce("ip", F.lit("unknown")).alias("ip"), "ts", "code_ok", "missed").repartition("ip").sortWithinPartitions("ip", "ts", "request_id")
+    return ordered.mapInPandas(run, ANSWER)
 
 
-def overall_cap(answers: DataFrame, limits: Limits = Limits()) -> DataFrame:
-    """Answers with the cap over all visitors: a call after so many accepted ones within the day gets daily_cap instead.
+def gate_all(requests: DataFrame, limits: Limits = Limits()) -> DataFrame:
+    """The same with the cap over all visitors: once so many calls were accepted within the day, further ones get daily_cap, and leave nothing.
 
-    Accepted calls are counted by minute first and the trailing day is a window over minutes: one row a minute of the log, not a row
-    a call, meets in the window. The cap is exact to the minute in which it is reached.
+    Without the cap more calls are accepted than with it, so a minute before which the others' accepted calls stay under the cap even then
+    is settled by visitor, in parallel. From the first minute on where they might reach it, all calls go through one task in order of
+    time, since each answer depends on all before it; it streams, and holds the logs of two days of accepted calls, which the cap
+    bounds. The two days before that minute are replayed to it with their answers.
     """
+    calls = requests.select("request_id", F.coalesce("ip", F.lit("unknown")).alias("ip"), "ts", "code_ok", "missed")
+    free = stored(gate_batch(calls, limits), "answers")
     most, seconds = limits.overall
     minute = F.floor(F.unix_seconds(F.col("ts").cast("timestamp")) / 60)
-    df = answers.withColumn("_minute", minute)
-    accepted = df.filter(F.col("answer").isin("ok", "code_required")).groupBy("_minute").agg(F.count("*").alias("_n"))
-    day = Window.orderBy("_minute").rangeBetween(1 - seconds // 60, -1)
-    before = accepted.select("_minute", F.coalesce(F.sum("_n").over(day), F.lit(0)).alias("_before"))
-    df = df.join(before, "_minute", "left")
-    over = F.col("answer").isin("ok", "code_required") & (F.coalesce("_before", F.lit(0)) >= most)
-    return df.withColumn("answer", F.when(over, "daily_cap").otherwise(F.col("answer"))).drop("_minute", "_before")
-
-
-def gate_stream(requests: DataFrame, limits: Limits = Limits()) -> DataFrame:
-    """The same answers from a stream: one state a visitor, which is dropped after two days without calls."""
+    accepted = free.filter(F.col("answer").isin(*ACCEPTED)).groupBy(minute.alias("minute")).agg(F.count("*").alias("n"))
+    # A row a minute of the log meets in this window, not a row a call.
+    day = Window.orderBy("minute").rangeBetween(-(seconds // 60) - 1, 0)
+    first = accepted.withColumn("n", F.sum("n").over(day)).filter(F.col("n") >= most).agg(F.min("minute")).first()[0]
+    if first is None:
+        return free
+    begin = F.timestamp_seconds(F.lit(first * 60))
+    settled = free.filter(F.col("ts") < begin)
+    back = F.timestamp_seconds(F.lit(first * 60 - EVENT_TTL_SECONDS))
+    known = settled.filter(F.col("ts") >= back).select(F.col("request_id").alias("_id"), F.col("ip").alias("_ip"), F.col("ts").alias("_ts"), F.col("answer").alias("known"))
+    same = (F.col("request_id") == F.col("_id")) & (F.col("ip") == F.col("_ip")) & (F.col("ts") == F.col("_ts"))
+    replayed = calls.filter((F.col("ts") >= back) & (F.col("ts") < begin)).join(known, same).drop("_id", "_ip", "_ts")
+    rest = calls.filter(F.col("ts") >= begin).withColumn("known", F.lit(None).cast("string"))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        gate = Gate(limits, overall=True)
+        for pdf in batches:
+            yield _answers(gate, pdf)
+
+    late = replayed.unionByName(rest).repartition(1).sortWithinPartitions("ts", "request_id").mapInPandas(run, ANSWER)
+    return settled.unionByName(late)
+
+
+def gate_stream(requests: DataFrame, limits: Limits = Limits(), overall: bool = False) -> DataFrame:
+    """The same answers from a stream, calls of one batch in order of time: one state a visitor, which is dropped after two days without
+    calls. With overall, the cap over all visitors holds too and there is one state, whose logs the cap bounds."""
 
     def run(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:
             state.remove()
             return
-        visitor = Visitor(limits, *(state.get if state.exists else ((), (), ())))
+        gate = Gate(limits, overall)
+        for ip, kind, t in zip(*state.get, strict=True) if state.exists else ():
+            gate.log(ip)[kind].append(t)
+        gate.all = deque(sorted(t for hits, _, _ in gate.logs.values() for t in hits)) if overall else gate.all
         rows = list(batches)
         if rows:
-            yield _answers(visitor, pd.concat(rows), key[0])
-        state.update((visitor.hits, visitor.fails, visitor.misses))
+            yield _answers(gate, pd.concat(rows).sort_values(["ts", "request_id"], kind="stable"))
+        held = [(ip, kind, t) for ip, logs in gate.logs.items() for kind, log in enumerate(logs) for t in log]
+        state.update(tuple(zip(*held, strict=True)) if held else ((), (), ()))
         state.setTimeoutDuration(EVENT_TTL_SECONDS * 1000)
 
-    return requests.groupBy("ip").applyInPandasWithState(run, ANSWER, _STATE, "append", GroupStateTimeout.ProcessingTimeTimeout)
+    keyed = requests.withColumn("ip", F.coalesce("ip", F.lit("unknown")))
+    keyed = keyed.withColumn("_all", F.lit("all")).groupBy("_all") if overall else keyed.groupBy("ip")
+    return keyed.applyInPandasWithState(run, ANSWER, _STATE, "append", GroupStateTimeout.ProcessingTimeTimeout)
 
 
 def windowed_counts(stream: DataFrame, ts: str = "ts", kind: str = "event_type", length: str = "15 minutes", slide: str = "5 minutes", late: str = "30 minutes") -> DataFrame:

@@ -35,6 +35,16 @@ def test_query(spark, sql, data, name):
     assert got == want
 
 
+def test_gate_answers_are_those_of_the_definition(spark, data):
+    from test_resolve_and_gate import simulated
+
+    from talus.streaming import gate
+
+    rows = [(r.event_id, str(r.user_id), r.ts, r.event_type != "error", r.event_type == "click") for r in spark.read.parquet(f"{data}/events.parquet").collect()]
+    limits = gate.Limits(fail=(3, 86400), miss=(6, 86400), minute=(2, 600), day=(12, 86400), overall=(3000, 86400))
+    assert {r.request_id: r.answer for r in queries()["gate_answers"](spark, data).collect()} == simulated(rows, limits)
+
+
 def test_entry(spark):
     import __spark_entry__
 

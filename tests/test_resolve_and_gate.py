@@ -1,5 +1,7 @@
 import datetime as dt
+import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from talus.operators import lookup, marts, resolve
@@ -73,19 +75,66 @@ def test_gate_rules(spark):
     assert said[29:44] == ["ok"] * 15 and said[44] == "locked"
 
 
-def test_overall_cap(spark):
-    df = spark.createDataFrame(calls(*[(f"v{k}", 61 * k, True, False) for k in range(8)]), CALL)
-    limits = gate.Limits(overall=(5, 86400))
-    got = {r.request_id: r.answer for r in gate.overall_cap(gate.gate_batch(df, limits), limits).collect()}
-    assert [got[k] for k in range(8)] == ["ok"] * 5 + ["daily_cap"] * 3
+def simulated(rows, limits):
+    """The rules by their definition, one call after the other."""
+    hits, events, said = [], [], {}
+    for k, ip, t, ok, missed in sorted(rows, key=lambda r: (r[2], r[0])):
+        within = lambda log, kind, rule, own: sum(a > t - dt.timedelta(seconds=rule[1]) and (not own or i == ip) and (kind is None or x == kind) for a, i, x in log)  # noqa: B023, E731
+        answer = None
+        for log, kind, rule, own, name in ((events, "fail", limits.fail, 1, "locked"), (events, "miss", limits.miss, 1, "locked"), (hits, None, limits.minute, 1, "rate_limited"), (hits, None, limits.day, 1, "daily_cap"), (hits, None, limits.overall, 0, "daily_cap")):
+            if answer is None and within(log, kind, rule, own) >= rule[0]:
+                answer = name
+        if answer is None:
+            hits.append((t, ip, None))
+            answer = "ok" if ok else "code_required"
+            if not ok or missed:
+                events.append((t, ip, "miss" if ok else "fail"))
+        said[k] = answer
+    return said
+
+
+def test_overall_cap_lifts(spark):
+    rows = calls(*[(f"v{k}", 61 * k, True, False) for k in range(30)])
+    limits = gate.Limits(overall=(5, 600))
+    got = {r.request_id: r.answer for r in gate.gate_all(spark.createDataFrame(rows, CALL), limits).collect()}
+    assert got == simulated(rows, limits)
+    assert [got[k] for k in range(12)] == ["ok"] * 5 + ["daily_cap"] * 5 + ["ok"] * 2
+
+
+@pytest.mark.parametrize("cap", [3, 12, 40, 10_000])
+def test_gate_like_the_definition(spark, cap):
+    """Days of calls of few visitors, with the cap reached early, late, again and again, or never."""
+    rng = random.Random(cap)
+    at, rows = 0.0, []
+    for k in range(600):
+        at += rng.choice([0, 0.5, 7, 60, 900, 4000])
+        rows.append((f"u{rng.randint(0, 6)}", at, rng.random() > 0.2, rng.random() < 0.3))
+    rows = calls(*rows)
+    limits = gate.Limits(fail=(2, 900), miss=(4, 3600), minute=(3, 60), day=(20, 86400), overall=(cap, 86400))
+    got = {r.request_id: r.answer for r in gate.gate_all(spark.createDataFrame(rows, CALL), limits).collect()}
+    assert got == simulated(rows, limits)
+    assert len(set(got.values())) >= 3
+
+
+def test_gate_stream_with_the_overall_cap(spark, tmp_path):
+    rows = calls(*[(f"u{k % 5}", 40 * k, k % 4 != 0, k % 5 == 0) for k in range(90)])
+    limits = gate.Limits(overall=(12, 900))
+    for part in (rows[:40], rows[40:]):
+        spark.createDataFrame(part, CALL).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    stream = ingest.new_files(spark, str(tmp_path / "in"), spark.read.parquet(str(tmp_path / "in")).schema)
+    q = gate.gate_stream(stream, limits, overall=True).writeStream.format("memory").queryName("capped").outputMode("append").option("checkpointLocation", str(tmp_path / "cp")).start()
+    q.processAllAvailable()
+    q.stop()
+    assert {r.request_id: r.answer for r in spark.table("capped").collect()} == simulated(rows, limits)
 
 
 def test_gate_stream_like_batch(spark, tmp_path):
     rows = calls(*[(f"u{k % 3}", 7 * k, k % 4 != 0, k % 5 == 0) for k in range(120)])
     spark.createDataFrame(rows, CALL).coalesce(1).write.parquet(str(tmp_path / "in"))
     stream = ingest.new_files(spark, str(tmp_path / "in"), spark.read.parquet(str(tmp_path / "in")).schema)
-    q = gate.gate_stream(stream).writeStream.format("memory").queryName("answers").outputMode("append").trigger(availableNow=True).option("checkpointLocation", str(tmp_path / "cp")).start()
-    q.awaitTermination(120)
+    q = gate.gate_stream(stream).writeStream.format("memory").queryName("answers").outputMode("append").option("checkpointLocation", str(tmp_path / "cp")).start()
+    q.processAllAvailable()
+    q.stop()
     want = {r.request_id: r.answer for r in gate.gate_batch(spark.createDataFrame(rows, CALL)).collect()}
     assert {r.request_id: r.answer for r in spark.table("answers").collect()} == want
 
