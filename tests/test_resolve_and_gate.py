@@ -1,5 +1,6 @@
 import datetime as dt
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -123,18 +124,25 @@ def test_gate_stream_with_the_overall_cap(spark, tmp_path):
         spark.createDataFrame(part, CALL).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
     stream = ingest.new_files(spark, str(tmp_path / "in"), spark.read.parquet(str(tmp_path / "in")).schema)
     q = gate.gate_stream(stream, limits, overall=True).writeStream.format("memory").queryName("capped").outputMode("append").option("checkpointLocation", str(tmp_path / "cp")).start()
-    q.processAllAvailable()
-    q.stop()
+    answered(spark, q, "capped", len(rows))
     assert {r.request_id: r.answer for r in spark.table("capped").collect()} == simulated(rows, limits)
 
 
+def answered(spark, q, name, n):
+    """Waits for n rows: with timeouts by the clock a query goes on without new data."""
+    for _ in range(240):
+        if q.exception() or spark.table(name).count() >= n:
+            break
+        time.sleep(0.5)
+    q.stop()
+
+
 def test_gate_stream_like_batch(spark, tmp_path):
     rows = calls(*[(f"u{k % 3}", 7 * k, k % 4 != 0, k % 5 == 0) for k in range(120)])
     spark.createDataFrame(rows, CALL).coalesce(1).write.parquet(str(tmp_path / "in"))
     stream = ingest.new_files(spark, str(tmp_path / "in"), spark.read.parquet(str(tmp_path / "in")).schema)
     q = gate.gate_stream(stream).writeStream.format("memory").queryName("answers").outputMode("append").option("checkpointLocation", str(tmp_path / "cp")).start()
-    q.processAllAvailable()
-    q.stop()
+    answered(spark, q, "answers", len(rows))
     want = {r.request_id: r.answer for r in gate.gate_batch(spark.createDataFrame(rows, CALL)).collect()}
     assert {r.request_id: r.answer for r in spark.table("answers").collect()} == want
 
