@@ -20,9 +20,6 @@ class Rule(NamedTuple):
 
 
 RULES = (Rule("allow", "org", "/"), Rule("block", "example.org", "/es/"), Rule("block", "example.org", "/en/1"), Rule("allow", "com", "/fr/"), Rule("block", "com", "/de/"))
-#: Words of hosts that sell or trap, as one block document beside the pages that rules label.
-BLOCK_WORDS = ("spam", "farm", "cheap", "pills", "casino", "poker", "bet", "porn", "xxx", "adult", "sex", "viagra", "loan", "payday", "replica", "warez", "torrent", "crack", "phish", "malware", "click", "bait", "free", "winner", "prize")
-LONGEST = 24
 #: Pages that the classifier is fitted on at most, chosen by the hash of their ids.
 TRAIN_PAGES = 50_000
 #: Pages of a block at most: each block is sent the costs and counts of its own words and tokens.
@@ -46,78 +43,68 @@ def matched(host: Column, path: Column, rules: Sequence[Rule]) -> tuple[Column,
     return rule, verdict
 
 
-def frequent(counts: DataFrame, most: int) -> DataFrame:
-    """The rows of counts with the highest n, `most` at most: all from a level of n (eight to each doubling) on. The levels' sizes, some
-    hundred rows, decide; rows are filtered where they are, none are sorted or sent round. The URL filter itself uses whole counts."""
-    counts = materialize(counts, "counts")
-    level = F.floor(F.log2(F.col("n").cast("double")) * 8)
-    left, least = most, None
-    for r in sorted(counts.groupBy(level.alias("level")).agg(F.count("*").alias("rows")).collect(), reverse=True):
-        left -= r["rows"]
-        if left < 0:
-            break
-        least = r["level"]
-    return counts.filter(level >= least if least is not None else F.lit(False))
-
-
 def word_counts(pages: DataFrame) -> DataFrame:
-    """word, n: all words of all pages' visible ASCII text."""
-    words = F.regexp_extract_all(F.lower(F.regexp_replace("html", r"(?s)<(script|style)\b.*?</\1>|<[^>]*>|&\w+;", " ")), F.lit(r"(?<![\p{L}\p{N}])([a-z]{2,24})(?![\p{L}\p{N}])"), 1)
+    """word, n: all words of two letters or more of all pages' visible text."""
+    plain = F.lower(F.regexp_replace("html", r"(?s)<(script|style)\b.*?</\1>|<[^>]*>|&\w+;", " "))
+    words = F.regexp_extract_all(plain, F.lit(r"(?<![\p{L}\p{N}])(\p{L}{2,})(?![\p{L}\p{N}])"), 1)
     return pages.filter(F.col("html").isNotNull()).select(F.explode(words).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
 
 
-def segment(name: str, costs: dict[str, float]) -> list[str]:
-    """The cheapest split of a name into words: Viterbi over unigram costs. A piece that is no known word costs
-    12 and 3 a character more; among equal costs the longer first word wins."""
+def segment(name: str, costs: dict[str, float], lengths: Sequence[int]) -> list[str]:
+    """The cheapest split of a name into words: Viterbi over unigram costs. lengths: those that words have, in order. A piece that is no
+    known word may have any length and costs 12 and 3 a character; among equal costs a known word wins, then the longer one."""
     n = len(name)
-    best: list[tuple[float, int]] = [(0.0, n)] * (n + 1)
+    best, end = [0.0] * (n + 1), [n] * (n + 1)
+    inside = [math.inf] * (n + 1)  # the least cost from here on, within an unknown piece
+    stop = [n] * (n + 1)
     for i in range(n - 1, -1, -1):
-        best[i] = min((costs.get(w := name[i:j], 12.0 + 3.0 * len(w)) + best[j][0], -j) for j in range(i + 1, min(n, i + LONGEST) + 1))
+        inside[i], stop[i] = (3.0 + best[i + 1], i + 1) if best[i + 1] <= inside[i + 1] else (3.0 + inside[i + 1], stop[i + 1])
+        cost, to = 12.0 + inside[i], stop[i]
+        for k in lengths:
+            if i + k > n:
+                break
+            known = costs.get(name[i : i + k])
+            if known is not None and known + best[i + k] <= cost:
+                cost, to = known + best[i + k], i + k
+        best[i], end[i] = cost, to
     words, i = [], 0
     while i < n:
-        j = -best[i][1]
-        words.append(name[i:j])
-        i = j
+        words.append(name[i : end[i]])
+        i = end[i]
     return words
 
 
-_PART = re.compile(r"[a-z]+|[0-9]+|[^\W\d_]+")
+_PART = re.compile(r"[0-9]+|[^\W\d_]+")
 
 
 def names(host: str, path: str) -> Iterator[tuple[str, str]]:
-    """(kind, name or digits) of the host's labels but the last (h:) and of the path (p:). Names over 256 characters come in pieces of
-    that length."""
-    for kind, text in (("h:", ".".join(host.split(".")[:-1])), ("p:", path.lower())):
+    """(kind, name or digits) of the host's labels but the last (h:) and of the path (p:), whole however long they are."""
+    for kind, text in (("h:", ".".join(host.split(".")[:-1]).lower()), ("p:", path.lower())):
         for part in _PART.findall(text):
-            if part[0].isdigit():
-                yield kind, part
-            else:
-                for lo in range(0, len(part), 256):
-                    yield kind, part[lo : lo + 256]
+            yield kind, part
 
 
-def candidates(name: str) -> set[str]:
+def candidates(name: str, lengths: Sequence[int]) -> set[str]:
     """What may be a word of the unigram model within a name."""
-    n = len(name)
-    return {w for i in range(n - 1) for j in range(i + 2, min(n, i + LONGEST) + 1) if (w := name[i:j]).isascii()}
+    return {name[i : i + k] for k in lengths for i in range(len(name) - k + 1)}
 
 
 class Segmenter:
     def __init__(self, costs: dict[str, float]):
-        self.costs, self.seen = costs, {}
+        self.costs, self.seen, self.lengths = costs, {}, sorted({len(w) for w in costs})
 
     def tokens(self, host: str, path: str) -> list[str]:
-        """h:word for the words of the host's labels but the last (t:label), p:word for the path's; digits are one token by length."""
+        """h:word for the words of the host's labels but the last (t:label), p:word for the path's; digits are one token by their number."""
         label = host.split(".")[-1]
         out = ["t:" + label] if label else []
         for kind, name in names(host, path):
             if name[0].isdigit():
-                out.append(f"{kind}#{min(len(name), 9)}")
+                out.append(f"{kind}#{len(name)}")
                 continue
             if name not in self.seen:
                 if len(self.seen) > 200_000:
                     self.seen.clear()
-                self.seen[name] = segment(name, self.costs)
+                self.seen[name] = segment(name, self.costs, self.lengths)
             out += [kind + w for w in self.seen[name]]
         return out
 
@@ -125,7 +112,8 @@ class Segmenter:
 def tokenized(parsed: DataFrame, counts: DataFrame) -> DataFrame:
     """parsed (host, path, block and others) with tokens. The words that occur anywhere in a block's names are joined with the counts, so every
     word has its cost and no task holds the model."""
-    total = counts.agg(F.sum("n")).first()[0] or 1
+    total, lengths = counts.agg(F.sum("n"), F.array_sort(F.collect_set(F.length("word")))).first()
+    total = total or 1
 
     def cut(batches):
         for b in batches:
@@ -133,7 +121,7 @@ def tokenized(parsed: DataFrame, counts: DataFrame) -> DataFrame:
             for block, host, path in zip(*(b.column(k).to_pylist() for k in range(3)), strict=True):
                 found.setdefault(block, set()).update(name for _, name in names(host, path) if not name[0].isdigit())
             for block, own in found.items():
-                words = set().union(*map(candidates, own))
+                words = set().union(*(candidates(name, lengths) for name in own))
                 yield pa.RecordBatch.from_arrays([pa.array([block] * len(words), pa.int64()), pa.array(list(words), pa.string())], ["block", "word"])
 
     def split(left: pa.Table, right: pa.Table) -> pa.Table:
@@ -148,36 +136,22 @@ def tokenized(parsed: DataFrame, counts: DataFrame) -> DataFrame:
 
 
 class Model:
-    """Log probabilities (allow, block), smoothed, from the counts of tokens.
-
-    sums: token, allow, block; under "" the documents. BLOCK_WORDS count as one block document more of their own weight.
-    """
+    """Log odds of block for each token, smoothed by one, from the counts of tokens (token, allow, block; under "" the pages)."""
 
     def __init__(self, sums: DataFrame):
-        own = {"h:" + w for w in BLOCK_WORDS}
-        few = {r["token"]: (r["allow"], r["block"]) for r in sums.filter(F.col("token").isin("", *own)).collect()}
-        allow, block, rows = sums.filter("token <> ''").agg(F.coalesce(F.sum("allow"), F.lit(0)), F.coalesce(F.sum("block"), F.lit(0)), F.count("*")).first()
-        documents = [x + 1.0 for x in few.pop("", (0, 0))]
-        self.weight = max(1.0, 0.01 * sum(documents))
-        self.own, size = own, rows + len(own - few.keys())
-        self.totals = (allow + size + 1, block + self.weight * len(own) + size + 1)
-        self.prior = tuple(math.log(x / sum(documents)) for x in documents)
-
-    def odds(self, token: str, counts: dict[str, tuple[int, int]]) -> float:
-        """Log odds of block for a token; tokens that are not in counts are unseen."""
-        allow, block = counts.get(token, (0, 0))
-        block += self.weight if token in self.own else 0
+        pages = sums.filter("token = ''").select("allow", "block").first() or (0, 0)
+        allow, block, size = sums.filter("token <> ''").agg(F.coalesce(F.sum("allow"), F.lit(0)), F.coalesce(F.sum("block"), F.lit(0)), F.count("*")).first()
+        self.totals = (allow + size + 1, block + size + 1)
+        self.prior = math.log((pages[1] + 1) / (pages[0] + 1))
+
+    def odds(self, allow: int, block: int) -> float:
         return math.log((block + 1) / self.totals[1]) - math.log((allow + 1) / self.totals[0])
 
 
 def fit(labelled: DataFrame) -> DataFrame:
-    """Counts (token, allow, block) of all tokens of the pages that a rule decides, under "" those of the pages.
-
-    labelled: tokens, ruled; a host with one of BLOCK_WORDS is learnt as block, whatever its rule allows.
-    """
-    verdict = F.when(F.arrays_overlap("tokens", F.array(*(F.lit("h:" + w) for w in BLOCK_WORDS))), "block").otherwise(F.col("ruled"))
-    rows = labelled.select(verdict.alias("verdict"), F.explode(F.concat(F.array(F.lit("")), "tokens")).alias("token"))
-    return rows.groupBy("token").agg(F.count_if(F.col("verdict") == "allow").alias("allow"), F.count_if(F.col("verdict") == "block").alias("block"))
+    """Counts (token, allow, block) of all tokens of the pages that a rule decides, under "" those of the pages; labelled: tokens, ruled."""
+    rows = labelled.select("ruled", F.explode(F.concat(F.array(F.lit("")), "tokens")).alias("token"))
+    return rows.groupBy("token").agg(F.count_if(F.col("ruled") == "allow").alias("allow"), F.count_if(F.col("ruled") == "block").alias("block"))
 
 
 def filter_urls(pages: DataFrame, rules: Sequence[Rule] = RULES) -> DataFrame:
@@ -185,7 +159,7 @@ def filter_urls(pages: DataFrame, rules: Sequence[Rule] = RULES) -> DataFrame:
 
     The longest rule that fits decides; else multinomial naive Bayes over the words into which Viterbi splits host and path,
     with block only where it is the likelier. A page without host and path is allowed. The classifier is fitted on pages that
-    rules decide (at most TRAIN_PAGES of them, by hash) and BLOCK_WORDS; the unigram model counts the words of all pages.
+    rules decide, whose verdicts are its labels (at most TRAIN_PAGES of them, by hash); the unigram model counts the words of all pages.
     Returns page_id, host, path, rule, verdict, score (log odds of block; null where a rule decides). Null urls, repeated rows
     and null ids are kept. Hosts and paths are shuffled by blocks of pages and meet the whole counts of their words and tokens there;
     nothing is broadcast by this module and no count is left out.
@@ -211,8 +185,8 @@ def filter_urls(pages: DataFrame, rules: Sequence[Rule] = RULES) -> DataFrame:
         for own in left.column("tokens").to_pylist():
             for t in own:
                 if t not in odds:
-                    odds[t] = model.odds(t, known)
-            out.append(sum(map(odds.__getitem__, own), model.prior[1] - model.prior[0]))
+                    odds[t] = model.odds(*known.get(t, (0, 0)))
+            out.append(sum(map(odds.__getitem__, own), model.prior))
         return left.select(columns).append_column("score", pa.array(out, pa.float64()))
 
     columns = ["page_id", "host", "path", "rule", "ruled"]
