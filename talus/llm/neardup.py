@@ -5,11 +5,16 @@ they are cut into CHUNKS chunks, and two signatures at a distance of at most ERR
 all one-error patterns of a chunk are enumerated by leaving out one of its symbols in turn, so that such a pair shares a key.
 Documents that meet under a key are candidates if their signatures are within ERRORS, or their finer sketches (more minima of 4 bits)
 near enough, which keeps true links beyond ERRORS too. Candidates are gathered to clusters, and in a cluster every pair that is not yet linked is tried on the full sets.
+
+Neither a key nor a cluster that very many documents share is one task's work, nor are all its pairs of blocks compared. It is cut into
+blocks; blocks are compared within themselves, then the first documents of what that connected, block by block and again while they become
+fewer; then pairs of blocks are left that hold different components (`across`). A group of copies is done after the first two steps.
 """
 
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Callable
 from math import comb
 
 import numpy as np
@@ -25,10 +30,14 @@ SYMBOLS, CHUNKS = 32, 8
 ERRORS = 2 * CHUNKS - 1
 #: 4-bit minima of the finer sketch, packed in 64-bit words.
 SKETCH = 64
-#: Documents that one task compares pair by pair; larger clusters are compared block against block.
-BLOCK = 512
-#: Clusters of one group of the last step, on average.
-GROUPS_OF = 64
+#: Documents of a cluster that are compared pair by pair at once; larger clusters are cut into such blocks.
+BLOCK = 128
+#: Documents with one key that are compared at once; more are cut into such blocks.
+KEY_BLOCK = 4096
+#: Rows of one task of such comparisons, on average.
+TASK_ROWS = 256
+#: Another round over first documents is made while it leaves at most this share of them.
+FEWER = 0.75
 
 _PER = SYMBOLS // CHUNKS
 _NIBBLE, _BYTE = U(0x1111111111111111), U(0x0101010101010101)
@@ -151,9 +160,9 @@ def forest(mk: np.ndarray, bound: int) -> list[tuple[int, int]]:
     return edges
 
 
-def link_all(sets: list[np.ndarray], percent: int, half: int | None = None) -> tuple[np.ndarray, list[tuple[int, int]]]:
-    """Roots of the rows and the forest of confirmed links. Pairs of one component are not tried again; of the others,
-    all whose sizes allow it are, on their full sets. With half, only pairs between rows before and from half on."""
+def link_all(sets: list[np.ndarray], percent: int, half: int | None = None, known: list | None = None) -> tuple[np.ndarray, list[tuple[int, int]]]:
+    """Roots of the rows and the forest of confirmed links. Pairs of one component (at first: with equal values in known) are not tried
+    again; of the others, all whose sizes allow it are, on their full sets. With half, only pairs between rows before and from half on."""
     n = len(sets)
     size = np.fromiter(map(len, sets), np.int64, n)
     flat = np.concatenate(sets) if n else np.zeros(0, U)
@@ -161,7 +170,8 @@ def link_all(sets: list[np.ndarray], percent: int, half: int | None = None) -> t
     flat = flat.ravel()
     edge = np.concatenate(([0], np.cumsum(size)))
     mark = np.zeros(len(universe), bool)
-    root, links = np.arange(n), []
+    root = np.arange(n) if known is None else np.unique(np.array(known, np.int64), return_inverse=True)[1].ravel()
+    links = []
     for i in range(n if half is None else half):
         lo = i + 1 if half is None else half
         others = np.arange(lo, n)
@@ -186,6 +196,81 @@ def link_all(sets: list[np.ndarray], percent: int, half: int | None = None) -> t
     return root, links
 
 
+def _dealt(groups: DataFrame, most: int, salt: int) -> DataFrame:
+    """Members (member, root, comp, k: the group's size) with the block of at most about `most` that each falls to, compared with itself."""
+    block = F.pmod(F.xxhash64("member", F.lit(salt)), F.ceil(F.col("k") / most)).cast("string")
+    return groups.select("member", "root", "comp", block.alias("part"), block.alias("left"), block.alias("right"))
+
+
+def _remaining(state: DataFrame, most: int) -> DataFrame:
+    """Members of groups (member, root, comp) once for each pair of blocks that hold different components. Components of `most` or more
+    members have blocks of their own, smaller ones lie whole in a common one."""
+    sizes = state.groupBy("root", "comp").agg(F.count("*").alias("c"))
+    small = sizes.groupBy("root").agg(F.coalesce(F.sum(F.when(F.col("c") < most, F.col("c"))), F.lit(0)).alias("s"))
+    own = F.col("c") >= most
+    home = F.when(own, F.col("comp").cast("string")).otherwise("-")
+    number = F.pmod(F.when(own, F.xxhash64("member")).otherwise(F.xxhash64("comp")), F.greatest(F.ceil(F.when(own, F.col("c")).otherwise(F.col("s")) / most), F.lit(1)))
+    placed = state.join(sizes, ["root", "comp"]).join(small, "root").withColumn("home", home).withColumn("part", F.concat_ws("/", "home", number.cast("string")))
+    placed = materialize(placed.select("member", "root", "comp", "home", "part"), "blocks")
+    blocks = placed.select("root", "home", "part").distinct()
+    left = blocks.select("root", F.col("home").alias("a"), F.col("part").alias("left"))
+    right = blocks.select("root", F.col("home").alias("b"), F.col("part").alias("right"))
+    pairs = left.join(right, "root").filter((F.col("left") <= F.col("right")) & ((F.col("a") != F.col("b")) | (F.col("a") == "-"))).select("root", "left", "right")
+    sides = pairs.withColumn("part", F.explode(F.array_distinct(F.array("left", "right"))))
+    return placed.drop("home").join(sides, ["root", "part"])
+
+
+def across(large: DataFrame, links: DataFrame, compare: Callable[[DataFrame], DataFrame], most: int) -> DataFrame:
+    """node, root of the components of links and of all pairs that compare finds between members of one group.
+
+    large: member, root (a group too large for one comparison, whose blocks have been compared within themselves: links). compare takes
+    members with root, comp, left, right and part (left or right) and gives links between those of blocks left and right.
+    The first member of each component stands for it as long as that makes components fewer; then all pairs of blocks with different components
+    are compared, so nothing is lost where links do not carry over.
+    """
+    star, salt, before = components(links), 0, None
+    while True:
+        found = star.select(F.col("node").alias("member"), F.col("root").alias("known"))
+        state = large.join(found, "member", "left").select("member", "root", F.coalesce("known", "member").alias("comp"))
+        first = state.groupBy("root", "comp").agg(F.min("member").alias("member"))
+        open_ = first.groupBy("root").agg(F.count("*").alias("k")).filter("k > 1")
+        heads = materialize(first.join(open_, "root"), "heads")
+        n = heads.count()
+        if not n:
+            return star
+        if salt and n > FEWER * before:
+            break
+        salt, before = salt + 1, n
+        star = components(_edges(star).union(compare(_dealt(heads, most, salt))))
+    state = state.join(heads.select("root").distinct(), "root", "left_semi")
+    return components(_edges(star).union(compare(_remaining(materialize(state, "open"), most))))
+
+
+def _edges(star: DataFrame) -> DataFrame:
+    return star.select(F.col("node").alias("a"), F.col("root").alias("b"))
+
+
+def _tasks(work: DataFrame, rows: int) -> DataFrame:
+    return work.withColumn("task", F.pmod(F.xxhash64("root", "left", "right"), F.lit(max(8, -(-rows // TASK_ROWS)))).cast("int"))
+
+
+def _comparisons(t: pa.Table) -> tuple[pa.Table, list[tuple[int, int, int | None]]]:
+    """The task's rows by comparison, and of each the ends and where its right block begins (None: one block)."""
+    names = ("root", "left", "right", "part", "member")
+    order = sorted(range(t.num_rows), key=list(zip(*(t.column(c).to_pylist() for c in names), strict=True)).__getitem__)
+    t = t.take(pa.array(order, pa.int64()))
+    of, part = list(zip(*(t.column(c).to_pylist() for c in names[:3]), strict=True)), t.column("part").to_pylist()
+    out, at = [], 0
+    while at < len(of):
+        end = at
+        while end < len(of) and of[end] == of[at]:
+            end += 1
+        _, left, right = of[at]
+        out.append((at, end, None if left == right else sum(p == left for p in part[at:end])))
+        at = end
+    return t, out
+
+
 def near_duplicates(docs: DataFrame, size: int = 3, percent: int = 85) -> DataFrame:
     """Groups of documents linked by a Jaccard similarity of at least percent / 100 of their word shingles.
 
@@ -195,7 +280,7 @@ def near_duplicates(docs: DataFrame, size: int = 3, percent: int = 85) -> DataFr
     linked either and is kept. Rows that share an id are one node of the links.
 
     Equal sets are brought together first by a fingerprint; one document stands for each. Keys, sketches and signatures are shuffled, not
-    texts; only texts of clusters with more than one set are. Clusters over BLOCK documents are split into pairs of blocks, each a task.
+    texts; only texts of clusters with more than one set are. Keys of over KEY_BLOCK sets and clusters of over BLOCK are dealt in blocks.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
     bound = sketch_bound(percent / 100)
@@ -252,48 +337,54 @@ def near_duplicates(docs: DataFrame, size: int = 3, percent: int = 85) -> DataFr
         pairs = pairs[pairs[:, 0] != pairs[:, 1]]
         yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
 
+    def meet_blocks(t: pa.Table) -> pa.Table:
+        t, ranges = _comparisons(t)
+        member = t.column("member").to_numpy()
+        mk = np.frombuffer(b"".join(t.column("marks").to_pylist()), "<u8").reshape(t.num_rows, -1)
+        pairs = np.array([(lo + p, lo + q) for lo, hi, _ in ranges for p, q in forest(mk[lo:hi], bound)], np.int64).reshape(-1, 2)
+        return pa.table([pa.array(member[pairs[:, 0]]), pa.array(member[pairs[:, 1]])], names=["a", "b"])
+
+    def compare_marks(work: DataFrame) -> DataFrame:
+        work = materialize(work, "marked")
+        rows = work.count()
+        marked = firsts.select(F.col("rep").alias("member"), "marks").join(small_side(work, rows), "member")
+        return _tasks(marked, rows // 8).groupBy("task").applyInArrow(meet_blocks, "a long, b long")
+
     keyed = firsts.select(F.explode("keys").alias("key"), F.col("rep").alias("doc_id"), "marks")
-    candidates = keyed.repartition("key").mapInArrow(meet, "a long, b long")
-    clusters = components(candidates)
-    members = clusters.join(clusters.groupBy("root").agg(F.count("*").alias("n")), "root").withColumnRenamed("node", "member")
-    # Blocks of a cluster by hash; a task for each pair of blocks, of which small clusters have one.
-    parts = F.ceil(F.col("n") / BLOCK).cast("int")
-    part = F.pmod(F.xxhash64("member", F.lit("part")), F.col("parts")).cast("int")
-    members = members.withColumn("parts", parts).withColumn("part", part)
-    other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
-    members = members.withColumn("with", other).select("member", "root", "part", F.least("part", "with").alias("left"), F.greatest("part", "with").alias("right"), "parts")
-    members = materialize(members, "members")
-    rows = members.count()
-    texts = base.filter("doc_id IS NOT NULL AND text IS NOT NULL").select(F.col("doc_id").cast("long").alias("member"), "text", F.xxhash64("text").alias("th"))
-    work = texts.join(small_side(members, rows), "member")
-    tasks = max(8, -(-rows // (4 * GROUPS_OF)))
-    work = work.withColumn("task", F.pmod(F.xxhash64("root", "left", "right"), F.lit(tasks)).cast("int"))
+    hot = materialize(keyed.groupBy("key").agg(F.count("*").alias("k")).filter(F.col("k") > KEY_BLOCK), "hot_keys")
+    hots = hot.count()
+    if hots:
+        keyed = keyed.join(small_side(hot, hots), "key", "left")
+        block = F.pmod(F.xxhash64("doc_id"), F.ceil(F.col("k") / KEY_BLOCK))
+        dealt = keyed.withColumn("key", F.when(F.col("k").isNull(), F.col("key")).otherwise(F.xxhash64("key", block))).select("key", "doc_id", "marks")
+        candidates = dealt.repartition("key").mapInArrow(meet, "a long, b long")
+        large = materialize(keyed.filter("k IS NOT NULL").select(F.col("doc_id").alias("member"), F.col("key").alias("root")), "in_hot_keys")
+        clusters = across(large, candidates, compare_marks, KEY_BLOCK)
+    else:
+        clusters = components(keyed.repartition("key").mapInArrow(meet, "a long, b long"))
+    sizes = clusters.groupBy("root").agg(F.count("*").alias("k"))
+    members = materialize(clusters.join(sizes, "root").select(F.col("node").alias("member"), "root", F.col("node").alias("comp"), "k"), "members")
+    texts = base.filter("doc_id IS NOT NULL AND text IS NOT NULL").select(F.col("doc_id").cast("long").alias("member"), "text")
 
     def confirm(t: pa.Table) -> pa.Table:
-        order = sorted(range(t.num_rows), key=list(zip(*(t.column(c).to_pylist() for c in ("root", "left", "right", "part", "member")), strict=True)).__getitem__)
-        t = t.take(pa.array(order, pa.int64())) if order else t
-        cluster = list(zip(*(t.column(c).to_pylist() for c in ("root", "left", "right")), strict=True))
-        part, member = t.column("part").to_pylist(), t.column("member").to_pylist()
+        t, ranges = _comparisons(t)
+        member, comp = t.column("member").to_pylist(), t.column("comp").to_pylist()
         texts = encoded(t.column("text").to_pylist())
         sets: list[np.ndarray] = []
         for lo, hi in passes(texts):
             h, edges = shingles(Words(texts[lo:hi], lower=True), size)
             sets += [h[edges[i] : edges[i + 1]] for i in range(hi - lo)]
-        a, b, at = [], [], 0
-        while at < len(cluster):
-            end = at
-            while end < len(cluster) and cluster[end] == cluster[at]:
-                end += 1
-            _, left, right = cluster[at]
-            half = None if left == right else sum(p == left for p in part[at:end])
-            _, links = link_all(sets[at:end], percent, half)
-            a += [member[at + i] for i, _ in links]
-            b += [member[at + j] for _, j in links]
-            at = end
-        return pa.table([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
-
-    links = work.select("task", "member", "root", "left", "right", "part", "text").groupBy("task").applyInArrow(confirm, "a long, b long")
-    linked = components(links)
+        pairs = [(lo + i, lo + j) for lo, hi, half in ranges for i, j in link_all(sets[lo:hi], percent, half, comp[lo:hi])[1]]
+        return pa.table([pa.array([member[i] for i, _ in pairs], pa.int64()), pa.array([member[j] for _, j in pairs], pa.int64())], names=["a", "b"])
+
+    def compare_sets(work: DataFrame, texts: DataFrame = texts) -> DataFrame:
+        work = materialize(work, "compared")
+        rows = work.count()
+        return _tasks(texts.join(small_side(work, rows), "member"), rows).groupBy("task").applyInArrow(confirm, "a long, b long")
+
+    links = compare_sets(_dealt(members, BLOCK, 0))
+    large = materialize(members.filter(F.col("k") > BLOCK).select("member", "root"), "large")
+    linked = across(large, links, compare_sets, BLOCK) if large.count() else components(links)
     ids = reps.join(linked.withColumnRenamed("node", "rep"), "rep", "left").select(F.col("doc_id").alias("of"), F.col("fp").alias("of_fp"), F.coalesce("root", "rep").alias("component_id")).distinct()
     out = signed.join(ids, (F.col("doc_id") == F.col("of")) & (F.col("fp") == F.col("of_fp")), "left")
     component = F.coalesce("component_id", F.col("doc_id").cast("long"))

@@ -5,6 +5,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from talus.llm import neardup
 from talus.llm.graph import components
@@ -65,6 +66,34 @@ def test_blocks_of_a_large_cluster(spark, monkeypatch):
     assert got == brute(rows, 3, 85)
 
 
+def test_blocks_of_keys_that_many_documents_share(spark, monkeypatch):
+    monkeypatch.setattr(neardup, "BLOCK", 7)
+    monkeypatch.setattr(neardup, "KEY_BLOCK", 5)
+    rows = corpus(5)
+    df = spark.createDataFrame(rows, "doc_id int, text string")
+    got = {r[0]: tuple(r)[1:] for r in neardup.near_duplicates(df).collect()}
+    assert got == brute(rows, 3, 85)
+
+
+@pytest.mark.parametrize("most", [3, 50])
+def test_across_finds_every_link_of_a_group(spark, most):
+    """Links that do not carry over: two members may be linked although nothing that they are connected with is."""
+    rng = random.Random(most)
+    groups = [(g * 1000 + k, g) for g, n in ((1, 120), (2, 61), (3, 4)) for k in range(n)]
+    true = {tuple(sorted(rng.sample([m for m, r in groups if r == g], 2))) for g, n in ((1, 70), (2, 100), (3, 2)) for _ in range(n)}
+    true |= {(2000, 2000 + k) for k in range(1, 30)}
+    links = spark.createDataFrame(sorted(true), "x long, y long")
+
+    def compare(work):
+        one, two = (work.select(F.col("member").alias(n), "root", "left", "right", F.col("part").alias(f"p{n}")) for n in "ab")
+        both = one.join(two, ["root", "left", "right"]).filter("(pa = left AND pb = right) OR (pb = left AND pa = right)")
+        return both.join(links, (F.col("a") == F.col("x")) & (F.col("b") == F.col("y"))).select("a", "b")
+
+    large = spark.createDataFrame(groups, "member long, root long")
+    got = {r.node: r.root for r in neardup.across(large, spark.createDataFrame([], "a long, b long"), compare, most).collect()}
+    assert got == {r.node: r.root for r in components(links.toDF("a", "b")).collect()}
+
+
 def test_nulls_repeats_and_other_columns(spark):
     rows = [(None, "a b c d", 1), (None, "a b c d", 2), (5, "a b c d", 3), (5, "a b c d", 3), (6, "A b c d", 4)]
     df = spark.createDataFrame(rows, "doc_id long, text string, component_id int")
