@@ -31,7 +31,16 @@ TYPE_PATTERNS = (("ipo_refund", "refund"), ("right", r"right\s*share|rights?\s*i
 
 _ACCENTED = "ÀÁÂÃÄÅÇÈÉÊËÌÍÎÏÑÒÓÔÕÖÙÚÛÜÝàáâãäåçèéêëìíîïñòóôõöùúûüýÿ"
 _PLAIN = "AAAAAACEEEEIIIINOOOOOUUUUYaaaaaaceeeeiiiinooooouuuuyy"
-_BENGALI_DIGITS = "".join(chr(0x9E6 + k) for k in range(10))
+_BENGALI_DIGITS = "০১২৩৪৫৬৭৮৯"
+#: Latin spellings of Bengali letters and signs; what is joined without a letter of its own is empty.
+BENGALI = {
+    "ঁ": "N", "ং": "N", "ঃ": "H", "অ": "a", "আ": "aa", "ই": "i", "ঈ": "ii", "উ": "u", "ঊ": "uu", "ঋ": "R", "ঌ": "RR", "এ": "e", "ঐ": "ai",
+    "ও": "o", "ঔ": "au", "ক": "k", "খ": "kh", "গ": "g", "ঘ": "gh", "ঙ": "ng", "চ": "c", "ছ": "ch", "জ": "j", "ঝ": "jh", "ঞ": "ny", "ট": "tt",
+    "ঠ": "tth", "ড": "dd", "ঢ": "ddh", "ণ": "nn", "ত": "t", "থ": "th", "দ": "d", "ধ": "dh", "ন": "n", "প": "p", "ফ": "ph", "ব": "b", "ভ": "bh",
+    "ম": "m", "য": "y", "র": "r", "ল": "l", "শ": "sh", "ষ": "ss", "স": "s", "হ": "h", "\u09bc": "'", "া": "aa", "ি": "i", "ী": "ii", "ু": "u",
+    "ূ": "uu", "ৃ": "R", "ৄ": "RR", "ে": "e", "ৈ": "ai", "ো": "o", "ৌ": "au", "্": "", "ৎ": "", "ৗ": "+", "\u09dc": "rr", "\u09dd": "rh",
+    "\u09df": "yy", "০": "0", "১": "1", "২": "2", "৩": "3", "৪": "4", "৫": "5", "৬": "6", "৭": "7", "৮": "8", "৯": "9", "\u200c": "", "\u200d": "",
+}
 
 
 def fold_digits(c: Column) -> Column:
@@ -68,9 +77,15 @@ def dividend_type(text: Column, default: Column | None = None) -> Column:
     return when.when(s.rlike("cash|dividend|unclaim|unpaid"), "cash") if default is None else when.otherwise(default)
 
 
+def latin(c: Column) -> Column:
+    """Bengali letters spelt in Latin ones; texts without them as they are."""
+    spelt = F.create_map(*[F.lit(x) for pair in BENGALI.items() for x in pair])
+    return F.when(c.rlike("[\u0980-\u09ff]"), F.array_join(F.transform(F.split(c, ""), lambda t: F.coalesce(F.try_element_at(spelt, t), t)), "")).otherwise(c)
+
+
 def name_tokens(c: Column) -> Column:
-    """Upper-case words of a name: accents off, synonyms mapped, titles dropped (repeats stay)."""
-    plain = F.upper(F.translate(F.coalesce(c, F.lit("")), _ACCENTED, _PLAIN))
+    """Upper-case words of a name: Bengali in Latin letters, accents off, synonyms mapped, titles dropped (repeats stay)."""
+    plain = F.upper(F.translate(latin(F.coalesce(c, F.lit(""))), _ACCENTED, _PLAIN))
     words = F.filter(F.split(F.regexp_replace(plain, "[^A-Z0-9 ]+", " "), " +"), lambda t: (t != "") & ~t.isin(*TITLES))
     same = F.create_map(*[F.lit(x) for pair in SYNONYMS.items() for x in pair])
     return F.transform(words, lambda t: F.coalesce(F.try_element_at(same, t), t))
@@ -137,18 +152,31 @@ def drive_id(url: Column) -> Column:
     return F.coalesce(of("/d/([A-Za-z0-9_-]{10,})"), of("[?&]id=([A-Za-z0-9_-]{10,})"))
 
 
+def without_dots(url: Column) -> Column:
+    """A url whose path has no `.` and `..` segments: `..` takes the segment before it away, if there is one."""
+    head = F.regexp_extract(url, "^([a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*)", 1)
+    path = F.regexp_extract(url, "^[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*(/[^?#]*)", 1)
+    rest = F.regexp_extract(url, "^[^?#]*(.*)$", 1)
+    parts = F.split(F.substring(path, 2, 1 << 30), "/")
+    none = F.array().cast("array<string>")
+    kept = F.aggregate(parts, none, lambda a, s: F.when(s == "..", F.slice(a, F.lit(1), F.greatest(F.size(a) - 1, F.lit(0)))).when(s == ".", a).otherwise(F.concat(a, F.array(s))))
+    end = F.when(F.element_at(parts, -1).isin(".", "..") & (F.size(kept) > 0), "/").otherwise("")
+    return F.when(path.rlike(r"/\.\.?(/|$)"), F.concat(head, F.lit("/"), F.array_join(kept, "/"), end, rest)).otherwise(url)
+
+
 def joined_url(base: Column, link: Column) -> Column:
-    """A link seen from its page: absolute, scheme-relative, from the host's root, a query, or from the page's folder."""
+    """A link seen from its page: absolute, scheme-relative, from the host's root, a query, or from the page's folder; dot segments are folded
+    in what is joined."""
     origin = F.regexp_extract(base, r"^([a-z][a-z0-9+.-]*://[^/?#]*)", 1)
     page = F.regexp_extract(base, r"^([^?#]*)", 1)
     folder = F.when(page.rlike(r"^[a-z][a-z0-9+.-]*://[^/]*/"), F.regexp_extract(page, "^(.*/)", 1)).otherwise(F.concat(page, F.lit("/")))
     return (
         F.when(link.rlike(r"^[a-zA-Z][a-zA-Z0-9+.-]*:"), link)
         .when(link.startswith("//"), F.concat(F.regexp_extract(base, "^([a-z][a-z0-9+.-]*:)", 1), link))
-        .when(link.startswith("/"), F.concat(origin, link))
+        .when(link.startswith("/"), without_dots(F.concat(origin, link)))
         .when(link.startswith("?"), F.concat(page, link))
         .when(link.startswith("#"), F.concat(F.regexp_extract(base, "^([^#]*)", 1), link))
-        .otherwise(F.concat(folder, link))
+        .otherwise(without_dots(F.concat(folder, link)))
     )
 
 

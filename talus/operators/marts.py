@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from ..functions.scalars import has_tag
-from ..schemas import NAME_VARIANTS, OUT_OF_CASH, TOP_CASH, TOP_COMPANIES, UNVERIFIED
+from ..functions.scalars import folio_key, has_tag, tokens
+from ..schemas import LOOKUP_ITEM, NAME_VARIANTS, OUT_OF_CASH, TOP_CASH, TOP_COMPANIES, UNVERIFIED
 
 
 def most_common(df: DataFrame, by: str, column: str) -> DataFrame:
@@ -56,6 +56,53 @@ def publishable(items: DataFrame, flags_kept: tuple[str, ...] = ("dup_row", "ins
     return items.filter("bo_id <> '' OR folio_no <> ''").withColumn("verified", ~has_tag(F.col("tags"), *UNVERIFIED)).withColumn("flags", F.array_join(kept, ";"))
 
 
+def lookup_items(items: DataFrame, most: int | None = None) -> DataFrame:
+    """Published items in the layout of LOOKUP_ITEM; those with an account have no folio. most: an upload of that many rows for trial."""
+    published = publishable(items, (*UNVERIFIED, "ocr", "dup_row", "institution"))
+    folio = lambda c: F.when(F.coalesce("bo_id", F.lit("")) == "", c).otherwise("")
+    own = {"folio_key": folio(folio_key(F.col("folio_no"))), "folio_no": folio(F.col("folio_no")), "year": F.col("dividend_year"), "dtype": F.col("dividend_type")}
+    df = published.select(*(own.get(f.name, F.col(f.name)).cast(f.dataType).alias(f.name) for f in LOOKUP_ITEM.fields))
+    return df if most is None else df.limit(most)
+
+
+def with_document_url(items: DataFrame, documents: DataFrame) -> DataFrame:
+    """items with the url of their document (id, url); null without one. Documents are unique by id."""
+    return items.join(documents.select(F.col("id").alias("doc_id"), "url"), "doc_id", "left")
+
+
+def with_constants(items: DataFrame, currency: str) -> DataFrame:
+    """items with columns that the listings never give."""
+    return items.withColumns({"currency": F.lit(currency), "father_or_spouse": F.lit(""), "address": F.lit("")})
+
+
+def with_row_json(rows: DataFrame, columns: tuple[str, ...] = ("line",)) -> DataFrame:
+    """rows with raw_row_json: an object of the columns, nulls kept."""
+    return rows.withColumn("raw_row_json", F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}))
+
+
+def unfinished(documents: DataFrame) -> DataFrame:
+    return documents.filter(F.col("status").isin("failed", "partial"))
+
+
+def clean_rows(rows: DataFrame) -> DataFrame:
+    """Rows without issues that have an amount and a name: those that a spot check is drawn from."""
+    return rows.filter((F.coalesce("issues", F.lit("")) == "") & F.col("net_amount").isNotNull() & (F.coalesce("holder_name_raw", F.lit("")) != ""))
+
+
+def service_info(items: DataFrame, group: str, updated: str) -> DataFrame:
+    """One row: how many companies there are and when they were last updated."""
+    return items.agg(F.count_distinct(group).alias("companies"), F.max(updated).alias("updated"))
+
+
+def companies_of(items: DataFrame, group: str) -> DataFrame:
+    return items.select(group).distinct().orderBy(group)
+
+
+def sums_by(df: DataFrame, by: list[str], measure: str, places: int = 2) -> DataFrame:
+    """Count and sum of each group, in the groups' order."""
+    return df.groupBy(*by).agg(F.count("*").alias("n"), F.round(F.sum(measure), places).alias("total")).orderBy(*by)
+
+
 def value_counts(df: DataFrame, *columns: str) -> DataFrame:
     return df.groupBy(*columns).agg(F.count("*").alias("n"))
 
@@ -96,6 +143,28 @@ def found_on_page(rows: DataFrame, pages: DataFrame, columns: list[str]) -> Data
     return df.withColumn("on_page", ok).drop("_text")
 
 
+def spot_check(rows: DataFrame, pages: DataFrame) -> DataFrame:
+    """rows (doc_id, page, holder_name_raw, net_amount, bo_id, folio_no) with name_ok, amount_ok, id_ok and good, held against the page's text.
+
+    The name's first two words stand there in any case; the amount with or without commas, or its whole part; the account, else the folio,
+    spaces apart. A row without an identity needs none; one whose page is missing is not good.
+    """
+    text = F.regexp_replace(F.coalesce("text", F.lit("")), r"\s+", " ")
+    df = rows.join(pages.select("doc_id", "page", text.alias("_text")), ["doc_id", "page"], "left").withColumn("_text", F.coalesce("_text", F.lit("")))
+    start = F.lower(F.array_join(F.slice(tokens(F.col("holder_name_raw")), 1, 2), " "))
+    printed = [F.format_string(f, "net_amount") for f in ("%,.2f", "%.2f")] + [F.col("net_amount").cast("long").cast("string")]
+    identity = F.replace(F.coalesce(F.nullif("bo_id", F.lit("")), "folio_no", F.lit("")), F.lit(" "), F.lit(""))
+    amount = F.lit(False)
+    for p in printed:
+        amount = amount | F.contains(F.col("_text"), p)
+    df = df.withColumns({
+        "name_ok": (start != "") & F.contains(F.lower("_text"), start),
+        "amount_ok": F.col("net_amount").isNotNull() & F.coalesce(amount, F.lit(False)),
+        "id_ok": F.contains(F.replace("_text", F.lit(" "), F.lit("")), identity),
+    })
+    return df.withColumn("good", F.col("name_ok") & F.col("amount_ok") & F.col("id_ok")).drop("_text")
+
+
 def running_number(df: DataFrame, order: list, name: str, pattern: str = "R%06d") -> DataFrame:
     """Numbers a small, capped table (such as a review queue) in order."""
     return df.withColumn(name, F.format_string(pattern, F.row_number().over(Window.orderBy(*order))))

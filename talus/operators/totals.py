@@ -93,6 +93,14 @@ def year_scores(sums: DataFrame, values: DataFrame) -> DataFrame:
     return out.select("doc_id", "years", "hits", F.coalesce(upper_median(F.col("_e")), F.lit(9e9)).alias("median_error"), "near_share")
 
 
+def year_report(sums: DataFrame, values: DataFrame) -> DataFrame:
+    """doc_id, year, n, v, nearest, verdict (OK or BAD) of sums by year (doc_id, year, n, v) against candidates (doc_id, candidates):
+    OK within TOTAL_TOLERANCE of the nearest candidate; BAD without one, or if it is 0."""
+    df = sums.join(values, "doc_id", "left").withColumn("nearest", nearest(F.col("candidates"), F.col("v")))
+    ok = F.coalesce((F.col("nearest") != 0) & (F.abs(F.col("nearest") - F.col("v")) <= TOTAL_TOLERANCE * F.col("nearest")), F.lit(False))
+    return df.select("doc_id", "year", "n", "v", "nearest", F.when(ok, "OK").otherwise("BAD").alias("verdict"))
+
+
 def choose_method(scores: DataFrame, years: DataFrame) -> DataFrame:
     """doc_id, method, check, error, extracted, rows, approximate: the extractor that each document's rows are taken from.
 

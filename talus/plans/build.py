@@ -40,11 +40,11 @@ def choose_rows(rows: DataFrame, stats: DataFrame) -> tuple[DataFrame, DataFrame
     return rows.join(choice.select("doc_id", "method"), ["doc_id", "method"]), choice
 
 
-def build(manifest: DataFrame, pages: DataFrame) -> dict[str, DataFrame]:
+def build(manifest: DataFrame, pages: DataFrame, documents_only: bool = False) -> dict[str, DataFrame]:
     """documents, items, holders, holder_items, top_holders, review_queue, settled_claims.
 
     manifest: position, id, company, title, role, status, sha256, error, pdf_kind. pages: doc_id, page, text. Shuffles are by document until
-    rows are chosen, then by holder key, block and claim keys; nothing is collected.
+    rows are chosen, then by holder key, block and claim keys; nothing is collected. documents_only stops at the documents.
     """
     files = resolve.mark_duplicate_files(manifest)
     present = pages.select(F.col("doc_id").alias("id")).distinct().withColumn("extracted", F.lit(True))
@@ -59,6 +59,8 @@ def build(manifest: DataFrame, pages: DataFrame) -> dict[str, DataFrame]:
     verdict = stored(totals.document_verdict(guarded, stats), "verdicts")
     documents = routed.select("id", "company", "title", "role", "route", "reason").join(verdict.withColumnRenamed("doc_id", "id"), "id", "left").join(choice.select(F.col("doc_id").alias("id"), F.col("method").alias("extraction_method"), "approximate"), "id", "left")
     documents = documents.withColumn("status", F.coalesce("route", F.when(F.col("approximate"), "partial").otherwise(F.col("status")))).drop("route", "approximate")
+    if documents_only:
+        return {"documents": documents}
 
     facts = guarded.join(active.drop("title"), "doc_id").join(verdict.select("doc_id", "status", "total_check"), "doc_id")
     valid = F.when(F.col("bo_id").rlike(S.BO), F.col("bo_id")).otherwise("")

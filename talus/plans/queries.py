@@ -8,10 +8,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ..functions import scalars as S
-from ..operators import lines as L, lookup, marts, records, resolve, totals
+from ..operators import lines as L, lookup, marts, records, resolve, route, totals
 from ..sources import readers, sinks
 from ..streaming import gate, ingest
 
@@ -42,6 +42,11 @@ def oracle_sql() -> dict[str, str]:
     return dict(_SQL)
 
 
+def _clerk() -> Column:
+    """A text for each customer."""
+    return F.concat(F.lit("Clerk#"), F.col("o_custkey").cast("string"))
+
+
 def items(spark: SparkSession, d: str) -> DataFrame:
     """Orders as items: customers are holders, priorities companies; some are doubtful, settled, institutional."""
     o = _table(spark, d, "orders")
@@ -98,7 +103,7 @@ def cash_by_company(spark, d):
 
 @query("SELECT CAST(year(o_orderdate) AS INTEGER) AS yr, round(sum(o_totalprice), 2) AS total, count(*) AS n FROM orders GROUP BY 1")
 def cash_by_year(spark, d):
-    return _table(spark, d, "orders").groupBy(F.year("o_orderdate").alias("yr")).agg(F.round(F.sum("o_totalprice"), 2).alias("total"), F.count("*").alias("n"))
+    return marts.sums_by(_table(spark, d, "orders").withColumn("yr", F.year("o_orderdate")), ["yr"], "o_totalprice")
 
 
 @query("SELECT doc_id AS id, sha256(text) AS sha256, CASE WHEN doc_id <> f THEN f END AS duplicate_of FROM (SELECT *, min(doc_id) OVER (PARTITION BY sha256(text)) AS f FROM documents)")
@@ -466,12 +471,136 @@ def coverage_report(spark, d):
 
 @query("SELECT count(DISTINCT c_nationkey) AS nations, max(c_acctbal) AS most FROM customer")
 def service_info(spark, d):
-    return _table(spark, d, "customer").agg(F.count_distinct("c_nationkey").alias("nations"), F.max("c_acctbal").alias("most"))
+    return marts.service_info(_table(spark, d, "customer"), "c_nationkey", "c_acctbal").toDF("nations", "most")
 
 
 @query("SELECT l_suppkey AS doc_id, count(*) AS n, round(sum(l_quantity), 2) AS total FROM lineitem GROUP BY 1")
 def group_sum_count(spark, d):
-    return _table(spark, d, "lineitem").groupBy(F.col("l_suppkey").alias("doc_id")).agg(F.count("*").alias("n"), F.round(F.sum("l_quantity"), 2).alias("total"))
+    return marts.sums_by(_table(spark, d, "lineitem").withColumnRenamed("l_suppkey", "doc_id"), ["doc_id"], "l_quantity")
+
+
+@query(f"""WITH {_ITEMS} SELECT bo_id, company, CASE WHEN bo_id = '' THEN upper(replace(folio_no, ' ', '')) ELSE '' END AS folio_key, CASE WHEN bo_id = '' THEN folio_no ELSE '' END AS folio_no,
+  CAST(year_start AS VARCHAR) AS year, CAST(year_start AS INTEGER) AS year_start, dividend_type AS dtype, net, shares, name, CAST(row_idx AS VARCHAR) AS doc_id, CAST(1 AS INTEGER) AS page, NOT doubtful AS verified,
+  array_to_string(list_concat(CASE WHEN doubtful THEN ['implausible_amount'] ELSE [] END, CASE WHEN inst THEN ['institution'] ELSE [] END), ';') AS flags FROM items WHERE bo_id <> '' OR folio_no <> ''""")
+def lookup_items(spark, d):
+    return marts.lookup_items(items(spark, d).withColumns({"doc_id": F.col("row_idx").cast("string"), "page": F.lit(1), "dividend_year": F.col("year_start").cast("string")}))
+
+
+@query(f"""WITH {_ITEMS}, f AS (SELECT company, upper(replace(folio_no, ' ', '')) AS k, * FROM items WHERE folio_no <> ''), q AS (SELECT DISTINCT company AS c, k AS fk FROM f)
+SELECT c || '/' || fk AS request_id, min(name) AS name, round(coalesce(sum(net) FILTER (dividend_type <> 'stock'), 0), 2) AS cash, count(*) AS items FROM q JOIN f ON c = company AND fk = k GROUP BY 1""")
+def lookup_folios(spark, d):
+    """Folios asked for in lower case and with hyphens."""
+    published = lookup_items(spark, d)
+    asked = published.filter("folio_key <> ''").select("company", "folio_key").distinct()
+    asked = asked.select(F.concat_ws("/", "company", "folio_key").alias("request_id"), F.col("company").alias("company_asked"), F.lower(F.regexp_replace("folio_key", "^(.)", "$1-")).alias("folio"))
+    n = F.aggregate(F.transform("companies", lambda c: F.size(c["items"])), F.lit(0).cast("long"), lambda a, x: a + x)
+    return lookup.lookup_folio(asked, published).select("request_id", "name", F.col("totals.cash").alias("cash"), n.alias("items"))
+
+
+@query("SELECT l_orderkey AS doc_id, l_linenumber, 'Clerk#' || o_custkey AS url FROM lineitem LEFT JOIN (SELECT * FROM orders WHERE o_orderkey % 2 = 0) ON l_orderkey = o_orderkey")
+def document_urls(spark, d):
+    documents = _table(spark, d, "orders").filter("o_orderkey % 2 = 0").select(F.col("o_orderkey").alias("id"), _clerk().alias("url"))
+    return marts.with_document_url(_table(spark, d, "lineitem").select(F.col("l_orderkey").alias("doc_id"), "l_linenumber"), documents)
+
+
+_FETCH = "w AS (SELECT CAST(doc_id AS VARCHAR) AS id, CASE WHEN doc_id % 5 = 0 THEN 'reference_only' ELSE 'list' END AS role FROM documents), m AS (SELECT CAST(doc_id AS VARCHAR) AS id, quality = 0 AS bad FROM labels)"
+
+
+def _work(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    key = F.col("doc_id").cast("string")
+    work = _table(spark, d, "documents").select(key.alias("id"), F.when(F.col("doc_id") % 5 == 0, "reference_only").otherwise("list").alias("role"))
+    return work, _table(spark, d, "labels").select(F.concat(key, F.lit("-01")).alias("id"), F.when(F.col("quality") == 0, "failed").otherwise("ok").alias("status"))
+
+
+@query(f"WITH {_FETCH} SELECT id, role FROM w WHERE role <> 'reference_only' AND id NOT IN (SELECT id FROM m WHERE NOT bad)")
+def to_fetch(spark, d):
+    return ingest.to_fetch(*_work(spark, d))
+
+
+@query(f"WITH {_FETCH} SELECT id, role FROM w WHERE id NOT IN (SELECT id FROM m WHERE NOT bad) AND id IN (SELECT id FROM m WHERE bad)")
+def to_fetch_again(spark, d):
+    return ingest.to_fetch(*_work(spark, d), reference=True, retry_failed=True)
+
+
+@query("""WITH s AS (SELECT l_suppkey AS doc_id, year(l_shipdate) AS yr, count(*) AS n, sum(l_quantity) AS v FROM lineitem GROUP BY ALL),
+c AS (SELECT DISTINCT l_suppkey AS doc_id, c FROM (SELECT doc_id AS l_suppkey, v - CASE WHEN yr % 2 = 0 THEN 0 ELSE 3 END AS c FROM s WHERE doc_id % 7 <> 0)),
+b AS (SELECT s.*, c.c, row_number() OVER (PARTITION BY s.doc_id, yr ORDER BY abs(c.c - v), c.c) AS r FROM s LEFT JOIN c ON s.doc_id = c.doc_id)
+SELECT doc_id, yr AS year, n, v, c AS nearest, CASE WHEN c <> 0 AND abs(c - v) <= 0.005 * c THEN 'OK' ELSE 'BAD' END AS verdict FROM b WHERE r = 1""")
+def year_report(spark, d):
+    df = _table(spark, d, "lineitem").groupBy(F.col("l_suppkey").alias("doc_id"), F.year("l_shipdate").alias("year")).agg(F.count("*").alias("n"), F.sum("l_quantity").alias("v"))
+    printed = df.filter("doc_id % 7 <> 0").groupBy("doc_id").agg(F.collect_set(F.when(F.col("year") % 2 == 0, F.col("v")).otherwise(F.col("v") - 3)).alias("candidates"))
+    return totals.year_report(df, printed)
+
+
+@query(r"""WITH r AS (SELECT doc_id, regexp_extract(text, '^\s*(\S+)', 1) AS a, regexp_extract(text, '^\s*\S+\s+(\S+)', 1) AS b, length(text) AS n, text FROM documents),
+p AS (SELECT *, regexp_replace(CASE WHEN doc_id % 3 = 0 THEN '' ELSE text || ' ' || CASE WHEN doc_id % 3 = 1 THEN printf('%.2f', CAST(n AS DOUBLE)) ELSE '' END END, '\s+', ' ', 'g') AS page FROM r)
+SELECT doc_id, contains(lower(page), trim(lower(a) || ' ' || lower(b))) AS name_ok, contains(page, CAST(n AS VARCHAR)) AS amount_ok, contains(replace(page, ' ', ''), CAST(doc_id AS VARCHAR)) AS id_ok FROM p WHERE doc_id % 3 <> 0 AND a <> ''""")
+def spot_check(spark, d):
+    """Names are the first words of texts, amounts their lengths, which half of the pages print."""
+    docs = _table(spark, d, "documents").filter("doc_id % 3 <> 0").withColumn("n", F.length("text").cast("double"))
+    pages = docs.select("doc_id", F.lit(1).alias("page"), F.concat(F.initcap("text"), F.lit(" "), F.when(F.col("doc_id") % 3 == 1, F.format_string("%.2f", "n")).otherwise("")).alias("text"))
+    rows = docs.select("doc_id", F.lit(1).alias("page"), F.col("text").alias("holder_name_raw"), F.col("n").alias("net_amount"), F.col("doc_id").cast("string").alias("bo_id"), F.lit("").alias("folio_no"))
+    return marts.spot_check(rows.filter("trim(holder_name_raw) <> ''"), pages).select("doc_id", "name_ok", "amount_ok", "id_ok")
+
+
+@query("""WITH r AS (SELECT o_orderkey, o_custkey % 50 AS doc, CASE WHEN o_orderkey % 17 = 0 THEN ' Grand  Total' WHEN o_orderkey % 13 = 0 THEN '12 Lake Road' ELSE 'Clerk#' || o_custkey END AS name,
+  o_totalprice * CASE WHEN o_orderkey % 19 = 0 THEN 1e6 ELSE 10 END AS net, CAST(o_orderkey AS DOUBLE) AS shares, o_custkey % 50 < 3 OR o_orderkey % 5 = 0 AS stray FROM orders),
+t AS (SELECT *, net >= 1e9 AS big FROM r WHERE o_orderkey % 17 <> 0), s AS (SELECT *, avg(CAST(stray AS INTEGER)) OVER (PARTITION BY doc) AS share FROM t)
+SELECT o_orderkey, CASE WHEN NOT big THEN net END AS net, CASE WHEN NOT big THEN shares END AS shares,
+  array_to_string(list_concat(list_concat(list_concat(CASE WHEN stray THEN ['int_amount'] ELSE [] END, CASE WHEN big THEN ['unreadable_amount'] ELSE [] END), CASE WHEN NOT big AND net > 1000000 THEN ['implausible_amount'] ELSE [] END),
+    CASE WHEN name = '12 Lake Road' THEN ['name_looks_like_address'] ELSE [] END), ';') AS tags FROM s WHERE NOT (stray AND share < 0.5)""")
+def guarded_rows(spark, d):
+    key = F.col("o_orderkey")
+    name = F.when(key % 17 == 0, " Grand  Total").when(key % 13 == 0, "12 Lake Road").otherwise(_clerk())
+    stray = (F.col("o_custkey") % 50 < 3) | (key % 5 == 0)
+    rows = _table(spark, d, "orders").select("o_orderkey", (F.col("o_custkey") % 50).alias("doc_id"), name.alias("holder_name_raw"), (F.col("o_totalprice") * F.when(key % 19 == 0, 1e6).otherwise(10.0)).alias("net_amount"), key.cast("double").alias("shares"), F.when(stray, "int_amount").otherwise("").alias("issues"))
+    return totals.guard_rows(rows).select("o_orderkey", F.col("net_amount").alias("net"), "shares", F.array_join("tags", ";").alias("tags"))
+
+
+@query("""SELECT l_orderkey AS doc_id, l_linenumber AS page, l_partkey AS row_on_page, l_returnflag AS issues FROM lineitem WHERE l_linenumber % 2 = 0 UNION ALL
+SELECT l_orderkey, l_linenumber, l_partkey, CASE WHEN l_returnflag = 'N' THEN 'ocr' ELSE l_returnflag || ';ocr' END FROM lineitem WHERE l_linenumber % 2 = 1""")
+def back_filled(spark, d):
+    rows = _table(spark, d, "lineitem").select(F.col("l_orderkey").alias("doc_id"), F.col("l_linenumber").alias("page"), F.col("l_partkey").alias("row_on_page"), F.col("l_returnflag").alias("issues"))
+    return route.back_fill(rows.filter("page % 2 = 0"), rows.withColumn("issues", F.when(F.col("issues") != "N", F.col("issues")).otherwise("")))
+
+
+@query("""SELECT doc_id FROM documents WHERE doc_id % 4 = 0 AND doc_id % 3 <> 0 UNION SELECT doc_id FROM labels WHERE doc_id % 2 = 0 AND doc_id % 5 <> 0""")
+def recognition_jobs(spark, d):
+    role = lambda k, name: F.when(F.col("doc_id") % k == 0, name).otherwise("list").alias("role")
+    stats = _table(spark, d, "documents").select("doc_id", F.when(F.col("doc_id") % 4 == 0, 2).otherwise(0).alias("textless_pages"), role(3, "summary"))
+    triage = _table(spark, d, "labels").select(F.col("doc_id").alias("id"), F.when(F.col("doc_id") % 2 == 0, "scanned").otherwise("text").alias("pdf_kind"), role(5, "summary"))
+    return route.recognition_jobs(stats, triage)
+
+
+@query("SELECT doc_id FROM labels WHERE doc_id % 3 <> 0 AND doc_id % 5 <> 0")
+def text_jobs(spark, d):
+    kind = F.when(F.col("doc_id") % 3 == 0, "scanned").when(F.col("doc_id") % 3 == 1, "text").otherwise("mixed")
+    triage = _table(spark, d, "labels").select(F.col("doc_id").alias("id"), kind.alias("pdf_kind"), F.when(F.col("doc_id") % 5 == 0, "summary").otherwise("list").alias("role"))
+    return route.text_jobs(triage).select(F.col("id").alias("doc_id"))
+
+
+@query("""SELECT o_orderkey, 'C_' || replace(o_orderpriority, ' ', '') || '/' || o_orderkey || '__' || CASE WHEN o_orderkey % 2 = 0 THEN 'list_of_' || o_custkey ELSE 'Clerk_' || o_custkey END || '.pdf' AS path FROM orders""")
+def file_paths(spark, d):
+    url = F.when(F.col("o_orderkey") % 2 == 0, F.concat(F.lit("https://a.example/x/list%20of%20"), F.col("o_custkey").cast("string"), F.lit(".old?p=1"))).otherwise("https://a.example/")
+    company = F.concat(F.lit("C "), F.replace("o_orderpriority", F.lit(" "), F.lit("")))
+    return _table(spark, d, "orders").select("o_orderkey", sinks.file_path(company, F.col("o_orderkey").cast("string"), url, _clerk(), F.lit(".pdf")).alias("path"))
+
+
+@query("""SELECT o_orderkey, '{"line":"' || 'Clerk#' || o_custkey || '","note":null}' AS raw_row_json, 'BDT' AS currency FROM orders WHERE o_orderstatus <> 'O' AND o_totalprice IS NOT NULL""")
+def row_json(spark, d):
+    rows = _table(spark, d, "orders").select("o_orderkey", _clerk().alias("line"), F.lit(None).cast("string").alias("note"), F.when(F.col("o_orderstatus") == "O", "ocr").otherwise("").alias("issues"), F.col("o_totalprice").alias("net_amount"), _clerk().alias("holder_name_raw"))
+    return marts.with_constants(marts.with_row_json(marts.clean_rows(rows), ("line", "note")), "BDT").select("o_orderkey", "raw_row_json", "currency")
+
+
+@query("""SELECT page_id, CASE WHEN page_id % 3 = 0 THEN 'h' || page_id ELSE 'unknown' END AS ip, 'total' AS word, CASE WHEN page_id % 2 = 0 THEN '2019-20' END AS span,
+  CASE page_id % 3 WHEN 0 THEN 'zero' WHEN 1 THEN 'one' ELSE '2' END AS name, 'https://a.example/b/' || page_id || '.pdf?x=../y' AS link FROM pages""")
+def header_and_link_scalars(spark, d):
+    key = F.col("page_id").cast("string")
+    ip = F.when(F.col("page_id") % 3 == 0, F.concat(F.lit('{"x-forwarded-for":"h'), key, F.lit(',proxy"}'))).when(F.col("page_id") % 3 == 1, "{}")
+    link = S.joined_url(F.lit("https://a.example/a/c/page.html"), F.concat(F.lit("../../b/./"), key, F.lit(".pdf?x=../y")))
+    names = S.label((F.col("page_id") % 3).cast("string"), {"0": "zero", "1": "one"})
+    span = S.year_span(F.when(F.col("page_id") % 2 == 0, "Dividend for 2019-20, paid"))
+    return _table(spark, d, "pages").select("page_id", S.client_ip(ip).alias("ip"), S.keyword(F.lit("(Total):")).alias("word"), span.alias("span"), names.alias("name"), link.alias("link"))
 
 
 def holder_report(spark: SparkSession, d: str) -> DataFrame:

@@ -29,6 +29,11 @@ def read_stats(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(STATS).option("multiLine", True).json(path)
 
 
+def read_table(spark: SparkSession, url: str, table: str, columns: list[str], options: dict[str, str] | None = None) -> DataFrame:
+    """Columns of a table of a database by JDBC (the driver is the session's); options partition the read."""
+    return spark.read.format("jdbc").options(url=url, dbtable=table, **(options or {})).load().select(*columns)
+
+
 def read_whole_text(spark: SparkSession, path: str) -> DataFrame:
     """file, text of every file."""
     return spark.read.text(path, wholetext=True).select(F.col("_metadata.file_name").alias("file"), F.col("value").alias("text"))

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
+
+from ..functions.scalars import slug
 
 
 def write_csv(df: DataFrame, path: str, columns: list[str] | None = None) -> None:
@@ -41,6 +43,28 @@ def append(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
 
+def file_path(company: Column, id_: Column, url: Column, title: Column, suffix: Column) -> Column:
+    """Where a fetched file is kept: <company>/<id>__<name><suffix>; the name is that of the url's path, else the title."""
+    last = F.regexp_extract(F.coalesce(F.try_parse_url(url, F.lit("PATH")), F.lit("")), "([^/]*)/*$", 1)
+    stem = F.regexp_replace(F.coalesce(F.try_url_decode(last), last), r"(?<=.)\.[^.]*$", "")
+    return F.concat(slug(company, 40), F.lit("/"), id_, F.lit("__"), slug(F.coalesce(F.nullif(stem, F.lit("")), title)), suffix)
+
+
+def append_csv(df: DataFrame, path: str) -> None:
+    """Rows added to a folder of CSV files, each with a header that readers drop; rows of earlier runs stay, repeated ones too."""
+    df.write.mode("append").option("header", True).option("escape", '"').csv(path)
+
+
+def rebuild_tables(tables: dict[str, DataFrame], schemas: dict[str, T.StructType], database: str = "default") -> None:
+    """Every table of the database dropped, declared by its schema, and filled; columns go by name, and those a table lacks are null."""
+    for name, df in tables.items():
+        spark, full = df.sparkSession, f"`{database}`.`{name}`"
+        spark.sql(f"DROP TABLE IF EXISTS {full}")
+        spark.sql(f"CREATE TABLE {full} ({', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in schemas[name].fields)}) USING parquet")
+        there = set(df.columns)
+        df.select(*((F.col(f.name) if f.name in there else F.lit(None)).cast(f.dataType).alias(f.name) for f in schemas[name].fields)).write.insertInto(full)
+
+
 def purge(df: DataFrame, dead: Column) -> DataFrame:
     """Rows for which the condition is not true."""
     return df.filter(~F.coalesce(dead, F.lit(False)))

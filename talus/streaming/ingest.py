@@ -20,6 +20,24 @@ def undone(work: DataFrame, done: DataFrame, key: str = "id") -> DataFrame:
     return work.withColumn("_root", F.split_part(F.col(key), F.lit("-"), F.lit(1))).join(root(done), "_root", "left_anti").drop("_root")
 
 
+def to_fetch(work: DataFrame, manifest: DataFrame, only: list[str] | None = None, reference: bool = False, retry_failed: bool = False) -> DataFrame:
+    """The rows of a work list (id, role) that are to be fetched, given the manifest (id, status) of earlier runs.
+
+    Named ids (only) are fetched whether done or not; else those done are left out. Reference documents are fetched if asked for.
+    With retry_failed only those are left of which a row failed. Ids of the manifest count by their root, up to the first hyphen.
+    """
+    root = F.split_part("id", F.lit("-"), F.lit(1)).alias("id")
+    if not reference:
+        work = work.filter(F.coalesce("role", F.lit("")) != "reference_only")
+    if only is not None:
+        work = work.filter(F.col("id").isin(*only))
+    else:
+        work = work.join(manifest.filter("status = 'ok'").select(root).distinct(), "id", "left_anti")
+    if retry_failed:
+        work = work.join(manifest.filter("status IS NULL OR status <> 'ok'").select(root).distinct(), "id", "left_semi")
+    return work
+
+
 def in_batches(df: DataFrame, send: Callable[[list[dict]], None], size: int = SINK_BATCH, tries: int = 4) -> None:
     """Send rows in lists of `size` from each partition; a list that fails is sent again up to `tries` times, each wait twice as long.
 

@@ -1,5 +1,6 @@
 import pytest
 
+from talus.operators import marts
 from talus.plans.build import build
 
 ID = "120100000000000"
@@ -31,6 +32,12 @@ def test_documents(built):
     assert (got["a"].extracted_total, got["a"].total_check, got["a"].extraction_method) == (369.0, "match", "text_regex")
 
 
+def test_documents_only(spark):
+    manifest = spark.createDataFrame([(1, "a", "C1", "Cash list", "list", "ok", "s1", None, "text"), (2, "b", "C1", "x", "list", "failed", None, "HTTP 404", None)], MANIFEST)
+    made = build(manifest, spark.createDataFrame([("a", 1, page(f"1 {ID}1 ALPHA KHAN TESTER 100.00 10.00 90.00", total="90.00"))], "doc_id string, page int, text string"), documents_only=True)
+    assert list(made) == ["documents"] and marts.unfinished(made["documents"]).select("id").collect() == [("b",)]
+
+
 def test_items_and_holders(built):
     items = {(r.doc_id, r.row_on_page): r for r in built["items"].collect()}
     assert len(items) == 6

@@ -1,6 +1,6 @@
 import json
 
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
 from talus import schemas
 from talus.functions import scalars as S
@@ -81,3 +81,34 @@ def test_scalars(spark):
     assert value(S.sniffed_suffix(lit(b"x"), lit(None).cast("string"), lit(None).cast("string"), lit("http://h/a.DOCX?x"))) == ".docx"
     assert value(S.code_hash(lit(" AbC "))) == value(F.sha2(lit("abc"), 256))
     assert value(S.label(lit("b"), {"a": "A"})) == "b" and value(S.keyword(lit("(Net):"))) == "net"
+
+
+def test_to_fetch(spark):
+    work = spark.createDataFrame([("1", "list"), ("2", "list"), ("3", "reference_only"), ("4", None)], "id string, role string")
+    seen = spark.createDataFrame([("1", "ok"), ("1-01", "failed"), ("2-02", "failed"), ("9", "ok")], "id string, status string")
+    ids = lambda **how: sorted(r.id for r in ingest.to_fetch(work, seen, **how).collect())
+    assert ids() == ["2", "4"] and ids(only=["1", "3"]) == ["1"] and ids(reference=True) == ["2", "3", "4"]
+    assert ids(retry_failed=True) == ["2"] and ids(only=["1", "4"], retry_failed=True) == ["1"]
+
+
+def test_tables_are_rebuilt_by_their_declarations(spark):
+    schema = T.StructType([T.StructField("id", T.StringType()), T.StructField("n", T.LongType()), T.StructField("missing", T.DoubleType())])
+    for rows in ([(1, "a")], [(2, "b"), (3, "c")]):
+        sinks.rebuild_tables({"rebuilt": spark.createDataFrame(rows, "n int, id string").withColumn("extra", F.lit(1))}, {"rebuilt": schema})
+    assert sorted(tuple(r) for r in spark.table("rebuilt").collect()) == [("b", 2, None), ("c", 3, None)] and spark.table("rebuilt").schema == schema
+
+
+def test_appended_links_stay(spark, tmp_path):
+    df = spark.createDataFrame([("1", "1-01")], "parent_id string, child_id string").coalesce(1)
+    sinks.append_csv(df, f"{tmp_path}/links")
+    sinks.append_csv(df, f"{tmp_path}/links")
+    assert [tuple(r) for r in readers.read_csv(spark, f"{tmp_path}/links", df.schema).collect()] == [("1", "1-01")] * 2
+
+
+def test_dot_segments_and_bengali_names(spark):
+    urls = ["http://h/a/../b", "http://h/../b/.", "http://h/a/b/..", "http://h/a?x=/../", "mailto:x", "http://h/a..b/c"]
+    df = spark.createDataFrame([(u,) for u in urls], "u string").select(S.without_dots(F.col("u")))
+    assert [r[0] for r in df.collect()] == ["http://h/b", "http://h/b/", "http://h/a/", "http://h/a?x=/../", "mailto:x", "http://h/a..b/c"]
+    names = [("মোঃ করিম", "MOH KRIM"), ("md. Élan", "MOHAMMAD ELAN"), (None, ""), ("রহমান ১২", "RHMAAN 12")]
+    df = spark.createDataFrame(names, "a string, b string").select(S.normal_name(F.col("a")), "b")
+    assert all(r[0] == r[1] for r in df.collect())
