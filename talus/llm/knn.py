@@ -1,8 +1,9 @@
 """Exact top-k by inner product: a KD-tree per shard, best-first traversal, and a kth score handed on.
 
-Trees split at medians of the widest dimension; every leaf has a tight bounding box. The largest inner product
-that a box can hold is, dimension by dimension, the larger of query * low and query * high; a leaf is opened only while
-that bound is not below the query's kth score so far.
+Trees split at medians of the widest dimension; every node has a tight bounding box. The largest inner product
+that a box can hold is, dimension by dimension, the larger of query * low and query * high. All queries of a block walk the tree from the root
+together: those whose bound for a node is below the kth score handed to them do not enter it. The leaves that a query has reached are opened best
+first, while their bound is not below its kth score so far.
 """
 
 from __future__ import annotations
@@ -19,25 +20,51 @@ SHARD_ROWS, BLOCK_QUERIES, LEAST_SHARDS = 65_536, 8192, 12
 
 
 class Tree:
-    """Leaves of a KD-tree over the rows of x: order (row numbers, leaf after leaf), edges, low, high."""
+    """A KD-tree over the rows of x: order (row numbers, leaf after leaf) and edges of leaves; of every node its box (low, high), its
+    children (none: -1) and its leaf (an inner node: -1). Node 0 is the root."""
 
     def __init__(self, x: np.ndarray, leaf: int = LEAF):
-        order, edges, todo = [], [0], [np.arange(len(x))]
+        order, edges, todo = [], [0], [(np.arange(len(x)), -1, 0)]
+        low, high, self.children, self.leaf = [], [], [], []
         while todo:
-            rows = todo.pop()
-            part = x[rows]
-            spread = part.max(0) - part.min(0)
+            rows, parent, side = todo.pop()
+            node, part = len(low), x[rows]
+            if parent >= 0:
+                self.children[parent][side] = node
+            low.append(part.min(0))
+            high.append(part.max(0))
+            self.children.append([-1, -1])
+            spread = high[-1] - low[-1]
             d = int(spread.argmax())
             if len(rows) <= leaf or spread[d] == 0:
+                self.leaf.append(len(edges) - 1)
                 order.append(rows)
                 edges.append(edges[-1] + len(rows))
                 continue
+            self.leaf.append(-1)
             half = np.argpartition(part[:, d], len(rows) // 2)
-            todo += [rows[half[len(rows) // 2 :]], rows[half[: len(rows) // 2]]]
+            todo += [(rows[half[len(rows) // 2 :]], node, 1), (rows[half[: len(rows) // 2]], node, 0)]
         self.order, self.edges = np.concatenate(order), np.array(edges)
-        x = x[self.order]
-        self.x = x
-        self.low, self.high = np.minimum.reduceat(x, self.edges[:-1]), np.maximum.reduceat(x, self.edges[:-1])
+        self.x, self.low, self.high = x[self.order], np.array(low), np.array(high)
+
+    def reached(self, queries: np.ndarray, floor: np.ndarray) -> np.ndarray:
+        """Bounds (query, leaf) of the leaves that queries reach from the root through nodes whose bound is not below their floor; the
+        least integer for the others."""
+        up, down = np.maximum(queries, 0), np.minimum(queries, 0)
+        out = np.full((len(queries), len(self.edges) - 1), np.iinfo(np.int64).min, queries.dtype)
+        todo = [(0, np.arange(len(queries)))]
+        while todo:
+            node, q = todo.pop()
+            bound = up[q] @ self.high[node] + down[q] @ self.low[node]
+            enter = bound >= floor[q]
+            q = q[enter]
+            if not len(q):
+                continue
+            if self.leaf[node] >= 0:
+                out[q, self.leaf[node]] = bound[enter]
+            else:
+                todo += [(child, q) for child in self.children[node]]
+        return out
 
 
 def search(tree: Tree, ids: np.ndarray, queries: np.ndarray, own: np.ndarray, k: int, floor: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -48,7 +75,7 @@ def search(tree: Tree, ids: np.ndarray, queries: np.ndarray, own: np.ndarray, k:
     ids = ids[tree.order]
     top_s = np.full((len(queries), k), np.iinfo(np.int64).min)
     top_i = np.zeros((len(queries), k), np.int64)
-    bound = np.maximum(queries, 0) @ tree.high.T + np.minimum(queries, 0) @ tree.low.T
+    bound = tree.reached(queries, floor)
     visit = np.argsort(-bound, axis=1, kind="stable")
     kth = floor.copy()
     live = np.arange(len(queries))

@@ -55,7 +55,13 @@ def test_tree_boxes_bound_scores(leaf):
     x = rng.integers(-50, 50, (500, 5)).astype(float)
     t = knn.Tree(x, leaf)
     q = rng.integers(-50, 50, (20, 5)).astype(float)
-    bound = np.maximum(q, 0) @ t.high.T + np.minimum(q, 0) @ t.low.T
+    least = np.iinfo(np.int64).min
+    bound = t.reached(q, np.full(20, least))
     assert sorted(t.order) == list(range(500))
     for k in range(len(t.edges) - 1):
         assert ((q @ t.x[t.edges[k] : t.edges[k + 1]].T).max(1) <= bound[:, k]).all()
+        own = t.x[t.edges[k] : t.edges[k + 1]]
+        assert (bound[:, k] == np.where(q > 0, q * own.max(0), q * own.min(0)).sum(1)).all()
+    floor = np.sort(q @ x.T, 1)[:, -5].astype(np.int64)
+    some = t.reached(q, floor)
+    assert ((some == bound) | ((some == least) & (bound < floor[:, None]))).all() and (leaf == 1000 or (some == least).any())
