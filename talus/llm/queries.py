@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, knn, langid, media, neardup, packing, pieces, pii, repeats, urls
+from . import bpe, fim, knn, langid, media, merkle, neardup, packing, pieces, pii, repeats, simhash, urls
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -55,6 +55,18 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json")).drop("source")
 
 
+def op11_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.simhash_groups(_table(spark, sf_dir, "documents"))
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fim.digest(_table(spark, sf_dir, "documents"))
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.tampered(_table(spark, sf_dir, "documents"))
+
+
 OP9_SQL = """
 WITH ok AS (
   SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(CAST(x AS DOUBLE) * 256) AS BIGINT)) AS v FROM embeddings
@@ -67,11 +79,59 @@ r AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY sc
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 """
 
+OP12_SQL = r"""
+WITH u AS (
+  SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS u,
+    sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+r AS (SELECT *, CAST(len(u) AS BIGINT) AS n, list_transform([1, 9, 17, 25], lambda k: CAST('0x' || substr(h, k, 8) AS BIGINT)) AS r FROM u),
+c AS (SELECT *, least(r[1] % (n + 1), r[2] % (n + 1)) AS a, greatest(r[1] % (n + 1), r[2] % (n + 1)) AS b,
+    CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR r[3] % 100 >= 100 THEN 'plain'
+      WHEN r[4] % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM r),
+p AS (SELECT *, array_to_string(u[1:a], '') AS pre, array_to_string(u[a + 1:b], '') AS mid, array_to_string(u[b + 1:n], '') AS suf FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(pre) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(mid) END AS middle_chars,
+  sha256(CASE form WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid WHEN 'spm' THEN '<S>' || suf || '<P>' || pre || '<M>' || mid ELSE t END) AS output_sha256,
+  sha256(CASE WHEN form = 'plain' THEN t ELSE pre || mid || suf END) AS restored_sha256
+FROM p
+"""
+
+_LEAF_SQL = " || ".join(f"coalesce(CAST(octet_length(encode(CAST({c} AS VARCHAR))) AS VARCHAR) || ':' || CAST({c} AS VARCHAR), '-')" for c in ("doc_id", "source", "lang", "n_chars", "{text}"))
+#: Nodes of a level by group, from the leaves (g, i, d) of {0}: while a group has several, every 16 become one.
+_TREE_SQL = """
+  SELECT 0 AS level, g, i, d, count(*) OVER (PARTITION BY g) AS n FROM {0}
+  UNION ALL
+  SELECT level + 1, g, i // 16, sha256(string_agg(d, '' ORDER BY i)), (n + 15) // 16 FROM {1} WHERE n > 1 GROUP BY level, g, i // 16, n
+"""
+#: What each leaf of {0} meets on its way up through {1}: the siblings before and behind it on each level.
+_WAY_SQL = """
+  SELECT l.g, l.i, t.level, coalesce(string_agg(t.d, '' ORDER BY t.i) FILTER (t.i < l.i // CAST(pow(16, t.level) AS BIGINT)), '') AS before,
+    coalesce(string_agg(t.d, '' ORDER BY t.i) FILTER (t.i > l.i // CAST(pow(16, t.level) AS BIGINT)), '') AS behind
+  FROM {0} l JOIN {1} t ON t.g = l.g AND t.n > 1 AND t.i // 16 = l.i // CAST(pow(16, t.level + 1) AS BIGINT) GROUP BY l.g, l.i, t.level
+"""
+OP13_SQL = f"""
+WITH RECURSIVE h AS (
+  SELECT doc_id, coalesce('=' || source, '') AS g, sha256({_LEAF_SQL.format(text="text")}) AS d,
+    sha256({_LEAF_SQL.format(text="translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")}) AS other,
+    list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: ascii(c)::BIGINT)),
+      lambda c, x: list_reduce([xor(c, x), 0, 0, 0, 0, 0, 0, 0, 0], lambda v, z: xor(v >> 1, 3988292384 * (v & 1)))) AS crc FROM documents),
+a AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, d) - 1 AS i FROM h),
+t(level, g, i, d, n) AS ({_TREE_SQL.format("a", "t")}),
+b AS (SELECT g AS of, '' AS g, row_number() OVER (ORDER BY g) - 1 AS i, d FROM t WHERE n = 1),
+v(level, g, i, d, n) AS ({_TREE_SQL.format("b", "v")}),
+way AS (SELECT a.g, a.i, w.level, w.before, w.behind FROM a JOIN ({_WAY_SQL.format("a", "t")}) w ON w.g = a.g AND w.i = a.i
+  UNION ALL SELECT a.g, a.i, 100 + w.level, w.before, w.behind FROM a JOIN b ON b.of = a.g JOIN ({_WAY_SQL.format("b", "v")}) w ON w.i = b.i),
+p AS (SELECT g, i, list({{'before': before, 'behind': behind}} ORDER BY level) AS steps, string_agg(before || behind, '' ORDER BY level) AS others FROM way GROUP BY g, i),
+f AS (SELECT a.doc_id, a.d AS leaf, b.d AS subroot, (SELECT d FROM v WHERE n = 1) AS root, sha256(coalesce(p.others, '')) AS proof_sha256,
+  list_reduce(list_prepend(CASE WHEN xor(a.crc, 4294967295) % 5 = 0 THEN a.other ELSE a.d END, coalesce(list_transform(p.steps, lambda s: s.before || '|' || s.behind), [])),
+    lambda x, s: sha256(split_part(s, '|', 1) || x || split_part(s, '|', 2))) AS folded_root
+  FROM a JOIN b ON b.of = a.g LEFT JOIN p ON p.g = a.g AND p.i = a.i)
+SELECT *, folded_root = root AS verified FROM f
+"""
+
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = [op1_substring_dedup, op2_token_counts, op3_near_dedup, op4_telephony_audio, op5_url_filter, op6_merge_dropout, op7_language_id, op8_personal_data, op9_exact_top_k, op10_packing]
+    own = [op1_substring_dedup, op2_token_counts, op3_near_dedup, op4_telephony_audio, op5_url_filter, op6_merge_dropout, op7_language_id, op8_personal_data, op9_exact_top_k, op10_packing, op11_simhash_groups, op12_fill_in_middle, op13_merkle_manifest]
     return {f.__name__: f for f in own}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op9_exact_top_k": OP9_SQL}
+    return {"op9_exact_top_k": OP9_SQL, "op12_fill_in_middle": OP12_SQL, "op13_merkle_manifest": OP13_SQL}
