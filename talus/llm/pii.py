@@ -14,19 +14,20 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 KINDS = ("email", "ip", "card", "phone", "secret", "number")
 
-#: Fixed patterns of the base kinds. Quantifiers are possessive and an email starts only where no character of its local part
-#: stands before (or where the last match ended), which matches the same spans without retries inside a run.
+#: Fixed patterns of the base kinds. Quantifiers are possessive, an email starts only where no character of its local part stands
+#: before (or where the last match ended) and an address only where no digit does, which matches the same spans without retries inside a run.
 BASE = {
     "email": r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
-    "ip": r"[0-9]++(?:\.[0-9]++)(?:\.[0-9]++)(?:\.[0-9]++)",
+    "ip": r"(?<![0-9])[0-9]++(?:\.[0-9]++)(?:\.[0-9]++)(?:\.[0-9]++)",
     "card": r"[0-9](?:[\x20-]?[0-9]){11,}+",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
 #: What a text must hold for a kind's pattern to be tried.
 NEEDS = {"email": "@", "ip": ".", "card": "", "phone": "+"}
 
-#: Candidates: tokens of 12 or more characters with a digit, and numbers in the groups of national ids and telephones.
-CANDIDATE = r"(?<![A-Za-z0-9])(?:[0-9]{3}-[0-9]{2}-[0-9]{4}|\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4}|(?=[A-Za-z_-]*+[0-9])[A-Za-z0-9_-]{12,}+)(?![A-Za-z0-9])"
+#: Candidates: tokens of 12 or more characters with a digit, and numbers in the groups of national ids and telephones. A token starts
+#: where its run does, or one character behind the last match, which may have ended within the run; so no run is tried again from each of its hyphens.
+CANDIDATE = r"(?<![A-Za-z0-9])(?:[0-9]{3}-[0-9]{2}-[0-9]{4}|\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4}|(?:(?<![A-Za-z0-9_-])|(?<=\G[_-]))(?=[A-Za-z_-]*+[0-9])[A-Za-z0-9_-]{12,}+)(?![A-Za-z0-9])"
 GAZETTEER = r"(?i)(?:pass(?:word|wd|port)?|pwd|token|secret|key|api|auth|bearer|ssn|social|tax|iban|account|phone|tel|call|mobile|fax)[^A-Za-z]{0,4}$"
 LABELERS = ("hex", "mixed", "grouped", "nearby_word", "assigned", "plain_number", "wordlike")
 

@@ -118,6 +118,84 @@ def test_many_matches_take_time_in_proportion(spark):
     assert took[1] < 9 * took[0] + 5
 
 
+#: The patterns as the contract words them, tried at every character.
+SLOW = {
+    "ip": r"[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)",
+    "more": r"(?<![A-Za-z0-9])(?:[0-9]{3}-[0-9]{2}-[0-9]{4}|\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4}|(?=[A-Za-z_-]*+[0-9])[A-Za-z0-9_-]{12,}+)(?![A-Za-z0-9])",
+}
+
+
+def test_patterns_find_what_trying_every_character_finds(spark):
+    from pyspark.sql import functions as F
+
+    rng = random.Random(8)
+    pieces = ["-", "_", "a", "Bc", "7", "123-45-6789", "555-555-0000", "(555) 555 0000", ".", " ", "1.2.3.4", "b7db7aa4a5fcc783", "--", "x-", "é", "\n", "1234"]
+    rows = [("".join(rng.choice(pieces) for _ in range(rng.randint(1, 14))),) for _ in range(6000)]
+    rows += [(s,) for s in ("123-45-6789-abcdef012345", "123-45-6789--abcdef01234", "-123456789012", "_-abc123456789", "(555) 555-0000_abcdefgh1234", "123-45-6789_-123-45-6789")]
+    df = spark.createDataFrame(rows, "t string")
+    for slow, fast in ((SLOW["ip"], pii.BASE["ip"]), (SLOW["more"], pii.CANDIDATE)):
+        for of in (lambda p: F.regexp_extract_all("t", F.lit(p), F.lit(0)), lambda p: F.split("t", p, -1)):
+            assert df.filter(of(slow) != of(fast)).collect() == []
+
+
+@pytest.mark.parametrize("unit", ["-", "_", "a-_", "1", "ab", "1.", "1.1.1x", "+1 ", "a.b@", "-9"])
+def test_long_runs_take_time_in_proportion(spark, unit):
+    """Ruled lines, underscores, letters and digits of 200 KB and a lone digit elsewhere: four times the run, not sixteen times the time."""
+    import time
+
+    model, took = pii.Model(5.0, {}, {}), []
+    for n in (200_000, 800_000):
+        text = unit * (n // len(unit)) + " 7 . @ +"
+        df = spark.createDataFrame([(1, text)], "doc_id long, text string")
+        began = time.perf_counter()
+        pii.digest(df, model).collect()
+        pii.redact(df, model).collect()
+        took.append(time.perf_counter() - began)
+    assert took[1] < 8 * took[0] + 5
+
+
+def test_precision_and_recall_of_added_spans(spark):
+    """Secrets of several forms among prose, plain numbers, dates, words with digits and base kinds; the model is trained on the same texts, unlabelled."""
+    rng = random.Random(12)
+    hexa = lambda n: "".join(rng.choice("0123456789abcdef") for _ in range(n))
+    mixed = lambda n: "".join(rng.choice("ABCDEFGHJKLMNPQRSTUVWXYZabcdefghijkmnopqrstuvwxyz23456789") for _ in range(n))
+    number = lambda *n: "-".join("".join(rng.choice("123456789") for _ in range(k)) for k in n)
+    secrets = {
+        "hex": lambda: f"{rng.choice(['key', 'digest', 'commit', 'token'])} {hexa(rng.choice([20, 32, 40]))}",
+        "assigned": lambda: f"{rng.choice(['api_key', 'password', 'secret', 'auth token'])}{rng.choice(['=', ': ', ' = '])}{mixed(rng.choice([18, 24, 36]))}",
+        "prefixed": lambda: f"use {rng.choice(['sk', 'ghp', 'tok'])}_{mixed(30)}",
+        "id": lambda: f"{rng.choice(['ssn', 'social number', 'we noted'])} {number(3, 2, 4)}",
+        "phone": lambda: f"{rng.choice(['call', 'phone:', 'tel', 'ring'])} {number(3, 3, 4)}",
+    }
+    words = "the report of last year shows growth in trade and some towns grew while others lost people to larger cities nearby".split()
+    noise = ["2023-07-14T12:00", "article-2019-review", "page_title_of_chapter_12", "model-x200-series", "well-known-example-3", "123456789012345678901", "00000000000000", "covid19-response-team", "windows95edition", "someone@mail.org", "10.0.0.1"]
+    rows, want = [], {}
+    for i in range(1500):
+        text = ""
+        for _ in range(rng.randint(3, 12)):
+            text += " ".join(rng.choice(words) for _ in range(rng.randint(3, 15))) + rng.choice([" ", ". "])
+            if rng.random() < 0.25:
+                form = rng.choice(list(secrets))
+                lead, _, tail = secrets[form]().rpartition(" ")
+                lead, tail = (lead + " ", tail) if lead else ("", tail)
+                at = len(text) + len(lead) + tail.rfind("=") + 1
+                text += lead + tail
+                want[i, at, len(text)] = form
+                text += rng.choice([" ", ". ", "\n"])
+            elif rng.random() < 0.3:
+                text += rng.choice(noise) + " "
+        rows.append((i, text))
+    found = set()
+    for r in pii.digest(spark.createDataFrame(rows, "doc_id long, text string")).collect():
+        found |= {(r.doc_id, int(a), int(b)) for k, a, b in (s.split(":") for s in r.spans.split(",") if s) if k in ("secret", "number")}
+    hit = found & set(want)
+    recall = {f: sum(want[s] == f for s in hit) / sum(w == f for w in want.values()) for f in secrets}
+    precision = len(hit) / len(found)
+    print("precision", round(precision, 3), "recall", {k: round(v, 3) for k, v in recall.items()})
+    # Measured: precision 0.92; recall 1.0 of ids, phones and hex, 0.79 of assigned and 0.81 of prefixed tokens, some of which have no digit.
+    assert precision > 0.9 and min(recall.values()) > 0.75 and min(recall[f] for f in ("hex", "id", "phone")) > 0.98, (precision, recall)
+
+
 def test_candidates_that_overlap_base_spans_are_none(spark):
     rng = random.Random(3)
     words = ["a1b2c3d4e5f6@x.org", "4111111111111111", "4111-1111-1111-1111x9", "+1-555-555-0000", "+123456789012345", "1.2.3.4", "b7db7aa4a5fcc78305", "555-555-0000", "x@y.z0123456789ab", "10.20.30.40-b7db7aa4a5fc", "123-45-6789"]
