@@ -1,6 +1,7 @@
-"""Lines to records: what the built-in functions cannot say is said in Python, a stream of pages or lines per document.
+"""Lines to records: what the built-in functions cannot say is said in Python, a stream of pages or lines.
 
-Rows arrive sorted by document and place (a shuffle by doc_id); a generator keeps the context of the document it is in, so a
+The generic extractor reads pages by themselves, with the year and type that hold at their top found by a scan (scan.py). For the others rows arrive
+sorted by document and place (a shuffle by doc_id); a generator keeps the context of the document it is in, so a
 task's memory is an Arrow batch and one context, whatever a document's length.
 """
 
@@ -16,6 +17,8 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from ..functions import scalars as S
 from ..schemas import RAW_ROW, SHARE_TYPES, SUM_TOLERANCE
+from ..sources.stored import stored
+from . import scan
 from .lines import explode_lines, has_text, join_wrapped
 
 _BO, _MONEY, _INTEGER, _NUMBER, _YEAR = (re.compile(p) for p in (S.BO, S.MONEY, S.INTEGER, S.NUMBER, S.YEAR))
@@ -171,52 +174,104 @@ def _begin(c: _Context, title: str, head: list[str], skip_money: bool) -> None:
     c.fresh = False
 
 
-EVENT = T.StructType([*RAW_ROW.fields, T.StructField("event", T.StringType()), T.StructField("grand", T.BooleanType()), T.StructField("values", T.ArrayType(T.DoubleType()))])
+EVENT = T.StructType([*RAW_ROW.fields, T.StructField("line_no", T.IntegerType()), T.StructField("event", T.StringType()), T.StructField("grand", T.BooleanType()), T.StructField("values", T.ArrayType(T.DoubleType()))])
+
+#: Words of lines that may set the year, and the type.
+YEAR_WORDS = "year|dividend|fy|agm"
+TYPE_WORDS = "stock div|bonus|fraction|right share|refund|cash div|subscription"
+
+
+def follow(line: str, state: scan.State) -> scan.State:
+    """The year and type after a line that is no row: short ones without an account and totals may set either."""
+    year, kind = state
+    low, words = line.lower(), line.split()
+    if "total" in low or len(words) > 14 or any(map(_BO.match, words)):
+        return state
+    if re.search(YEAR_WORDS, low) and (m := _YEAR.search(line)):
+        year = m.group(0)
+    if re.search(TYPE_WORDS, low):
+        kind = type_of(line, None) or kind
+    return year, kind
+
+
+def page_map(lines: list[str]) -> scan.Map:
+    """What the lines of a page do to year and type. Whether a line is a row, and so sets nothing, may depend on both."""
+
+    def through(state: scan.State) -> scan.State:
+        for line in lines:
+            if not parse_record(line, *state):
+                state = follow(line, state)
+        return state
+
+    return scan.as_map(through, {t for line in lines for t in line.split() if _YEAR.fullmatch(t)})
+
+
+def page_states(lines: DataFrame, titles: DataFrame) -> DataFrame:
+    """doc_id, page, year, kind at the top of every page of lines (doc_id, page, line_no, line), given titles (doc_id, title)."""
+    kind = lines.schema["doc_id"].dataType.simpleString()
+    at = F.coalesce(F.col("page").cast("long"), F.lit(-1)) + 1
+    head = lines.filter("line_no <= 8").groupBy("doc_id", at.alias("at")).agg(F.array_sort(F.collect_list(F.struct("line_no", "line"))).alias("head"))
+    opening = head.groupBy("doc_id").agg(F.min_by("head", "at")["line"].alias("head")).join(titles, "doc_id", "left")
+
+    def begin(batches):
+        for b in batches:
+            out = []
+            for r in b.to_pylist():
+                c = _Context()
+                _begin(c, r["title"] or "", r["head"], True)
+                out.append({"doc_id": r["doc_id"], "year": c.year, "kind": c.kind})
+            yield pa.RecordBatch.from_pylist(out, schema=arrow)
+
+    def summed_up(rows: Iterator[dict]) -> Iterator[dict]:
+        rows = list(rows)
+        yield {"doc_id": rows[0]["doc_id"], "at": rows[0]["at"], "map": scan.packed(page_map([r["line"] for r in rows]))}
+
+    first = T._parse_datatype_string(f"doc_id {kind}, year string, kind string")
+    arrow = to_arrow_schema(first)
+    # Few lines can set anything: only these are dealt.
+    turns = lines.filter(F.lower("line").rlike(f"{YEAR_WORDS}|{TYPE_WORDS}")).select("doc_id", at.alias("at"), "line_no", "line")
+    maps = scan.stream(turns, ["doc_id", "at"], ["line_no"], summed_up, scan.NODE.format(kind))
+    nodes = lines.filter("line_no = 1").select("doc_id", at.alias("at")).join(maps, ["doc_id", "at"], "left")
+    states = scan.states_at(stored(nodes, "pages"), stored(opening.mapInArrow(begin, first), "openings"))
+    return states.select("doc_id", (F.col("at") - 1).alias("page"), "year", "kind")
 
 
 def extract_records(pages: DataFrame) -> DataFrame:
     """Events of pages (doc_id, title, page, text): rows, totals, unreadable totals and lines with an account that gave no row.
 
-    Lines are exploded and wrapped records joined by DataFrame functions. A line that is no row may change year and type for the
-    lines after it, and whether a line is a row depends on the type, so this fold is sequential within a document.
+    Lines are exploded and wrapped records joined by DataFrame functions. A line that is no row may change year and type for the lines after
+    it, and whether a line is a row depends on both: what holds at the top of each page comes from a scan over pages, and pages
+    are then read by themselves, whatever their document's length. A page without a number goes before all others.
     """
-    lines = join_wrapped(explode_lines(pages))
-    head = lines.filter("line_no <= 8").groupBy("doc_id", "page").agg(F.transform(F.array_sort(F.collect_list(F.struct("line_no", "line"))), lambda x: x["line"]).alias("head"))
-    lines = lines.join(head, ["doc_id", "page"])
-
-    def handle():
-        c = _Context()
-
-        def on_row(r: dict) -> Iterator[dict]:
-            if c.fresh:
-                _begin(c, r["title"] or "", list(r["head"]), True)
-            if r["page"] != c.page:
-                c.page, c.rows = r["page"], 0
+    lines = stored(join_wrapped(explode_lines(pages.select("doc_id", "page", "text"))), "lines")
+    titles = pages.groupBy("doc_id").agg(F.max("title").alias("title"))
+    page = F.coalesce(F.col("page").cast("long"), F.lit(-1))
+    tops = page_states(lines, titles).select("doc_id", F.col("page").alias("_page"), F.lit(0).alias("line_no"), "year", "kind")
+    rows = lines.withColumn("_page", page).unionByName(tops, allowMissingColumns=True)
+
+    def read(rows: Iterator[dict]) -> Iterator[dict]:
+        state, n = ("", None), 0
+        for r in rows:
             line = r["line"]
-            base = {"doc_id": r["doc_id"], "page": r["page"], "line": line[:300]}
-            if row := parse_record(line, c.year, c.kind):
-                c.rows += 1
-                yield row | base | {"row_on_page": c.rows, "event": "row"}
-                return
+            if line is None:
+                state = r["year"], r["kind"]
+                continue
+            base = {"doc_id": r["doc_id"], "page": r["page"], "line_no": r["line_no"], "line": line[:300]}
+            if row := parse_record(line, *state):
+                n += 1
+                yield row | base | {"row_on_page": n, "event": "row"}
+                continue
             low, words = line.lower(), line.split()
+            state = follow(line, state)
             if "total" in low:
                 if "###" in line:
                     yield base | {"event": "unreadable_total"}
                 elif numbers := [x for t in words if is_amount(t) and (x := value(t)) is not None]:
                     yield base | {"event": "total", "grand": "grand" in low, "values": numbers}
-                return
-            account = any(map(_BO.match, words))
-            if len(words) <= 14 and not account:
-                if re.search("year|dividend|fy|agm", low) and (m := _YEAR.search(line)):
-                    c.year = m.group(0)
-                if re.search("stock div|bonus|fraction|right share|refund|cash div|subscription", low):
-                    c.kind = type_of(line, None) or c.kind
-            if account:
+            elif any(map(_BO.match, words)):
                 yield base | {"event": "unparsed_id"}
 
-        return on_row
-
-    return _stream(lines, ["page", "line_no"], handle, EVENT)
+    return scan.stream(rows, ["doc_id", "_page"], ["line_no"], read, EVENT)
 
 
 def record_rows(events: DataFrame) -> DataFrame:
@@ -227,7 +282,8 @@ def document_stats(events: DataFrame, pages: DataFrame) -> DataFrame:
     """Counts and printed totals of every document. The stated total is the last one labelled grand, else the largest."""
     size = pages.groupBy("doc_id").agg(F.count("*").cast("int").alias("pages"), F.count_if(~has_text(F.col("text"))).cast("int").alias("textless_pages"))
     last = F.element_at("values", -1)
-    place = F.struct("page", "line")
+    place = F.struct("page", "line_no")
+    in_order = lambda keep, value: F.slice(F.transform(F.array_sort(F.collect_list(F.when(keep, F.struct(place.alias("at"), value.alias("v"))))), lambda x: x["v"]), 1, 300)
     is_ = lambda k: F.col("event") == k
     found = events.groupBy("doc_id").agg(
         F.count_if(is_("row")).cast("int").alias("rows"),
@@ -236,8 +292,8 @@ def document_stats(events: DataFrame, pages: DataFrame) -> DataFrame:
         F.round(F.coalesce(F.sum("net_amount"), F.lit(0.0)), 2).alias("extracted_total"),
         F.round(F.coalesce(F.sum("shares"), F.lit(0.0)), 2).alias("extracted_shares"),
         F.coalesce(F.max_by(F.when(F.col("grand"), last), F.when(F.col("grand"), place)), F.max(F.when(is_("total"), last))).alias("stated_total"),
-        F.slice(F.transform(F.array_sort(F.collect_list(F.when(is_("total"), F.struct(place.alias("at"), last.alias("v"))))), lambda x: x["v"]), 1, 300).alias("totals"),
-        F.slice(F.collect_list(F.when(is_("total") & (F.size("values") >= 2), F.slice("values", 1, 12))), 1, 300).alias("total_lines"),
+        in_order(is_("total"), last).alias("totals"),
+        in_order(is_("total") & (F.size("values") >= 2), F.slice("values", 1, 12)).alias("total_lines"),
     )
     return size.join(found, "doc_id", "left").na.fill(0, ["rows", "unparsed_idlike", "unreadable_totals"]).na.fill(0.0, ["extracted_total", "extracted_shares"])
 

@@ -44,6 +44,12 @@ def total_check(values: Column, x: Column) -> Column:
     return F.when(F.size(values) == 0, "no_total_printed").when((x != 0) & (F.abs(best - x) <= TOTAL_TOLERANCE * best), "match").otherwise("mismatch")
 
 
+def printed_total(totals: Column, extra: Column | None = None) -> Column:
+    """Whether a total of at least LEAST_TOTAL is printed; larger values on a line whose total is smaller don't count."""
+    some = lambda values: F.exists(F.coalesce(values, F.array().cast(_NONE)), lambda v: v >= LEAST_TOTAL)
+    return some(totals) if extra is None else some(totals) | some(extra)
+
+
 def hits_any(values: Column, x: Column) -> Column:
     return F.exists(values, lambda c: F.abs(x - c) <= TOTAL_TOLERANCE * c)
 
@@ -52,6 +58,17 @@ def is_total_row(name: Column) -> Column:
     return F.coalesce(name, F.lit("")).rlike(TOTAL_LABEL)
 
 
+def total_row_values(rows: DataFrame) -> DataFrame:
+    """doc_id, extra: the distinct amounts (net, else shares, if readable) of raw rows that are labelled as totals, in order."""
+    readable = lambda c: F.when(~unreadable(), F.col(c))
+    value = F.coalesce(readable("net_amount"), readable("shares"))
+    return rows.filter(is_total_row(F.col("holder_name_raw"))).groupBy("doc_id").agg(F.array_sort(F.collect_set(value)).alias("extra"))
+
+
+def unreadable() -> Column:
+    return F.coalesce((F.abs("net_amount") >= UNREADABLE_FROM) | (F.abs("shares") >= UNREADABLE_FROM), F.lit(False))
+
+
 def mostly_shares(kind: Column) -> Column:
     """An aggregate: whether over half of the rows are of a share type."""
     return F.avg(kind.isin(*SHARE_TYPES).cast("double")) > 0.5
@@ -132,8 +149,7 @@ def guard_rows(rows: DataFrame) -> DataFrame:
     from ..schemas import IMPLAUSIBLE_OVER
     from pyspark.sql import Window
 
-    big = F.coalesce((F.abs("net_amount") >= UNREADABLE_FROM) | (F.abs("shares") >= UNREADABLE_FROM), F.lit(False))
-    df = rows.withColumn("_big", big).withColumn("tags", with_tag(tag_list(F.col("issues")), "unreadable_amount", F.col("_big")))
+    df = rows.withColumn("_big", unreadable()).withColumn("tags", with_tag(tag_list(F.col("issues")), "unreadable_amount", F.col("_big")))
     df = df.withColumns({c: F.when(~F.col("_big"), F.col(c)) for c in ("net_amount", "shares")}).filter(~is_total_row(F.col("holder_name_raw")))
     stray = has_tag(F.col("tags"), "int_amount")
     share = F.avg(stray.cast("double")).over(Window.partitionBy("doc_id"))
@@ -169,18 +185,23 @@ def flagged(tags: Column) -> Column:
     return F.size(F.array_except(tags, F.array(*map(F.lit, INFORMATIONAL)))) > 0
 
 
-def document_verdict(rows: DataFrame, stats: DataFrame) -> DataFrame:
+def document_verdict(rows: DataFrame, stats: DataFrame, extra: DataFrame | None = None) -> DataFrame:
     """extracted_total, stated_total, total_check, flagged share, status and coverage of every document with stats; rows have tags.
 
-    A mismatch becomes a match if two or more years match a candidate and no more years miss than totals are unreadable.
+    extra: doc_id and the amounts of total-labelled rows, which guard_rows has dropped (total_row_values); they are totals like the printed ones.
+    Without a total of at least LEAST_TOTAL nothing is stated, whatever else a total's line holds. Statistics may have ocr_rows: documents
+    with rows from recognised pages are partial. A mismatch becomes a match if two or more years match a candidate and no more years miss than totals are unreadable.
     """
     share = rows.groupBy("doc_id").agg(
         F.count("*").alias("rows_extracted"), mostly_shares(F.col("dividend_type")).alias("_s"), F.coalesce(F.sum("shares"), F.lit(0.0)).alias("_shares"),
         F.coalesce(F.sum("net_amount"), F.lit(0.0)).alias("_net"), F.avg(flagged(F.col("tags")).cast("double")).alias("flagged"),
     )
-    df = stats.select("doc_id", "totals", "total_lines", "textless_pages", "unparsed_idlike", "unreadable_totals").join(share, "doc_id", "left")
+    recognised = F.col("ocr_rows") if "ocr_rows" in stats.columns else F.lit(0)
+    df = stats.select("doc_id", "totals", "total_lines", "textless_pages", "unparsed_idlike", "unreadable_totals", recognised.alias("_ocr")).join(share, "doc_id", "left")
+    df = df.withColumn("extra", F.array().cast(_NONE)) if extra is None else df.join(extra.select("doc_id", "extra"), "doc_id", "left")
     df = df.withColumn("extracted_total", F.coalesce(F.when(F.col("_s"), F.col("_shares")).otherwise(F.col("_net")), F.lit(0.0)))
-    df = df.withColumn("_c", candidates(F.col("totals"), F.col("total_lines"))).withColumn("stated_total", nearest(F.col("_c"), F.col("extracted_total")))
+    held = F.when(printed_total(F.col("totals"), F.col("extra")), candidates(F.col("totals"), F.col("total_lines"), F.col("extra"))).otherwise(F.array().cast(_NONE))
+    df = df.withColumn("_c", held).withColumn("stated_total", nearest(F.col("_c"), F.col("extracted_total")))
     years = rows.groupBy("doc_id", "dividend_year").agg(F.sum("shares").alias("_ys"), F.sum("net_amount").alias("_yn"))
     years = years.join(df.select("doc_id", "_c", "_s"), "doc_id").withColumn("v", F.when(F.col("_s"), F.col("_ys")).otherwise(F.col("_yn"))).filter("v <> 0")
     years = years.groupBy("doc_id").agg(F.count_if(hits_any(F.col("_c"), F.col("v"))).alias("_hit"), F.count_if(~hits_any(F.col("_c"), F.col("v"))).alias("_miss"))
@@ -188,7 +209,7 @@ def document_verdict(rows: DataFrame, stats: DataFrame) -> DataFrame:
     check = total_check(F.col("_c"), F.col("extracted_total"))
     check = F.when((check == "mismatch") & (F.col("_hit") >= 2) & (F.col("_miss") <= F.coalesce("unreadable_totals", F.lit(0))), "match").otherwise(check)
     df = df.withColumn("total_check", check).withColumn("flagged", F.coalesce("flagged", F.lit(1.0)))
-    ok = (F.col("total_check") != "mismatch") & (F.col("flagged") < FLAGGED_BELOW) & (F.col("textless_pages") == 0) & (F.col("unparsed_idlike") <= F.greatest(F.lit(2.0), 0.01 * F.col("rows_extracted"))) & (F.col("rows_extracted") > 0)
+    ok = (F.col("total_check") != "mismatch") & (F.col("flagged") < FLAGGED_BELOW) & (F.col("textless_pages") == 0) & (F.col("unparsed_idlike") <= F.greatest(F.lit(2.0), 0.01 * F.col("rows_extracted"))) & (F.col("rows_extracted") > 0) & (F.coalesce("_ocr", F.lit(0)) == 0)
     return df.select("doc_id", "rows_extracted", F.round("extracted_total", 2).alias("extracted_total"), "stated_total", "total_check", "flagged", F.when(ok, "parsed").otherwise("partial").alias("status"), coverage(F.col("extracted_total"), F.col("stated_total")).alias("coverage_pct"))
 
 

@@ -53,10 +53,11 @@ def build(manifest: DataFrame, pages: DataFrame, documents_only: bool = False) -
     texts = pages.join(active.select("doc_id", "title"), "doc_id").select("doc_id", "title", "page", S.fold_digits(F.col("text")).alias("text"))
     rows, stats = extract_all(texts)
     chosen, choice = choose_rows(rows, stats)
-    values = stats.select("doc_id", totals.candidates(F.col("totals"), F.col("total_lines")).alias("candidates"))
+    extra = totals.total_row_values(chosen)
+    values = stats.join(extra, "doc_id", "left").select("doc_id", totals.candidates(F.col("totals"), F.col("total_lines"), F.col("extra")).alias("candidates"))
     guarded = totals.guard_rows(chosen).withColumn("runs", _runs("line", "holder_name_raw"))
     guarded = stored(totals.resolve_ambiguous(guarded, values).drop("runs"), "guarded")
-    verdict = stored(totals.document_verdict(guarded, stats), "verdicts")
+    verdict = stored(totals.document_verdict(guarded, stats, extra), "verdicts")
     documents = routed.select("id", "company", "title", "role", "route", "reason").join(verdict.withColumnRenamed("doc_id", "id"), "id", "left").join(choice.select(F.col("doc_id").alias("id"), F.col("method").alias("extraction_method"), "approximate"), "id", "left")
     documents = documents.withColumn("status", F.coalesce("route", F.when(F.col("approximate"), "partial").otherwise(F.col("status")))).drop("route", "approximate")
     if documents_only:

@@ -128,3 +128,102 @@ def test_pages_and_sample(spark):
     pages = L.split_pages(df)
     assert [(r.page, r.text) for r in pages.filter("doc_id = 'a'").orderBy("page").collect()][:2] == [(1, "1"), (2, "2")]
     assert sorted(r.page for r in L.page_sample(pages).filter("doc_id = 'a'").collect()) == [1, 3, 5]
+
+
+def walked(pages):
+    """Events of one document by a walk from its first line to its last; wrapped lines do not occur here."""
+    year, kind, fresh, out = "", None, True, []
+    for page, text in sorted(pages):
+        if len((text or "").strip(" ")) < 40:
+            continue
+        n = 0
+        lines = text.split("\n")
+        if fresh:
+            c = R._Context()
+            R._begin(c, "Dividend list", lines[:8], True)
+            year, kind, fresh = c.year, c.kind, False
+        for k, line in enumerate(lines, 1):
+            if row := R.parse_record(line, year, kind):
+                n += 1
+                out.append((page, k, "row", n, row["dividend_year"], row["dividend_type"], row["folio_no"], row["shares"], row["net_amount"]))
+                continue
+            low = line.lower()
+            before = year, kind
+            year, kind = R.follow(line, before)
+            if "total" in low:
+                if "###" in line:
+                    out.append((page, k, "unreadable_total"))
+                elif any(map(R.is_amount, line.split())):
+                    out.append((page, k, "total"))
+            elif any(R._BO.match(t) for t in line.split()):
+                out.append((page, k, "unparsed_id"))
+    return out
+
+
+def random_pages(rng, n):
+    headings = ["Dividend for the year 2018-19", "Dividend year 2018", "Year 2017 and cash dividend", "Stock Dividend list", "Bonus 2016 of the year", "right share 2015", "Fraction money FY 2014", "refund of subscription", "AGM", "a line of plain words"]
+    # Some lines are rows or headings depending on what holds: on the year as an identifier, on the type by the numbers.
+    both = ["2018 year ALPHA 7", "2018 2 bonus BETA 9 9", "2016 dividend GAMMA 2018 5.00", "2017 agm DELTA", "2018-19 year 2014 EPSILON 1.00", f"1 {ID}1 bonus ZETA 4 5 6", "7 F-1 cash div ETA 3"]
+    rows = [f"1 {ID}1 ALPHA TESTER 100.00 10.00 90.00", f"2 {ID}2 BETA TESTER 25", "3 F-77 GAMMA TESTER 50.00", "2018 F-78 DELTA TESTER 7 9", f"{ID}3 nothing", "Grand Total 50.00", "Total ####", "Total of the year 2013"]
+    pages = []
+    for k in range(n):
+        lines = [rng.choice(rng.choice([rows, rows, headings, both])) for _ in range(rng.randint(0, 5))] if rng.random() < 0.8 else rows[:2]
+        pages.append((k + 1, "\n".join([*lines, "words that make the page long enough to be read"]) if rng.random() < 0.9 else "short"))
+    return pages
+
+
+@pytest.mark.parametrize("fan", [512, 3])
+def test_scan_over_pages_equals_a_walk(spark, monkeypatch, fan):
+    """Documents of many lengths; with blocks of three pages there are several levels of them."""
+    import random
+
+    from talus.operators import scan
+
+    monkeypatch.setattr(scan, "FAN", fan)
+    rng = random.Random(7)
+    docs = {f"d{k}": random_pages(rng, n) for k, n in enumerate([1, 2, 3, 4, 9, 10, 27, 28, 90])}
+    rows = [(d, "Dividend list", p, t) for d, pages in docs.items() for p, t in pages]
+    rng.shuffle(rows)
+    events = R.extract_records(spark.createDataFrame(rows, "doc_id string, title string, page int, text string").repartition(5)).collect()
+    for d, pages in docs.items():
+        got = sorted((r.page, r.line_no, r.event, *((r.row_on_page, r.dividend_year, r.dividend_type, r.folio_no, r.shares, r.net_amount) if r.event == "row" else ())) for r in events if r.doc_id == d)
+        assert got == sorted(walked(pages)), d
+    assert {r.dividend_type for r in events if r.event == "row"} >= {"cash", "stock", "right"}
+
+
+def test_maps_compose():
+    import random
+
+    from talus.operators import scan
+
+    rng = random.Random(3)
+    years = ["2014", "2015", "2016", "2018", "2018-19"]
+    for _ in range(100):
+        maps = [R.page_map(t.split("\n")) for _, t in random_pages(rng, 3)]
+        whole = scan.compose(scan.compose(maps[0], maps[1]), maps[2])
+        assert whole == scan.compose(maps[0], scan.compose(maps[1], maps[2]))
+        for state in [(y, k) for y in ["", "1999", *years] for k in scan.KINDS]:
+            assert scan.after(scan.unpacked(scan.packed(whole)), state) == scan.after(maps[2], scan.after(maps[1], scan.after(maps[0], state)))
+
+
+def test_a_long_document_is_many_tasks(spark):
+    """100,000 pages of one document: the pages are read by many tasks, each with the year of the heading before it."""
+    from pyspark.sql import functions as F
+
+    n = 100_000
+    line = F.concat(F.lit("1 F-"), F.col("id").cast("string"), F.lit(" ALPHA TESTER OF A LONG ENOUGH PAGE 5.00"))
+    text = F.when(F.col("id") % 1000 == 0, F.concat(F.lit("Dividend for the year "), (1950 + F.col("id") / 1000).cast("int").cast("string"), F.lit("\n"), line)).otherwise(line)
+    pages = spark.range(n).select(F.lit("d").alias("doc_id"), F.lit("list").alias("title"), (F.col("id") + 1).cast("int").alias("page"), text.alias("text"))
+    df = R.record_rows(R.extract_records(pages)).withColumn("task", F.spark_partition_id())
+    want = (1950 + F.floor((F.col("page") - 1) / 1000)).cast("string")
+    r = df.agg(F.count("*"), F.count_if(F.col("dividend_year") != want), F.count_distinct("task")).first()
+    assert (r[0], r[1]) == (n, 0) and r[2] > 1
+
+
+def test_stated_total_is_the_last_in_place(spark):
+    """Several grand totals on a page: the last by line, not by its wording; totals and their lines in order."""
+    text = "\n".join(["Dividend for the year 2018 and more words", "Grand Total of section Z 1.00 500.00", "Grand Total of all 700.00", "Total of section A 9,000.00"])
+    df = spark.createDataFrame([("d", "t", 2, text), ("d", "t", 1, "Total of the first page in many words 3.00"), ("e", "t", 1, "Total one in a line that is long enough 5.00 7.00\nTotal two 6.00")], "doc_id string, title string, page int, text string")
+    got = {r.doc_id: r for r in R.document_stats(R.extract_records(df), df).collect()}
+    assert (got["d"].stated_total, got["d"].totals, got["d"].total_lines) == (700.0, [3.0, 500.0, 700.0, 9000.0], [[1.0, 500.0]])
+    assert (got["e"].stated_total, got["e"].totals, got["e"].total_lines) == (7.0, [7.0, 6.0], [[5.0, 7.0]])

@@ -73,3 +73,36 @@ def test_verdicts(spark):
     s = spark.createDataFrame([("a", [1000.0], [], 0, 0, 0), ("b", [], [], 0, 0, 0), ("c", [300.0, 200.0], [], 0, 0, 1), ("z", [100.0], [], 0, 0, 0)], "doc_id string, totals array<double>, total_lines array<array<double>>, textless_pages int, unparsed_idlike int, unreadable_totals int")
     got = {x.doc_id: (x.total_check, x.status, x.rows_extracted) for x in T.document_verdict(r, s).collect()}
     assert got == {"a": ("match", "parsed", 2), "b": ("no_total_printed", "partial", 1), "c": ("match", "parsed", 3), "z": ("mismatch", "partial", 0)}
+
+
+STATS = "doc_id string, totals array<double>, total_lines array<array<double>>, textless_pages int, unparsed_idlike int, unreadable_totals int"
+ROWS = "doc_id string, holder_name_raw string, dividend_year string, dividend_type string, shares double, net_amount double, issues string"
+
+
+def verdicts(spark, rows, stats):
+    raw = spark.createDataFrame(rows, ROWS)
+    kept = T.guard_rows(raw)
+    return {r.doc_id: r for r in T.document_verdict(kept, spark.createDataFrame(stats, STATS), T.total_row_values(raw)).collect()}
+
+
+def test_verdict_counts_total_labelled_rows_and_leaves_small_totals_out(spark):
+    item = lambda d, v: (d, "ALPHA TESTER", "2018", "cash", None, v, "")
+    rows = [
+        item("row", 5000.0), ("row", "Grand Total", "2018", "cash", None, 5000.0, ""),
+        item("small", 5000.0),
+        item("shares", 40.0), ("shares", "Sub-total", "2018", "cash", 700.0, None, ""),
+        item("unreadable", 40.0), ("unreadable", "TOTAL of all", "2018", "cash", None, 2e9, ""),
+        item("label", 40.0), ("label", "TOTALLY OTHER", "2018", "cash", None, 5.0, ""),
+    ]
+    stats = [("row", [], [], 0, 0, 0), ("small", [7.0], [[5000.0, 7.0]], 0, 0, 0), ("shares", None, None, 0, 0, 0), ("unreadable", None, None, 0, 0, 0), ("label", [90.0], None, 0, 0, 0)]
+    got = verdicts(spark, rows, stats)
+    assert [(d, got[d].total_check, got[d].stated_total) for d in sorted(got)] == [("label", "no_total_printed", None), ("row", "match", 5000.0), ("shares", "mismatch", 0.0), ("small", "no_total_printed", None), ("unreadable", "no_total_printed", None)]
+    assert got["row"].rows_extracted == 1 and got["label"].rows_extracted == 2 and got["row"].coverage_pct == 100.0
+
+
+def test_rows_from_recognised_pages_are_partial(spark):
+    rows = T.guard_rows(spark.createDataFrame([("d", "ALPHA", "2018", "cash", None, 500.0, "")], ROWS))
+    stats = spark.createDataFrame([("d", [500.0], None, 0, 0, 0)], STATS)
+    for n, want in ((0, "parsed"), (3, "partial")):
+        (r,) = T.document_verdict(rows, stats.withColumn("ocr_rows", F.lit(n))).collect()
+        assert (r.total_check, r.status) == ("match", want)
