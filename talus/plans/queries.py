@@ -6,6 +6,7 @@ lines of orders for extracted rows.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
@@ -13,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from ..functions import scalars as S
 from ..operators import lines as L, lookup, marts, records, resolve, route, totals
 from ..sources import readers, sinks
-from ..streaming import gate, ingest
+from ..streaming import access, gate, ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -405,12 +406,48 @@ def gate_sliding_counts(spark, d):
     return gate.sliding_counts(_table(spark, d, "events"), "user_id", "ts", counts).select("event_id", F.col("fails").cast("long").alias("fails"), F.col("calls").cast("long").alias("calls"))
 
 
-@query()
+#: The gate's rules call by call, for calls c (n from 1 in order of time, id, ip, t in microseconds, ok, missed): accepted calls and marks of a day.
+_GATE = """g(n, id, answer, hits, marks) AS (
+  SELECT 0::BIGINT, NULL::BIGINT, ''::VARCHAR, []::STRUCT(ip VARCHAR, t BIGINT)[], []::STRUCT(ip VARCHAR, t BIGINT, kind VARCHAR)[]
+  UNION ALL
+  SELECT n, id, answer, CASE WHEN answer IN ('ok', 'code_required') THEN list_append(h, {'ip': ip, 't': t}) ELSE h END,
+    CASE WHEN answer = 'code_required' THEN list_append(m, {'ip': ip, 't': t, 'kind': 'fail'}) WHEN answer = 'ok' AND missed THEN list_append(m, {'ip': ip, 't': t, 'kind': 'miss'}) ELSE m END
+  FROM (SELECT *, CASE WHEN len(list_filter(m, lambda x: x.ip = s.ip AND x.kind = 'fail')) >= 3 THEN 'locked' WHEN len(list_filter(m, lambda x: x.ip = s.ip AND x.kind = 'miss')) >= 2 THEN 'locked'
+      WHEN len(list_filter(h, lambda x: x.ip = s.ip AND x.t > s.t - 10800000000)) >= 2 THEN 'rate_limited' WHEN len(list_filter(h, lambda x: x.ip = s.ip)) >= 4 THEN 'daily_cap' WHEN len(h) >= 45 THEN 'daily_cap'
+      WHEN ok THEN 'ok' ELSE 'code_required' END AS answer
+    FROM (SELECT c.*, list_filter(g.hits, lambda x: x.t > c.t - 86400000000) AS h, list_filter(g.marks, lambda x: x.t > c.t - 86400000000) AS m FROM g JOIN c ON c.n = g.n + 1) s) z)"""
+#: Lowered so that every answer occurs, the cap over all visitors from sf0.001 on.
+_LIMITS = gate.Limits(fail=(3, 86400), miss=(2, 86400), minute=(2, 10800), day=(4, 86400), overall=(45, 86400))
+
+
+@query(f"""WITH RECURSIVE c AS MATERIALIZED (SELECT row_number() OVER (ORDER BY ts, event_id) AS n, event_id AS id, CAST(user_id AS VARCHAR) AS ip, epoch_us(ts) AS t, event_type <> 'error' AS ok, event_type = 'click' AS missed FROM events),
+{_GATE} SELECT id AS request_id, ip, ts, answer FROM g JOIN (SELECT event_id, CAST(user_id AS VARCHAR) AS ip, ts FROM events) e ON id = event_id""")
 def gate_answers(spark, d):
-    """Events as calls to the gate, errors as wrong codes; limits are lowered so that all answers occur."""
+    """Events as calls to the gate, errors as wrong codes, clicks as lookups that find nothing."""
     calls = _table(spark, d, "events").select(F.col("event_id").alias("request_id"), F.col("user_id").cast("string").alias("ip"), "ts", (F.col("event_type") != "error").alias("code_ok"), (F.col("event_type") == "click").alias("missed"))
-    limits = gate.Limits(fail=(3, 86400), miss=(6, 86400), minute=(2, 600), day=(12, 86400), overall=(3000, 86400))
-    return gate.gate_all(calls, limits)
+    return gate.gate_all(calls, _LIMITS)
+
+
+@query(f"""WITH RECURSIVE {_ITEMS},
+q AS (SELECT event_id AS id, CAST(user_id AS VARCHAR) AS ip, ts, event_type <> 'error' AS ok, CASE WHEN event_type = 'signup' THEN ['1-URGENT', 'F' || (event_id % 60)] END AS folio,
+    CASE event_type WHEN 'signup' THEN NULL WHEN 'purchase' THEN '12' ELSE lpad(CAST(event_id % 150 AS VARCHAR), 16, '0') END AS bo FROM events),
+k AS (SELECT bo_id AS key, CAST(NULL AS VARCHAR) AS company, net, dividend_type FROM items WHERE bo_id <> '' UNION ALL SELECT upper(replace(folio_no, ' ', '')), company, net, dividend_type FROM items WHERE folio_no <> ''),
+w AS (SELECT key, company, round(coalesce(sum(net) FILTER (dividend_type <> 'stock'), 0), 2) AS cash, count(*) AS items FROM k GROUP BY 1, 2),
+f AS (SELECT q.*, cash, w.items, CASE WHEN bo = '12' THEN 'invalid_bo' END AS invalid FROM q LEFT JOIN w ON w.key = coalesce(bo, folio[2]) AND w.company IS NOT DISTINCT FROM folio[1]),
+c AS MATERIALIZED (SELECT row_number() OVER (ORDER BY ts, id) AS n, id, ip, epoch_us(ts) AS t, ok, invalid IS NULL AND items IS NULL AS missed FROM f),
+{_GATE}, r AS (SELECT f.id, CASE WHEN answer <> 'ok' THEN answer ELSE invalid END AS error, f.cash, f.items FROM f JOIN g ON f.id = g.id)
+SELECT id AS request_id, error, CASE WHEN error IS NULL THEN items IS NOT NULL END AS found, CASE WHEN error IS NULL THEN cash END AS cash, CASE WHEN error IS NULL THEN items END AS items FROM r""")
+def gated_lookups(spark, d):
+    """Events as lookups of accounts or folios of orders, some invalid, some that find nothing; what they find decides what they leave at the gate."""
+    event, kind = F.col("event_id"), F.col("event_type")
+    account = F.when(kind == "purchase", "12").when(kind != "signup", F.lpad((event % 150).cast("string"), 16, "0"))
+    folio = F.when(kind == "signup", F.concat(F.lit("f-"), (event % 60).cast("string")))
+    requests = _table(spark, d, "events").select(event.alias("request_id"), F.col("user_id").cast("string").alias("ip"), "ts", F.when(kind != "error", " Open").alias("code"), account.alias("bo"), F.when(kind == "signup", "1-URGENT").alias("company_asked"), folio.alias("folio"))
+    own = items(spark, d)
+    published = own.select("bo_id", "company", S.folio_key(F.col("folio_no")).alias("folio_key"), F.col("dividend_type").alias("dtype"), "net", "shares", F.col("year_start").cast("string").alias("year"), F.lit(True).alias("verified"), F.col("row_idx").cast("string").alias("doc_id"), F.lit(1).alias("page"), "name")
+    found = access.answer_lookups(requests, published, _LIMITS, access.Access(hashlib.sha256(b"open").hexdigest()))
+    n = F.aggregate(F.transform("companies", lambda c: F.size(c["items"])), F.lit(0).cast("long"), lambda a, x: a + x)
+    return found.select("request_id", "error", "found", F.round("totals.cash", 2).alias("cash"), F.when(F.col("found"), n).alias("items"))
 
 
 @query("""SELECT time_bucket(INTERVAL 5 MINUTES, ts) - INTERVAL 5 MINUTES * k AS window_start, event_type, count(*) AS n FROM events CROSS JOIN (SELECT unnest([0, 1, 2]) AS k) GROUP BY 1, 2""")

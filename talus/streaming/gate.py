@@ -1,18 +1,19 @@
-"""A rate-limiting gate over request logs: sliding counts in batch, and the sequential rules as stateful streaming."""
+"""A rate-limiting gate over request logs: sliding counts, and the sequential rules in batch and as stateful streaming."""
 
 from __future__ import annotations
 
+import uuid
 from bisect import bisect_left, bisect_right
 from collections import deque
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window, functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql import DataFrame, Window, functions as F, types as T
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from ..schemas import EVENT_TTL_SECONDS, GATE_DAY, GATE_FAIL, GATE_GLOBAL, GATE_MINUTE, GATE_MISS
-from ..sources.stored import stored
+from ..sources.stored import shared_folder, stored
 
 
 def sliding_counts(events: DataFrame, key: str, ts: str, counts: dict[str, tuple[F.Column, int]]) -> DataFrame:
@@ -96,7 +97,9 @@ class Gate:
 
 ACCEPTED = ("ok", "code_required")
 ANSWER = "request_id long, ip string, ts timestamp, answer string"
-_STATE = "ips array<string>, kinds array<int>, times array<double>"
+#: An answer with what a later call must know of it.
+KEPT = ANSWER + ", code_ok boolean, missed boolean"
+_CALL = ("request_id", "ip", "ts", "code_ok", "missed")
 
 
 def _answers(gate: Gate, pdf: pd.DataFrame) -> pd.DataFrame:
@@ -109,16 +112,12 @@ def _answers(gate: Gate, pdf: pd.DataFrame) -> pd.DataFrame:
         else:
             gate.record(ip, t.timestamp(), before, bool(missed))
             said.append(None)
-    out = pd.DataFrame({"request_id": pdf["request_id"], "ip": pdf["ip"], "ts": pdf["ts"], "answer": said})
-    return out[out["answer"].notna()]
+    out = pdf[list(_CALL)].assign(answer=said)
+    return out.loc[out["answer"].notna(), ["request_id", "ip", "ts", "answer", "code_ok", "missed"]]
 
 
-def gate_batch(requests: DataFrame, limits: Limits = Limits()) -> DataFrame:
-    """Answers to requests (request_id, ip, ts, code_ok, missed) of a whole log by the rules of single visitors; the cap over all is left out.
-
-    The rules are sequential within a visitor: a rejected call does not count, so no window function can say them. Each task walks
-    its visitors' calls in order, as they come from the sort, and holds one visitor's recent log at a time.
-    """
+def _by_visitor(calls: DataFrame, limits: Limits) -> DataFrame:
+    """Answers with KEPT's columns to calls that may have `known`, by the rules of single visitors."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         gate, last = Gate(limits), None
@@ -128,67 +127,149 @@ def gate_batch(requests: DataFrame, limits: Limits = Limits()) -> DataFrame:
                     gate, last = Gate(limits), ip
                 yield _answers(gate, own)
 
-    ordered = requests.select("request_id", F.coalesce("ip", F.lit("unknown")).alias("ip"), "ts", "code_ok", "missed").repartition("ip").sortWithinPartitions("ip", "ts", "request_id")
-    return ordered.mapInPandas(run, ANSWER)
-
+    return calls.repartition("ip").sortWithinPartitions("ip", *_order(calls)).mapInPandas(run, KEPT)
 
-def gate_all(requests: DataFrame, limits: Limits = Limits()) -> DataFrame:
-    """The same with the cap over all visitors: once so many calls were accepted within the day, further ones get daily_cap, and leave nothing.
 
-    Without the cap more calls are accepted than with it, so a minute before which the others' accepted calls stay under the cap even then
-    is settled by visitor, in parallel. From the first minute on where they might reach it, all calls go through one task in order of
-    time, since each answer depends on all before it; it streams, and holds the logs of two days of accepted calls, which the cap
-    bounds. The two days before that minute are replayed to it with their answers.
-    """
-    calls = requests.select("request_id", F.coalesce("ip", F.lit("unknown")).alias("ip"), "ts", "code_ok", "missed")
-    free = stored(gate_batch(calls, limits), "answers")
-    most, seconds = limits.overall
-    minute = F.floor(F.unix_seconds(F.col("ts").cast("timestamp")) / 60)
-    accepted = free.filter(F.col("answer").isin(*ACCEPTED)).groupBy(minute.alias("minute")).agg(F.count("*").alias("n"))
-    # A row a minute of the log meets in this window, not a row a call.
-    day = Window.orderBy("minute").rangeBetween(-(seconds // 60) - 1, 0)
-    first = accepted.withColumn("n", F.sum("n").over(day)).filter(F.col("n") >= most).agg(F.min("minute")).first()[0]
-    if first is None:
-        return free
-    begin = F.timestamp_seconds(F.lit(first * 60))
-    settled = free.filter(F.col("ts") < begin)
-    back = F.timestamp_seconds(F.lit(first * 60 - EVENT_TTL_SECONDS))
-    known = settled.filter(F.col("ts") >= back).select(F.col("request_id").alias("_id"), F.col("ip").alias("_ip"), F.col("ts").alias("_ts"), F.col("answer").alias("known"))
-    same = (F.col("request_id") == F.col("_id")) & (F.col("ip") == F.col("_ip")) & (F.col("ts") == F.col("_ts"))
-    replayed = calls.filter((F.col("ts") >= back) & (F.col("ts") < begin)).join(known, same).drop("_id", "_ip", "_ts")
-    rest = calls.filter(F.col("ts") >= begin).withColumn("known", F.lit(None).cast("string"))
+def _together(calls: DataFrame, limits: Limits) -> DataFrame:
+    """The same with the cap over all visitors, in one task that streams in order of time; the cap bounds the logs that it holds."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         gate = Gate(limits, overall=True)
         for pdf in batches:
             yield _answers(gate, pdf)
 
-    late = replayed.unionByName(rest).repartition(1).sortWithinPartitions("ts", "request_id").mapInPandas(run, ANSWER)
-    return settled.unionByName(late)
+    return calls.repartition(1).sortWithinPartitions(*_order(calls)).mapInPandas(run, KEPT)
 
 
-def gate_stream(requests: DataFrame, limits: Limits = Limits(), overall: bool = False) -> DataFrame:
-    """The same answers from a stream, calls of one batch in order of time: one state a visitor, which is dropped after two days without
-    calls. With overall, the cap over all visitors holds too and there is one state, whose logs the cap bounds."""
+def _order(calls: DataFrame) -> list:
+    return ["ts", F.col("known").isNull(), "request_id"] if "known" in calls.columns else ["ts", "request_id"]
 
-    def run(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        gate = Gate(limits, overall)
-        for ip, kind, t in zip(*state.get, strict=True) if state.exists else ():
-            gate.log(ip)[kind].append(t)
-        gate.all = deque(sorted(t for hits, _, _ in gate.logs.values() for t in hits)) if overall else gate.all
-        rows = list(batches)
-        if rows:
-            yield _answers(gate, pd.concat(rows).sort_values(["ts", "request_id"], kind="stable"))
-        held = [(ip, kind, t) for ip, logs in gate.logs.items() for kind, log in enumerate(logs) for t in log]
-        state.update(tuple(zip(*held, strict=True)) if held else ((), (), ()))
-        state.setTimeoutDuration(EVENT_TTL_SECONDS * 1000)
-
-    keyed = requests.withColumn("ip", F.coalesce("ip", F.lit("unknown")))
-    keyed = keyed.withColumn("_all", F.lit("all")).groupBy("_all") if overall else keyed.groupBy("ip")
-    return keyed.applyInPandasWithState(run, ANSWER, _STATE, "append", GroupStateTimeout.ProcessingTimeTimeout)
+
+def _calls(requests: DataFrame) -> DataFrame:
+    return requests.select("request_id", F.coalesce("ip", F.lit("unknown")).alias("ip"), F.col("ts").cast("timestamp").alias("ts"), "code_ok", "missed")
+
+
+def gate_batch(requests: DataFrame, limits: Limits = Limits()) -> DataFrame:
+    """Answers to requests (request_id, ip, ts, code_ok, missed) of a whole log by the rules of single visitors; the cap over all is left out.
+
+    The rules are sequential within a visitor: a rejected call does not count, so no window function can say them. Each task walks
+    its visitors' calls in order, as they come from the sort, and holds one visitor's recent log at a time.
+    """
+    return _by_visitor(_calls(requests), limits).drop("code_ok", "missed")
+
+
+def _capped_spans(calls: DataFrame, before: DataFrame | None, limits: Limits) -> list[tuple[int, int, bool]]:
+    """The log cut into spans of seconds (first, end, may the cap over all be reached?).
+
+    Whatever the answers, a visitor has at most the daily limit of accepted calls within a day, and no more than calls. The sum of
+    these bounds over the visitors of the cap's window, block by block of a 24th of it, is a bound of all accepted calls; where it
+    is under the cap, the cap rejects nothing. Rows here are visitors' blocks, then blocks; what comes to the driver is a row a span.
+    """
+    most, seconds = limits.overall
+    unit = max(1, seconds // 24)
+    back = -(-seconds // unit)
+    own = -(-(back + 1) * unit // limits.day[1]) * limits.day[0]
+    block = F.floor(F.unix_seconds("ts") / unit).alias("block")
+    counted = calls if before is None else calls.select("ip", "ts").union(before.select("ip", "ts"))
+    counts = counted.groupBy("ip", block).agg(F.count("*").alias("n"))
+    within = counts.select("ip", F.explode(F.sequence("block", F.col("block") + back)).alias("block"), "n").groupBy("ip", "block").agg(F.least(F.sum("n"), F.lit(own)).alias("n"))
+    bounds = within.groupBy("block").agg((F.sum("n") > most).alias("capped")).join(calls.select(block).distinct(), "block")
+    turn = F.col("capped") != F.coalesce(F.lag("capped").over(Window.orderBy("block")), ~F.col("capped"))
+    spans = bounds.withColumn("turn", turn).withColumn("span", F.sum(F.col("turn").cast("int")).over(Window.orderBy("block")))
+    out: list[tuple[int, int, bool]] = []
+    for r in spans.groupBy("span", "capped").agg(F.min("block").alias("first"), F.max("block").alias("last")).orderBy("span").collect():
+        first = r["first"] * unit
+        # Less than the cap's window between two capped spans is not worth jobs of its own.
+        if r["capped"] and len(out) > 1 and out[-1][1] - out[-1][0] < seconds:
+            first = out[-2][0]
+            del out[-2:]
+        out.append((first, (r["last"] + 1) * unit, r["capped"]))
+    return out
+
+
+def gate_all(requests: DataFrame, limits: Limits = Limits(), before: DataFrame | None = None) -> DataFrame:
+    """The same with the cap over all visitors: once so many calls were accepted within the day, further ones get daily_cap, and leave nothing.
+
+    The log is cut into spans. Where no answers whatever could reach the cap, visitors are independent and dealt over tasks; only a span
+    in which it may be reached goes through one task in order of time, since each answer there depends on all before it. Spans
+    follow one another, and each gets the accepted calls of the limits' longest window before it with their answers; so a capped day makes a
+    task of that day's calls, and of no others. before: earlier answers (KEPT, as kept=True gives them) that count too; a call that
+    comes late is judged by what was accepted before its own time. Times are not null; request ids tell calls of one time apart.
+    """
+    return _gate_all(requests, limits, before).drop("code_ok", "missed")
+
+
+def _gate_all(requests: DataFrame, limits: Limits, before: DataFrame | None = None) -> DataFrame:
+    spark = requests.sparkSession
+    # By ranges of time, so that a span reads its own files only.
+    calls = stored(_calls(requests).repartitionByRange("ts").sortWithinPartitions("ts"), "calls")
+    horizon = max(rule[1] for rule in (limits.fail, limits.miss, limits.minute, limits.day, limits.overall))
+    folder = f"{shared_folder(spark)}/answers-{uuid.uuid4().hex}"
+    kept = T._parse_datatype_string(KEPT)
+    spans = _capped_spans(calls, before, limits)
+    second = lambda s: F.timestamp_seconds(F.lit(s))
+    accepted = F.col("answer").isin(*ACCEPTED)
+    for k, (first, end, capped) in enumerate(spans):
+        rows = calls.filter((F.col("ts") >= second(first)) & (F.col("ts") < second(end))).withColumn("known", F.lit(None).cast("string"))
+        recent = (F.col("ts") >= second(first - horizon)) & (F.col("ts") < second(end)) & accepted
+        near = [j for j, span in enumerate(spans[:k]) if span[1] > first - horizon]
+        for df in (spark.read.schema(kept).parquet(*(f"{folder}/span={j}" for j in near)) if near else None, before):
+            if df is not None:
+                rows = rows.unionByName(df.filter(recent).withColumnRenamed("answer", "known").select(*_CALL, "known"))
+        (_together if capped else _by_visitor)(rows, limits).write.mode("overwrite").parquet(f"{folder}/span={k}")
+    return spark.read.schema(kept).parquet(*(f"{folder}/span={k}" for k in range(len(spans)))) if spans else spark.createDataFrame([], kept)
+
+
+def gate_in_batches(requests: DataFrame, folder: str, checkpoint: str, limits: Limits = Limits()):
+    """The rules with the cap over all visitors for a stream of requests: every micro-batch is a log that gate_all answers, given the answers
+    of the batches before it. Answers (KEPT) go to folder/batch=<number>, so a batch that is run again replaces its own. Starts a query
+    that takes what is there and ends; with the same checkpoint the next one goes on."""
+
+    def answer(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        there = spark.read.schema(KEPT + ", batch long").parquet(folder).filter(F.col("batch") < number).drop("batch") if number else None
+        _gate_all(batch, limits, there).write.mode("overwrite").parquet(f"{folder}/batch={number}")
+
+    return requests.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(answer).start()
+
+
+class _Visitor(StatefulProcessor):
+    """One visitor's log as list state. Spark forgets what is older than the time to live; a timer, moved on by every batch of calls, ends the
+    visitor's state altogether."""
+
+    def __init__(self, limits: Limits):
+        self.limits = limits
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.log = handle.getListState("log", "kind int, t double", ttlDurationMs=EVENT_TTL_SECONDS * 1000)
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        gate = Gate(self.limits)
+        logs = gate.log(key[0])
+        for kind, t in self.log.get() if self.log.exists() else ():
+            logs[kind].append(t)
+        yield _answers(gate, pd.concat(list(rows)).sort_values(["ts", "request_id"], kind="stable"))[["request_id", "ip", "ts", "answer"]]
+        held = [(kind, t) for kind, log in enumerate(gate.log(key[0])) for t in log]
+        if held:
+            self.log.put(held)
+        for t in list(self.handle.listTimers()):
+            self.handle.deleteTimer(t[0] if isinstance(t, tuple) else t)
+        self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + EVENT_TTL_SECONDS * 1000)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self.log.clear()
+        return iter(())
+
+    def close(self) -> None:
+        pass
+
+
+def gate_stream(requests: DataFrame, limits: Limits = Limits()) -> DataFrame:
+    """The rules of single visitors for a stream, calls of one batch in order of time: list state by visitor with time to live and a timer. The
+    session's state store must be RocksDB's (spark.sql.streaming.stateStore.providerClass). With the cap over all: gate_in_batches."""
+    keyed = _calls(requests).groupBy("ip")
+    return keyed.transformWithStateInPandas(_Visitor(limits), ANSWER, "Append", "ProcessingTime")
 
 
 def windowed_counts(stream: DataFrame, ts: str = "ts", kind: str = "event_type", length: str = "15 minutes", slide: str = "5 minutes", late: str = "30 minutes") -> DataFrame:

@@ -9,9 +9,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from ..schemas import SINK_BATCH
 
 
-def new_files(spark: SparkSession, folder: str, schema: T.StructType, fmt: str = "parquet") -> DataFrame:
-    """A stream of the files of a folder; with trigger(availableNow=True) and a checkpoint each file is read once."""
-    return spark.readStream.format(fmt).schema(schema).load(folder)
+def new_files(spark: SparkSession, folder: str, schema: T.StructType, fmt: str = "parquet", **options) -> DataFrame:
+    """A stream of the files of a folder; with trigger(availableNow=True) and a checkpoint each file is read once. options: the source's, such
+    as maxFilesPerTrigger."""
+    return spark.readStream.format(fmt).schema(schema).options(**options).load(folder)
 
 
 def undone(work: DataFrame, done: DataFrame, key: str = "id") -> DataFrame:

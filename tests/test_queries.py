@@ -36,13 +36,18 @@ def test_query(spark, sql, data, name):
 
 
 def test_gate_answers_are_those_of_the_definition(spark, data):
+    """All answers occur, the cap over all visitors among them, and calls are in capped and in other spans."""
     from test_resolve_and_gate import simulated
 
+    from talus.plans.queries import _LIMITS
     from talus.streaming import gate
 
-    rows = [(r.event_id, str(r.user_id), r.ts, r.event_type != "error", r.event_type == "click") for r in spark.read.parquet(f"{data}/events.parquet").collect()]
-    limits = gate.Limits(fail=(3, 86400), miss=(6, 86400), minute=(2, 600), day=(12, 86400), overall=(3000, 86400))
-    assert {r.request_id: r.answer for r in queries()["gate_answers"](spark, data).collect()} == simulated(rows, limits)
+    events = spark.read.parquet(f"{data}/events.parquet")
+    rows = [(r.event_id, str(r.user_id), r.ts, r.event_type != "error", r.event_type == "click") for r in events.collect()]
+    got = {r.request_id: r.answer for r in queries()["gate_answers"](spark, data).collect()}
+    assert got == simulated(rows, _LIMITS) and set(got.values()) == {"ok", "code_required", "locked", "rate_limited", "daily_cap"}
+    uncapped = gate.Limits(_LIMITS.fail, _LIMITS.miss, _LIMITS.minute, _LIMITS.day, (10**9, 86400))
+    assert got != simulated(rows, uncapped)
 
 
 def test_entry(spark):

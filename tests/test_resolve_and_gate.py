@@ -117,34 +117,126 @@ def test_gate_like_the_definition(spark, cap):
     assert len(set(got.values())) >= 3
 
 
-def test_gate_stream_with_the_overall_cap(spark, tmp_path):
-    rows = calls(*[(f"u{k % 5}", 40 * k, k % 4 != 0, k % 5 == 0) for k in range(90)])
-    limits = gate.Limits(overall=(12, 900))
-    for part in (rows[:40], rows[40:]):
+def many_calls(seed, n=600):
+    rng = random.Random(seed)
+    at, rows = 0.0, []
+    for _ in range(n):
+        at += rng.choice([0, 0.5, 7, 60, 900, 4000])
+        rows.append((f"u{rng.randint(0, 6)}", at, rng.random() > 0.2, rng.random() < 0.3))
+    return calls(*rows)
+
+
+def test_only_the_capped_day_is_one_task(spark):
+    """A log of 12 days with one that is capped in its middle: equal to the simulation, and the calls of the other days are dealt over tasks."""
+    rng = random.Random(2)
+    rows = [(f"u{rng.randint(0, 30)}", 86400 * day + rng.random() * 86400, rng.random() > 0.1, rng.random() < 0.2) for day in range(12) for _ in range(400 if day == 5 else 40)]
+    rows = calls(*sorted(rows, key=lambda r: r[1]))
+    limits = gate.Limits(day=(20, 86400), overall=(120, 86400))
+    df = spark.createDataFrame(rows, CALL)
+    spans = gate._capped_spans(gate._calls(df), None, limits)
+    assert [capped for _, _, capped in spans] == [False, True, False]
+    assert sum(end - first for first, end, capped in spans if capped) < 3 * 86400
+    want = simulated(rows, limits)
+    assert {r.request_id: r.answer for r in gate.gate_all(df, limits).collect()} == want
+    assert sum(a == "daily_cap" for a in want.values()) > 50
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        tasks = [f(gate._calls(df), limits).select(F.spark_partition_id().alias("p")).distinct().count() for f in (gate._by_visitor, gate._together)]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert tasks[0] > 1 and tasks[1] == 1
+
+
+def test_spans_bound_what_is_accepted(spark):
+    """Outside of capped spans the cap never says no, for logs of all kinds; many visitors over their own limits don't make a span."""
+    for seed, cap in ((1, 12), (2, 30), (3, 60)):
+        rows = many_calls(seed)
+        limits = gate.Limits(fail=(2, 900), miss=(4, 3600), minute=(3, 60), day=(20, 86400), overall=(cap, 86400))
+        free = gate.Limits(fail=limits.fail, miss=limits.miss, minute=limits.minute, day=limits.day, overall=(10**9, 86400))
+        spans = gate._capped_spans(gate._calls(spark.createDataFrame(rows, CALL)), None, limits)
+        assert all(a[1] <= b[0] for a, b in zip(spans, spans[1:], strict=False))
+        first = next((s for s in spans if s[2]), None)
+        said, unlimited = simulated(rows, limits), simulated(rows, free)
+        before = [r for r in rows if first is None or r[2].timestamp() < first[0]]
+        assert all(said[r[0]] == unlimited[r[0]] for r in before)
+    one = calls(*[("u", 60 * k, True, False) for k in range(1000)])
+    assert [s[2] for s in gate._capped_spans(gate._calls(spark.createDataFrame(one, CALL)), None, gate.Limits(day=(20, 86400), overall=(50, 86400)))] == [False]
+
+
+def test_empty_log(spark):
+    assert gate.gate_all(spark.createDataFrame([], CALL)).collect() == []
+
+
+@pytest.mark.parametrize("cap", [9, 10_000])
+def test_gate_in_micro_batches(spark, tmp_path, cap):
+    """Three files of a log, one batch each and the query started anew for the last: as if it were one log. A batch that is run again changes nothing."""
+    rows = many_calls(5, 240)
+    limits = gate.Limits(fail=(2, 900), miss=(4, 3600), minute=(3, 60), day=(20, 86400), overall=(cap, 86400))
+    schema = spark.createDataFrame(rows[:1], CALL).schema
+
+    def more(part):
         spark.createDataFrame(part, CALL).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
-    stream = ingest.new_files(spark, str(tmp_path / "in"), spark.read.parquet(str(tmp_path / "in")).schema)
-    q = gate.gate_stream(stream, limits, overall=True).writeStream.format("memory").queryName("capped").outputMode("append").option("checkpointLocation", str(tmp_path / "cp")).start()
-    answered(spark, q, "capped", len(rows))
-    assert {r.request_id: r.answer for r in spark.table("capped").collect()} == simulated(rows, limits)
+        time.sleep(1.1)
+
+    more(rows[:100])
+    more(rows[100:150])
+    stream = ingest.new_files(spark, str(tmp_path / "in"), schema, maxFilesPerTrigger=1)
+    start = lambda: gate.gate_in_batches(stream, str(tmp_path / "out"), str(tmp_path / "cp"), limits).awaitTermination()
+    start()
+    more(rows[150:])
+    start()
+    start()
+    got = spark.read.parquet(str(tmp_path / "out")).collect()
+    assert sorted({r.batch for r in got}) == [0, 1, 2] and len(got) == len(rows)
+    assert {r.request_id: r.answer for r in got} == simulated(rows, limits)
 
 
-def answered(spark, q, name, n):
-    """Waits for n rows: with timeouts by the clock a query goes on without new data."""
-    for _ in range(240):
-        if q.exception() or spark.table(name).count() >= n:
-            break
-        time.sleep(0.5)
-    q.stop()
+ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def test_gate_stream_like_batch(spark, tmp_path):
-    rows = calls(*[(f"u{k % 3}", 7 * k, k % 4 != 0, k % 5 == 0) for k in range(120)])
-    spark.createDataFrame(rows, CALL).coalesce(1).write.parquet(str(tmp_path / "in"))
-    stream = ingest.new_files(spark, str(tmp_path / "in"), spark.read.parquet(str(tmp_path / "in")).schema)
-    q = gate.gate_stream(stream).writeStream.format("memory").queryName("answers").outputMode("append").option("checkpointLocation", str(tmp_path / "cp")).start()
-    answered(spark, q, "answers", len(rows))
+    """Two batches of a stream with a state for each visitor, in a query that is started anew between them."""
+    rows = calls(*[(f"u{k % 3}" if k % 7 else None, 7 * k, k % 4 != 0, k % 5 == 0) for k in range(120)])
+    schema = spark.createDataFrame(rows[:1], CALL).schema
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKS)
+    try:
+        for part in (rows[:50], rows[50:]):
+            spark.createDataFrame(part, CALL).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+            answers = gate.gate_stream(ingest.new_files(spark, str(tmp_path / "in"), schema))
+            q = answers.writeStream.format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start()
+            q.awaitTermination(180)
+            assert q.exception() is None
+    finally:
+        spark.conf.unset("spark.sql.streaming.stateStore.providerClass")
     want = {r.request_id: r.answer for r in gate.gate_batch(spark.createDataFrame(rows, CALL)).collect()}
-    assert {r.request_id: r.answer for r in spark.table("answers").collect()} == want
+    assert {r.request_id: r.answer for r in spark.read.parquet(str(tmp_path / "out")).collect()} == want
+
+
+ITEMS = "bo_id string, company string, folio_key string, name string, year string, dtype string, shares double, net double, verified boolean, doc_id string, page int"
+
+
+def test_gated_lookups(spark):
+    """What a lookup finds decides what its call leaves: misses lock, finds and invalid keys don't; a rejected call is not looked up."""
+    import hashlib
+
+    from talus.streaming import access
+
+    bo = "1201000000000001"
+    items = spark.createDataFrame([(bo, "C1", "", "ALPHA", "2018", "cash", None, 5.0, True, "d", 1), (bo, "C2", "", "ALPHA", "2019", "cash", None, 7.0, True, "e", 1), ("", "C1", "F1", "BETA", "2018", "cash", None, 2.0, True, "d", 2)], ITEMS)
+    asked = [
+        ("a", 0, " Open ", bo, None, None, (None, True)), ("a", 1, "open", "1201-0000-0000-0001", None, None, (None, True)), ("a", 2, "wrong", bo, None, None, ("code_required", None)),
+        ("a", 3, None, bo, None, None, ("code_required", None)), ("a", 4, "open", "12", None, None, ("invalid_bo", None)), ("a", 5, "open", None, "C1", "f-1", (None, True)), ("a", 6, "open", None, None, "F1", ("invalid_folio", None)),
+        ("a", 7, "open", None, "C2", "F1", (None, False)), ("a", 8, "open", None, "C1", "", ("invalid_folio", None)), ("a", 9, "open", None, None, None, ("invalid_bo", None)),
+        *[("m", k, "open", "9" * 16, None, None, (None, False)) for k in range(3)], ("m", 4, "open", bo, None, None, ("locked", None)), ("m", 4000, "open", bo, None, None, (None, True)),
+        *[("i", k, "open", "1", None, None, ("invalid_bo", None)) for k in range(8)], ("i", 9, "open", bo, None, None, (None, True)),
+    ]
+    rows = [(k, ip, T0 + dt.timedelta(seconds=s), code, b, c, f) for k, (ip, s, code, b, c, f, _) in enumerate(asked)]
+    requests = spark.createDataFrame(rows, "request_id long, ip string, ts timestamp, code string, bo string, company_asked string, folio string")
+    own = access.Access(hashlib.sha256(b"open").hexdigest())
+    got = {r.request_id: r for r in access.answer_lookups(requests, items, gate.Limits(miss=(3, 3600), minute=(1000, 60)), own).collect()}
+    assert [(got[k].error, got[k].found) for k in range(len(asked))] == [want for *_, want in asked]
+    assert (got[0].name, got[0].totals.cash, got[0].totals.companies, len(got[0].companies)) == ("ALPHA", 12.0, 2, 2) and got[5].totals.cash == 2.0
+    assert all(got[k].companies is None for k in range(len(asked)) if not got[k].found)
 
 
 def test_sliding_bounds(spark):
