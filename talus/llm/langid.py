@@ -14,7 +14,9 @@ BUCKETS = 1 << 16
 ORDERS = (1, 2, 3)
 #: Documents of one language that the fit takes at most, chosen by the hash of their ids.
 TRAIN_DOCS = 4000
-#: Characters in one numpy pass.
+#: Labels at most: the counts that reach the driver and the matrix that is broadcast are labels * BUCKETS numbers, so 134 MB and 67 MB.
+MOST_LABELS = 256
+#: Characters in one numpy pass; a longer text takes several.
 PASS_CHARS = 1 << 19
 UNKNOWN = "und"
 
@@ -44,25 +46,53 @@ def gram_buckets(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(buckets), np.concatenate(owners)
 
 
-def _slices(texts: list[str]):
+def _passes(texts: list[str]):
+    """(first, end, buckets, owner) of runs of texts of about PASS_CHARS; owner counts from the first. A longer text comes alone and in
+    several passes, which share a few characters so that every n-gram is in one."""
     at, size = 0, 0
     for i, t in enumerate(texts):
+        if len(t) >= PASS_CHARS:
+            if at < i:
+                yield at, i, *gram_buckets(texts[at:i])
+            for buckets in _long(t):
+                yield i, i + 1, buckets, np.zeros(len(buckets), np.int64)
+            at, size = i + 1, 0
+            continue
         size += len(t)
         if size >= PASS_CHARS:
-            yield at, i + 1
+            yield at, i + 1, *gram_buckets(texts[at : i + 1])
             at, size = i + 1, 0
     if at < len(texts):
-        yield at, len(texts)
+        yield at, len(texts), *gram_buckets(texts[at:])
+
+
+def _long(text: str):
+    """Buckets of a long text's n-grams, pass by pass: those that begin in each stretch of the text and the space before it."""
+    whole, more = len(text) + 1, max(ORDERS) - 1
+    for lo in range(0, whole, PASS_CHARS):
+        # Place k of the text with its space is character k - 1.
+        part = text[max(lo - 1, 0) : lo + PASS_CHARS + more - 1]
+        codes = np.frombuffer(("" if lo else " ").encode("utf-32-le") + part.encode("utf-32-le"), np.uint32).astype(U)
+        codes[(codes >= 48) & (codes <= 57)] = 48
+        out, h = [], np.zeros(len(codes), U)
+        for n in range(1, max(ORDERS) + 1):
+            h = h[: max(len(codes) - n + 1, 0)] * U(0x100000001B3) + (codes[n - 1 :] + U(1))
+            if n in ORDERS:
+                out.append((mix(h[:PASS_CHARS] + U(n)) >> U(64 - 16)).astype(np.int64))
+        yield np.concatenate(out)
 
 
 def fit(docs: DataFrame, bound: int = TRAIN_DOCS) -> tuple[list[str], np.ndarray]:
     """Labels in order and log probabilities (label, bucket), the prior in a last column.
 
     Learns from rows with text and lang that are not held out; of each language at most about `bound`, chosen by the hash of doc_id.
-    What reaches the driver is a count for each of 16 tasks, language and bucket: bounded whatever the input.
+    What reaches the driver is a count for each of 16 tasks, language and bucket: bounded by the number of languages, of which there
+    may be MOST_LABELS; more are an error.
     """
     known = docs.filter(F.col("text").isNotNull() & F.col("lang").isNotNull() & ~held_out(F.col("doc_id"))).select("doc_id", "text", F.col("lang").cast("string").alias("lang"))
-    sizes = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    sizes = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count("*").alias("n")).limit(MOST_LABELS + 1).collect()}
+    if len(sizes) > MOST_LABELS:
+        raise ValueError(f"more than {MOST_LABELS} labels")
     if not sizes:
         return [], np.zeros((0, BUCKETS + 1))
     rate = F.create_map(*[x for k, n in sizes.items() for x in (F.lit(k), F.lit(int(min(1.0, bound / n) * (1 << 30))))])
@@ -72,8 +102,7 @@ def fit(docs: DataFrame, bound: int = TRAIN_DOCS) -> tuple[list[str], np.ndarray
         total: dict[str, np.ndarray] = {}
         for b in slices(batches):
             texts, langs = [t.lower() for t in b.column(0).to_pylist()], b.column(1).to_pylist()
-            for lo, hi in _slices(texts):
-                buckets, owner = gram_buckets(texts[lo:hi])
+            for lo, hi, buckets, owner in _passes(texts):
                 for lang in set(langs[lo:hi]):
                     mine = np.array([x == lang for x in langs[lo:hi]])[owner]
                     c = np.bincount(buckets[mine], minlength=BUCKETS)
@@ -107,17 +136,17 @@ def label(docs: DataFrame, model: tuple[list[str], np.ndarray]) -> DataFrame:
         for b in slices(batches):
             texts = [(t or "").lower() for t in b.column(at).to_pylist()]
             lang, score = [UNKNOWN] * len(texts), [0.0] * len(texts)
-            for lo, hi in _slices(texts) if labels else ():
-                buckets, owner = gram_buckets(texts[lo:hi])
-                sums = np.zeros((hi - lo, len(labels)))
+            sums = np.zeros((len(texts), len(labels)))
+            for lo, hi, buckets, owner in _passes(texts) if labels else ():
                 for k in range(len(labels)):
-                    sums[:, k] = np.bincount(owner, weights[k][buckets], hi - lo)
+                    sums[lo:hi, k] += np.bincount(owner, weights[k][buckets], hi - lo)
+            if labels:
                 sums += prior
                 p = np.exp(sums - sums.max(1, keepdims=True))
                 p /= p.sum(1, keepdims=True)
                 for i, k in enumerate(p.argmax(1)):
-                    if any(map(str.isalpha, texts[lo + i])):
-                        lang[lo + i], score[lo + i] = labels[k], float(p[i, k])
+                    if any(map(str.isalpha, texts[i])):
+                        lang[i], score[i] = labels[k], float(p[i, k])
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(lang, pa.string()), pa.array(score, pa.float64())], [*b.schema.names, "lang_pred", "score"])
 
     schema = T.StructType([*docs.schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])

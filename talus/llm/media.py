@@ -14,6 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from .scratch import materialize
 from .words import passes
 
 #: Fixed values of the WAVE container.
@@ -61,7 +62,7 @@ def wave(samples: bytes, codec: str = "mulaw", rate: int = RATE) -> bytes:
     per_block = (BLOCK - 4) * 2 + 1
     extra = struct.pack("<HH", 2, per_block) if codec == "ima" else struct.pack("<H", 0)
     rate_bytes = rate * BLOCK // per_block if codec == "ima" else rate
-    n = len(samples) * (2 if codec == "ima" else 1) if codec != "ima" else len(samples) // BLOCK * per_block
+    n = len(samples) // BLOCK * per_block if codec == "ima" else len(samples)
     fmt = struct.pack("<HHIIHH", TAGS[codec], 1, rate, rate_bytes, align, bits) + extra
     body = b"WAVE" + b"fmt " + struct.pack("<I", len(fmt)) + fmt + b"fact" + struct.pack("<II", 4, n) + b"data" + struct.pack("<I", len(samples)) + samples + b"\0" * (len(samples) % 2)
     return b"RIFF" + struct.pack("<I", len(body)) + body
@@ -142,45 +143,73 @@ def features(pcm: np.ndarray, ends: np.ndarray) -> dict[str, np.ndarray]:
 PASS_BYTES = 1 << 20
 
 
-def encode_texts(docs: DataFrame, codec: str = "mulaw", keep: tuple[str, ...] = ("media", "pcm"), digest: bool = False) -> DataFrame:
-    """Every row's whole text as coded 8-bit samples in a WAVE file, read back, decoded and resampled.
+def codec_of(coded: bytes) -> str:
+    """One of the codecs, by the bytes."""
+    return sorted(TAGS)[zlib.crc32(coded) % len(TAGS)]
 
-    Returns doc_id, n_bytes and, as asked for in `keep`, media (the file) and pcm (16-bit little-endian samples at
-    twice the rate); with digest, the digest columns: payload_bytes, payload_sha256 and tail_crc32 of the bytes read back,
-    media_bytes, media_sha256, feature. A null or empty text is 64 zero bytes. Repeated rows and null ids are kept.
-    One pass without a shuffle; the blocks of many texts are decoded together.
+
+def encode_texts(docs: DataFrame, codec: str | None = None) -> DataFrame:
+    """doc_id, n_bytes, media of every row: its whole text, with its padding, as coded 8-bit samples (ADPCM: as blocks) in a WAVE file.
+
+    Without a codec each text has one by the hash of its bytes, so that equal texts have equal files. A null or empty text is 64 zero bytes. Repeated rows and null ids are kept. One pass without a shuffle.
     """
-    names = ["n_bytes", *keep, *(("payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature") if digest else ())]
-    kinds = {"media": "binary", "pcm": "binary", "payload_sha256": "string", "media_sha256": "string", "feature": "string"}
-
-    def rows(texts: list[bytes]) -> list[dict]:
-        media = [wave(payload(t), codec) for t in texts]
-        read = [read_wave(m) for m in media]
-        stored = [coded for _, _, coded in read]
-        whole, ends = b"".join(stored), np.cumsum([len(x) for x in stored])
-        narrow = decode(codec, whole)
-        ratio = len(narrow) / max(1, len(whole))
-        at = (ends * ratio).round().astype(np.int64)
-        pcm = upsample(narrow, at)
-        out = [{"n_bytes": len(t), "media": m} for t, m in zip(texts, media, strict=True)]
-        raw = pcm.astype("<i2").tobytes()
-        edges = np.concatenate(([0], 4 * at)).tolist()
-        for i, r in enumerate(out):
-            r["pcm"] = raw[edges[i] : edges[i + 1]]
-        if digest:
-            found = features(pcm, 2 * at) | {f"ima_{k}": v for k, v in features(decode("ima", whole), ends // BLOCK * ((BLOCK - 4) * 2 + 1)).items()}
-            for i, (r, own) in enumerate(zip(out, stored, strict=True)):
-                r |= {"payload_bytes": len(own), "payload_sha256": hashlib.sha256(own).hexdigest(), "tail_crc32": zlib.crc32(own[-64:]), "media_bytes": len(media[i]), "media_sha256": hashlib.sha256(media[i]).hexdigest()}
-                r["feature"] = ";".join(f"{k}={v[i]}" for k, v in found.items()) + f";pcm_crc32={zlib.crc32(r['pcm'])}"
-        return out
 
     def run(batches):
         for b in batches:
             texts = [t.encode() if t else b"" for t in b.column(1).to_pylist()]
             for lo, hi in passes(texts, PASS_BYTES):
-                made = rows(texts[lo:hi])
-                arrays = [pa.array([r[k] for r in made], {"binary": pa.binary(), "string": pa.string()}.get(kinds.get(k), pa.int64())) for k in names]
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(lo, hi - lo), *arrays], ["doc_id", *names])
+                media = [wave(p, codec or codec_of(p)) for p in map(payload, texts[lo:hi])]
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(lo, hi - lo), pa.array([len(t) for t in texts[lo:hi]], pa.int64()), pa.array(media, pa.binary())], ["doc_id", "n_bytes", "media"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, " + ", ".join(f"{k} {kinds.get(k, 'long')}" for k in names))
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n_bytes long, media binary")
+
+
+DECODED = ("payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature")
+
+
+def decode_media(files: DataFrame, pcm: bool = True, digest: bool = True) -> DataFrame:
+    """files (doc_id, n_bytes, media: WAVE files of one codec each) with pcm, the 16-bit little-endian samples at twice the rate, instead of media,
+    and with digest what was read back: payload_bytes, payload_sha256 and tail_crc32 of the coded bytes, media_bytes, media_sha256,
+    feature (of the resampled signal, by the file's own codec).
+
+    Files of each codec are decoded together, the blocks of many files side by side. A file that is no such WAVE file is an error.
+    """
+    strings = ("payload_sha256", "media_sha256", "feature")
+    names = [*(["pcm"] if pcm else []), *(DECODED if digest else ())]
+
+    def rows(codec: str, media: list[bytes], stored: list[bytes]) -> list[dict]:
+        unit, samples = (BLOCK, (BLOCK - 4) * 2 + 1) if codec == "ima" else (1, 1)
+        whole, ends = b"".join(stored), np.cumsum([len(x) for x in stored]) // unit * samples
+        signal = upsample(decode(codec, whole), ends)
+        raw, edges = signal.astype("<i2").tobytes(), np.concatenate(([0], 4 * ends)).tolist()
+        out = [{"pcm": raw[a:b]} for a, b in zip(edges, edges[1:], strict=False)]
+        found = features(signal, 2 * ends) if digest else {}
+        for i, (r, own) in enumerate(zip(out, stored, strict=True) if digest else ()):
+            r |= {"payload_bytes": len(own), "payload_sha256": hashlib.sha256(own).hexdigest(), "tail_crc32": zlib.crc32(own[-64:]), "media_bytes": len(media[i]), "media_sha256": hashlib.sha256(media[i]).hexdigest()}
+            r["feature"] = f"{codec};" + ";".join(f"{k}={v[i]}" for k, v in found.items()) + f";pcm_crc32={zlib.crc32(r['pcm'])}"
+        return out
+
+    def run(batches):
+        for b in batches:
+            files = b.column(2).to_pylist()
+            for lo, hi in passes(files, PASS_BYTES):
+                read = [read_wave(m) for m in files[lo:hi]]
+                made: list[dict] = [{}] * (hi - lo)
+                for codec in sorted({c for c, _, _ in read}):
+                    mine = [i for i, (c, _, _) in enumerate(read) if c == codec]
+                    for i, r in zip(mine, rows(codec, [files[lo + i] for i in mine], [read[i][2] for i in mine]), strict=True):
+                        made[i] = r
+                kinds = [pa.binary() if k == "pcm" else pa.string() if k in strings else pa.int64() for k in names]
+                arrays = [pa.array([r[k] for r in made], kind) for k, kind in zip(names, kinds, strict=True)]
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(lo, hi - lo), b.column(1).slice(lo, hi - lo), *arrays], ["doc_id", "n_bytes", *names])
+
+    kind = files.schema["doc_id"].dataType.simpleString()
+    columns = ", ".join(f"{k} {'binary' if k == 'pcm' else 'string' if k in strings else 'long'}" for k in names)
+    return files.select("doc_id", "n_bytes", "media").mapInArrow(run, f"doc_id {kind}, n_bytes long, {columns}")
+
+
+def telephony(docs: DataFrame, codec: str | None = None) -> DataFrame:
+    """doc_id, n_bytes and the digest of decode_media, a row for each row of docs: the files are written as a table to the shared folder, and
+    what is read back from there is decoded."""
+    return decode_media(materialize(encode_texts(docs, codec), "media"), pcm=False)

@@ -277,7 +277,7 @@ def near_duplicates(docs: DataFrame, size: int = 3, percent: int = 85) -> DataFr
     docs: doc_id (an integer), text. Texts are lower-cased (A-Z); a shingle is `size` consecutive words, the whole text if it has fewer.
     Returns a row for each row of docs: doc_id, n_shingles, component_id (the smallest doc_id that links reach) and kept
     (doc_id = component_id). Texts that are null, empty or without words have no shingles and are linked with nothing; a null doc_id is not
-    linked either and is kept. Rows that share an id are one node of the links.
+    linked either and is kept. Rows that share an id each have the component of their own text, and all are kept if it is theirs.
 
     Equal sets are brought together first by a fingerprint; one document stands for each. Keys, sketches and signatures are shuffled, not
     texts; only texts of clusters with more than one set are. Keys of over KEY_BLOCK sets and clusters of over BLOCK are dealt in blocks.

@@ -20,6 +20,9 @@ from pyspark.sql import DataFrame, Window, functions as F
 from .bpe import Encoder
 from .scratch import materialize, small_side
 
+#: Blocks of rounds that a task fills one after the other, on average.
+BLOCKS = 8
+
 PIECE = "doc_id {kind}, source string, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
@@ -99,7 +102,10 @@ def pack(docs: DataFrame, path: str, window: int = 1024, targets: dict[str, floa
             yield pa.RecordBatch.from_arrays([pa.array(turn // rounds), pa.array(turn), b.column(0).take(take), b.column(1).take(take), b.column(2).take(take), pa.array(out[2], pa.int64()), b.column(3).take(take), pa.array(out[3], pa.binary())], ["block", "turn", "doc_id", "source", "at", "start", "doc_tokens", "ids"])
 
     packets = placed.mapInArrow(cut, f"block long, turn long, doc_id {kind}, source string, at long, start long, doc_tokens long, ids binary")
-    ordered = packets.repartition("block").sortWithinPartitions("block", "turn", "source", "at", "start")
+    # As many partitions as the ids ask for, whatever the session's number.
+    whole = totals.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    parts = max(1, -(-whole // (rounds * window * BLOCKS)))
+    ordered = packets.repartition(parts, "block").sortWithinPartitions("block", "turn", "source", "at", "start")
 
     def fill(batches):
         block, number, held, room = None, 0, [], window

@@ -27,7 +27,7 @@ def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_telephony_audio(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return media.encode_texts(_table(spark, sf_dir, "documents"), keep=(), digest=True)
+    return media.telephony(_table(spark, sf_dir, "documents"))
 
 
 def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:

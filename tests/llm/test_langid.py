@@ -1,5 +1,8 @@
 import zlib
 
+import numpy as np
+import pytest
+
 from talus.llm import langid
 
 
@@ -48,3 +51,51 @@ def test_grams_do_not_span_texts():
     one, _ = langid.gram_buckets(["ab"])
     other, _ = langid.gram_buckets(["cd"])
     assert sorted(a[owner == 0]) == sorted(one) and sorted(a[owner == 1]) == sorted(other)
+
+
+def test_long_texts_take_several_passes(monkeypatch):
+    """The n-grams of a text are the same in one pass or in many, whatever its length."""
+    rng = np.random.default_rng(5)
+    texts = ["".join(rng.choice(list("abc 7é日😀\n"), n)) for n in (0, 1, 2, 3, 15, 16, 17, 31, 32, 33, 34, 100, 5)]
+    want = [sorted(langid.gram_buckets([t])[0].tolist()) for t in texts]
+    for size in (16, 1, 2, 1000):
+        monkeypatch.setattr(langid, "PASS_CHARS", size)
+        got = [[] for _ in texts]
+        for lo, hi, buckets, owner in langid._passes(texts):
+            assert len(owner) == len(buckets) and (not len(owner) or owner.max() < hi - lo)
+            for b, o in zip(buckets.tolist(), owner.tolist(), strict=True):
+                got[lo + o].append(b)
+        assert [sorted(g) for g in got] == want
+
+
+def test_labels_are_bounded(spark, monkeypatch):
+    df = spark.createDataFrame([(k, "some text", f"l{k}") for k in range(40)], "doc_id long, text string, lang string")
+    monkeypatch.setattr(langid, "MOST_LABELS", 5)
+    with pytest.raises(ValueError, match="more than 5 labels"):
+        langid.fit(df)
+
+
+def test_like_brute_force(spark):
+    """Posteriors by the definition, n-grams counted in dictionaries."""
+    import math
+    from collections import Counter
+
+    rng = np.random.default_rng(9)
+    own = {"x": "abcdef ghi", "y": "uvwxyz éab", "z": "日本語 abc"}
+    rows = [(k, "".join(rng.choice(list(own[lang]), rng.integers(0, 60))), lang) for k, lang in enumerate(rng.choice(list(own), 300))]
+    df = spark.createDataFrame([(int(i), str(t), str(lang)) for i, t, lang in rows], "doc_id long, text string, lang string")
+    grams = lambda t: Counter(langid.gram_buckets([t])[0].tolist())
+    learnt = [r for r in rows if zlib.crc32(str(r[0]).encode()) % 3 != 1]
+    sizes, counts = Counter(r[2] for r in learnt), {k: Counter() for k in own}
+    for _, t, lang in learnt:
+        counts[lang].update(grams(t))
+    whole = {k: sum(c.values()) + 0.1 * langid.BUCKETS for k, c in counts.items()}
+    for r in langid.predict(df, langid.fit(df)).collect():
+        t = rows[r.doc_id][1]
+        if not any(map(str.isalpha, t)):
+            assert (r.lang_pred, r.score) == ("und", 0.0)
+            continue
+        odds = {k: math.log(sizes[k] / len(learnt)) + sum(n * math.log((counts[k][b] + 0.1) / whole[k]) for b, n in grams(t).items()) for k in own}
+        best = max(odds, key=odds.get)
+        p = 1 / sum(math.exp(v - odds[best]) for v in odds.values())
+        assert abs(r.score - p) < 1e-3 and (r.lang_pred == best or abs(p - 0.5) < 1e-3)

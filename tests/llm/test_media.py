@@ -58,24 +58,44 @@ def test_features_of_joined_signals():
         assert tuple(int(v[i]) for v in got.values()) == want
 
 
+def by_hand(t):
+    """Payload, file and PCM of one text, each decoded by itself."""
+    p = t + b"\0" * (-len(t) % 64 or (0 if t else 64))
+    codec = sorted(media.TAGS)[zlib.crc32(p) % 3]
+    narrow = [v for k in range(0, len(p), 64) for v in slow_ima(p[k : k + 64])] if codec == "ima" else [int({"mulaw": media.MULAW, "alaw": media.ALAW}[codec][x]) for x in p]
+    wide = [x for a, b in zip(narrow, [*narrow[1:], narrow[-1]], strict=True) for x in (a, (a + b) >> 1)]
+    return codec, p, media.wave(p, codec), np.array(wide, np.int16)
+
+
 def test_query(spark, data):
+    """All columns of all rows, each text coded and decoded by itself; all codecs occur."""
     from talus.llm.queries import queries
 
     docs = {r.doc_id: (r.text or "").encode() for r in spark.read.parquet(f"{data}/documents.parquet").collect()}
-    seen = {}
-    for r in queries()["op4_telephony_audio"](spark, data).collect():
+    codecs, rows = set(), queries()["op4_telephony_audio"](spark, data).collect()
+    assert sorted(r.doc_id for r in rows) == sorted(docs)
+    for r in rows:
         t = docs[r.doc_id]
-        p = t + b"\0" * (-len(t) % 64 or (0 if t else 64))
+        codec, p, file, pcm = by_hand(t)
+        codecs.add(codec)
         assert (r.n_bytes, r.payload_bytes, r.payload_sha256, r.tail_crc32) == (len(t), len(p), hashlib.sha256(p).hexdigest(), zlib.crc32(p[-64:]))
-        assert seen.setdefault(t, tuple(r)[1:]) == tuple(r)[1:]
+        assert (r.media_bytes, r.media_sha256) == (len(file), hashlib.sha256(file).hexdigest())
+        x = pcm.astype(int)
+        want = {"n": len(x), "peak": abs(x).max(), "energy": int((x * x).sum()) // len(x), "crossings": int(((x[1:] < 0) != (x[:-1] < 0)).sum()), "pcm_crc32": zlib.crc32(pcm.astype("<i2").tobytes())}
+        assert r.feature == f"{codec};" + ";".join(f"{k}={v}" for k, v in want.items())
+    assert codecs == set(media.TAGS)
 
 
 def test_real_outputs_and_odd_rows(spark):
-    df = spark.createDataFrame([(1, None, 0), (None, "", 1), (2, "héllo" * 40, 2), (2, "héllo" * 40, 2)], "doc_id int, text string, pcm int")
-    rows = media.encode_texts(df, codec="alaw").collect()
-    assert len(rows) == 4
+    df = spark.createDataFrame([(1, None, 0), (None, "", 1), (2, "héllo" * 40, 2), (2, "héllo" * 40, 2), (3, "x" * 3_000_000, 3)], "doc_id int, text string, pcm int")
+    files = media.encode_texts(df, codec="alaw")
+    rows = files.collect()
+    assert len(rows) == 5
+    texts = {1: b"", None: b"", 2: ("héllo" * 40).encode(), 3: b"x" * 3_000_000}
     for r in rows:
         codec, _, coded = media.read_wave(bytes(r.media))
-        assert codec == "alaw" and coded == media.payload(b"" if r.doc_id != 2 else ("héllo" * 40).encode())
-        assert len(r.pcm) == 4 * len(coded)
-    assert media.encode_texts(df.limit(0)).collect() == []
+        assert codec == "alaw" and coded == media.payload(texts[r.doc_id])
+    for r in media.decode_media(files, digest=False).collect():
+        p = np.frombuffer(media.payload(texts[r.doc_id]), np.uint8)
+        assert bytes(r.pcm) == media.upsample(media.ALAW[p]).astype("<i2").tobytes()
+    assert media.telephony(df.limit(0)).collect() == []
