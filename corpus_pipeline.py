@@ -28,8 +28,9 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group stays, that with the smallest doc_id: five-word shingles, a similarity of 0.8 or more."""
-    gone = neardup.near_duplicates(docs, size=5, percent=80).filter(~F.col("kept")).select("doc_id").distinct()
+    """One document of each group stays, that with the smallest doc_id: five-word shingles, a similarity of 0.8 or more. Of rows that share an id all
+    stay if one does."""
+    gone = neardup.near_duplicates(docs, size=5, percent=80).groupBy("doc_id").agg(F.bool_or("kept").alias("kept")).filter(~F.col("kept"))
     return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
 
 
