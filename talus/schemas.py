@@ -62,3 +62,6 @@ SINK_BATCH = 4000
 #: Limits of the gate, as (count, seconds).
 GATE_FAIL, GATE_MISS, GATE_MINUTE, GATE_DAY, GATE_GLOBAL = (5, 900), (15, 3600), (20, 60), (300, 86400), (3000, 86400)
 EVENT_TTL_SECONDS = 2 * 86400
+
+#: Fixed value: pages of a file that are extracted at a time.
+PAGE_CHUNK = 100

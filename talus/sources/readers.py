@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ..functions.scalars import FILE_SUFFIX, LINK_WORDS, joined_url
@@ -45,25 +42,6 @@ def list_ids(spark: SparkSession, path: str, suffix: str) -> DataFrame:
     return files.filter(F.col("file_name").endswith(suffix)).select(F.expr(f"substring(file_name, 1, length(file_name) - {len(suffix)})").alias("id"))
 
 
-Pages = Callable[[bytes], Iterator[str]]
-
-
-def read_pages(spark: SparkSession, path: str, pages_of: Pages) -> DataFrame:
-    """doc_id (file name without suffix), page, text of binary files; pages_of yields a file's page texts one after the other.
-
-    The extractor of a format (a PDF text layer, character recognition) is the caller's: none is bundled here.
-    """
-
-    def run(batches):
-        for pdf in batches:
-            for name, content in zip(pdf["file_name"], pdf["content"], strict=True):
-                texts = list(pages_of(content))
-                yield pd.DataFrame({"doc_id": name.rsplit(".", 1)[0], "page": range(1, len(texts) + 1), "text": texts})
-
-    files = spark.read.format("binaryFile").load(path).select("_metadata.file_name", "content")
-    return files.mapInPandas(run, "doc_id string, page int, text string")
-
-
 def page_links(pages: DataFrame, suffix: str = FILE_SUFFIX, words: str = LINK_WORDS) -> DataFrame:
     """page_id, position, link, text: links of pages (page_id, url, html) to documents, each link of a page once, in order.
 

@@ -1,10 +1,12 @@
 import json
+import uuid
+from pathlib import Path
 
 from pyspark.sql import functions as F, types as T
 
 from talus import schemas
 from talus.functions import scalars as S
-from talus.sources import readers, sinks
+from talus.sources import pages, readers, sinks
 from talus.streaming import ingest
 
 
@@ -19,10 +21,76 @@ def test_csv_and_json(spark, tmp_path):
     assert [x.id for x in readers.list_ids(spark, str(tmp_path), ".csv").collect()] == ["w"]
 
 
-def test_binary_pages(spark, tmp_path):
-    (tmp_path / "d1.bin").write_bytes(b"one\ftwo")
-    got = readers.read_pages(spark, str(tmp_path), lambda b: iter(b.decode().split("\f"))).orderBy("page").collect()
-    assert [tuple(r) for r in got] == [("d1", 1, "one"), ("d1", 2, "two")]
+def numbered(n):
+    return "".join(f"page {k} of {n} 日本\nline\f" for k in range(1, n + 1))
+
+
+def counting(folder):
+    """An extractor that leaves a file for each chunk that is opened; made here, since workers don't know this module."""
+
+    class Counting(pages.FormFeeds):
+        def texts(self, file, place, first, wanted):
+            (Path(folder) / f"{first}-{uuid.uuid4().hex}").write_text(",".join(map(str, wanted)))
+            return pages.FormFeeds.texts(self, file, place, first, wanted)
+
+    return Counting()
+
+
+def test_pages_come_in_chunks(spark, tmp_path):
+    """A file of 1,050 pages in chunks of 100, others short, empty or without a last form feed; every page once, whatever the chunk."""
+    (tmp_path / "in" / "sub").mkdir(parents=True)
+    for name, text in {"big.txt": numbered(1050), "one.v2.txt": "alone", "none.txt": "", "feeds.txt": "\f\fx\f", "sub/two.txt": "a\fb"}.items():
+        (tmp_path / "in" / name).write_text(text, encoding="utf-8")
+    (tmp_path / "in" / "bad.txt").write_bytes(b"\xff\xfe\fok")
+    files = pages.list_files(spark, str(tmp_path / "in"))
+    plan = pages.plan_chunks(files, pages.FormFeeds()).collect()
+    assert sorted((r.first, r.last) for r in plan if r.doc_id == "big") == [(k, min(k + 99, 1050)) for k in range(1, 1051, 100)]
+    got = {}
+    for r in pages.read_pages(spark, str(tmp_path / "in"), pages.FormFeeds()).collect():
+        assert (r.doc_id, r.page) not in got
+        got[r.doc_id, r.page] = r.text
+    assert [got.pop(("big", k)) for k in range(1, 1051)] == numbered(1050).split("\f")[:-1]
+    assert got == {("one.v2", 1): "alone", ("feeds", 1): "", ("feeds", 2): "", ("feeds", 3): "x", ("two", 1): "a", ("two", 2): "b", ("bad", 1): "\ufffd\ufffd", ("bad", 2): "ok"}
+    whole = {r.doc_id: (r.pages, r.text) for r in pages.read_documents(spark, str(tmp_path / "in"), pages.FormFeeds()).collect()}
+    assert whole["big"] == (1050, numbered(1050)) and whole["two"] == (2, "a\fb\f") and "none" not in whole
+
+
+def test_only_wanted_pages_are_read(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "d.txt").write_text(numbered(1000), encoding="utf-8")
+    for wanted, pages_there, opened in ((F.col("page").isin(3, 450, 451, 1001), [3, 450, 451], {"1": "3", "401": "450,451"}), (pages.sampled(), [1, 501, 1000], {"1": "1", "501": "501", "901": "1000"})):
+        log = tmp_path / uuid.uuid4().hex
+        log.mkdir()
+        got = pages.read_pages(spark, str(tmp_path / "in"), counting(str(log)), wanted).orderBy("page").collect()
+        assert [(r.page, r.text) for r in got] == [(k, f"page {k} of 1000 日本\nline") for k in pages_there]
+        assert {f.name.split("-")[0]: f.read_text() for f in log.iterdir()} == opened
+
+
+def test_form_feeds_across_blocks(monkeypatch):
+    import io
+    import random
+
+    rng = random.Random(1)
+    for block in (1, 2, 3, 7, 64):
+        monkeypatch.setattr(pages.FormFeeds, "BLOCK", block)
+        for _ in range(40):
+            texts = ["".join(rng.choice("ab日\n") for _ in range(rng.randint(0, 6))) for _ in range(rng.randint(1, 9))]
+            raw = "\f".join(texts).encode() + b"\f" * rng.randint(0, 1)
+            want = raw.decode().split("\f")
+            want = want if want[-1] else want[:-1]
+            size = rng.randint(1, 4)
+            plan = list(pages.FormFeeds().chunks(io.BytesIO(raw), size))
+            assert [(a, z) for a, z, _ in plan] == [(k + 1, min(k + size, len(want))) for k in range(0, len(want), size)]
+            for first, last, place in plan:
+                some = [k for k in range(first, last + 1) if rng.random() < 0.7]
+                assert list(pages.FormFeeds().texts(io.BytesIO(raw), place, first, some)) == [want[k - 1] for k in some]
+
+
+def test_unreadable_files_are_rows_with_an_error(spark, tmp_path):
+    df = spark.createDataFrame([(f"file:{tmp_path}/missing.txt", "missing")], "file string, doc_id string")
+    (r,) = pages.plan_chunks(df, pages.FormFeeds()).collect()
+    assert r.error.startswith("FileNotFoundError") and r.first is None
+    assert pages.read_chunks(pages.plan_chunks(df, pages.FormFeeds()), pages.FormFeeds()).collect() == []
 
 
 def test_links(spark):
