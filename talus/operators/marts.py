@@ -56,6 +56,16 @@ def publishable(items: DataFrame, flags_kept: tuple[str, ...] = ("dup_row", "ins
     return items.filter("bo_id <> '' OR folio_no <> ''").withColumn("verified", ~has_tag(F.col("tags"), *UNVERIFIED)).withColumn("flags", F.array_join(kept, ";"))
 
 
+def first_listed(items: DataFrame) -> DataFrame:
+    """Items with an identity, each from the first of the documents that list the same company, identity, year, type and amounts; repeats within that
+    document stay."""
+    from .resolve import keep_first_document
+
+    folio = F.concat(F.lit("F"), F.regexp_replace("folio_no", "[ -]", ""))
+    keys = {"_who": F.when(F.col("bo_id") != "", F.col("bo_id")).otherwise(folio), "_year": F.coalesce("dividend_year", F.lit("")), "_type": F.coalesce("dividend_type", F.lit("")), "_net": F.coalesce("net", F.lit(-1.0)), "_shares": F.coalesce("shares", F.lit(-1.0))}
+    return keep_first_document(items.filter("bo_id <> '' OR folio_no <> ''").withColumns(keys), ["company", *keys]).drop(*keys)
+
+
 def lookup_items(items: DataFrame, most: int | None = None) -> DataFrame:
     """Published items in the layout of LOOKUP_ITEM; those with an account have no folio. most: an upload of that many rows for trial."""
     published = publishable(items, (*UNVERIFIED, "ocr", "dup_row", "institution"))
@@ -163,8 +173,3 @@ def spot_check(rows: DataFrame, pages: DataFrame) -> DataFrame:
         "id_ok": F.contains(F.replace("_text", F.lit(" "), F.lit("")), identity),
     })
     return df.withColumn("good", F.col("name_ok") & F.col("amount_ok") & F.col("id_ok")).drop("_text")
-
-
-def running_number(df: DataFrame, order: list, name: str, pattern: str = "R%06d") -> DataFrame:
-    """Numbers a small, capped table (such as a review queue) in order."""
-    return df.withColumn(name, F.format_string(pattern, F.row_number().over(Window.orderBy(*order))))

@@ -12,7 +12,7 @@ from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, Window, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from ..functions import scalars as S
@@ -274,6 +274,40 @@ def extract_records(pages: DataFrame) -> DataFrame:
     return scan.stream(rows, ["doc_id", "_page"], ["line_no"], read, EVENT)
 
 
+def extract_recognised(recognised: DataFrame) -> DataFrame:
+    """Rows of recognised pages (doc_id, title, page, text). The year is the first that a page's beginning names, from that page on; the type the
+    last that title and a page's beginning decide, else the title's, else cash. Lines set nothing, and none are joined."""
+    pages = Window.partitionBy("doc_id").orderBy("page")
+    df = recognised.withColumn("text", S.fold_digits(F.coalesce("text", F.lit("")))).withColumn("title", F.coalesce("title", F.lit("")))
+    year = F.coalesce(F.first(S.year_span(F.substring("text", 1, 400)), ignorenulls=True).over(pages), F.lit(""))
+    decided = S.dividend_type(F.concat("title", F.lit(" "), F.substring("text", 1, 300)), F.lit(None).cast("string"))
+    kind = F.coalesce(F.last(decided, ignorenulls=True).over(pages), S.dividend_type(F.col("title"), F.lit("cash")))
+    df = df.withColumns({"year": year, "kind": kind})
+    lines = df.select("doc_id", "page", "year", "kind", F.posexplode(F.split("text", "\n")).alias("line_no", "line")).filter(F.trim("line") != "")
+
+    def read(rows: Iterator[dict]) -> Iterator[dict]:
+        n = 0
+        for r in rows:
+            if row := parse_record(r["line"].strip(), r["year"], r["kind"]):
+                n += 1
+                yield row | {"doc_id": r["doc_id"], "page": r["page"], "row_on_page": n}
+
+    return scan.stream(lines, ["doc_id", "page"], ["line_no"], read, RAW_ROW)
+
+
+def with_recognised(stats: DataFrame, pages: DataFrame, rows: DataFrame) -> DataFrame:
+    """Statistics after recognition: for documents with recognised pages (doc_id, page) and the rows they gave, ocr, ocr_pages, ocr_rows, no page without text
+    any more, and rows and extracted_total with theirs. Documents that had no text at all get a row."""
+    done = pages.groupBy("doc_id").agg(F.count("*").cast("int").alias("ocr_pages"))
+    found = rows.groupBy("doc_id").agg(F.count("*").cast("int").alias("ocr_rows"), F.sum("net_amount").alias("_net"))
+    df = stats.join(done.join(found, "doc_id", "left"), "doc_id", "full").withColumn("ocr", F.col("ocr_pages").isNotNull())
+    df = df.withColumns({
+        "textless_pages": F.when(F.col("ocr"), 0).otherwise(F.col("textless_pages")), "pages": F.coalesce("pages", "ocr_pages"), "ocr_rows": F.coalesce("ocr_rows", F.lit(0)),
+        "rows": F.coalesce("rows", F.lit(0)) + F.coalesce("ocr_rows", F.lit(0)), "extracted_total": F.round(F.coalesce("extracted_total", F.lit(0.0)) + F.coalesce("_net", F.lit(0.0)), 2),
+    })
+    return df.na.fill(0, ["unparsed_idlike", "unreadable_totals", "ocr_pages"]).na.fill(0.0, ["extracted_shares"]).drop("_net")
+
+
 def record_rows(events: DataFrame) -> DataFrame:
     return events.filter("event = 'row'").select(*RAW_ROW.fieldNames())
 
@@ -429,7 +463,7 @@ def extract_year_columns(pages: DataFrame, slack: int = 7, most: float = 1_000_0
 
         return on_row
 
-    return _stream(pages, ["page"], handle, RAW_ROW)
+    return _stream(pages.filter("text IS NOT NULL"), ["page"], handle, RAW_ROW)
 
 
 def numbers_at_end(line: str) -> tuple[str, tuple[float, float, float]] | None:
@@ -463,7 +497,7 @@ def extract_paired(pages: DataFrame, kind: str = "cash") -> DataFrame:
 
         return on_row
 
-    return _stream(pages, ["page"], handle, RAW_ROW)
+    return _stream(pages.filter("text IS NOT NULL"), ["page"], handle, RAW_ROW)
 
 
 def classify_documents(sample: DataFrame) -> DataFrame:

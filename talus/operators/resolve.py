@@ -34,41 +34,62 @@ def holder_key(bo_id: Column, company: Column, folio: Column, row: Column) -> Co
     return F.when(bo_id != "", F.concat(F.lit("B"), bo_id)).when(folio != "", F.concat(F.lit("F"), company, F.lit("\x01"), no_spaces(folio))).otherwise(F.concat(F.lit("R"), row.cast("string")))
 
 
-def number_holders(rows: DataFrame, key: str = "holder_key", row: str = "row_idx") -> DataFrame:
-    """holder_key, holder_id, first_row, items of each key, numbered by first row.
-
-    Only the table of keys is ordered, by range; each range is numbered by itself and moved on by the ranges before it, so that no task
-    holds all keys.
-    """
-    keys = rows.groupBy(key).agg(F.min(row).alias("first_row"), F.count("*").alias("items"))
-    # stored, since ranges come from a sample: both uses below must see the same ones
-    ranged = stored(keys.repartitionByRange("first_row").withColumn("_part", F.spark_partition_id()), "holder-keys")
-    within = ranged.withColumn("_n", F.row_number().over(Window.partitionBy("_part").orderBy("first_row")))
+def numbered(rows: DataFrame, order: list[str], name: str) -> DataFrame:
+    """rows with their number from 1 in the order of columns. Each range of the order is numbered by itself and moved on by the ranges before
+    it, so that no task holds all rows."""
+    # Written, since ranges come from a sample: both uses below must see the same ones.
+    ranged = stored(rows.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()), "ranges")
+    within = ranged.withColumn("_n", F.row_number().over(Window.partitionBy("_part").orderBy(*order)))
     sizes = ranged.groupBy("_part").agg(F.count("*").alias("_size"))
     before = F.coalesce(F.sum("_size").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    numbered = within.join(sizes.select("_part", before.alias("_before")), "_part")
-    return numbered.select(key, F.format_string("H%06d", F.col("_n") + F.col("_before")).alias("holder_id"), "first_row", "items")
+    return within.join(sizes.select("_part", before.alias("_before")), "_part").withColumn(name, F.col("_n") + F.col("_before")).drop("_part", "_n", "_before")
+
+
+def number_holders(rows: DataFrame, key: str = "holder_key", row: str = "row_idx") -> DataFrame:
+    """holder_key, holder_id, first_row, items of each key, numbered by first row. Only the table of keys is ordered."""
+    keys = rows.groupBy(key).agg(F.min(row).alias("first_row"), F.count("*").alias("items"))
+    return numbered(keys, ["first_row"], "_number").select(key, F.format_string("H%06d", "_number").alias("holder_id"), "first_row", "items")
 
 
 def match_method(bo_id: Column, folio: Column, items: Column) -> Column:
     return F.when(items < 2, "unmatched").when(bo_id != "", "bo_exact").when(folio != "", "folio_company").otherwise("unmatched")
 
 
-def review_pairs(rows: DataFrame, least_tokens: int = REVIEW_TOKENS, most: int = REVIEW_HOLDERS, cap: int = REVIEW_CAP) -> DataFrame:
+def all_review_pairs(rows: DataFrame, least_tokens: int = REVIEW_TOKENS, most: int = REVIEW_HOLDERS) -> DataFrame:
     """Pairs of holders with the same words in their names: rows have row_idx, holder_id, bo_id, block, n_tokens, amount, company.
 
     In each block the first `most` holders in order of their first row meet, but for two with different accounts: the self-join is
-    by block and at most most * (most - 1) / 2 pairs a block. Over `cap` pairs, those of the largest amounts stay.
+    by block and at most most * (most - 1) / 2 pairs a block. first_row is the block's.
     """
     named = rows.filter(F.col("n_tokens") >= least_tokens)
     firsts = named.groupBy("block", "holder_id").agg(F.min_by(F.struct("row_idx", "bo_id", "amount", "company"), "row_idx").alias("r")).select("block", "holder_id", "r.*")
-    ranked = firsts.withColumn("rk", F.row_number().over(Window.partitionBy("block").orderBy("row_idx"))).filter(F.col("rk") <= most)
-    side = lambda s: ranked.select("block", *(F.col(c).alias(f"{c}_{s}") for c in ("holder_id", "row_idx", "bo_id", "amount", "company", "rk")))
+    block = Window.partitionBy("block")
+    ranked = firsts.withColumns({"rk": F.row_number().over(block.orderBy("row_idx")), "first_row": F.min("row_idx").over(block)}).filter(F.col("rk") <= most)
+    side = lambda s: ranked.select("block", *(F.col(c).alias(f"{c}_{s}") for c in ("holder_id", "row_idx", "bo_id", "amount", "company", "rk", "first_row")))
     conflict = (F.col("bo_id_a") != "") & (F.col("bo_id_b") != "") & (F.col("bo_id_a") != F.col("bo_id_b"))
-    pairs = side("a").join(side("b"), "block").filter((F.col("rk_a") < F.col("rk_b")) & ~conflict)
+    pairs = side("a").join(side("b").drop("first_row_b"), "block").filter((F.col("rk_a") < F.col("rk_b")) & ~conflict)
     weight = F.coalesce("amount_a", F.lit(0.0)) + F.coalesce("amount_b", F.lit(0.0))
     pairs = pairs.withColumn("weight", weight).withColumn("same_company", F.col("company_a") == F.col("company_b"))
-    return pairs.select("block", "holder_id_a", "holder_id_b", "row_idx_a", "row_idx_b", "same_company", "weight").orderBy(F.desc("weight"), "row_idx_a", "row_idx_b").limit(cap)
+    return pairs.select("block", "holder_id_a", "holder_id_b", "row_idx_a", "row_idx_b", "same_company", "weight", F.col("first_row_a").alias("first_row"), "rk_a", "rk_b")
+
+
+_PAIR = ["block", "holder_id_a", "holder_id_b", "row_idx_a", "row_idx_b", "same_company", "weight"]
+
+
+def review_pairs(rows: DataFrame, least_tokens: int = REVIEW_TOKENS, most: int = REVIEW_HOLDERS, cap: int = REVIEW_CAP) -> DataFrame:
+    """The pairs of all_review_pairs; over `cap` of them, those of the largest amounts."""
+    pairs = all_review_pairs(rows, least_tokens, most)
+    return pairs.select(_PAIR).orderBy(F.desc("weight"), "row_idx_a", "row_idx_b").limit(cap)
+
+
+def review_queue(rows: DataFrame, least_tokens: int = REVIEW_TOKENS, most: int = REVIEW_HOLDERS, cap: int = REVIEW_CAP) -> DataFrame:
+    """The pairs with review_id, evidence, score and an empty decision. All pairs are numbered, by their block's first row and their holders' places there,
+    before the cap: ids of a capped queue have gaps. rows may be many; the queue is at most `cap` rows."""
+    pairs = numbered(all_review_pairs(rows, least_tokens, most), ["first_row", "rk_a", "rk_b"], "_number")
+    where = F.when(F.col("same_company"), "same company").otherwise("different companies")
+    evidence = F.concat(F.lit("same normalised name; no father/address in list to confirm; "), where)
+    queue = pairs.orderBy(F.desc("weight"), "_number").limit(cap)
+    return queue.select(F.format_string("R%06d", "_number").alias("review_id"), *_PAIR, evidence.alias("evidence"), F.lit(100.0).alias("score"), F.lit("").alias("decision"))
 
 
 def settled_flags(rows: DataFrame, settled: DataFrame) -> DataFrame:

@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from .lines import has_text
+
 
 def route(manifest: DataFrame) -> DataFrame:
     """manifest (with duplicate_of and extracted) with route and reason: the first that applies of failed, duplicate, reference only,
     summary, not extracted; null for documents to be parsed."""
     c = F.col
+    # Reasons as documents report them.
     rules = [
         (c("status") != "ok", "failed", F.substring(F.coalesce("error", F.lit("")), 1, 200)),
         (c("duplicate_of").isNotNull(), "skipped", F.concat(F.lit("duplicate of "), c("duplicate_of").cast("string"), F.lit(" (same sha256)"))),
@@ -34,6 +37,11 @@ def recognition_jobs(stats: DataFrame, triage: DataFrame, roles: tuple[str, ...]
     return holes.union(scans).distinct()
 
 
+def pages_without_text(pages: DataFrame, recognised: DataFrame) -> DataFrame:
+    """Recognised pages (doc_id, page, text) of which pages has no text; others are not needed."""
+    return recognised.join(pages.filter(has_text(F.col("text"))).select("doc_id", "page"), ["doc_id", "page"], "left_anti")
+
+
 def back_fill(rows: DataFrame, recognised: DataFrame) -> DataFrame:
     """rows and, for pages that gave none, recognised rows, which get the tag ocr. One row a (doc_id, page, row_on_page) results."""
     missing = recognised.join(rows.select("doc_id", "page").distinct(), ["doc_id", "page"], "left_anti")

@@ -51,6 +51,51 @@ def test_items_and_holders(built):
     assert built["holder_items"].count() == 6 and built["top_holders"].count() == 0
 
 
+def test_claims_reviews_and_published_items(built):
+    (claim,) = built["settled_claims"].collect()
+    assert claim.settled_id == "d-S1" and '"line":"1 ' in claim.raw_row_json
+    (pair,) = built["review_queue"].collect()
+    assert (pair.review_id, pair.score, pair.decision) == ("R000001", 100.0, "") and pair.evidence.endswith("; same company")
+    items = built["items"].collect()
+    assert {(r.currency, r.father_or_spouse, r.address) for r in items} == {("BDT", "", "")} and all(r.raw_row_json for r in items)
+    published = {(r.doc_id, r.name): r for r in built["published"].collect()}
+    assert len(published) == 6 and published["a", "TESTER KHAN BETA"].folio_key == "F77" and published["a", "ALPHA KHAN TESTER"].folio_key == ""
+
+
+def test_review_ids_are_given_before_the_cap(spark):
+    from talus.operators import resolve
+
+    rows = [(10 * b + k, f"H{b}{k}", "", f"A B {b}", 3, float(b * k), "C" if k else "D") for b in range(4) for k in range(3)]
+    df = spark.createDataFrame(rows, "row_idx long, holder_id string, bo_id string, block string, n_tokens int, amount double, company string")
+    queue = {r.review_id: (r.holder_id_a, r.holder_id_b, r.evidence.rsplit("; ", 1)[1]) for r in resolve.review_queue(df.repartition(3), cap=3).collect()}
+    assert queue == {"R000012": ("H31", "H32", "same company"), "R000011": ("H30", "H32", "different companies"), "R000009": ("H21", "H22", "same company")}
+    assert sorted(r.review_id for r in resolve.review_queue(df).collect()) == [f"R{k:06d}" for k in range(1, 13)]
+
+
+def test_recognised_pages_are_filled_in(spark):
+    """A page without text, a scanned document, a recognised page that has text already, and one without recognition."""
+    manifest = spark.createDataFrame(
+        [(1, "a", "C1", "Cash list", "list", "ok", "s1", None, "mixed", "u/a"), (2, "h", "C1", "Bonus list", "list", "ok", "s2", None, "scanned", "u/h"), (3, "z", "C1", "Cash list", "list", "ok", "s3", None, "scanned", "u/z"), (4, "m", "C2", "Cash list", "list", "ok", "s4", None, "mixed", "u/m")],
+        MANIFEST + ", url string",
+    )
+    text = page(f"1 {ID}1 ALPHA KHAN TESTER 100.00 10.00 90.00", total="90.00")
+    pages = spark.createDataFrame([("a", 1, text), ("a", 2, ""), ("m", 1, text), ("m", 2, None)], "doc_id string, page int, text string")
+    read = [
+        ("a", 1, f"1 {ID}9 NOBODY AT ALL 5.00"), ("a", 2, f"  7 {ID}2 BETA TESTER 20.00\nGrand Total 20.00"),
+        ("h", 1, f"no year here\n1 {ID}3 GAMMA TESTER 7"), ("h", 2, f"Cash dividend year 2016\n2 {ID}4 DELTA TESTER 8"), ("h", 3, f"2019\n৩ {ID}5 EPSILON TESTER ৯"),
+    ]
+    made = build(manifest, pages, recognised=spark.createDataFrame(read, "doc_id string, page int, text string"))
+    docs = {r.id: r for r in made["documents"].collect()}
+    assert {k: (r.status, r.extraction_method) for k, r in docs.items()} == {"a": ("partial", "text_regex+ocr"), "h": ("partial", "text_regex+ocr"), "z": ("failed", None), "m": ("partial", "text_regex")}
+    assert docs["z"].reason == "not extracted; scanned, needs OCR"
+    assert sorted(r.doc_id for r in made["recognition_jobs"].collect()) == ["m", "z"]
+    items = {r.bo_id[-1]: r for r in made["items"].filter("doc_id <> 'm'").collect()}
+    assert sorted(items) == ["1", "2", "3", "4", "5"] and items["2"].tags == ["ocr"] and items["1"].tags == []
+    assert [(items[k].dividend_year, items[k].dividend_type, items[k].shares) for k in "345"] == [("", "stock", 7.0), ("2016", "stock", 8.0), ("2016", "stock", 9.0)]
+    published = {r.bo_id[-1]: r for r in made["published"].filter("doc_id <> 'm'").collect()}
+    assert published["2"].flags == "ocr" and published["2"].url == "u/a"
+
+
 def test_ambiguous_shares_follow_the_total(built):
     shares = sorted((r.name, r.shares) for r in built["items"].filter("doc_id = 'c'").collect())
     assert shares == [("ALPHA KHAN TESTER", 250.0), ("DELTA MIAH", 300.0)]
