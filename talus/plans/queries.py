@@ -388,6 +388,132 @@ def year_columns(spark, d):
     return records.extract_year_columns(pages).select("bo_id", "dividend_year", F.col("net_amount").alias("net"))
 
 
+def _as_pages(spark: SparkSession, d: str, line: Column, head: list[str], title: str) -> DataFrame:
+    """Orders as lines of pages under a head, twelve a page."""
+    doc, page = F.floor(F.col("o_orderkey") / 240), F.floor(F.col("o_orderkey") % 240 / 12)
+    lines = F.transform(F.array_sort(F.collect_list(F.struct("o_orderkey", line.alias("line")))), lambda x: x["line"])
+    pages = _table(spark, d, "orders").groupBy(doc.cast("string").alias("doc_id"), (page + 1).cast("int").alias("page")).agg(lines.alias("lines"))
+    return pages.select("doc_id", F.lit(title).alias("title"), "page", F.array_join(F.concat(F.array(*map(F.lit, head)), "lines"), "\n").alias("text"))
+
+
+def _account() -> Column:
+    return F.concat(F.lit("12"), F.lpad(F.col("o_orderkey").cast("string"), 14, "0"))
+
+
+@query("SELECT '12' || lpad(CAST(o_orderkey AS VARCHAR), 14, '0') AS bo_id, round(o_totalprice, 2) AS net, CASE WHEN o_orderkey % 5 = 0 THEN 'name_missing;col_amount' ELSE 'col_amount' END AS issues FROM orders")
+def column_position(spark, d):
+    """Orders in a table whose amounts stand under one of its heads, among other numbers; some rows have no name."""
+    name = F.when(F.col("o_orderkey") % 5 == 0, "").otherwise("HOLDER ALPHA")
+    line = F.concat(F.lit("1    "), _account(), F.lit("  "), F.rpad(name, 16, " "), F.lpad((F.col("o_orderkey") % 97).cast("string"), 6, " "), F.lpad(F.format_string("%.2f", F.round("o_totalprice", 2)), 18, " "), F.lit("          77"))
+    head = "SL   BO ID             Name            Shares      Net Dividend     Remarks"
+    return records.extract_by_column(_as_pages(spark, d, line, [head], "Cash dividend list")).select("bo_id", F.col("net_amount").alias("net"), "issues")
+
+
+_PAGE = "CAST(o_orderkey // 240 AS VARCHAR) AS doc_id, CAST(o_orderkey % 240 // 12 + 1 AS INTEGER) AS page"
+
+
+@query(f"""WITH p AS (SELECT *, {_PAGE}, row_number() OVER (PARTITION BY o_orderkey // 12 ORDER BY o_orderkey) AS k, bool_or(o_orderkey % 96 = 1) OVER (PARTITION BY o_orderkey // 12) AS odd FROM orders)
+SELECT doc_id, page, CAST(k AS INTEGER) AS row_on_page, CAST(100000 + o_orderkey AS VARCHAR) AS warrant_no, 'HOLDER ' || CASE WHEN o_orderstatus = 'F' THEN 'ALPHA' ELSE 'BETA' END AS name, CAST(o_custkey + 10000 AS VARCHAR) AS folio_no,
+  round(o_totalprice, 2) + 10.5 AS gross, 10.5 AS tax, round(o_totalprice, 2) AS net FROM p WHERE NOT odd""")
+def paired_lines(spark, d):
+    """Orders printed on two lines each, identities before amounts; on some pages an amount is missing, and these give nothing."""
+    name, net = F.when(F.col("o_orderstatus") == "F", "ALPHA").otherwise("BETA"), F.round("o_totalprice", 2)
+    number = F.row_number().over(Window.partitionBy(F.floor(F.col("o_orderkey") / 12)).orderBy("o_orderkey"))
+    identity = F.concat_ws(" ", F.lit("1"), F.lit("2019"), (F.col("o_orderkey") + 100000).cast("string"), F.lit("HOLDER"), name)
+    amounts = F.concat_ws(" ", (F.col("o_custkey") + 10000).cast("string"), F.lit("REG"), F.format_string("%.2f 10.50 %.2f", net + 10.5, net))
+    rows = _table(spark, d, "orders").select(F.floor(F.col("o_orderkey") / 240).cast("string").alias("doc_id"), (F.floor(F.col("o_orderkey") % 240 / 12) + 1).cast("int").alias("page"), number.alias("k"), identity.alias("a"), F.when(F.col("o_orderkey") % 96 != 1, amounts).alias("b"))
+    column = lambda c: F.transform(F.array_sort(F.collect_list(F.when(F.col(c).isNotNull(), F.struct("k", F.col(c).alias("line"))))), lambda x: x["line"])
+    pages = rows.groupBy("doc_id", "page").agg(column("a").alias("a"), column("b").alias("b")).select("doc_id", "page", F.array_join(F.concat("a", "b"), "\n").alias("text"))
+    df = records.extract_paired(pages)
+    return df.select("doc_id", "page", "row_on_page", "warrant_no", F.col("holder_name_raw").alias("name"), "folio_no", F.col("gross_amount").alias("gross"), F.col("tax_amount").alias("tax"), F.col("net_amount").alias("net"))
+
+
+@query(f"""WITH w AS (SELECT *, {_PAGE} FROM orders)
+SELECT doc_id, page, CASE o_orderkey % 3 WHEN 0 THEN '7 2018 ' || (100000 + o_orderkey) || ' HOLDER ALPHA 10 ' || printf('%.2f', o_totalprice) WHEN 1 THEN '7 2018 ' || (100000 + o_orderkey) || ' HOLDER BETA ' || printf('%.2f', o_totalprice) ELSE 'plain words ' || o_orderkey END AS line FROM w""")
+def wrapped_lines(spark, d):
+    """Orders as records over two lines: a name and amounts in place of an amount, amounts after a name, or plain lines; blank lines between."""
+    key, price = F.col("o_orderkey"), F.format_string("%.2f", "o_totalprice")
+    begin = F.concat(F.lit("7 2018 "), (key + 100000).cast("string"))
+    line = F.when(key % 3 == 0, F.concat(begin, F.lit(" 5.00\n\nHOLDER ALPHA 10 "), price)).when(key % 3 == 1, F.concat(begin, F.lit(" HOLDER BETA\n \n"), price)).otherwise(F.concat(F.lit("plain words "), key.cast("string")))
+    lines = L.join_wrapped(L.explode_lines(_as_pages(spark, d, line, ["words enough to make a page of text long"], "x")))
+    return lines.filter((F.trim("line") != "") & (F.col("line") != "words enough to make a page of text long")).select("doc_id", "page", "line")
+
+
+@query("""WITH r AS (SELECT l_orderkey AS doc_id, l_linenumber = 1 AND l_orderkey % 2 = 0 AS total, CASE WHEN l_linenumber = 1 AND l_orderkey % 2 = 0 THEN floor(l_extendedprice / 2) * 2 ELSE round(l_extendedprice, 2) END AS v, year(l_shipdate) AS y FROM lineitem),
+b AS (SELECT o_orderkey AS doc_id, o_orderkey % 2 AS unreadable, list_sort(list_distinct(list_filter(list_concat(CASE o_orderkey % 3 WHEN 0 THEN [floor(o_totalprice / 2) * 2] WHEN 1 THEN [7.0::DOUBLE] ELSE [] END,
+  coalesce((SELECT list(v) FROM r WHERE total AND r.doc_id = o_orderkey), [])), lambda v: v >= 100))) AS t FROM orders),
+c AS (SELECT doc_id, unreadable, CASE WHEN len(t) > 0 THEN list_distinct(list_concat(t, [round(list_sum(t), 2), round(list_sum(t) - list_max(t), 2), round(list_sum(t) / 2, 2)])) ELSE [] END AS c FROM b),
+e AS (SELECT doc_id, sum(v) AS ext, count(*) AS n FROM r WHERE NOT total GROUP BY 1),
+m AS (SELECT c.*, coalesce(ext, 0) AS ext, coalesce(n, 0) AS n, CASE WHEN len(c) > 0 THEN list_sort(list_transform(c, lambda v: {'d': abs(v - coalesce(ext, 0)), 'v': v}))[1].v END AS stated FROM c LEFT JOIN e ON c.doc_id = e.doc_id),
+y AS (SELECT doc_id, count(*) FILTER (hit) AS hits, count(*) FILTER (NOT hit) AS misses FROM (SELECT g.doc_id, len(list_filter(m.c, lambda x: abs(g.v - x) <= 0.005 * x)) > 0 AS hit FROM (SELECT doc_id, y, sum(v) AS v FROM r WHERE NOT total GROUP BY 1, 2) g JOIN m ON g.doc_id = m.doc_id WHERE g.v <> 0) GROUP BY 1),
+k AS (SELECT m.*, CASE WHEN stated IS NULL THEN 'no_total_printed' WHEN ext <> 0 AND abs(stated - ext) <= 0.005 * stated THEN 'match' WHEN coalesce(hits, 0) >= 2 AND coalesce(misses, 0) <= unreadable THEN 'match' ELSE 'mismatch' END AS total_check FROM m LEFT JOIN y ON m.doc_id = y.doc_id)
+SELECT doc_id, n AS rows_extracted, round(ext, 2) AS extracted_total, stated AS stated_total, total_check, CASE WHEN total_check <> 'mismatch' AND n > 0 THEN 'parsed' ELSE 'partial' END AS status FROM k""")
+def document_verdicts(spark, d):
+    """Orders as documents that print their total, a small one or none; some of their lines are labelled as totals and count as printed ones."""
+    total = (F.col("l_linenumber") == 1) & (F.col("l_orderkey") % 2 == 0)
+    price = F.col("l_extendedprice")
+    rows = _table(spark, d, "lineitem").select(
+        F.col("l_orderkey").alias("doc_id"), F.when(total, "Grand Total").otherwise("HOLDER").alias("holder_name_raw"), F.year("l_shipdate").cast("string").alias("dividend_year"), F.lit("cash").alias("dividend_type"),
+        F.lit(None).cast("double").alias("shares"), F.when(total, F.floor(price / 2) * 2).otherwise(F.round(price, 2)).cast("double").alias("net_amount"), F.lit("").alias("issues"),
+    )
+    key, zero = F.col("o_orderkey"), F.lit(0)
+    printed = F.when(key % 3 == 0, F.array(_printed())).when(key % 3 == 1, F.array(F.lit(7.0))).otherwise(F.array().cast("array<double>"))
+    stats = _table(spark, d, "orders").select(key.alias("doc_id"), printed.alias("totals"), F.lit(None).cast("array<array<double>>").alias("total_lines"), zero.alias("textless_pages"), zero.alias("unparsed_idlike"), (key % 2).cast("int").alias("unreadable_totals"))
+    verdict = totals.document_verdict(totals.guard_rows(rows), stats, totals.total_row_values(rows))
+    return verdict.select("doc_id", "rows_extracted", "extracted_total", "stated_total", "total_check", "status")
+
+
+@query(f"""WITH w AS (SELECT *, o_orderkey // 240 AS doc, o_orderkey % 240 // 12 AS page FROM orders), g AS (SELECT doc, page, list(floor(o_totalprice) ORDER BY o_orderkey) AS v, list(o_orderkey % 4 = 0 ORDER BY o_orderkey) AS grand FROM w GROUP BY 1, 2),
+a AS (SELECT doc, flatten(list(v ORDER BY page)) AS v, flatten(list(grand ORDER BY page)) AS grand FROM g GROUP BY 1)
+SELECT CAST(doc AS VARCHAR) AS doc_id, coalesce(list_filter(v, lambda x, i: grand[i])[-1], list_max(v)) AS stated_total, CAST(len(v) AS INTEGER) AS n, round(list_sum(v), 0) AS total FROM a""")
+def stated_totals(spark, d):
+    """Orders as lines of totals, several grand ones on a page: the last grand one in place is stated, else the largest."""
+    name = F.when(F.col("o_orderkey") % 4 == 0, F.concat(F.lit("Grand total of "), F.reverse(F.col("o_orderkey").cast("string")), F.lit("th "))).otherwise("Total of section ")
+    pages = _as_pages(spark, d, F.concat(name, F.format_string("%.2f", F.floor("o_totalprice").cast("double"))), ["Dividend list with words that make it long"], "x")
+    stats = records.document_stats(records.extract_records(pages), pages)
+    return stats.select("doc_id", "stated_total", F.size("totals").alias("n"), F.round(F.aggregate("totals", F.lit(0.0), lambda a, v: a + v), 0).alias("total"))
+
+
+@query("""WITH m AS (SELECT doc_id AS id, CASE WHEN doc_id % 11 = 0 THEN 'failed' ELSE 'ok' END AS status, CASE WHEN doc_id % 11 = 0 THEN 'HTTP 404 ' || repeat('x', 300) END AS error, list_extract(['list', 'summary', 'reference_only', 'list', 'list'], CAST(doc_id % 5 + 1 AS BIGINT)) AS role,
+  CASE WHEN doc_id % 3 = 0 THEN 'scanned' ELSE 'text' END AS kind, min(CASE WHEN doc_id % 11 <> 0 THEN doc_id END) OVER (PARTITION BY sha256(text)) AS first, EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = documents.doc_id) AS extracted FROM documents)
+SELECT id, CASE WHEN status <> 'ok' THEN 'failed' WHEN first <> id THEN 'skipped' WHEN role IN ('reference_only', 'summary') THEN 'skipped' WHEN NOT extracted THEN 'failed' END AS route,
+  CASE WHEN status <> 'ok' THEN substr(error, 1, 200) WHEN first <> id THEN 'duplicate of ' || first || ' (same sha256)' WHEN role = 'reference_only' THEN 'reference only' WHEN role = 'summary' THEN 'summary document: totals only, not parsed into dividends'
+    WHEN NOT extracted THEN CASE WHEN kind = 'scanned' THEN 'not extracted; scanned, needs OCR' ELSE 'not extracted' END END AS reason FROM m""")
+def routed_documents(spark, d):
+    """Documents as files of a manifest: failed, of equal content, in several roles; those with labels have been extracted."""
+    key = F.col("doc_id")
+    failed = key % 11 == 0
+    role = F.element_at(F.array(*map(F.lit, ("list", "summary", "reference_only", "list", "list"))), (key % 5 + 1).cast("int"))
+    files = _table(spark, d, "documents").select(
+        key.alias("id"), key.alias("position"), F.when(failed, "failed").otherwise("ok").alias("status"), F.when(failed, F.concat(F.lit("HTTP 404 "), F.repeat(F.lit("x"), F.lit(300)))).alias("error"), role.alias("role"),
+        F.when(key % 3 == 0, "scanned").otherwise("text").alias("pdf_kind"), F.when(~failed, F.sha2("text", 256)).alias("sha256"),
+    )
+    there = _table(spark, d, "labels").select(key.alias("id")).distinct().withColumn("extracted", F.lit(True))
+    return route.route(resolve.mark_duplicate_files(files).join(there, "id", "left")).select("id", "route", "reason")
+
+
+@query("""WITH l AS (SELECT doc_id, trim(unnest(string_split(text, chr(10))), ' ') AS line FROM documents WHERE length(trim(text, ' ')) >= 40),
+r AS (SELECT DISTINCT doc_id, line FROM l WHERE length(line) % 2 = 0) SELECT l.doc_id, line, count(*) AS n FROM l ANTI JOIN r USING (doc_id, line) WHERE regexp_matches(line, '[0-9]') GROUP BY 1, 2""")
+def unparsed_lines(spark, d):
+    """Lines of documents with a digit that no row was made from; lines of even length stand in for rows."""
+    lines = L.explode_lines(_table(spark, d, "documents").select("doc_id", F.lit(1).alias("page"), "text"))
+    rows = lines.filter(F.length(F.trim("line")) % 2 == 0).select("doc_id", "line")
+    return marts.unparsed_lines(lines, rows).groupBy("doc_id", F.trim("line").alias("line")).agg(F.count("*").alias("n"))
+
+
+@query("""WITH p AS (SELECT p_partkey AS row_idx, array_to_string(list_sort(string_split(p_name, ' ')), ' ') AS block, CASE WHEN p_size % 2 = 0 THEN p_brand ELSE '' END AS bo_id, 'H' || p_brand || p_type AS holder_id, p_retailprice AS amount, p_type AS company FROM part),
+f AS (SELECT block, holder_id, min(row_idx) AS row_idx FROM p GROUP BY 1, 2),
+r AS (SELECT f.block, f.holder_id, f.row_idx, p.bo_id, p.amount, p.company, row_number() OVER w AS rk, min(f.row_idx) OVER (PARTITION BY f.block) AS first FROM f JOIN p ON f.row_idx = p.row_idx WINDOW w AS (PARTITION BY f.block ORDER BY f.row_idx)),
+q AS (SELECT a.holder_id AS holder_id_a, b.holder_id AS holder_id_b, a.company = b.company AS same, a.amount + b.amount AS weight, row_number() OVER (ORDER BY a.first, a.rk, b.rk) AS n
+  FROM r a JOIN r b ON a.block = b.block AND a.rk < b.rk AND a.rk <= 6 AND b.rk <= 6 AND NOT (a.bo_id <> '' AND b.bo_id <> '' AND a.bo_id <> b.bo_id))
+SELECT 'R' || lpad(CAST(n AS VARCHAR), 6, '0') AS review_id, holder_id_a, holder_id_b, 'same normalised name; no father/address in list to confirm; ' || CASE WHEN same THEN 'same company' ELSE 'different companies' END AS evidence, weight FROM q ORDER BY weight DESC, n LIMIT 50""")
+def review_queue(spark, d):
+    """The review queue with a cap that is reached: ids are given to all pairs before it."""
+    p = _table(spark, d, "part")
+    rows = p.select(F.col("p_partkey").alias("row_idx"), S.sorted_words(F.col("p_name")).alias("block"), F.size(S.tokens(F.col("p_name"))).alias("n_tokens"), F.when(F.col("p_size") % 2 == 0, F.col("p_brand")).otherwise("").alias("bo_id"), F.concat(F.lit("H"), "p_brand", "p_type").alias("holder_id"), F.col("p_retailprice").alias("amount"), F.col("p_type").alias("company"))
+    return resolve.review_queue(rows, least_tokens=2, cap=50).select("review_id", "holder_id_a", "holder_id_b", "evidence", "weight")
+
+
 @query(f"""WITH {_ITEMS}, q AS (SELECT DISTINCT bo_id FROM items WHERE bo_id <> ''), h AS (SELECT q.bo_id, company, name, net, shares, dividend_type FROM q JOIN items i ON q.bo_id = i.bo_id)
 SELECT bo_id, min(name) AS name, round(coalesce(sum(net) FILTER (dividend_type <> 'stock'), 0), 2) AS cash, round(sum(shares), 2) AS shares, count(DISTINCT company) AS companies, count(*) AS items FROM h GROUP BY 1""")
 def lookup_nested(spark, d):
