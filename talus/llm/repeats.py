@@ -11,9 +11,10 @@ windows that follow each other and share an anchor form a block, whose suffixes
    one rank at depth `width` hang under one deep node. All leaves of a node but those of its smallest document are repeats;
    neighbouring ones make up the maximal passages that are removed.
 
-Hashes only deal: equality is that of words. Every step first resolves what a task's or a group's own documents decide and sends only
-the smallest document of a node on, so a passage that a third of all documents share is a few rows of each task. Memory is
-bounded by bytes: buckets of anchors and groups of documents number in proportion to the text, and are settled one at a time.
+Hashes only deal: equality is that of words (of digests of 512 bits where a word is longer than LONG_WORD). Every step first resolves what a task's or a group's own documents decide and sends only
+the smallest document of a node on, so a passage that a third of all documents share is a few rows of each task. A block has at most
+MOST_WINDOWS windows of words of bounded length, so a subtree of HEAVY blocks is a few megabytes whatever the texts; buckets of anchors and groups of
+documents number in proportion to the text, and are settled one at a time. A group is at least one text.
 """
 
 from __future__ import annotations
@@ -37,6 +38,10 @@ HEAVY, HEAVY_IN_TASK = 4096, 256
 FLUSH_BLOCKS = 1 << 18
 #: Bytes of text of a group of documents and of a bucket of anchors, on average.
 GROUP_BYTES = 2 << 20
+#: Windows of a block at most: where words repeat, neighbouring windows share an anchor on and on.
+MOST_WINDOWS = 64
+#: Bytes of a word that travel as they are; a longer one is told from others by a digest of 512 bits, which is longer than that.
+LONG_WORD = 64
 #: Bytes of dealt blocks of a partition of subtrees, on average, and rows that a subtree's task handles at once.
 PART_BYTES, CHUNK_ROWS = 32 << 20, 1 << 15
 
@@ -62,6 +67,9 @@ def blocks(words: Words, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray
     anchor = low[start]
     first = np.concatenate(([True], (anchor[1:] != anchor[:-1]) | (start[1:] != start[:-1] + 1)))
     lo = np.flatnonzero(first)
+    more = -(-np.diff(np.append(lo, len(start))) // MOST_WINDOWS)
+    if (more > 1).any():
+        lo = np.repeat(lo, more) + (np.arange(more.sum()) - np.repeat(np.cumsum(more) - more, more)) * MOST_WINDOWS
     return start[lo], start[np.append(lo[1:], len(start)) - 1], anchor[lo]
 
 
@@ -334,7 +342,7 @@ def repeated(docs: DataFrame, width: int = 13, digest: bool = False, groups: int
             for i in range(hi - lo):
                 d, r = ids[at[lo + i]], refs[at[lo + i]]
                 p = chosen[d, r][0]
-                own, first = texts[lo + i].split(), int(w.first[i])
+                own, first = [x if len(x) <= LONG_WORD else b"\0" + hashlib.blake2b(x).hexdigest().encode() for x in texts[lo + i].split()], int(w.first[i])
                 wide = p >= OPEN
                 block = edges[i] + (p & ~OPEN).astype(np.int64)
                 for b, whole in zip(block.tolist(), (~wide).tolist(), strict=True):

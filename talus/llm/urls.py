@@ -7,6 +7,7 @@ import re
 from collections.abc import Iterator, Sequence
 from typing import NamedTuple
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -22,6 +23,8 @@ class Rule(NamedTuple):
 RULES = (Rule("allow", "org", "/"), Rule("block", "example.org", "/es/"), Rule("block", "example.org", "/en/1"), Rule("allow", "com", "/fr/"), Rule("block", "com", "/de/"))
 #: Pages that the classifier is fitted on at most, chosen by the hash of their ids.
 TRAIN_PAGES = 50_000
+#: Keys of pieces of names that a task gathers before it sends them.
+MOST_KEYS = 1 << 20
 #: Pages of a block at most: each block is sent the costs and counts of its own words and tokens.
 BLOCK = 8192
 
@@ -84,9 +87,34 @@ def names(host: str, path: str) -> Iterator[tuple[str, str]]:
             yield kind, part
 
 
-def candidates(name: str, lengths: Sequence[int]) -> set[str]:
-    """What may be a word of the unigram model within a name."""
-    return {name[i : i + k] for k in lengths for i in range(len(name) - k + 1)}
+_STEP = np.uint64(0x9E3779B97F4A7C15)
+
+
+def _codes(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le"), np.uint32).astype(np.uint64) + np.uint64(1)
+
+
+def word_key(word: str) -> int:
+    """A word's key: its characters as digits of a number to an odd base, modulo 2^64."""
+    key = 0
+    for c in word:
+        key = (key * int(_STEP) + ord(c) + 1) & (1 << 64) - 1
+    return key - (key >> 63 << 64)
+
+
+def candidates(name: str, lengths: Sequence[int]) -> np.ndarray:
+    """Keys of all that may be a word of the unigram model within a name, 8 bytes each whatever their lengths. Another word may have one of these
+    keys by chance: it is then sent too, and found nowhere in the name."""
+    codes = _codes(name)
+    n, out = len(codes), [np.zeros(0, np.uint64)]
+    key, k = np.zeros(n + 1, np.uint64), 0
+    wanted = set(lengths)
+    for k in range(1, min(n, max(wanted, default=0)) + 1):
+        # The key of each piece of k characters from that of the piece one shorter.
+        key = key[: n - k + 1] * _STEP + codes[k - 1 :]
+        if k in wanted:
+            out.append(key)
+    return np.unique(np.concatenate(out))
 
 
 class Segmenter:
@@ -115,22 +143,38 @@ def tokenized(parsed: DataFrame, counts: DataFrame) -> DataFrame:
     total, lengths = counts.agg(F.sum("n"), F.array_sort(F.collect_set(F.length("word")))).first()
     total = total or 1
 
+    def keys_of(block: int, held: list[np.ndarray]) -> pa.RecordBatch:
+        keys = np.unique(np.concatenate(held))
+        return pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), block)), pa.array(keys.view(np.int64))], ["block", "key"])
+
     def cut(batches):
         for b in batches:
             found: dict[int, set[str]] = {}
             for block, host, path in zip(*(b.column(k).to_pylist() for k in range(3)), strict=True):
                 found.setdefault(block, set()).update(name for _, name in names(host, path) if not name[0].isdigit())
             for block, own in found.items():
-                words = set().union(*(candidates(name, lengths) for name in own))
-                yield pa.RecordBatch.from_arrays([pa.array([block] * len(words), pa.int64()), pa.array(list(words), pa.string())], ["block", "word"])
+                held, size = [], 0
+                for name in own:
+                    held.append(candidates(name, lengths))
+                    size += len(held[-1])
+                    if size >= MOST_KEYS:
+                        yield keys_of(block, held)
+                        held, size = [], 0
+                if held:
+                    yield keys_of(block, held)
 
     def split(left: pa.Table, right: pa.Table) -> pa.Table:
         segmenter = Segmenter({w: -math.log(n / total) for w, n in zip(right.column("word").to_pylist(), right.column("n").to_pylist(), strict=True)})
         tokens = [segmenter.tokens(h, p) for h, p in zip(left.column("host").to_pylist(), left.column("path").to_pylist(), strict=True)]
         return left.append_column("tokens", pa.array(tokens, pa.list_(pa.string())))
 
-    words = parsed.select("block", "host", "path").mapInArrow(cut, "block long, word string").distinct()
-    known = words.join(counts, "word").select(F.col("block").alias("of"), "word", "n")
+    def keyed(batches):
+        for b in batches:
+            yield b.append_column("key", pa.array(list(map(word_key, b.column(0).to_pylist())), pa.int64()))
+
+    keys = parsed.select("block", "host", "path").mapInArrow(cut, "block long, key long").distinct()
+    words = counts.select("word", "n").mapInArrow(keyed, "word string, n long, key long")
+    known = keys.join(words, "key").select(F.col("block").alias("of"), "word", "n")
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in parsed.schema) + ", tokens array<string>"
     return parsed.groupBy("block").cogroup(known.groupBy("of")).applyInArrow(split, schema)
 

@@ -139,3 +139,29 @@ def test_query(spark, data):
     docs = [tuple(r) for r in spark.read.parquet(f"{data}/documents.parquet").select("doc_id", "text").collect()]
     got = sorted(map(tuple, queries()["op1_substring_dedup"](spark, data).collect()))
     assert got == sorted(brute(docs))
+
+
+def test_repetitive_texts_are_many_blocks_of_bounded_size():
+    w = Words([b"na " * 5000, b"a b c d e f g h i j k l m n o p"])
+    start, last, anchor = repeats.blocks(w, 13)
+    assert (last - start).max() < repeats.MOST_WINDOWS and len(start) >= 4988 / repeats.MOST_WINDOWS
+    whole = np.concatenate([np.arange(a, b + 1) for a, b in zip(start, last, strict=True)])
+    assert whole.tolist() == w.starts(13).tolist()
+
+
+def test_repetitive_texts_and_long_words(spark):
+    """Words that repeat over thousands of windows with one other among them, and words of many kilobytes that differ at their ends."""
+    rng = random.Random(11)
+    long_ = ["x" * 5000 + c for c in "abc"]
+    rows = []
+    for k in range(60):
+        words = ["na"] * rng.randint(300, 900)
+        words[rng.randrange(len(words))] = f"w{k % 9}"
+        rows.append((k, " ".join(words)))
+    for k in range(60, 80):
+        rows.append((k, " ".join(rng.choice(long_) for _ in range(40))))
+    rows += [(90, " ".join([long_[0]] * 20)), (91, " ".join([long_[0]] * 20)), (92, " ".join([long_[1]] * 20)), (93, "\0" + "0" * 128 + " q" * 14)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for how in ({}, {"heavy": 50, "heavy_in_task": 20}):
+        got = [(r.doc_id, r.n_words, r.n_removed, r.kept_sha256) for r in repeated(df, digest=True, **how).collect()]
+        assert sorted(got) == brute(rows)

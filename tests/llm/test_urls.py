@@ -3,6 +3,8 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
+
 from talus.llm import urls
 
 RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"), ("allow", "com", "/fr/"), ("block", "com", "/de/")]
@@ -133,3 +135,15 @@ def test_verdicts_like_brute_force(spark, data):
             assert math.isclose(r.score, odds, rel_tol=1e-9, abs_tol=1e-9)
             verdict = "block" if odds > 0 else "allow"
         assert r.verdict == (verdict or "allow")
+
+
+def test_candidates_are_the_keys_of_all_pieces():
+    rng = random.Random(4)
+    for _ in range(50):
+        name = "".join(rng.choice("abcdé日") for _ in range(rng.randint(0, 30)))
+        lengths = sorted(rng.sample(range(1, 40), rng.randint(0, 6)))
+        want = {urls.word_key(name[i : i + k]) for k in lengths for i in range(len(name) - k + 1)}
+        assert set(urls.candidates(name, lengths).view(np.int64).tolist()) == want
+    long_ = "".join(rng.choice("abcdefghij") for _ in range(2000))
+    keys = urls.candidates(long_, range(1, 601))
+    assert keys.nbytes < 12_000_000 and len(set(keys.tolist())) == len(keys)
