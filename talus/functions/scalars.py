@@ -252,3 +252,12 @@ def amount_triple(values: Column) -> Column:
         )
     )
     return F.coalesce(*(F.get(found, F.lit(0)) for found in (three, four, apart)))
+
+
+def stamp(ts: Column) -> Column:
+    """A time to the second, as manifests hold it."""
+    return F.date_format(ts, "yyyy-MM-dd HH:mm:ss")
+
+
+def day(ts: Column) -> Column:
+    return F.date_format(ts, "yyyy-MM-dd")

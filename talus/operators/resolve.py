@@ -9,24 +9,33 @@ from ..schemas import REVIEW_CAP, REVIEW_HOLDERS, REVIEW_TOKENS
 from ..sources.stored import stored
 
 
+def _with_group(rows: DataFrame, keys: list[str], **measures: Column) -> DataFrame:
+    """rows with aggregates of the rows with the same keys (nulls alike), by an aggregation that is joined back: a key that very many rows share is
+    pre-aggregated, and the join may split it, where a window would bring all its rows to one task."""
+    groups = rows.groupBy(*(F.col(k).alias(f"_g{i}") for i, k in enumerate(keys))).agg(*(v.alias(n) for n, v in measures.items()))
+    same = F.lit(True)
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"_g{i}"))
+    return rows.join(groups, same, "left").drop(*(f"_g{i}" for i in range(len(keys))))
+
+
 def mark_duplicate_files(files: DataFrame, key: str = "sha256", order: str = "position", id_: str = "id") -> DataFrame:
-    """files with duplicate_of: the first file of the same content, null for the first itself and where the key is null. Rows without a key
-    are spread by their ids, since many may lack one."""
-    first = F.min_by(id_, order).over(Window.partitionBy(key, F.when(F.col(key).isNull(), F.col(id_))))
-    return files.withColumn("duplicate_of", F.when(F.col(key).isNotNull() & (F.col(id_) != first), first))
+    """files with duplicate_of: the first file of the same content, null for the first itself and where the key is null."""
+    firsts = files.filter(F.col(key).isNotNull()).groupBy(F.col(key).alias("_key")).agg(F.min_by(id_, order).alias("_first"))
+    df = files.join(firsts, F.col(key) == F.col("_key"), "left")
+    return df.withColumn("duplicate_of", F.when(F.col(id_) != F.col("_first"), F.col("_first"))).drop("_key", "_first")
 
 
 def mark_repeated_rows(rows: DataFrame, keys: list, has_id: Column) -> DataFrame:
     """rows with dup_row: whether another row has the same keys (nulls alike) and the row has an identifier."""
     names = [f"_k{i}" for i in range(len(keys))]
-    df = rows.withColumns(dict(zip(names, keys, strict=True)))
-    return df.withColumn("dup_row", has_id & (F.count("*").over(Window.partitionBy(*names)) > 1)).drop(*names)
+    df = _with_group(rows.withColumns(dict(zip(names, keys, strict=True))), names, _n=F.count("*"))
+    return df.withColumn("dup_row", has_id & (F.col("_n") > 1)).drop("_n", *names)
 
 
 def keep_first_document(rows: DataFrame, keys: list[str], doc: str = "doc_id") -> DataFrame:
     """Rows whose document is the smallest with the same keys: repeats within that document survive."""
-    least = F.min(doc).over(Window.partitionBy(*keys))
-    return rows.withColumn("_least", least).filter(F.col(doc) == F.col("_least")).drop("_least")
+    return _with_group(rows, keys, _least=F.min(doc)).filter(F.col(doc) == F.col("_least")).drop("_least")
 
 
 def holder_key(bo_id: Column, company: Column, folio: Column, row: Column) -> Column:

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.scalars import TOTAL_LABEL, has_tag, tag_list
 from ..schemas import APPROX_ERROR, APPROX_SHARE, APPROX_YEARS, EXTRACTOR_GUARD, FLAGGED_BELOW, INFORMATIONAL, LEAST_TOTAL, SHARE_TYPES, TOTAL_TOLERANCE, UNREADABLE_FROM
+from ..sources.stored import stored
 
 _NONE = "array<double>"
 
@@ -38,6 +39,34 @@ def nearest(values: Column, x: Column) -> Column:
     return F.array_min(F.transform(values, lambda v: F.struct(F.abs(v - x).alias("d"), v.alias("v"))))["v"]
 
 
+def nearest_rows(values: DataFrame, known: DataFrame, by: str = "doc_id") -> DataFrame:
+    """values (by, x and others) with nearest: the value v of known (by, v) with the same key that is nearest to x, the smaller of two as near; null without
+    one. As `nearest`, for keys with any number of candidates: no array of them is made.
+
+    Both sides are sorted together by ranges of key and value, so a key may span many partitions. In a partition the last candidate up to a value
+    and the first from it on are carried by windows over its rows; what lies beyond its ends comes from the partitions' outermost
+    candidates, one row a partition and key.
+    """
+    rows = values.withColumns({"_side": F.lit(1), "_at": F.col("x")}).unionByName(known.select(by, F.col("v").alias("_at")).distinct().withColumn("_side", F.lit(0)), allowMissingColumns=True)
+    spread = F.xxhash64(F.struct(*(F.col(c) for c in values.columns)))
+    # Written: a task that is run again must not deal by other ranges. Equal values may be split anywhere, candidates come before them.
+    placed = rows.withColumn("_tie", spread).repartitionByRange(by, F.col("_at").asc_nulls_last(), "_side", "_tie")
+    placed = stored(placed.withColumn("_part", F.spark_partition_id()), "nearest")
+    own = F.when(F.col("_side") == 0, F.col("_at"))
+    ends = placed.groupBy("_part", by).agg(F.min(own).alias("_least"), F.max(own).alias("_most"))
+    parts = Window.partitionBy(by).orderBy("_part")
+    before, behind = parts.rowsBetween(Window.unboundedPreceding, -1), parts.rowsBetween(1, Window.unboundedFollowing)
+    ends = ends.withColumns({"_below": F.max("_most").over(before), "_above": F.min("_least").over(behind)}).select(F.col("_part").alias("_p"), F.col(by).alias("_k"), "_below", "_above")
+    here = Window.partitionBy("_part", by)
+    up = here.orderBy(F.col("_at").asc_nulls_last(), "_side").rowsBetween(Window.unboundedPreceding, 0)
+    down = here.orderBy(F.col("_at").desc_nulls_first(), F.desc("_side")).rowsBetween(Window.unboundedPreceding, 0)
+    df = placed.withColumns({"_low": F.last(own, ignorenulls=True).over(up), "_high": F.last(own, ignorenulls=True).over(down)}).filter("_side = 1")
+    df = df.join(ends, (F.col("_part") == F.col("_p")) & F.col(by).eqNullSafe(F.col("_k")), "left")
+    low, high = F.coalesce("_low", "_below"), F.coalesce("_high", "_above")
+    best = F.when(low.isNull() | (high - F.col("x") < F.col("x") - low), high).otherwise(low)
+    return df.withColumn("nearest", F.when(F.col("x").isNotNull(), best)).select(*values.columns, "nearest")
+
+
 def total_check(values: Column, x: Column) -> Column:
     """match, mismatch or no_total_printed. A sum of 0 or null matches nothing."""
     best = nearest(values, x)
@@ -147,8 +176,6 @@ def guard_rows(rows: DataFrame) -> DataFrame:
     """Raw rows with a tags array: unreadable amounts made null, total rows and stray whole-number rows dropped, implausible ones tagged."""
     from ..functions.scalars import ADDRESS_WORDS, with_tag
     from ..schemas import IMPLAUSIBLE_OVER
-    from pyspark.sql import Window
-
     df = rows.withColumn("_big", unreadable()).withColumn("tags", with_tag(tag_list(F.col("issues")), "unreadable_amount", F.col("_big")))
     df = df.withColumns({c: F.when(~F.col("_big"), F.col(c)) for c in ("net_amount", "shares")}).filter(~is_total_row(F.col("holder_name_raw")))
     stray = has_tag(F.col("tags"), "int_amount")
@@ -162,8 +189,6 @@ def guard_rows(rows: DataFrame) -> DataFrame:
 def resolve_ambiguous(rows: DataFrame, values: DataFrame) -> DataFrame:
     """Share rows with several numbers (runs: array of them; tags) take the last, else the first of each run, if the document's total then
     matches a candidate (values: doc_id, candidates); otherwise they stay as they are."""
-    from pyspark.sql import Window
-
     doubtful = has_tag(F.col("tags"), "stock_ambiguous_numbers") & F.col("shares").isNull() & (F.size("runs") > 0)
     w = Window.partitionBy("doc_id")
     df = rows.join(values, "doc_id", "left").withColumn("_d", F.coalesce(doubtful, F.lit(False)))

@@ -576,6 +576,27 @@ def gated_lookups(spark, d):
     return found.select("request_id", "error", "found", F.round("totals.cash", 2).alias("cash"), F.when(F.col("found"), n).alias("items"))
 
 
+@query("""WITH t AS (SELECT max(ts) AS last FROM events WHERE CAST('0x' || substr(sha256('purge:' || event_id), 1, 8) AS BIGINT) < CAST(floor(0.02 * 4294967296) AS BIGINT))
+SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS at, strftime(ts, '%Y-%m-%d') AS day FROM events, t WHERE last IS NULL OR ts >= last - INTERVAL 172800 SECONDS""")
+def purged_log(spark, d):
+    """What the calls of a log have left of it, with its times as manifests hold them."""
+    events = _table(spark, d, "events")
+    left = gate.purged(events, events.select(F.col("event_id").alias("request_id"), "ts"))
+    return left.select("event_id", S.stamp(F.col("ts")).alias("at"), S.day(F.col("ts")).alias("day"))
+
+
+@query("""WITH c AS (SELECT DISTINCT l_returnflag AS k, l_extendedprice AS v FROM lineitem WHERE l_returnflag <> 'A'),
+x AS (SELECT o_orderkey, list_extract(['A', 'N', 'R', 'R'], CAST(o_orderkey % 4 + 1 AS BIGINT)) AS k, round(o_totalprice / 3, 2) AS x FROM orders),
+l AS (SELECT x.*, c.v AS low FROM x ASOF LEFT JOIN c ON x.k = c.k AND x.x >= c.v), h AS (SELECT l.*, c.v AS high FROM l ASOF LEFT JOIN c ON l.k = c.k AND l.x <= c.v)
+SELECT o_orderkey, x, CASE WHEN low IS NULL OR high - x < x - low THEN high ELSE low END AS nearest FROM h""")
+def nearest_prices(spark, d):
+    """Orders' prices and the nearest of all prices of lines with one flag, for few keys of very many candidates."""
+    known = _table(spark, d, "lineitem").filter("l_returnflag <> 'A'").select(F.col("l_returnflag").alias("k"), F.col("l_extendedprice").alias("v"))
+    key = F.element_at(F.array(*map(F.lit, ("A", "N", "R", "R"))), (F.col("o_orderkey") % 4 + 1).cast("int"))
+    values = _table(spark, d, "orders").select("o_orderkey", key.alias("k"), F.round(F.col("o_totalprice") / 3, 2).alias("x"))
+    return totals.nearest_rows(values, known, "k").select("o_orderkey", "x", "nearest")
+
+
 @query("""SELECT time_bucket(INTERVAL 5 MINUTES, ts) - INTERVAL 5 MINUTES * k AS window_start, event_type, count(*) AS n FROM events CROSS JOIN (SELECT unnest([0, 1, 2]) AS k) GROUP BY 1, 2""")
 def windowed_counts(spark, d):
     return gate.windowed_counts(_table(spark, d, "events"))

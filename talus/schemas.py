@@ -65,3 +65,5 @@ EVENT_TTL_SECONDS = 2 * 86400
 
 #: Fixed value: pages of a file that are extracted at a time.
 PAGE_CHUNK = 100
+#: Seconds that a lookup may take, and the share of calls that purge the logs.
+STATEMENT_SECONDS, PURGE_SHARE = 5.0, 0.02

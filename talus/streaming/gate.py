@@ -12,7 +12,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from ..schemas import EVENT_TTL_SECONDS, GATE_DAY, GATE_FAIL, GATE_GLOBAL, GATE_MINUTE, GATE_MISS
+from ..schemas import EVENT_TTL_SECONDS, GATE_DAY, GATE_FAIL, GATE_GLOBAL, GATE_MINUTE, GATE_MISS, PURGE_SHARE
 from ..sources.stored import shared_folder, stored
 
 
@@ -33,6 +33,19 @@ def recent(events: DataFrame, ts: str, now, seconds: int = EVENT_TTL_SECONDS) ->
     return events.filter(F.col(ts) >= now - F.make_interval(secs=F.lit(seconds)))
 
 
+def purging_calls(calls: DataFrame, share: float = PURGE_SHARE) -> DataFrame:
+    """The calls (request_id, ts) that purge the logs: about `share` of them, by a hash of the id, so that a task that runs again chooses alike."""
+    draw = F.conv(F.substring(F.sha2(F.concat(F.lit("purge:"), F.col("request_id").cast("string")), 256), 1, 8), 16, 10).cast("long")
+    return calls.filter(draw < int(share * (1 << 32)))
+
+
+def purged(log: DataFrame, calls: DataFrame, ts: str = "ts", share: float = PURGE_SHARE, seconds: int = EVENT_TTL_SECONDS) -> DataFrame:
+    """What is left of a log after its calls: each purging call drops what is older than the time to live at its time."""
+    last = purging_calls(calls, share).agg(F.max("ts").alias("_last"))
+    df = log.join(F.broadcast(last))
+    return df.filter(F.col("_last").isNull() | (F.col(ts) >= F.col("_last") - F.make_interval(secs=F.lit(seconds)))).drop("_last")
+
+
 @dataclass(frozen=True)
 class Limits:
     fail: tuple[int, int] = GATE_FAIL

@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from ..operators.marts import holder_mart
 from ..schemas import SINK_BATCH
 
 
@@ -72,3 +73,30 @@ def in_batches(df: DataFrame, send: Callable[[list[dict]], None], size: int = SI
 def stream_in_batches(df: DataFrame, checkpoint: str, send: Callable[[list[dict]], None], size: int = SINK_BATCH):
     """The same for a stream: every micro-batch goes through in_batches."""
     return df.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(lambda batch, _: in_batches(batch, send, size)).start()
+
+
+#: Parts of a mart's keys, by hash: a batch rewrites those that it touches.
+MART_BUCKETS = 64
+
+
+def marts_in_batches(items: DataFrame, folder: str, checkpoint: str, mart: Callable[[DataFrame], DataFrame] = holder_mart, key: str = "holder_id", buckets: int = MART_BUCKETS):
+    """Keeps a mart up to date with a stream of items: folder/items holds the items of every batch, folder/mart the mart of all so far.
+
+    Keys are dealt over buckets. A batch stores its items by bucket and makes the mart anew from all items of the buckets that it touches, which
+    are overwritten and the others left alone, so any aggregate will do. A batch that is run again replaces what it wrote. Starts a query
+    that takes what is there and ends; with the same checkpoint the next one goes on.
+    """
+
+    def merge(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        own = batch.withColumn("bucket", F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int"))
+        own.repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{folder}/items/batch={number}")
+        there = spark.read.schema(T.StructType([*own.schema.fields, T.StructField("batch", T.LongType())])).parquet(f"{folder}/items").filter(F.col("batch") <= number)
+        touched = [r["bucket"] for r in there.filter(F.col("batch") == number).select("bucket").distinct().collect()]
+        if not touched:
+            return
+        whole = mart(there.filter(F.col("bucket").isin(*touched)).drop("batch", "bucket"))
+        whole = whole.withColumn("bucket", F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int"))
+        whole.repartition("bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(f"{folder}/mart")
+
+    return items.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(merge).start()

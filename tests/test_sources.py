@@ -180,3 +180,128 @@ def test_dot_segments_and_bengali_names(spark):
     names = [("মোঃ করিম", "MOH KRIM"), ("md. Élan", "MOHAMMAD ELAN"), (None, ""), ("রহমান ১২", "RHMAAN 12")]
     df = spark.createDataFrame(names, "a string, b string").select(S.normal_name(F.col("a")), "b")
     assert all(r[0] == r[1] for r in df.collect())
+
+
+def workbook(path, sheets, shared=()):
+    import zipfile
+    from xml.sax.saxutils import escape
+
+    ns = 'xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"'
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        z.writestr("xl/sharedStrings.xml", f"<sst {ns}>" + "".join(f"<si>{x}</si>" for x in shared) + "</sst>")
+        for k, rows in enumerate(sheets, 1):
+            body = "".join(f'<row r="{r}">' + "".join(f'<c r="{at}{r}" t="{t}">' + (f"<is><t>{escape(v)}</t></is>" if t == "inlineStr" else "" if v is None else f"<v>{escape(v)}</v>") + "</c>" for at, t, v in cells) + "</row>" for r, cells in rows)
+            z.writestr(f"xl/worksheets/sheet{k}.xml", f"<worksheet {ns}><sheetData>{body}</sheetData></worksheet>")
+
+
+def test_spreadsheets_are_rows(spark, tmp_path):
+    from talus.sources import sheets
+
+    (tmp_path / "in").mkdir()
+    shared = ["<t>Name &amp; folio</t>", "<r><t>AL</t></r><r><rPr/><t>PHA</t></r><rPh><t>x</t></rPh>"]
+    first = [(1, [("A", "s", "0"), ("B", "n", "5.50"), ("AB", "inlineStr", "<far>")]), (2, []), (4, [("C", "s", "1"), ("D", "n", None), ("E", "b", "1")])]
+    workbook(tmp_path / "in" / "w.xlsx", [first, [(1, [("A", "str", "two")])]], shared)
+    (tmp_path / "in" / "bad.xlsx").write_bytes(b"no zip")
+    got = {(r.doc_id, r.sheet, r.row): r for r in sheets.read_sheets(spark, str(tmp_path / "in")).collect()}
+    assert got["w", 1, 1].cells == ["Name & folio", "5.50", *[None] * 25, "<far>"] and got["w", 1, 4].cells == [None, None, "ALPHA", None, "1"]
+    assert got["w", 2, 1].cells == ["two"] and got["bad", None, None].error and len(got) == 4
+
+
+def test_a_sheet_is_its_csv(spark, tmp_path):
+    """5,000 rows: the cells are those of the same table as CSV, and as lines they give records."""
+    from talus.operators import records as R
+    from talus.sources import sheets
+
+    (tmp_path / "x").mkdir()
+    table = [(str(k), f"12010000{k:08d}", f"ALPHA TESTER {'ABCDE'[k % 5] * 3}", f"{k + 0.25:.2f}") for k in range(1, 5001)]
+    workbook(tmp_path / "x" / "list.xlsx", [[(k, list(zip("ABCD", ("n", "inlineStr", "inlineStr", "n"), row, strict=True))) for k, row in enumerate(table, 1)]])
+    (tmp_path / "list.csv").write_text("a,b,c,d\n" + "\n".join(map(",".join, table)) + "\n")
+    csv = readers.read_csv_text(spark, str(tmp_path / "list.csv"), ["a", "b", "c", "d"])
+    rows = sheets.read_sheets(spark, str(tmp_path / "x"))
+    assert rows.select("cells").exceptAll(csv.select(F.array("a", "b", "c", "d").alias("cells"))).count() == 0 and rows.count() == 5000
+    line = sheets.as_lines(rows).filter("line_no = 7").first().line
+    assert R.parse_record(line, "", "cash")["net_amount"] == 7.25
+
+
+def test_statements_are_limited(spark):
+    import time
+
+    from pyspark.errors import PySparkException
+
+    from talus.streaming.limit import within
+
+    slow = spark.range(0, 10**14, 1, 2).filter("id % 1000003 < 0")
+    began = time.time()
+    assert within(spark, lambda: [r.id for r in slow.collect()], "too slow", 1.0) == "too slow"
+    assert time.time() - began < 30
+    assert within(spark, lambda: spark.range(5).count(), None) == 5
+    import pytest
+
+    with pytest.raises(PySparkException):
+        within(spark, lambda: spark.sql("SELECT raise_error('own')").collect(), None, 60.0)
+    # Nothing of the limit stays with the thread.
+    assert not list(spark.sparkContext.getJobTags())
+
+
+def test_mart_follows_a_stream_of_items(spark, tmp_path):
+    """Three batches in two runs give what one gives; a run without new items, or a batch run again, changes nothing."""
+    from talus.operators import marts
+    from talus.plans.queries import items
+
+    own = items(spark, "/root/testdata/sf0.001").select("holder_id", "row_idx", "bo_id", "company", "folio_no", "name", "dividend_type", "net", "shares", "year_start", "tags", "settled_flag")
+    parts = own.randomSplit([0.5, 0.3, 0.2], 3)
+    start = lambda cp="cp": ingest.marts_in_batches(ingest.new_files(spark, f"{tmp_path}/in", own.schema, maxFilesPerTrigger=1), f"{tmp_path}/out", f"{tmp_path}/{cp}").awaitTermination()
+    for part in parts[:2]:
+        part.coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+    start()
+    parts[2].coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+    start()
+    want = sorted(map(str, marts.holder_mart(own).collect()))
+    read = lambda: sorted(map(str, spark.read.parquet(f"{tmp_path}/out/mart").drop("bucket").collect()))
+    assert read() == want
+    start()
+    assert read() == want
+    # All batches again, from their beginning.
+    start("cp2")
+    assert read() == want
+
+
+def test_small_readers_and_writers(spark, tmp_path):
+    from talus.operators import lines, marts
+
+    (tmp_path / "t").mkdir()
+    (tmp_path / "t" / "a.txt").write_text("one\ntwo\n")
+    assert [tuple(r) for r in readers.read_whole_text(spark, str(tmp_path / "t")).collect()] == [("a.txt", "one\ntwo\n")]
+    df = spark.createDataFrame([("b", 2, None), ("a", 1, 1.5), ("b", 1, 2.5)], "k string, n int, v double")
+    sinks.write_json(df, str(tmp_path / "json"))
+    assert sorted(map(str, spark.read.schema(df.schema).json(str(tmp_path / "json")).collect())) == sorted(map(str, df.collect()))
+    assert sorted((r.k, r.n, r.row_on_page) for r in lines.number_rows(df, ["k"], ["n"]).collect()) == [("a", 1, 1), ("b", 1, 1), ("b", 2, 2)]
+    assert [r.k for r in marts.companies_of(df, "k").collect()] == ["a", "b"]
+
+
+def test_tables_of_a_database(spark):
+    """Columns of a table by JDBC, read in several partitions."""
+    url = "jdbc:derby:memory:talus;create=true"
+    df = spark.range(100).select(F.col("id").cast("int").alias("ID"), F.format_string("v%d", "id").alias("V"), F.lit(1).alias("OTHER"))
+    df.write.mode("overwrite").jdbc(url, "items")
+    options = {"partitionColumn": "ID", "lowerBound": "0", "upperBound": "100", "numPartitions": "4"}
+    got = readers.read_table(spark, url, "items", ["ID", "V"], options)
+    assert got.columns == ["ID", "V"] and sorted(tuple(r) for r in got.collect()) == [(k, f"v{k}") for k in range(100)]
+    assert got.withColumn("p", F.spark_partition_id()).select("p").distinct().count() == 4
+
+
+def test_streams_are_sent_in_batches(spark, tmp_path):
+    """Every row once, in lists of the size, over two runs of the query."""
+    out = str(tmp_path / "sent")
+
+    def send(rows):
+        with open(out, "a") as f:
+            f.write(",".join(r["v"] for r in rows) + "\n")
+
+    schema = "v string"
+    for run in range(2):
+        spark.createDataFrame([(f"{run}-{k}",) for k in range(5)], schema).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+        stream = ingest.new_files(spark, f"{tmp_path}/in", T.StructType([T.StructField("v", T.StringType())]))
+        ingest.stream_in_batches(stream, f"{tmp_path}/cp", send, size=3).awaitTermination()
+    lists = [line.split(",") for line in open(out).read().splitlines()]
+    assert sorted(v for x in lists for v in x) == sorted(f"{run}-{k}" for run in range(2) for k in range(5)) and max(map(len, lists)) == 3

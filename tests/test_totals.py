@@ -106,3 +106,27 @@ def test_rows_from_recognised_pages_are_partial(spark):
     for n, want in ((0, "parsed"), (3, "partial")):
         (r,) = T.document_verdict(rows, stats.withColumn("ocr_rows", F.lit(n))).collect()
         assert (r.total_check, r.status) == ("match", want)
+
+
+def test_nearest_as_a_relation(spark):
+    """Equal to `nearest` for keys with few, many or no candidates, ties, equal values, nulls and keys that span partitions."""
+    import random
+
+    rng = random.Random(6)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        known = [(k, float(rng.randint(0, 4000)) / 2) for k, n in (("a", 2000), ("b", 1), ("c", 3), (None, 5)) for _ in range(n)]
+        values = [(k, rng.choice([None, float(rng.randint(-10, 4100)) / 4]), i) for i, k in enumerate(rng.choices(["a", "b", "c", "none", None], k=800))]
+        df = T.nearest_rows(spark.createDataFrame(values, "doc_id string, x double, i int"), spark.createDataFrame(known, "doc_id string, v double"))
+        got = {r.i: r.nearest for r in df.collect()}
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    want = {i: None if x is None else min((v for key, v in known if key == k), key=lambda v: (abs(v - x), v), default=None) for k, x, i in values}
+    assert got == want and len(got) == 800
+
+
+def test_nearest_of_a_million_candidates(spark):
+    known = spark.range(1_000_000).select(F.lit("k").alias("doc_id"), (F.col("id") * 2.0).alias("v"))
+    values = spark.range(5000).select(F.lit("k").alias("doc_id"), (F.col("id") * 397.0 + 0.5).alias("x"))
+    df = T.nearest_rows(values, known)
+    assert df.filter((F.col("nearest") != F.floor(F.col("x") / 2 + 0.5) * 2) & (F.abs(F.col("nearest") - F.col("x")) > 1)).count() == 0 and df.count() == 5000
