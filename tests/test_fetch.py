@@ -31,3 +31,69 @@ def test_sql_functions(spark):
     register(spark)
     r = spark.sql("SELECT fold_digits('১২'), number_of('(1,234.5)'), number_of('1d'), year_start('in 2019'), digits_only('a1-2'), folio_key('a -1'), code_hash(' X ')").first()
     assert tuple(r)[:6] == ("12", 1234.5, None, 2019, "12", "A1") and r[6] == spark.range(1).select(F.sha2(F.lit("x"), 256)).first()[0]
+
+
+def counted(folder, respond):
+    """A client that leaves a file for each request."""
+    import uuid
+    from pathlib import Path
+
+    def get(url):
+        (Path(folder) / uuid.uuid4().hex).write_text(url)
+        return respond(url)
+
+    return get
+
+
+def test_a_hot_host_holds_up_no_other(spark, tmp_path):
+    """One task with a host of 30 requests and three of one: these are fetched in the first round of turns. Kept responses are not asked for again."""
+    log = tmp_path / "log"
+    log.mkdir()
+    get = counted(str(log), lambda url: X.Response(200, url, {}, url.encode()))
+    work = spark.createDataFrame([(f"h{k:02d}", f"http://hot/{k}") for k in range(30)] + [(h, f"http://{h}/x") for h in ("a", "b", "z")], "id string, url string")
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    try:
+        rows = X.fetch(work, get, spacing=0.0, kept=f"file://{tmp_path}/kept").collect()
+        assert {r.id for r in rows[:4]} == {"a", "b", "z", "h00"} and len(rows) == 33
+        assert len(list(log.iterdir())) == 33
+        again = X.fetch(work, get, spacing=0.0, kept=f"file://{tmp_path}/kept").collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert sorted(map(str, again)) == sorted(map(str, rows)) and len(list(log.iterdir())) == 33
+
+
+def test_download(spark, tmp_path):
+    """Files, pages with links, pages without, drives, children that are pages again, refusals and errors."""
+    from talus.sources import download as D
+
+    html = {"Content-Type": "text/html; charset=utf-8"}
+
+    def respond(url):
+        if "page" in url:
+            return X.Response(200, url, html, b"<a href='/f/unpaid.pdf'>Unpaid dividend list</a><a href='child.csv'>dividend</a><a href='gone.pdf'>dividend</a><a href='x.html'>no</a>")
+        if "empty" in url or "child" in url or "drive" in url:
+            return X.Response(200, url, html, b"<p>nothing</p>")
+        if "boom" in url:
+            raise ValueError("no route")
+        return X.Response(404, url, {}, b"") if "gone" in url else X.Response(200, url, {"Content-Type": "text/html"} if "odd" in url else {}, b"%PDF " + url.encode())
+
+    log = tmp_path / "log"
+    log.mkdir()
+    rows = [("1", "C 1", "List", "http://h/a%20b.pdf", "pdf"), ("2", "C2", "Page", "http://h/page", "html"), ("3", "C2", "Empty", "http://h/empty", "html"), ("4", "C2", "Drive", "https://drive.google.com/file/d/abcdefghij12/view", "gdrive"), ("5", "C2", "Boom", "http://h/boom", "pdf"), ("6", "C2", "Gone", "http://h/gone", "pdf"), ("7", "C2", "Odd", "http://h/odd", "pdf")]
+    work = spark.createDataFrame([(*r, "list") for r in rows], "id string, company string, title string, url string, kind string, role string")
+    get = counted(str(log), respond)
+    manifest, links = D.download(work, get, f"file://{tmp_path}/files", 0.0, f"file://{tmp_path}/kept")
+    got = {r.id: r for r in manifest.collect()}
+    assert {k: (r.status, r.error) for k, r in got.items()} == {
+        "1": ("ok", ""), "2-01": ("ok", ""), "2-02": ("failed", D.NO_CHILD), "2-03": ("failed", "HTTP 404"), "3": ("failed", D.NO_LINKS), "4": ("failed", D.NO_DRIVE), "5": ("failed", "ValueError: no route"), "6": ("failed", "HTTP 404"), "7": ("ok", ""),
+    }
+    assert (got["1"].local_path, got["2-01"].local_path, got["2-01"].parent_id, got["2-01"].title) == ("C_1/1__a_b.pdf", "C2/2-01__unpaid.pdf", "2", "Unpaid dividend list")
+    for k in ("1", "2-01", "7"):
+        content = (tmp_path / "files" / got[k].local_path).read_bytes()
+        assert content.startswith(b"%PDF http://h/") and got[k].bytes == len(content)
+    assert sorted(r.child_id for r in links.collect()) == ["2-01", "2-02", "2-03"]
+    assert sum(p.is_file() for p in (tmp_path / "files").rglob("*")) == 3
+    # Once more: nothing that came is asked for again; only what failed without a response is.
+    n = len(list(log.iterdir()))
+    D.download(work, get, f"file://{tmp_path}/files", 0.0, f"file://{tmp_path}/kept")
+    assert {p.read_text() for p in sorted(log.iterdir(), key=lambda p: p.stat().st_mtime)[n:]} == {"http://h/boom"}
