@@ -180,20 +180,21 @@ def joined_url(base: Column, link: Column) -> Column:
     )
 
 
+#: A file's name in a disposition header, how a PDF begins, and suffixes by words of content types, the first that fits.
+DISPOSITION_NAME = "filename\\*?=(?:UTF-8'')?\"?([^\";]+)"
+PDF_MAGIC = b"%PDF"
+SUFFIX_OF_TYPE = (("pdf", ".pdf"), ("spreadsheet", ".xlsx"), ("excel", ".xlsx"), ("word", ".docx"), ("jpeg", ".jpg"))
+
+
 def sniffed_suffix(content: Column, content_type: Column, disposition: Column, url: Column) -> Column:
-    """File suffix by disposition, magic bytes or content type, then the url; `.bin` at last."""
-    kind = F.lower(F.coalesce(content_type, F.lit("")))
-    named = F.regexp_extract(F.coalesce(disposition, F.lit("")), "filename\\*?=(?:UTF-8'')?\"?([^\";]+)", 1)
-    by_url = F.lower(F.regexp_extract(F.coalesce(url, F.lit("")), FILE_SUFFIX, 1))
-    return (
-        F.when(named.contains("."), F.lower(F.regexp_extract(named, r"(\.[^.]*)$", 1)))
-        .when((F.substring(content, 1, 4) == F.lit(b"%PDF")) | kind.contains("pdf"), ".pdf")
-        .when(kind.contains("spreadsheet") | kind.contains("excel"), ".xlsx")
-        .when(kind.contains("word"), ".docx")
-        .when(kind.contains("jpeg"), ".jpg")
-        .when(by_url != "", F.concat(F.lit("."), by_url))
-        .otherwise(".bin")
-    )
+    """File suffix: that of the name in the disposition, by how the content begins, by its type, that of the url, `.bin` at last."""
+    text = lambda c: F.lower(F.coalesce(c, F.lit("")))
+    some = lambda c: F.nullif(c, F.lit(""))
+    named = some(F.lower(F.regexp_extract(F.regexp_extract(F.coalesce(disposition, F.lit("")), DISPOSITION_NAME, 1), r"(\.[^.]*)$", 1)))
+    by_type = [F.when(text(content_type).contains(word), suffix) for word, suffix in SUFFIX_OF_TYPE]
+    by_url = some(F.lower(F.regexp_extract(F.coalesce(url, F.lit("")), FILE_SUFFIX, 1)))
+    magic = F.when(F.substring(content, 1, len(PDF_MAGIC)) == F.lit(PDF_MAGIC), ".pdf")
+    return F.coalesce(named, magic, *by_type, F.concat(F.lit("."), by_url), F.lit(".bin"))
 
 
 def client_ip(headers_json: Column) -> Column:

@@ -384,39 +384,40 @@ def _skipped(line: str) -> bool:
     return not line.strip() or ("total" in line.lower() and not _LONG_ID.search(line))
 
 
-def extract_by_column(pages: DataFrame) -> DataFrame:
-    """Records whose amount stands under the head of the preferred amount column, which holds on over pages; pages as above."""
+def column_rows():
+    """Rows of one document's pages in order, by the column of its head."""
+    c, span = _Context(), [None]
+
+    def on_row(r: dict) -> Iterator[dict]:
+        lines = r["text"].split("\n")
+        if c.fresh:
+            _begin(c, r["title"] or "", lines[:8], False)
+        span[0] = find_column(lines, STOCK_FIRST if c.kind in SHARE_TYPES else CASH_FIRST) or span[0]
+        n = 0
+        for line in lines:
+            if _skipped(line):
+                continue
+            account = _LONG_ID.search(line)
+            if not account and len(line.split()) <= 14 and re.search("year|dividend|fy|agm", line.lower()) and (m := _YEAR.search(line)):
+                c.year = m.group(0)
+            if span[0] is None:
+                continue
+            row = parse_record(line.strip(), c.year, c.kind, need_amount=False)
+            token = number_under(line, span[0]) if row or account else None
+            if token is None:
+                continue
+            row = row or _nameless(account.group(1), c.year, c.kind, line)
+            n += 1
+            share = c.kind in SHARE_TYPES
+            amounts = dict(shares=value(token) if share else None, net_amount=None if share else value(token), gross_amount=None, tax_amount=None)
+            yield row | amounts | dict(issues=_tagged(row, "col_amount"), doc_id=r["doc_id"], page=r["page"], row_on_page=n)
 
-    def handle():
-        c, span = _Context(), [None]
-
-        def on_row(r: dict) -> Iterator[dict]:
-            lines = r["text"].split("\n")
-            if c.fresh:
-                _begin(c, r["title"] or "", lines[:8], False)
-            span[0] = find_column(lines, STOCK_FIRST if c.kind in SHARE_TYPES else CASH_FIRST) or span[0]
-            n = 0
-            for line in lines:
-                if _skipped(line):
-                    continue
-                account = _LONG_ID.search(line)
-                if not account and len(line.split()) <= 14 and re.search("year|dividend|fy|agm", line.lower()) and (m := _YEAR.search(line)):
-                    c.year = m.group(0)
-                if span[0] is None:
-                    continue
-                row = parse_record(line.strip(), c.year, c.kind, need_amount=False)
-                token = number_under(line, span[0]) if row or account else None
-                if token is None:
-                    continue
-                row = row or _nameless(account.group(1), c.year, c.kind, line)
-                n += 1
-                share = c.kind in SHARE_TYPES
-                amounts = dict(shares=value(token) if share else None, net_amount=None if share else value(token), gross_amount=None, tax_amount=None)
-                yield row | amounts | dict(issues=_tagged(row, "col_amount"), doc_id=r["doc_id"], page=r["page"], row_on_page=n)
+    return on_row
 
-        return on_row
 
-    return _stream(pages.filter(has_text(F.col("text"))), ["page"], handle, RAW_ROW)
+def extract_by_column(pages: DataFrame) -> DataFrame:
+    """Records whose amount stands under the head of the preferred amount column, which holds on over pages; pages as above."""
+    return _stream(pages.filter(has_text(F.col("text"))), ["page"], column_rows, RAW_ROW)
 
 
 def find_year_columns(lines: list[str]) -> list[tuple[str, str, int]] | None:
@@ -428,42 +429,43 @@ def find_year_columns(lines: list[str]) -> list[tuple[str, str, int]] | None:
     return None
 
 
-def extract_year_columns(pages: DataFrame, slack: int = 7, most: float = 1_000_000.0) -> DataFrame:
-    """A record for every number that ends within slack of a year column's end; columns hold on over pages."""
-
-    def handle():
-        columns = [None]
+def year_column_rows(slack: int = 7, most: float = 1_000_000.0):
+    """Rows of one document's pages in order, by year columns."""
+    columns = [None]
 
-        def on_row(r: dict) -> Iterator[dict]:
-            base = type_of(r["title"] or "")
-            lines = r["text"].split("\n")
-            columns[0] = find_year_columns(lines) or columns[0]
-            n = 0
-            for line in lines if columns[0] else ():
-                if _skipped(line):
+    def on_row(r: dict) -> Iterator[dict]:
+        base = type_of(r["title"] or "")
+        lines = r["text"].split("\n")
+        columns[0] = find_year_columns(lines) or columns[0]
+        n = 0
+        for line in lines if columns[0] else ():
+            if _skipped(line):
+                continue
+            account = _LONG_ID.search(line)
+            row = parse_record(line.strip(), "", base, need_amount=False)
+            if row is None and account is None:
+                continue
+            for _, end, token in _spans(line):
+                if not _NUMBER.match(token):
                     continue
-                account = _LONG_ID.search(line)
-                row = parse_record(line.strip(), "", base, need_amount=False)
-                if row is None and account is None:
+                year, kind, at = min(columns[0], key=lambda col: abs(col[2] - end))
+                if abs(at - end) > slack or not ("." in token or kind in ("bonus", "right", "stock") or base in SHARE_TYPES):
                     continue
-                for _, end, token in _spans(line):
-                    if not _NUMBER.match(token):
-                        continue
-                    year, kind, at = min(columns[0], key=lambda col: abs(col[2] - end))
-                    if abs(at - end) > slack or not ("." in token or kind in ("bonus", "right", "stock") or base in SHARE_TYPES):
-                        continue
-                    v = value(token)
-                    if not v or v > most:
-                        continue
-                    own = "stock" if kind == "bonus" else kind or base
-                    one = row or _nameless(account.group(1), year, own, line)
-                    n += 1
-                    share = own in SHARE_TYPES
-                    yield one | dict(dividend_year=year, dividend_type=own, line=line.strip()[:300], issues=_tagged(one, "year_column"), shares=v if share else None, net_amount=None if share else v, gross_amount=None, tax_amount=None, doc_id=r["doc_id"], page=r["page"], row_on_page=n)
-
-        return on_row
-
-    return _stream(pages.filter("text IS NOT NULL"), ["page"], handle, RAW_ROW)
+                v = value(token)
+                if not v or v > most:
+                    continue
+                own = "stock" if kind == "bonus" else kind or base
+                one = row or _nameless(account.group(1), year, own, line)
+                n += 1
+                share = own in SHARE_TYPES
+                yield one | dict(dividend_year=year, dividend_type=own, line=line.strip()[:300], issues=_tagged(one, "year_column"), shares=v if share else None, net_amount=None if share else v, gross_amount=None, tax_amount=None, doc_id=r["doc_id"], page=r["page"], row_on_page=n)
+
+    return on_row
+
+
+def extract_year_columns(pages: DataFrame, slack: int = 7, most: float = 1_000_000.0) -> DataFrame:
+    """A record for every number that ends within slack of a year column's end; columns hold on over pages."""
+    return _stream(pages.filter("text IS NOT NULL"), ["page"], lambda: year_column_rows(slack, most), RAW_ROW)
 
 
 def numbers_at_end(line: str) -> tuple[str, tuple[float, float, float]] | None:
@@ -479,25 +481,26 @@ def numbers_at_end(line: str) -> tuple[str, tuple[float, float, float]] | None:
     return (words[0] if n < len(words) and re.fullmatch(r"\d{4,16}", words[0]) else ""), found
 
 
+def paired_rows(kind: str = "cash"):
+    """Rows of a page, by paired lines."""
+    def on_row(r: dict) -> Iterator[dict]:
+        ids, amounts = [], []
+        for line in r["text"].split("\n"):
+            if m := IDENTITY.match(line):
+                ids.append(m.groups())
+            elif found := numbers_at_end(line):
+                amounts.append(found)
+        for n, ((serial, year, warrant, name), (who, (g, t, net))) in enumerate(zip(ids, amounts, strict=True) if len(ids) == len(amounts) else (), 1):
+            account = who if len(who) == 16 else ""
+            yield dict(doc_id=r["doc_id"], page=r["page"], row_on_page=n, dividend_year=year, dividend_type=kind, warrant_no=warrant, folio_or_bo_raw=who, bo_id=account, folio_no="" if account else who, holder_name_raw=name.strip(), shares=None, gross_amount=g, tax_amount=t, net_amount=net, issues="paired_lines", line=f"{serial} {year} {warrant} {name[:60]} | {who} {g} {t} {net}")
+
+    return on_row
+
+
 def extract_paired(pages: DataFrame, kind: str = "cash") -> DataFrame:
     """Records of pages that print identities and amounts on lines of their own: the k-th of either belong together, on pages that
     have as many of both."""
-
-    def handle():
-        def on_row(r: dict) -> Iterator[dict]:
-            ids, amounts = [], []
-            for line in r["text"].split("\n"):
-                if m := IDENTITY.match(line):
-                    ids.append(m.groups())
-                elif found := numbers_at_end(line):
-                    amounts.append(found)
-            for n, ((serial, year, warrant, name), (who, (g, t, net))) in enumerate(zip(ids, amounts, strict=True) if len(ids) == len(amounts) else (), 1):
-                account = who if len(who) == 16 else ""
-                yield dict(doc_id=r["doc_id"], page=r["page"], row_on_page=n, dividend_year=year, dividend_type=kind, warrant_no=warrant, folio_or_bo_raw=who, bo_id=account, folio_no="" if account else who, holder_name_raw=name.strip(), shares=None, gross_amount=g, tax_amount=t, net_amount=net, issues="paired_lines", line=f"{serial} {year} {warrant} {name[:60]} | {who} {g} {t} {net}")
-
-        return on_row
-
-    return _stream(pages.filter("text IS NOT NULL"), ["page"], handle, RAW_ROW)
+    return _stream(pages.filter("text IS NOT NULL"), ["page"], lambda: paired_rows(kind), RAW_ROW)
 
 
 def classify_documents(sample: DataFrame) -> DataFrame:

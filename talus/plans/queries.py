@@ -11,7 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from ..functions import scalars as S
+from ..functions import scalars as S, sql
 from ..operators import lines as L, lookup, marts, records, resolve, route, totals
 from ..sources import readers, sinks
 from ..streaming import access, gate, ingest
@@ -373,19 +373,28 @@ def document_stats(spark, d):
     return stats.select("doc_id", "pages", "rows", "extracted_total")
 
 
-@query("""WITH w AS (SELECT *, o_orderkey // 240 AS doc FROM orders), y AS (SELECT o_orderkey, 2017 + k AS yr, round(o_totalprice * (k + 1), 2) AS v FROM w CROSS JOIN (SELECT unnest([0, 1, 2]) AS k))
-SELECT '12' || lpad(CAST(o_orderkey AS VARCHAR), 14, '0') AS bo_id, CAST(yr AS VARCHAR) AS dividend_year, v AS net FROM y WHERE v > 0 AND v <= 1000000""")
-def year_columns(spark, d):
+_YEARS = """WITH w AS (SELECT *, o_orderkey // 240 AS doc FROM orders), y AS (SELECT o_orderkey, 2017 + k AS yr, round(o_totalprice * (k + 1), 2) AS v FROM w CROSS JOIN (SELECT unnest([0, 1, 2]) AS k))
+SELECT '12' || lpad(CAST(o_orderkey AS VARCHAR), 14, '0') AS bo_id, CAST(yr AS VARCHAR) AS dividend_year, v AS net FROM y WHERE v > 0 AND v <= 1000000"""
+
+
+def _year_pages(spark: SparkSession, d: str) -> DataFrame:
     """Orders printed in a table with a column for each year, right-aligned under the years."""
     cell = lambda k: F.lpad(F.format_string("%.2f", F.round(F.col("o_totalprice") * (k + 1), 2)), 20, " ")
-    account = F.concat(F.lit("12"), F.lpad(F.col("o_orderkey").cast("string"), 14, "0"))
-    line = F.concat(F.lit("1 "), account, F.lit(" HOLDER ALPHA    "), cell(0), cell(1), cell(2))
-    head = F.lit(" " * 35 + "".join(str(2017 + k).rjust(20) for k in range(3)))
-    doc, page = F.floor(F.col("o_orderkey") / 240), F.floor(F.col("o_orderkey") % 240 / 12)
-    lines = F.transform(F.array_sort(F.collect_list(F.struct("o_orderkey", line.alias("line")))), lambda x: x["line"])
-    pages = _table(spark, d, "orders").groupBy(doc.cast("string").alias("doc_id"), (page + 1).cast("int").alias("page")).agg(lines.alias("lines"))
-    pages = pages.select("doc_id", F.lit("Dividend list").alias("title"), "page", F.array_join(F.concat(F.array(head), "lines"), "\n").alias("text"))
-    return records.extract_year_columns(pages).select("bo_id", "dividend_year", F.col("net_amount").alias("net"))
+    line = F.concat(F.lit("1 "), _account(), F.lit(" HOLDER ALPHA    "), cell(0), cell(1), cell(2))
+    return _as_pages(spark, d, line, [" " * 35 + "".join(str(2017 + k).rjust(20) for k in range(3))], "Dividend list")
+
+
+@query(_YEARS)
+def year_columns(spark, d):
+    return records.extract_year_columns(_year_pages(spark, d)).select("bo_id", "dividend_year", F.col("net_amount").alias("net"))
+
+
+@query(_YEARS)
+def year_columns_in_sql(spark, d):
+    """The same by a table function in SQL text."""
+    sql.register(spark)
+    _year_pages(spark, d).createOrReplaceTempView("printed_years")
+    return spark.sql("SELECT bo_id, dividend_year, net_amount AS net FROM rows_by_year_column(TABLE(printed_years) PARTITION BY doc_id ORDER BY page)")
 
 
 def _as_pages(spark: SparkSession, d: str, line: Column, head: list[str], title: str) -> DataFrame:

@@ -41,9 +41,8 @@ def purging_calls(calls: DataFrame, share: float = PURGE_SHARE) -> DataFrame:
 
 def purged(log: DataFrame, calls: DataFrame, ts: str = "ts", share: float = PURGE_SHARE, seconds: int = EVENT_TTL_SECONDS) -> DataFrame:
     """What is left of a log after its calls: each purging call drops what is older than the time to live at its time."""
-    last = purging_calls(calls, share).agg(F.max("ts").alias("_last"))
-    df = log.join(F.broadcast(last))
-    return df.filter(F.col("_last").isNull() | (F.col(ts) >= F.col("_last") - F.make_interval(secs=F.lit(seconds)))).drop("_last")
+    last = purging_calls(calls, share).agg(F.unix_micros(F.max("ts").cast("timestamp"))).first()[0]
+    return log if last is None else recent(log, ts, F.timestamp_micros(F.lit(last)), seconds)
 
 
 @dataclass(frozen=True)

@@ -97,3 +97,37 @@ def test_download(spark, tmp_path):
     n = len(list(log.iterdir()))
     D.download(work, get, f"file://{tmp_path}/files", 0.0, f"file://{tmp_path}/kept")
     assert {p.read_text() for p in sorted(log.iterdir(), key=lambda p: p.stat().st_mtime)[n:]} == {"http://h/boom"}
+
+
+def test_sql_scalars_are_those_of_columns(spark):
+    from talus.functions import scalars as S
+
+    register(spark)
+    texts = ["IPO refund", "Rights issue", "right  share", "Fraction", "subscription", "Stock Dividend", "stock & cash dividend", "Unpaid", "list", None, "b  a C", "", '{"x-forwarded-for": "1.2.3.4, 5"}', "{}"]
+    df = spark.createDataFrame([(t,) for t in texts], "s string")
+    df.createOrReplaceTempView("texts")
+    for name, column in (("dividend_type", S.dividend_type), ("sorted_words", S.sorted_words), ("client_ip", S.client_ip)):
+        got, want = spark.sql(f"SELECT s, {name}(s) AS v FROM texts"), df.select("s", column(F.col("s")).alias("v"))
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.collect())), name
+    assert spark.sql("SELECT stamp(TIMESTAMP '2024-01-02 03:04:05.678')").first()[0] == "2024-01-02 03:04:05"
+
+
+def test_table_functions(spark):
+    """Extractors in SQL text give what they give on DataFrames; columns hold on over a document's pages and not into the next."""
+    from talus.operators import records as R
+
+    account = "120100000000000"
+    head = "SL   BO ID             Name            Shares      Net Dividend    Remarks"
+    row = lambda k: f"1    {account}{k}   ALPHA TESTER    40          {k}50.00          12"
+    years = " " * 40 + "2017      Bonus_2018"
+    of_year = lambda k: f"1 {account}{k} ALPHA TESTER      12.50            {k}"
+    pairs = "13 2019 1234567 MIKE TESTER\n00042 REG 10 1.5 100.00 10.00 90.00"
+    rows = [("a", "cash list", 1, f"{head}\n{row(1)}"), ("a", "cash list", 2, row(2)), ("b", "cash list", 1, row(3)), ("c", "cash", 1, f"{years}\n{of_year(4)}"), ("c", "cash", 2, of_year(5)), ("d", "cash", 1, pairs), ("e", None, 1, None)]
+    df = spark.createDataFrame(rows, "doc_id string, title string, page int, text string")
+    df.createOrReplaceTempView("pages")
+    register(spark)
+    for name, extract in (("rows_by_column", R.extract_by_column), ("rows_by_year_column", R.extract_year_columns), ("rows_of_paired_lines", R.extract_paired)):
+        got = spark.sql(f"SELECT * FROM {name}(TABLE(pages) PARTITION BY doc_id ORDER BY page)").collect()
+        assert sorted(map(str, got)) == sorted(map(str, extract(df).collect())) and len(got) >= 1, name
+    lines = spark.sql(f"SELECT r.holder_name_raw, r.net_amount FROM VALUES ('1 {account}1 BETA TESTER 5.00'), ('no row'), (NULL) AS t(line), LATERAL listing_record(line, '2018', 'cash') AS r")
+    assert [tuple(r) for r in lines.collect()] == [("BETA TESTER", 5.0)]
