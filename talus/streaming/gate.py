@@ -279,7 +279,8 @@ class _Visitor(StatefulProcessor):
 
 def gate_stream(requests: DataFrame, limits: Limits = Limits()) -> DataFrame:
     """The rules of single visitors for a stream, calls of one batch in order of time: list state by visitor with time to live and a timer. The
-    session's state store must be RocksDB's (spark.sql.streaming.stateStore.providerClass). With the cap over all: gate_in_batches."""
+    session's state store must be RocksDB's (spark.sql.streaming.stateStore.providerClass). Timers go by the clock, so the query runs until it is
+    stopped. With the cap over all: gate_in_batches."""
     keyed = _calls(requests).groupBy("ip")
     return keyed.transformWithStateInPandas(_Visitor(limits), ANSWER, "Append", "ProcessingTime")
 
