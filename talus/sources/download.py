@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.scalars import sniffed_suffix, stamp
 from . import readers
-from .fetch import FETCHED, Get, fetch, save_bytes
+from .fetch import Get, fetch, save_bytes
 from .sinks import file_path
 from .stored import shared_folder, stored
 
