@@ -204,7 +204,7 @@ def test_candidates_that_overlap_base_spans_are_none(spark):
     for r in pii.digest(spark.createDataFrame(rows, "doc_id long, text string"), model).collect():
         text = rows[r.doc_id][1]
         base = [(int(a), k, int(b)) for k, a, b in (s.split(":") for s in filter(None, brute(text)[2].split(",")))]
-        more = [(m.start(), "number" if re.fullmatch(r"\(?[0-9]{3}\)?[ .-][0-9]{2,3}[ .-][0-9]{4}", m[0]) else "secret", m.end()) for m in re.finditer(pii.CANDIDATE, text)]
+        more = [(m.start(), "number" if re.fullmatch(r"\(?[0-9]{3}\)?[ .-][0-9]{2,3}[ .-][0-9]{4}", m[0]) else "secret", m.end()) for m in re.finditer(SLOW["more"], text)]
         more = [c for c in more if not any(b[0] < c[2] and c[0] < b[2] for b in base)]
         want = sorted(base + more, key=lambda s: (s[0], pii.KINDS.index(s[1]), s[2]))
         assert r.spans == ",".join(f"{k}:{a}:{b}" for a, k, b in want)
