@@ -50,6 +50,17 @@ def test_gate_answers_are_those_of_the_definition(spark, data):
     assert got != simulated(rows, uncapped)
 
 
+def test_spot_check_of_letters_that_change_their_number(spark, sql, tmp_path):
+    """A sharp s, ligatures and dotted capitals in names, blank texts, and words set apart by spaces that don't break."""
+    texts = ["Und ßsch von", "Der ßer verch 12", "ﬁn ŉa x", "İş ǆa", "ΑΣ ΒΣ c", " \n\t", "", None, "two\u00a0halves of it", "plain words 12 here"]
+    rows = [(3 * k + 1 + half, t) for k, t in enumerate(texts) for half in (0, 1)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    own = sql.cursor()
+    own.execute(f"CREATE TEMP VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    got = queries()["spot_check"](spark, str(tmp_path)).select("doc_id", "name_ok", "amount_ok", "id_ok").collect()
+    assert sorted(map(tuple, got)) == sorted(own.execute(oracle_sql()["spot_check"]).fetchall()) and len(got) == 14
+
+
 def test_entry(spark):
     import __spark_entry__
 
