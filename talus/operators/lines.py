@@ -36,6 +36,26 @@ def _count(words: Column, pattern: str) -> Column:
     return F.size(F.filter(words, lambda t: t.rlike(pattern)))
 
 
+#: What a first half begins with.
+_BEGINS = r"(?U)^\s*[0-9][0-9,]*\s+(19|20)[0-9]{2}(?!\S)"
+
+
+def _how(w: Column, nw: Column) -> Column:
+    """How words of a line and of the next go together: 1 if a name and amounts follow on a half, 2 if amounts do, else 0."""
+    w0, w1, w2 = (F.coalesce(F.get(w, F.lit(k)), F.lit("")) for k in range(3))
+    n0, n1 = (F.coalesce(F.get(nw, F.lit(k)), F.lit("")) for k in range(2))
+    begins = w0.rlike(INTEGER) & w1.rlike("^(19|20)[0-9]{2}$")
+    rest = F.when(F.size(w) > 3, F.slice(w, F.lit(4), F.greatest(F.size(w) - 3, F.lit(1)))).otherwise(F.array().cast("array<string>"))
+    named = begins & w2.rlike("^[0-9]{4,}$") & (_count(rest, MONEY) <= 1) & n0.rlike("^[A-Za-z]") & (_count(nw, MONEY) > 0) & (_count(nw, BO) == 0)
+    wrapped = begins & (F.size(w) >= 4) & w2.rlike("^[0-9]{5,9}$") & (_count(w, MONEY) == 0) & ~(n0.rlike(INTEGER) & n1.rlike("^(19|20)[0-9]{2}$")) & (_count(nw, MONEY) > 0)
+    return F.when(F.coalesce(named, F.lit(False)), 1).when(F.coalesce(wrapped, F.lit(False)), 2).otherwise(0)
+
+
+def _whole(how: Column, w: Column, line: Column, following: Column) -> Column:
+    named = F.concat(F.array_join(F.slice(w, 1, 3), " "), F.lit(" "), F.trim(following))
+    return F.when(how == 1, named).when(how == 2, F.concat(F.rtrim(line), F.lit(" "), F.trim(following))).otherwise(line)
+
+
 def join_wrapped(lines: DataFrame) -> DataFrame:
     """Lines of doc_id, page, line_no, line with records that are printed over two lines brought into one.
 
@@ -50,22 +70,42 @@ def join_wrapped(lines: DataFrame) -> DataFrame:
     # it, while frames up to the page's end would be read anew for each row.
     ahead = page.orderBy(F.desc("line_no")).rowsBetween(Window.unboundedPreceding, -1)
     df = df.withColumn("_next", F.last(F.when(~blank, F.struct("line", "_w")), ignorenulls=True).over(ahead))
-    w, nw = F.col("_w"), F.col("_next._w")
-    w0, w1, w2 = (F.coalesce(F.get(w, F.lit(k)), F.lit("")) for k in range(3))
-    n0, n1 = (F.coalesce(F.get(nw, F.lit(k)), F.lit("")) for k in range(2))
-    begins = w0.rlike(INTEGER) & w1.rlike("^(19|20)[0-9]{2}$")
-    here = F.col("_next").isNotNull()
-    rest = F.when(F.size(w) > 3, F.slice(w, F.lit(4), F.greatest(F.size(w) - 3, F.lit(1)))).otherwise(F.array().cast("array<string>"))
-    named = begins & w2.rlike("^[0-9]{4,}$") & (_count(rest, MONEY) <= 1) & n0.rlike("^[A-Za-z]") & (_count(nw, MONEY) > 0) & (_count(nw, BO) == 0)
-    wrapped = begins & (F.size(w) >= 4) & w2.rlike("^[0-9]{5,9}$") & (_count(w, MONEY) == 0) & ~(n0.rlike(INTEGER) & n1.rlike("^(19|20)[0-9]{2}$")) & (_count(nw, MONEY) > 0)
-    df = df.withColumn("_how", F.when(here & F.coalesce(named, F.lit(False)), 1).when(here & F.coalesce(wrapped, F.lit(False)), 2).otherwise(0))
+    df = df.withColumn("_how", F.when(F.col("_next").isNotNull(), _how(F.col("_w"), F.col("_next._w"))).otherwise(0))
     before = page.orderBy("line_no").rowsBetween(Window.unboundedPreceding, -1)
     df = df.withColumn("_taken", F.coalesce(F.last(F.when(~blank, F.col("_how") > 0), ignorenulls=True).over(before), F.lit(False)))
-    text = F.when(F.col("_how") == 1, F.concat(F.array_join(F.slice("_w", 1, 3), " "), F.lit(" "), F.trim("_next.line"))).when(F.col("_how") == 2, F.concat(F.rtrim("line"), F.lit(" "), F.trim("_next.line"))).otherwise(F.col("line"))
+    text = _whole(F.col("_how"), F.col("_w"), F.col("line"), F.col("_next.line"))
     kept = df.filter(~F.col("_taken")).withColumn("line", text).drop("_w", "_next", "_how", "_taken")
     return kept.withColumn("line_no", F.row_number().over(Window.partitionBy("doc_id", "page").orderBy("line_no")))
 
 
+def joined_lines(pages: DataFrame) -> DataFrame:
+    """join_wrapped(explode_lines(pages)), page by page as it is read: nothing is dealt or sorted, and a task holds one page at a time.
+
+    A page is cut before every line that isn't blank; such a line and the blank ones after it are a run, and runs meet the next by zip_with,
+    so the work is in proportion to the text.
+    """
+    others = [c for c in pages.columns if c != "text"]
+    run = lambda g: F.struct(g.alias("g"), F.substring_index(g, "\n", 1).alias("line"))
+    df = pages.filter(has_text(F.col("text"))).select(*others, F.transform(F.split("text", r"\n(?=[^\n]*[^ \n])"), run).alias("_runs"))
+
+    def met(x: Column, n: Column) -> Column:
+        words = F.array(F.struct(tokens(x["line"]).alias("w"), tokens(n["line"]).alias("nw")))
+        how = F.transform(words, lambda t: F.transform(F.array(_how(t["w"], t["nw"])), lambda h: F.struct(h.alias("how"), _whole(h, t["w"], x["line"], n["line"]).alias("line")))[0])[0]
+        none = F.struct(F.lit(0).alias("how"), x["line"].alias("line"))
+        return F.struct(x["g"].alias("g"), F.when(n.isNotNull() & x["line"].rlike(_BEGINS), how).otherwise(none).alias("t"))
+
+    df = df.withColumn("_runs", F.zip_with("_runs", F.slice("_runs", F.lit(2), F.size("_runs")), met))
+
+    def left(x: Column, before: Column) -> Column:
+        own = F.split(x["g"], "\n")
+        return F.when(before["t"]["how"] > 0, F.slice(own, F.lit(2), F.size(own))).when(x["t"]["how"] > 0, F.array(x["t"]["line"])).otherwise(own)
+
+    # The run before each: all runs moved on by one, behind one that takes nothing.
+    none = F.transform(F.slice("_runs", 1, 1), lambda x: F.struct(x["g"].alias("g"), F.struct(F.lit(0).alias("how"), x["t"]["line"].alias("line")).alias("t")))
+    moved = F.slice(F.concat(none, "_runs"), F.lit(1), F.size("_runs"))
+    return df.select(*others, F.posexplode(F.flatten(F.zip_with("_runs", moved, left))).alias("line_no", "line")).withColumn("line_no", F.col("line_no") + 1)
+
+
 def number_rows(rows: DataFrame, by: list[str], order: list[str], name: str = "row_on_page") -> DataFrame:
     return rows.withColumn(name, F.row_number().over(Window.partitionBy(*by).orderBy(*order)))
 

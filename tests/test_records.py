@@ -1,3 +1,5 @@
+import random
+
 import pytest
 
 from talus.operators import lines as L, records as R
@@ -80,6 +82,18 @@ def test_wrapped_lines(pages):
     assert "900.00 100.00 800.00" not in got and len(got) == 12
 
 
+def test_joined_lines_are_those_of_the_windows_without_a_shuffle(spark, pages):
+    """Halves, names, amounts, blank and nearly blank lines in any order, at a page's ends too."""
+    rng = random.Random(11)
+    kinds = ["", "  ", "\t", "7 2018 123456 5.00", "7 2018 123456 LIMA", "7 2018 1234 x 3.00 4.00", "LIMA TESTER 10 100.00", "900.00 100.00", " 8 2019 222222 9 ", f"{ID}1 ALPHA 7.00", "plain words", "7 2018", "\u00a07\u20032018 123456 LIMA\u00a0"]
+    rows = [(f"e{k % 7}", None, k, "\n".join(rng.choice(kinds) for _ in range(rng.randint(1, 14))) + rng.choice(["", "\n", "\n \n"])) for k in range(400)]
+    df = pages.unionByName(spark.createDataFrame(rows, pages.schema)).select("doc_id", "page", "text")
+    plan = L.joined_lines(df)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Sort" not in plan
+    got, want = ([tuple(r) for r in f.orderBy("doc_id", "page", "line_no").collect()] for f in (L.joined_lines(df), L.join_wrapped(L.explode_lines(df))))
+    assert got == want and len({r[:2] for r in got}) > 300
+
+
 def test_document_fold(pages):
     events = R.extract_records(pages)
     rows = {r.holder_name_raw: r for r in R.record_rows(events).collect()}
