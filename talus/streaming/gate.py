@@ -8,7 +8,9 @@ from collections import deque
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -87,22 +89,31 @@ class Gate:
         elif missed:
             misses.append(now)
 
-    def call(self, ip: str, now: float, code_ok: bool, missed: bool) -> str:
-        self._sweep(now)
+    def refusal(self, ip: str, now: float) -> str | None:
+        """What the visitor's own rules answer to a call that they reject."""
         hits, fails, misses = logs = self.log(ip)
         for log in logs:
             if log and log[0] < now - EVENT_TTL_SECONDS:
                 del log[: bisect_left(log, now - EVENT_TTL_SECONDS)]
-        answer = "ok" if code_ok else "code_required"
         for log, (most, seconds), said in ((fails, self.limits.fail, "locked"), (misses, self.limits.miss, "locked"), (hits, self.limits.minute, "rate_limited"), (hits, self.limits.day, "daily_cap")):
             if len(log) - bisect_right(log, now - seconds) >= most:
                 return said
-        if self.overall:
-            most, seconds = self.limits.overall
-            while self.all and self.all[0] <= now - seconds:
-                self.all.popleft()
-            if len(self.all) >= most:
-                return "daily_cap"
+        return None
+
+    def full_after(self, now: float) -> float | None:
+        """If the cap over all visitors is reached at this time: it is until the cap's window before a call no longer holds this time."""
+        most, seconds = self.limits.overall
+        while self.all and self.all[0] <= now - seconds:
+            self.all.popleft()
+        return self.all[len(self.all) - most] if len(self.all) >= most else None
+
+    def call(self, ip: str, now: float, code_ok: bool, missed: bool) -> str:
+        self._sweep(now)
+        if said := self.refusal(ip, now):
+            return said
+        if self.overall and self.full_after(now) is not None:
+            return "daily_cap"
+        answer = "ok" if code_ok else "code_required"
         self.record(ip, now, answer, missed)
         return answer
 
@@ -143,14 +154,79 @@ def _by_visitor(calls: DataFrame, limits: Limits) -> DataFrame:
 
 
 def _together(calls: DataFrame, limits: Limits) -> DataFrame:
-    """The same with the cap over all visitors, in one task that streams in order of time; the cap bounds the logs that it holds."""
+    """The accepted ones of calls that may have `known`, with KEPT's columns, by all rules, in one task that streams in order of time; the cap bounds
+    the logs that it holds.
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    Calls are sorted and packed in parallel, so the task sorts packets alone. While the cap is reached, nothing is accepted, and calls up to
+    the time at which it no longer is are passed over at once.
+    """
+    known = F.col("known") if "known" in calls.columns else F.lit(None).cast("string").alias("known")
+    rows = calls.select(F.unix_micros("ts").alias("us"), "request_id", "ip", "code_ok", "missed", known)
+    order = ["us", F.col("known").isNull(), "request_id"]
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for n, batch in enumerate(b for b in batches if b.num_rows):
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+                out.write_batch(batch)
+            yield pa.RecordBatch.from_pydict({"first": [batch["us"][0].as_py()], "n": [n], "packet": [sink.getvalue().to_pybytes()]})
+
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         gate = Gate(limits, overall=True)
-        for pdf in batches:
-            yield _answers(gate, pdf)
+        for packet in (p for b in batches for p in b["packet"]):
+            calls = pa.ipc.open_stream(packet.as_buffer()).read_next_batch()
+            times, kept, said, k = calls["us"].to_numpy() / 1e6, [], [], 0
+            late, earlier = times - limits.overall[1], np.flatnonzero(calls["known"].is_valid().to_numpy(zero_copy_only=False))
+            ip, ok, missed, before = calls["ip"], calls["code_ok"], calls["missed"], calls["known"]
+            while k < len(times):
+                now, after = float(times[k]), gate.full_after(float(times[k]))
+                if after is not None:
+                    ahead = np.searchsorted(earlier, k)
+                    to = min(k + int(np.searchsorted(late[k:], after)), int(earlier[ahead]) if ahead < len(earlier) else len(times))
+                    if to > k:
+                        k = to
+                        continue
+                if before[k].is_valid:
+                    gate.record(ip[k].as_py(), now, before[k].as_py(), bool(missed[k].as_py()))
+                elif (answer := gate.call(ip[k].as_py(), now, bool(ok[k].as_py()), bool(missed[k].as_py()))) in ACCEPTED:
+                    kept.append(k)
+                    said.append(answer)
+                k += 1
+            if kept:
+                found = calls.take(pa.array(kept))
+                ts = found["us"].cast(pa.timestamp("us", "UTC"))
+                yield pa.RecordBatch.from_arrays([found["request_id"], found["ip"], ts, pa.array(said, pa.string()), found["code_ok"], found["missed"]], names=["request_id", "ip", "ts", "answer", "code_ok", "missed"])
+
+    # Ranges are by time alone, so no two share a time; packets of one range come in its order.
+    packed = rows.repartitionByRange("us").sortWithinPartitions(*order).mapInArrow(pack, "first long, n long, packet binary")
+    return packed.repartition(1).sortWithinPartitions("first", "n").mapInArrow(walk, KEPT)
+
+
+def _capped(calls: DataFrame, limits: Limits) -> DataFrame:
+    """Answers with KEPT's columns to calls that have `known`, by all rules. Rejected calls leave nothing, so once the accepted ones are found,
+    visitors are independent: a call that was not accepted is answered by its visitor's rules, and if they let it pass, it was the cap."""
+    accepted = stored(_together(calls, limits), "accepted").withColumnRenamed("answer", "known")
+    rows = calls.withColumn("turn", F.when(F.col("known").isNull(), 2).otherwise(0)).unionByName(accepted.withColumn("turn", F.lit(1)))
+    rows = rows.select(*_CALL, "known", "turn", F.unix_micros("ts").alias("us"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        gate, last, own = Gate(limits), None, deque()
+        for b in batches:
+            at, said = [], []
+            for k, (id_, ip, missed, known, turn, us) in enumerate(zip(*(b[c].to_pylist() for c in ("request_id", "ip", "missed", "known", "turn", "us")), strict=True)):
+                if ip != last:
+                    gate, last = Gate(limits), ip
+                if turn < 2:
+                    gate.record(ip, us / 1e6, known, bool(missed))
+                    if turn:
+                        own.append((us, id_, known))
+                    continue
+                at.append(k)
+                said.append(own.popleft()[2] if own and own[0][:2] == (us, id_) else gate.refusal(ip, us / 1e6) or "daily_cap")
+            out = b.take(pa.array(at, pa.int64()))
+            yield pa.RecordBatch.from_arrays([out["request_id"], out["ip"], out["ts"], pa.array(said, pa.string()), out["code_ok"], out["missed"]], names=["request_id", "ip", "ts", "answer", "code_ok", "missed"])
 
-    return calls.repartition(1).sortWithinPartitions(*_order(calls)).mapInPandas(run, KEPT)
+    return rows.repartition("ip").sortWithinPartitions("ip", "us", F.col("turn") > 0, "request_id", "turn").mapInArrow(run, KEPT)
 
 
 def _order(calls: DataFrame) -> list:
@@ -184,8 +260,12 @@ def _capped_spans(calls: DataFrame, before: DataFrame | None, limits: Limits) ->
     block = F.floor(F.unix_seconds("ts") / unit).alias("block")
     counted = calls if before is None else calls.select("ip", "ts").union(before.select("ip", "ts"))
     counts = counted.groupBy("ip", block).agg(F.count("*").alias("n"))
-    within = counts.select("ip", F.explode(F.sequence("block", F.col("block") + back)).alias("block"), "n").groupBy("ip", "block").agg(F.least(F.sum("n"), F.lit(own)).alias("n"))
-    bounds = within.groupBy("block").agg((F.sum("n") > most).alias("capped")).join(calls.select(block).distinct(), "block")
+    # Counts come with their block and leave after the window: a visitor's bound changes at these blocks alone.
+    points = counts.union(counts.select("ip", F.col("block") + back + 1, -F.col("n"))).groupBy("ip", "block").agg(F.sum("n").alias("n"))
+    by = Window.partitionBy("ip").orderBy("block")
+    held = points.withColumn("held", F.least(F.sum("n").over(by.rowsBetween(Window.unboundedPreceding, 0)), F.lit(own)))
+    change = held.withColumn("n", F.col("held") - F.coalesce(F.lag("held").over(by), F.lit(0))).groupBy("block").agg(F.sum("n").alias("n"))
+    bounds = change.select("block", (F.sum("n").over(Window.orderBy("block").rowsBetween(Window.unboundedPreceding, 0)) > most).alias("capped")).join(calls.select(block).distinct(), "block")
     turn = F.col("capped") != F.coalesce(F.lag("capped").over(Window.orderBy("block")), ~F.col("capped"))
     spans = bounds.withColumn("turn", turn).withColumn("span", F.sum(F.col("turn").cast("int")).over(Window.orderBy("block")))
     out: list[tuple[int, int, bool]] = []
@@ -203,7 +283,7 @@ def gate_all(requests: DataFrame, limits: Limits = Limits(), before: DataFrame |
     """The same with the cap over all visitors: once so many calls were accepted within the day, further ones get daily_cap, and leave nothing.
 
     The log is cut into spans. Where no answers whatever could reach the cap, visitors are independent and dealt over tasks; only a span
-    in which it may be reached goes through one task in order of time, since each answer there depends on all before it. Spans
+    in which it may be reached goes through one task in order of time, which looks for the accepted calls alone; the other answers follow from these. Spans
     follow one another, and each gets the accepted calls of the limits' longest window before it with their answers; so a capped day makes a
     task of that day's calls, and of no others. before: earlier answers (KEPT, as kept=True gives them) that count too; a call that
     comes late is judged by what was accepted before its own time. Times are not null; request ids tell calls of one time apart.
@@ -228,7 +308,7 @@ def _gate_all(requests: DataFrame, limits: Limits, before: DataFrame | None = No
         for df in (spark.read.schema(kept).parquet(*(f"{folder}/span={j}" for j in near)) if near else None, before):
             if df is not None:
                 rows = rows.unionByName(df.filter(recent).withColumnRenamed("answer", "known").select(*_CALL, "known"))
-        (_together if capped else _by_visitor)(rows, limits).write.mode("overwrite").parquet(f"{folder}/span={k}")
+        (_capped if capped else _by_visitor)(rows, limits).write.mode("overwrite").parquet(f"{folder}/span={k}")
     return spark.read.schema(kept).parquet(*(f"{folder}/span={k}" for k in range(len(spans)))) if spans else spark.createDataFrame([], kept)
 
 

@@ -163,6 +163,26 @@ def test_spans_bound_what_is_accepted(spark):
     assert [s[2] for s in gate._capped_spans(gate._calls(spark.createDataFrame(one, CALL)), None, gate.Limits(day=(20, 86400), overall=(50, 86400)))] == [False]
 
 
+def test_a_capped_span_is_answered_by_many_tasks(spark):
+    """Calls of a dense log, several at one time, that mostly come while the cap is reached, in packets of few: as simulated, and only the accepted
+    ones come from the one task."""
+    rng = random.Random(9)
+    rows = calls(*sorted(((f"u{rng.randint(0, 40)}", rng.randint(0, 3 * 86400) + rng.choice([0, 0.25]), rng.random() > 0.2, rng.random() < 0.3) for _ in range(3000)), key=lambda r: r[1]))
+    limits = gate.Limits(fail=(2, 900), miss=(4, 3600), minute=(3, 60), day=(5, 86400), overall=(25, 86400))
+    df = gate._calls(spark.createDataFrame(rows, CALL)).withColumn("known", F.lit(None).cast("string"))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "37")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = gate._capped(df, limits).withColumn("p", F.spark_partition_id()).collect()
+        one = gate._together(df, limits).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    want = simulated(rows, limits)
+    assert {r.request_id: r.answer for r in got} == want and len(got) == len(rows) and len({r.p for r in got}) > 1
+    assert {r.request_id for r in one} == {k for k, a in want.items() if a in gate.ACCEPTED} and len(one) <= 4 * 25
+
+
 def test_empty_log(spark):
     assert gate.gate_all(spark.createDataFrame([], CALL)).collect() == []
 
