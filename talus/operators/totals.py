@@ -9,6 +9,8 @@ from ..schemas import APPROX_ERROR, APPROX_SHARE, APPROX_YEARS, EXTRACTOR_GUARD,
 from ..sources.stored import stored
 
 _NONE = "array<double>"
+#: Rows of a range that are held against each other by one task, about.
+RANGE_ROWS = 250_000
 
 
 def _sum(values: Column) -> Column:
@@ -43,20 +45,25 @@ def nearest_rows(values: DataFrame, known: DataFrame, by: str = "doc_id") -> Dat
     """values (by, x and others) with nearest: the value v of known (by, v) with the same key that is nearest to x, the smaller of two as near; null without
     one. As `nearest`, for keys with any number of candidates: no array of them is made.
 
-    Both sides are sorted together by ranges of key and value, so a key may span many partitions. In a partition the last candidate up to a value
+    Both sides are sorted together by ranges of key and value of about RANGE_ROWS rows, so a key may span many partitions, and what a task holds does not
+    grow with the tables. In a partition the last candidate up to a value
     and the first from it on are carried by windows over its rows; what lies beyond its ends comes from the partitions' outermost
     candidates, one row a partition and key.
     """
     rows = values.withColumns({"_side": F.lit(1), "_at": F.col("x")}).unionByName(known.select(by, F.col("v").alias("_at")).distinct().withColumn("_side", F.lit(0)), allowMissingColumns=True)
     spread = F.xxhash64(F.struct(*(F.col(c) for c in values.columns)))
     # Written: a task that is run again must not deal by other ranges. Equal values may be split anywhere, candidates come before them.
-    placed = rows.withColumn("_tie", spread).repartitionByRange(by, F.col("_at").asc_nulls_last(), "_side", "_tie")
+    parts_of = lambda n: max(1, -(-n // RANGE_ROWS))
+    n = parts_of(values.count() + known.count())
+    placed = rows.withColumn("_tie", spread).repartitionByRange(n, by, F.col("_at").asc_nulls_last(), "_side", "_tie")
     placed = stored(placed.withColumn("_part", F.spark_partition_id()), "nearest")
     own = F.when(F.col("_side") == 0, F.col("_at"))
     ends = placed.groupBy("_part", by).agg(F.min(own).alias("_least"), F.max(own).alias("_most"))
     parts = Window.partitionBy(by).orderBy("_part")
     before, behind = parts.rowsBetween(Window.unboundedPreceding, -1), parts.rowsBetween(1, Window.unboundedFollowing)
     ends = ends.withColumns({"_below": F.max("_most").over(before), "_above": F.min("_least").over(behind)}).select(F.col("_part").alias("_p"), F.col(by).alias("_k"), "_below", "_above")
+    # As many partitions as ranges, by their number: AQE would put small ones together, or a fixed number of them grow.
+    placed = placed.repartition(n, "_part")
     here = Window.partitionBy("_part", by)
     up = here.orderBy(F.col("_at").asc_nulls_last(), "_side").rowsBetween(Window.unboundedPreceding, 0)
     down = here.orderBy(F.col("_at").desc_nulls_first(), F.desc("_side")).rowsBetween(Window.unboundedPreceding, 0)

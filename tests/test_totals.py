@@ -130,3 +130,16 @@ def test_nearest_of_a_million_candidates(spark):
     values = spark.range(5000).select(F.lit("k").alias("doc_id"), (F.col("id") * 397.0 + 0.5).alias("x"))
     df = T.nearest_rows(values, known)
     assert df.filter((F.col("nearest") != F.floor(F.col("x") / 2 + 0.5) * 2) & (F.abs(F.col("nearest") - F.col("x")) > 1)).count() == 0 and df.count() == 5000
+
+
+def test_ranges_of_nearest_rows_grow_in_number_not_in_length(spark, monkeypatch):
+    """One key of many candidates: as many ranges as the rows need, whatever the session's partitions, and the nearest values."""
+    written = []
+    monkeypatch.setattr(T, "RANGE_ROWS", 100)
+    monkeypatch.setattr(T, "stored", lambda df, name: written.append(df.localCheckpoint()) or written[-1])
+    known = [(k * 7919) % 10007 / 4 for k in range(1000)]
+    values = spark.range(500).selectExpr("id", "'k' AS k", "(id * 613) % 2600 + 0.3D AS x")
+    got = T.nearest_rows(values, spark.createDataFrame([("k", v) for v in known], "k string, v double"), "k").collect()
+    assert {r.id: r.nearest for r in got} == {r.id: min(known, key=lambda v: (abs(v - r.x), v)) for r in got} and len(got) == 500
+    sizes = [r["count"] for r in written[0].groupBy("_part").count().collect()]
+    assert len(sizes) >= 10 and max(sizes) < 400
