@@ -241,3 +241,77 @@ def test_stated_total_is_the_last_in_place(spark):
     got = {r.doc_id: r for r in R.document_stats(R.extract_records(df), df).collect()}
     assert (got["d"].stated_total, got["d"].totals, got["d"].total_lines) == (700.0, [3.0, 500.0, 700.0, 9000.0], [[1.0, 500.0]])
     assert (got["e"].stated_total, got["e"].totals, got["e"].total_lines) == (7.0, [7.0, 6.0], [[5.0, 7.0]])
+
+
+def by_year_columns(pages, slack=7, most=1_000_000.0):
+    """Rows of one document's pages (title, page, text) as defined: every word of every line is held against every column."""
+    columns = None
+    for title, page, text in pages:
+        base, lines, n = R.type_of(title or ""), text.split("\n"), 0
+        columns = R.find_year_columns(lines) or columns
+        for line in lines if columns else ():
+            if R._skipped(line):
+                continue
+            account, row = R._LONG_ID.search(line), R.parse_record(line.strip(), "", base, need_amount=False)
+            if not account and not row:
+                continue
+            row = row or dict(warrant_no="", folio_or_bo_raw=account.group(1), bo_id=account.group(1), folio_no="", holder_name_raw="")
+            issues = "year_column" if row.get("line") else "name_missing;year_column"
+            for _, end, token in R._spans(line):
+                year, kind, at = min(columns, key=lambda c: abs(c[2] - end))
+                if not R._NUMBER.match(token) or abs(at - end) > slack or not ("." in token or kind in ("bonus", "right", "stock") or base in R.SHARE_TYPES):
+                    continue
+                v, own = R.value(token), "stock" if kind == "bonus" else kind or base
+                if v and v <= most:
+                    n += 1
+                    share = own in R.SHARE_TYPES
+                    yield ("d", page, n, year, own, *(row[c] for c in ("warrant_no", "folio_or_bo_raw", "bo_id", "folio_no", "holder_name_raw")), v if share else None, None, None, None if share else v, issues, line.strip()[:300])
+
+
+def test_year_columns_equal_the_definition():
+    import random
+
+    rng = random.Random(5)
+    words = [ID + "1", ID + "12", "12345678901234567", "৪২", "7", "7", "42.50", "1,250.00", "(3.00)", "-8.25", ".5", "5.", "1,2,3", "2,000,000.00", "0.00", "2018-19", "2017–2018", "ALPHA", "BETA", "আলফা", "A1", "F-77", "x", "TOTAL", "(", "-", "9" * 400 + ".0", "12.5.5", "+7"]
+    heads = ["2017      Bonus_2018     2019-20", "Cash 2016   Stock 2017", "Right 2015 Fraction-2016          2017 - 18", "2018", f"2017 2018 {ID}1"]
+    kinds = set()
+    for _ in range(400):
+        pages = []
+        for page in range(1, rng.randint(2, 5)):
+            lines = [" " * rng.randint(0, 40) + rng.choice(heads)] * (rng.random() < 0.6)
+            for _ in range(rng.randint(0, 6)):
+                lines.append(rng.choice(["", " ", "1 "]) + "".join(w + rng.choice([" ", "  ", "\t", "\u00a0", " " * rng.randint(1, 12)]) for w in rng.choices(words, k=rng.randint(0, 7))))
+            pages.append((rng.choice([None, "cash dividend", "right share list", "Bonus list", "fraction"]), page, "\n".join(lines)))
+        slack = rng.choice([0, 7, 30])
+        own = R.year_column_rows(slack)
+        got = [row for t, p, x in pages for row in own({"doc_id": "d", "title": t, "page": p, "text": x})]
+        assert got == list(by_year_columns(pages, slack))
+        kinds |= {(r[4], r[14]) for r in got}
+    assert kinds >= {(k, i) for k in ("cash", "stock", "right", "fraction") for i in ("year_column", "name_missing;year_column")}
+
+
+def test_year_columns_read_a_line_once():
+    """Python's calls for a line with three numbers: its own amounts are not read, and columns are not searched for each word."""
+    import sys
+
+    head = " " * 35 + "".join(str(2017 + k).rjust(20) for k in range(3))
+    line = f"1 {ID}1 HOLDER ALPHA    " + "".join(f"{1000.5 * k:20.2f}" for k in (1, 2, 3))
+    page = {"doc_id": "d", "title": "Dividend list", "page": 1, "text": "\n".join([head, *[line] * 200])}
+    own, calls = R.year_column_rows(), 0
+    list(own(page))
+
+    def count(_, event, __):
+        nonlocal calls
+        calls += event in ("call", "c_call")
+
+    sys.setprofile(count)
+    rows = list(own(page))
+    sys.setprofile(None)
+    assert len(rows) == 600 and calls < 100 * 200
+
+
+def test_year_columns_of_some_fields(spark):
+    head = " " * 40 + "2017      Bonus_2018"
+    df = spark.createDataFrame([("d", "cash dividend", 1, head + f"\n1 {ID}1 ALPHA TESTER      12.50            5")], "doc_id string, title string, page int, text string")
+    got = R.extract_year_columns(df, columns=["net_amount", "bo_id"])
+    assert got.columns == ["net_amount", "bo_id"] and sorted(map(tuple, got.collect()), key=str) == [(12.5, ID + "1"), (None, ID + "1")]
