@@ -131,3 +131,27 @@ def test_table_functions(spark):
         assert sorted(map(str, got)) == sorted(map(str, extract(df).collect())) and len(got) >= 1, name
     lines = spark.sql(f"SELECT r.holder_name_raw, r.net_amount FROM VALUES ('1 {account}1 BETA TESTER 5.00'), ('no row'), (NULL) AS t(line), LATERAL listing_record(line, '2018', 'cash') AS r")
     assert [tuple(r) for r in lines.collect()] == [("BETA TESTER", 5.0)]
+
+
+def test_table_function_of_year_columns_reads_a_line_once():
+    """Python's calls for a line with three numbers, rows handed over among them; columns hold on over pages, and pages without text give nothing."""
+    import sys
+
+    from pyspark.sql import Row
+
+    from talus.functions import sql
+
+    years = " " * 35 + "".join(str(2017 + k).rjust(20) for k in range(3))
+    line = "1 1201000000000001 HOLDER ALPHA    " + "".join(f"{1000.5 * k:20.2f}" for k in (1, 2, 3))
+    page = lambda k, text: Row(doc_id="d", title="Dividend list", page=k, text=text)
+    own, calls = sql.TABLES["rows_by_year_column"]().func(), 0
+    assert [len(list(own.eval(page(k, text)))) for k, text in ((1, line), (2, years), (3, None), (4, line))] == [0, 0, 0, 3]
+
+    def count(_, event, __):
+        nonlocal calls
+        calls += event in ("call", "c_call")
+
+    sys.setprofile(count)
+    rows = list(own.eval(page(5, "\n".join([line] * 200))))
+    sys.setprofile(None)
+    assert [r[13] for r in rows[:3]] == [1000.5, 2001.0, 3001.5] and len(rows) == 600 and calls < 100 * 200
