@@ -115,19 +115,29 @@ def upper_median(values: Column) -> Column:
     return F.get(F.array_sort(values), F.floor(F.size(values) / 2).cast("int"))
 
 
+def _sum_in_any_order(values: Column) -> Column:
+    """An aggregate: the sum of doubles under UNREADABLE_FROM, 0.0 without any. Added as decimals, so equal values have equal sums in whatever order
+    they come; as doubles the last digits would differ by it."""
+    return F.coalesce(F.sum(values.cast("decimal(28,18)")).cast("double"), F.lit(0.0))
+
+
 def method_scores(rows: DataFrame, stats: DataFrame) -> DataFrame:
-    """doc_id, method, check, error, extracted, rows of every extractor's rows (doc_id, method and raw-row columns) against stats."""
+    """doc_id, method, check, error, extracted, rows of every extractor's rows (doc_id, method and raw-row columns) against stats.
+
+    The same whatever the order of rows: two extractors with the same amounts err alike, and the earlier one of `choose_method` stays.
+    """
     total = is_total_row(F.col("holder_name_raw"))
     kept = F.when(~total, F.col("dividend_type"))
     readable = lambda c: F.when(~total & (F.abs(c) < UNREADABLE_FROM), F.col(c))
     sums = rows.groupBy("doc_id", "method").agg(
         F.count_if(~total).alias("rows"),
         F.avg(F.when(kept.isNotNull(), kept.isin(*SHARE_TYPES).cast("double"))).alias("share"),
-        F.coalesce(F.sum(readable("shares")), F.lit(0.0)).alias("_shares"),
-        F.coalesce(F.sum(readable("net_amount")), F.lit(0.0)).alias("_net"),
-        F.collect_list(F.when(total, F.col("net_amount"))).alias("extra"),
+        _sum_in_any_order(readable("shares")).alias("_shares"),
+        _sum_in_any_order(readable("net_amount")).alias("_net"),
     )
-    df = sums.join(stats.select("doc_id", "totals", "total_lines"), "doc_id", "left")
+    # Apart from the sums, which need no lists then; few rows are totals.
+    extra = rows.filter(total).groupBy("doc_id", "method").agg(F.array_sort(F.collect_set("net_amount")).alias("extra"))
+    df = sums.join(extra, ["doc_id", "method"], "left").join(stats.select("doc_id", "totals", "total_lines"), "doc_id", "left")
     df = df.withColumn("extracted", F.when(F.col("share") > 0.5, F.col("_shares")).otherwise(F.col("_net")))
     df = df.withColumn("_c", candidates(F.col("totals"), F.col("total_lines"), F.col("extra")))
     best = nearest(F.col("_c"), F.col("extracted"))

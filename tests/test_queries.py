@@ -61,6 +61,24 @@ def test_spot_check_of_letters_that_change_their_number(spark, sql, tmp_path):
     assert sorted(map(tuple, got)) == sorted(own.execute(oracle_sql()["spot_check"]).fetchall()) and len(got) == 14
 
 
+def test_method_selection_of_orders_without_discount_and_tax(spark, sql, tmp_path):
+    """Two extractors have the same amounts, whose rows lie in many files: the first stays, as in SQL, where both are summed in one order."""
+    import random
+
+    rng = random.Random(4)
+    lines = [(k, n, rng.randint(90_000, 10_500_000) / 100, 0.0, 0.0) for k in range(3000) for n in range(1, rng.randint(3, 9))]
+    rng.shuffle(lines)
+    fields = "l_orderkey long, l_linenumber int, l_extendedprice double, l_discount double, l_tax double"
+    spark.createDataFrame(lines, fields).repartition(12, "l_extendedprice").write.parquet(str(tmp_path / "lineitem.parquet"))
+    spark.createDataFrame([(k, rng.randint(100_000, 50_000_000) / 100) for k in range(3000)], "o_orderkey long, o_totalprice double").write.parquet(str(tmp_path / "orders.parquet"))
+    own = sql.cursor()
+    for t in ("lineitem", "orders"):
+        own.execute(f"CREATE TEMP VIEW {t} AS SELECT * FROM '{tmp_path}/{t}.parquet/*.parquet'")
+    got = dict(map(tuple, queries()["method_selection"](spark, str(tmp_path)).select("doc_id", "method").collect()))
+    assert got == dict(own.execute(oracle_sql()["method_selection"]).fetchall()) and len(got) == 3000
+    assert set(got.values()) == {"text_regex", "paired_lines"}
+
+
 def test_entry(spark):
     import __spark_entry__
 

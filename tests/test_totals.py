@@ -52,6 +52,31 @@ def test_method_choice(spark):
     assert chosen(spark, [base, ("year_columns", "match", 0.0, 1000.0, 9)], [(1, 1, 0.0, 1.0)]) == ("text_regex", False)
 
 
+@pytest.mark.parametrize("printed", [7600.0, 7500.0])
+def test_extractors_with_the_same_amounts_err_alike(spark, printed):
+    """In whatever order each lists them, the earlier extractor stays; as doubles the sums are 7556.289999999999 and 7556.290000000001."""
+    amounts = [[1095.35, 1690.52, 3180.61, 1589.81], [1095.35, 1690.52, 1589.81, 3180.61]]
+    stats = spark.createDataFrame([("d", [printed], None)], "doc_id string, totals array<double>, total_lines array<array<double>>")
+    for orders in (amounts, amounts[::-1]):
+        rows = [("d", m, "ALPHA", "cash", None, v) for m, own in zip(("text_regex", "column_position"), orders, strict=True) for v in own]
+        rows = spark.createDataFrame(rows, "doc_id string, method string, holder_name_raw string, dividend_type string, shares double, net_amount double")
+        scores = T.method_scores(rows.coalesce(1), stats)
+        got = {r.method: (r.check, r.error, r.extracted, r.rows) for r in scores.collect()}
+        assert got["text_regex"] == got["column_position"] == ("mismatch", abs(7556.29 - printed) / printed, 7556.29, 4)
+        assert T.choose_method(scores, spark.createDataFrame([], YEARS)).first().method == "text_regex"
+
+
+def test_scores_count_total_labelled_rows_in_any_order(spark):
+    """Amounts of total-labelled rows are candidates, of their own extractor alone, and the half of their sum is the same in any order."""
+    fields = "doc_id string, method string, holder_name_raw string, dividend_type string, shares double, net_amount double"
+    own = [("d", "text_regex", "ALPHA", "cash", None, 500.25), ("d", "column_position", "BETA", "cash", None, 500.25), ("d", "paired_lines", "Total", "cash", None, 700.0)]
+    extra = [("d", "text_regex", "Grand Total", "cash", None, v) for v in (500.25, 120.5, None, 500.25)]
+    stats = spark.createDataFrame([("d", [9000.0], None)], "doc_id string, totals array<double>, total_lines array<array<double>>")
+    for rows in (own + extra, extra[::-1] + own):
+        got = {r.method: (r.check, r.extracted, r.rows) for r in T.method_scores(spark.createDataFrame(rows, fields).coalesce(1), stats).collect()}
+        assert got == {"text_regex": ("match", 500.25, 1), "column_position": ("mismatch", 500.25, 1), "paired_lines": ("n/a", 0.0, 0)}
+
+
 def test_guards(spark):
     rows = [("d", "ALPHA", None, 2e9, ""), ("d", "Grand Total", None, 5.0, ""), ("d", "X ROAD 5", 3.0, None, ""), ("d", "BETA", None, 2e6, "int_amount"), ("d", "C", None, 1.0, ""), ("d", "D", None, 1.0, "col_amount")]
     df = spark.createDataFrame(rows, "doc_id string, holder_name_raw string, shares double, net_amount double, issues string")
