@@ -74,9 +74,9 @@ def nearest_rows(values: DataFrame, known: DataFrame, by: str = "doc_id") -> Dat
     return df.withColumn("nearest", F.when(F.col("x").isNotNull(), best)).select(*values.columns, "nearest")
 
 
-def total_check(values: Column, x: Column) -> Column:
-    """match, mismatch or no_total_printed. A sum of 0 or null matches nothing."""
-    best = nearest(values, x)
+def total_check(values: Column, x: Column, best: Column | None = None) -> Column:
+    """match, mismatch or no_total_printed. A sum of 0 or null matches nothing. best: the nearest value, if it is known."""
+    best = nearest(values, x) if best is None else best
     return F.when(F.size(values) == 0, "no_total_printed").when((x != 0) & (F.abs(best - x) <= TOTAL_TOLERANCE * best), "match").otherwise("mismatch")
 
 
@@ -140,9 +140,10 @@ def method_scores(rows: DataFrame, stats: DataFrame) -> DataFrame:
     df = sums.join(extra, ["doc_id", "method"], "left").join(stats.select("doc_id", "totals", "total_lines"), "doc_id", "left")
     df = df.withColumn("extracted", F.when(F.col("share") > 0.5, F.col("_shares")).otherwise(F.col("_net")))
     df = df.withColumn("_c", candidates(F.col("totals"), F.col("total_lines"), F.col("extra")))
-    best = nearest(F.col("_c"), F.col("extracted"))
-    some = F.col("rows") > 0
-    check = F.when(some, total_check(F.col("_c"), F.col("extracted"))).otherwise("n/a")
+    # A column of its own: the search would be repeated wherever it is named.
+    df = df.withColumn("_best", nearest(F.col("_c"), F.col("extracted")))
+    best, some = F.col("_best"), F.col("rows") > 0
+    check = F.when(some, total_check(F.col("_c"), F.col("extracted"), best)).otherwise("n/a")
     error = F.when(~some, 9e9).when(best.isNull(), 0.0).when(best == 0, 9e9).otherwise(F.abs(F.col("extracted") - best) / best)
     return df.select("doc_id", "method", check.alias("check"), error.alias("error"), F.when(some, F.col("extracted")).otherwise(0.0).alias("extracted"), "rows")
 
